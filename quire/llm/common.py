@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Used only where the session names no checkpoint folder (tests, local runs).
@@ -44,15 +45,10 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int
             yield batch
             continue
         start, size = 0, 0
-        lengths = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(col), 0).to_pylist()
         for i, k in enumerate(lengths):
             if size and size + k > max_bytes:
                 yield batch.slice(start, i - start)
                 start, size = i, 0
             size += k
         yield batch.slice(start, n - start)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """As many partitions as the session has slots, for tables of few files (round robin, no key)."""
-    return df
