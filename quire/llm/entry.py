@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quire.llm import quality, simhash
+from quire.llm import bpe, quality, simhash
 
 QUERIES = {
+    "op3_bpe": bpe.op3_bpe,
     "op6_simhash": simhash.op6_simhash,
     "op9_quality_rules": quality.op9_quality_rules,
 }
