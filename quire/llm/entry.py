@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, quality, simhash
+from quire.llm import bpe, decontaminate, quality, simhash
 
 QUERIES = {
     "op3_bpe": bpe.op3_bpe,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op6_simhash": simhash.op6_simhash,
     "op9_quality_rules": quality.op9_quality_rules,
 }
