@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, decontaminate, quality, simhash
+from quire.llm import bpe, decontaminate, language, quality, simhash
 
 QUERIES = {
+    "op2_language": language.op2_language,
     "op3_bpe": bpe.op3_bpe,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op6_simhash": simhash.op6_simhash,
