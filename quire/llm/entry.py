@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, decontaminate, language, quality, simhash
+from quire.llm import bpe, decontaminate, language, quality, simhash, toxicity
 
 QUERIES = {
     "op2_language": language.op2_language,
     "op3_bpe": bpe.op3_bpe,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_simhash": simhash.op6_simhash,
     "op9_quality_rules": quality.op9_quality_rules,
 }
