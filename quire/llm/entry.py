@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, decontaminate, language, quality, simhash, toxicity
+from quire.llm import bpe, decontaminate, language, quality, shard, simhash, toxicity, warc
 
 QUERIES = {
+    "op1_shard": shard.op1_shard,
     "op2_language": language.op2_language,
     "op3_bpe": bpe.op3_bpe,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_simhash": simhash.op6_simhash,
     "op9_quality_rules": quality.op9_quality_rules,
+    "op10_warc": warc.op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_warc": warc.ORACLE_SQL}
