@@ -237,6 +237,8 @@ def frequent_words(docs: DataFrame, vocabulary: str, limit: int = LEXICON_WORDS)
 def ship_lexicon(spark: SparkSession, image: bytes) -> str:
     """Give the file to every executor; the name to find it by."""
     name = f"lexicon-{hashlib.sha256(image).hexdigest()[:24]}.bin"
+    if any(f.endswith(name) for f in spark.sparkContext.listFiles):
+        return name
     path = os.path.join(tempfile.mkdtemp(), name)
     with open(path, "wb") as f:
         f.write(image)
