@@ -16,6 +16,7 @@ import hashlib
 import heapq
 import json
 import os
+import re
 import tempfile
 import unicodedata
 from collections import Counter
@@ -23,7 +24,6 @@ from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
-import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +33,17 @@ from quire.llm.common import read_table, small_batches
 from quire.llm.lexicon import Lexicon, compile_lexicon
 
 #: So many words, each of at most so many UTF-8 bytes, bound the lexicon.
-LEXICON_WORDS = 32768
+LEXICON_WORDS = 65536
 LEXICON_BYTES = 48
 CACHED_WORDS = 250_000
 COUNTED_AT_ONCE = 200_000
+#: Words of more symbols than this merge in a heap.
+LONG_WORD = 100
+
+#: Blocks whose letters and marks no Unicode version has changed since long.  A text with a character outside them
+#: is normalised and split by the library's own tables, as Unicode versions differ between libraries.
+STABLE = ((0x00, 0x1B), (0x20, 0x84), (0x86, 0x24F), (0x2000, 0x206F), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3))
+RECENT = re.compile("[^" + "".join(f"\\U{a:08x}-\\U{z:08x}" for a, z in STABLE) + "]")
 
 
 def default_vocabulary() -> str:
@@ -52,6 +59,22 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(spare)) for b in range(256)]
 
 
+def _word_pattern(pattern: str):
+    """findall of the tokenizer's pattern for texts without RECENT characters: its classes written out, letters first."""
+    stable = [chr(c) for a, z in STABLE for c in range(a, z + 1)]
+
+    def ranges(kind: str) -> str:
+        own = [ord(c) for c in stable if unicodedata.category(c)[0] == kind]
+        cuts = [i for i in range(len(own)) if i == 0 or own[i] != own[i - 1] + 1]
+        return "".join(f"\\U{own[i]:08x}-\\U{own[j - 1]:08x}" for i, j in zip(cuts, [*cuts[1:], len(own)], strict=True))
+
+    if not pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"):
+        raise ValueError(f"unknown split pattern {pattern}")
+    letters, digits = ranges("L"), ranges("N")
+    first = pattern.removesuffix(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    return re.compile(f"[{letters}]+|{first}|[{digits}]|[^\\s{letters}{digits}]+").findall
+
+
 class WordBPE:
     """The model of a tokenizer file of the word-end kind."""
 
@@ -70,15 +93,33 @@ class WordBPE:
             self.rank[self.vocab[a], self.vocab[b]] = (r, self.vocab[a + b])
         self.letters = byte_letters()
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(split["pattern"]["Regex"]).findall
+        self.words = _word_pattern(split["pattern"]["Regex"])
         self.library = path
-        self.specials = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))) if self.special else None
+        self.specials = re.compile("|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True))) if self.special else None
 
     def merge(self, word: bytes) -> list[int]:
-        """The ids of one word (its UTF-8 bytes) by merging the best pair again and again."""
+        """The ids of one word (its UTF-8 bytes) by merging the best pair again and again, the leftmost of equals."""
         chars = [self.letters[b] for b in word]
         chars[-1] += self.end
         ids = [i for c in chars if (i := self.vocab.get(c)) is not None]
+        if len(ids) > LONG_WORD:
+            return self._merge_long(ids)
+        get, none = self.rank.get, (1 << 60, 0)
+        pairs = [get(p, none) for p in zip(ids, ids[1:], strict=False)]
+        while pairs:
+            best = min(pairs)
+            if best is none:
+                break
+            i = pairs.index(best)
+            ids[i : i + 2] = [best[1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = get((ids[i - 1], ids[i]), none)
+            if i < len(pairs):
+                pairs[i] = get((ids[i], ids[i + 1]), none)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         rank = self.rank
@@ -130,11 +171,6 @@ class WordBPE:
         return text.lower()
 
 
-#: Characters outside the blocks whose letters no Unicode version has changed since long; a text that has
-#: one is normalised and split by the library's own tables, as Unicode versions differ between libraries.
-RECENT = regex.compile("[^\u0000-\u024f\u2000-\u206f\u4e00-\u9fa5\uac00-\ud7a3]")
-
-
 @cache
 def _library(path: str):
     from tokenizers import Tokenizer
@@ -170,33 +206,37 @@ class Encoder:
 
     def __init__(self, bpe: WordBPE, lex: Lexicon | None) -> None:
         self.bpe, self.lex = bpe, lex
-        self.known: dict[str, tuple[str, int, str]] = {}
+        self.ids: dict[str, str] = {}
+        self.texts: dict[str, str] = {}
 
     def _learn(self, words: set[str]) -> None:
-        special = self.bpe.special
+        special, token = self.bpe.special, self.bpe.token
         for w in words & special.keys():  # no word of a text looks like one: it would split
-            self.known[w] = (str(special[w]), 1, w)
+            self.ids[w], self.texts[w] = str(special[w]), w
         new = [(w, w.encode("utf-8", "surrogatepass")) for w in words if w not in special]
         places = self.lex.find([b for _, b in new]).tolist() if self.lex else [-1] * len(new)
         for (w, b), p in zip(new, places, strict=True):
             ids = self.lex.output(p) if p >= 0 else self.bpe.merge(b)
-            self.known[w] = (" ".join(map(str, ids)), len(ids), " ".join(self.bpe.token[i] for i in ids))
+            self.ids[w] = " ".join(map(str, ids))
+            self.texts[w] = " ".join([token[i] for i in ids])
 
     def encode(self, text: str | None) -> tuple[int, str, str]:
         """(number of ids, ids joined by one space, decoded text)"""
         words = [w for special, s in self.bpe.pieces(text or "") for w in ([s] if special else self.bpe.split(s))]
-        need = set(words)
-        fresh = need.difference(self.known)
-        if fresh:
-            if len(self.known) + len(fresh) > CACHED_WORDS:
-                self.known.clear()
+        if not words:
+            return 0, "", ""
+        try:
+            ids = " ".join(map(self.ids.__getitem__, words))
+        except KeyError:
+            need = set(words)
+            fresh = need.difference(self.ids)
+            if len(self.ids) + len(fresh) > CACHED_WORDS:
+                self.ids.clear()
+                self.texts.clear()
                 fresh = need
             self._learn(fresh)
-        got = [g for g in map(self.known.__getitem__, words) if g[1]]
-        if not got:
-            return 0, "", ""
-        ids, counts, texts = zip(*got, strict=True)
-        return sum(counts), " ".join(ids), " ".join(texts)
+            ids = " ".join(map(self.ids.__getitem__, words))
+        return ids.count(" ") + 1, ids, " ".join(map(self.texts.__getitem__, words))
 
 
 @cache
