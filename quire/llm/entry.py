@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, decontaminate, html, language, quality, shard, simhash, toxicity, warc
+from quire.llm import bpe, decontaminate, html, language, quality, shard, simhash, suffix, toxicity, warc
 
 QUERIES = {
     "op1_shard": shard.op1_shard,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_simhash": simhash.op6_simhash,
     "op7_html": html.op7_html,
+    "op8_suffix": suffix.op8_suffix,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_warc": warc.op10_warc,
 }

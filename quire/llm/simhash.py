@@ -208,9 +208,14 @@ def near_duplicates(docs: DataFrame, segments: int = 3, choose: int = 1) -> Data
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group: the one whose doc_id names it.  Rows that repeat a doc_id count as one document."""
-    found = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(found, docs.doc_id.eqNullSafe(found.kept_id), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group: the one whose doc_id names it.
+
+    Rows that repeat a doc_id count as one document.  Rows without a doc_id can
+    not be named: of those with equal texts one stays.
+    """
+    found = near_duplicates(docs.where("doc_id is not null")).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = docs.join(found, docs["doc_id"] == found["__kept"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.union(docs.where("doc_id is null").dropDuplicates(["text"]))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
