@@ -497,7 +497,8 @@ def remove_repeats(docs: DataFrame, **how: int) -> DataFrame:
     rows = _with_spans(docs, **how)
     at = docs.columns.index("text")
     n_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
-    width = len(docs.columns)
+    names = docs.columns
+    width = len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, at):
@@ -506,7 +507,7 @@ def remove_repeats(docs: DataFrame, **how: int) -> DataFrame:
             cols[at] = pa.array(texts, pa.string())
             if n_at is not None:
                 cols[n_at] = pa.array(map(len, texts), b.schema.field(n_at).type)
-            yield pa.RecordBatch.from_arrays(cols, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return rows.mapInArrow(run, docs.schema)
 
