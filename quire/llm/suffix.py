@@ -214,10 +214,11 @@ def _contexts(group: int):
                             met[name] = [key, a, False]
                             rows.append((*head, key, a, e - a, context))
                         elif first[:2] != [key, a]:
+                            # settled runs need no shard of their anchor: they spread by text and place
                             if not first[2]:
-                                rows.append((*head, first[0], first[1], e - a, None))
+                                rows.append((first[0], first[1], first[0], first[1], e - a, None))
                                 first[2] = True
-                            rows.append((*head, key, a, e - a, None))
+                            rows.append((key, a, key, a, e - a, None))
                 if rows:
                     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["h", "salt", "tkey", "s", "n", "context"])
