@@ -30,7 +30,7 @@ def padding(source: Column) -> Column:
 
 def to_pixels(bbox: Column, width: Column, height: Column, pad: Column) -> Column:
     """Truncate to pixels, pad, clip to the image."""
-    at = lambda i, size: (bbox[i] * size).cast("int")
+    at = lambda i, size: (F.get(bbox, F.lit(i)) * size).cast("int")
     return F.struct(
         F.greatest(F.lit(0), at(0, width) - pad[0]).alias("x0"),
         F.greatest(F.lit(0), at(1, height) - pad[1]).alias("y0"),
@@ -42,13 +42,13 @@ def to_pixels(bbox: Column, width: Column, height: Column, pad: Column) -> Colum
 def to_page(bbox: Column, width: Column, height: Column, pad: float = 0.0) -> Column:
     """Normalised box to page points, grown by pad on all sides."""
     return F.struct(
-        (bbox[0] * width - pad).alias("x0"), (bbox[1] * height - pad).alias("y0"), (bbox[2] * width + pad).alias("x1"), (bbox[3] * height + pad).alias("y1")
+        (F.get(bbox, F.lit(0)) * width - pad).alias("x0"), (F.get(bbox, F.lit(1)) * height - pad).alias("y0"), (F.get(bbox, F.lit(2)) * width + pad).alias("x1"), (F.get(bbox, F.lit(3)) * height + pad).alias("y1")
     )
 
 
 def flip_y(bbox: Column) -> Column:
     """Between bottom-left and top-left origin."""
-    return F.array(bbox[0], 1 - bbox[3], bbox[2], 1 - bbox[1])
+    return F.array(F.get(bbox, F.lit(0)), 1 - F.get(bbox, F.lit(3)), F.get(bbox, F.lit(2)), 1 - F.get(bbox, F.lit(1)))
 
 
 def window(box: Column, width: Column, height: Column, grow: float = 0.5, least: int = 10) -> Column:
@@ -71,7 +71,7 @@ def kernel_size(height: Column, factor: float, least: int) -> Column:
 
 
 def extents(b: Column, least: float = 0.0) -> Column:
-    return (F.size(b) == 4) & (b[2] - b[0] > least) & (b[3] - b[1] > least)
+    return (F.size(b) == 4) & (F.get(b, F.lit(2)) - F.get(b, F.lit(0)) > least) & (F.get(b, F.lit(3)) - F.get(b, F.lit(1)) > least)
 
 
 def redactable(f: Column) -> Column:
@@ -94,7 +94,7 @@ def legacy_valid(b: Column) -> Column:
 
 
 def in_unit_square(b: Column) -> Column:
-    return extents(b) & (b[0] >= 0) & (b[1] >= 0) & (b[2] <= 1) & (b[3] <= 1)
+    return extents(b) & (F.get(b, F.lit(0)) >= 0) & (F.get(b, F.lit(1)) >= 0) & (F.get(b, F.lit(2)) <= 1) & (F.get(b, F.lit(3)) <= 1)
 
 
 def skip_reason(f: Column, page_count: Column) -> Column:
