@@ -35,10 +35,11 @@ from quire.llm.lexicon import Lexicon, compile_lexicon
 #: So many words, each of at most so many UTF-8 bytes, bound the lexicon.
 LEXICON_WORDS = 65536
 LEXICON_BYTES = 48
-CACHED_WORDS = 250_000
+CACHED_WORDS = 350_000
 COUNTED_AT_ONCE = 200_000
 #: Words of more symbols than this merge in a heap.
 LONG_WORD = 100
+NO_PAIR = 1 << 62
 
 #: Blocks whose letters and marks no Unicode version has changed since long.  A text with a character outside them
 #: is normalised and split by the library's own tables, as Unicode versions differ between libraries.
@@ -87,11 +88,15 @@ class WordBPE:
         self.token = {i: t for t, i in self.vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token |= {i: t for t, i in self.special.items()}
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
+        #: left << 32 | right -> rank << 32 | merged
+        self.pairs: dict[int, int] = {}
         for r, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.rank[self.vocab[a], self.vocab[b]] = (r, self.vocab[a + b])
-        self.letters = byte_letters()
+            self.pairs[self.vocab[a] << 32 | self.vocab[b]] = r << 32 | self.vocab[a + b]
+        letters = byte_letters()
+        self.first = [self.vocab.get(c) for c in letters]
+        self.last = [self.vocab.get(c + self.end) for c in letters]
+        self.decimal = {i: str(i) for i in self.token}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = _word_pattern(split["pattern"]["Regex"])
         self.library = path
@@ -99,31 +104,33 @@ class WordBPE:
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word (its UTF-8 bytes) by merging the best pair again and again, the leftmost of equals."""
-        chars = [self.letters[b] for b in word]
-        chars[-1] += self.end
-        ids = [i for c in chars if (i := self.vocab.get(c)) is not None]
+        first = self.first
+        ids = [first[b] for b in word]
+        ids[-1] = self.last[word[-1]]
+        if None in ids:
+            ids = [i for i in ids if i is not None]
         if len(ids) > LONG_WORD:
             return self._merge_long(ids)
-        get, none = self.rank.get, (1 << 60, 0)
-        pairs = [get(p, none) for p in zip(ids, ids[1:], strict=False)]
+        get = self.pairs.get
+        pairs = [get(a << 32 | b, NO_PAIR) for a, b in zip(ids, ids[1:], strict=False)]
         while pairs:
             best = min(pairs)
-            if best is none:
+            if best == NO_PAIR:
                 break
             i = pairs.index(best)
-            ids[i : i + 2] = [best[1]]
+            ids[i : i + 2] = [best & 0xFFFFFFFF]
             del pairs[i]
             if i:
-                pairs[i - 1] = get((ids[i - 1], ids[i]), none)
+                pairs[i - 1] = get(ids[i - 1] << 32 | ids[i], NO_PAIR)
             if i < len(pairs):
-                pairs[i] = get((ids[i], ids[i + 1]), none)
+                pairs[i] = get(ids[i] << 32 | ids[i + 1], NO_PAIR)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank = self.rank
-        heap = [(r[0], i, ids[i], ids[i + 1], r[1]) for i in range(n - 1) if (r := rank.get((ids[i], ids[i + 1])))]
+        rank = lambda a, b: (r >> 32, r & 0xFFFFFFFF) if (r := self.pairs.get(a << 32 | b)) is not None else None
+        heap = [(r[0], i, ids[i], ids[i + 1], r[1]) for i in range(n - 1) if (r := rank(ids[i], ids[i + 1]))]
         heapq.heapify(heap)
         while heap:
             _, i, a, b, new = heapq.heappop(heap)
@@ -134,9 +141,9 @@ class WordBPE:
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if r := rank.get((new, ids[k])):
+                if r := rank(new, ids[k]):
                     heapq.heappush(heap, (r[0], i, new, ids[k], r[1]))
-            if (h := before[i]) >= 0 and (r := rank.get((ids[h], new))):
+            if (h := before[i]) >= 0 and (r := rank(ids[h], new)):
                 heapq.heappush(heap, (r[0], h, ids[h], new, r[1]))
         return [i for i in ids if i >= 0]
 
@@ -210,33 +217,36 @@ class Encoder:
         self.texts: dict[str, str] = {}
 
     def _learn(self, words: set[str]) -> None:
-        special, token = self.bpe.special, self.bpe.token
+        special, token, decimal, merge = self.bpe.special, self.bpe.token, self.bpe.decimal, self.bpe.merge
         for w in words & special.keys():  # no word of a text looks like one: it would split
             self.ids[w], self.texts[w] = str(special[w]), w
-        new = [(w, w.encode("utf-8", "surrogatepass")) for w in words if w not in special]
-        places = self.lex.find([b for _, b in new]).tolist() if self.lex else [-1] * len(new)
-        for (w, b), p in zip(new, places, strict=True):
-            ids = self.lex.output(p) if p >= 0 else self.bpe.merge(b)
-            self.ids[w] = " ".join(map(str, ids))
+        new = [w for w in words if w not in special]
+        raw = [w.encode("utf-8", "surrogatepass") for w in new]
+        places = self.lex.find(raw).tolist() if self.lex else [-1] * len(new)
+        for w, b, p in zip(new, raw, places, strict=True):
+            ids = self.lex.output(p) if p >= 0 else merge(b)
+            self.ids[w] = " ".join([decimal[i] for i in ids])
             self.texts[w] = " ".join([token[i] for i in ids])
 
-    def encode(self, text: str | None) -> tuple[int, str, str]:
-        """(number of ids, ids joined by one space, decoded text)"""
-        words = [w for special, s in self.bpe.pieces(text or "") for w in ([s] if special else self.bpe.split(s))]
-        if not words:
-            return 0, "", ""
-        try:
-            ids = " ".join(map(self.ids.__getitem__, words))
-        except KeyError:
-            need = set(words)
-            fresh = need.difference(self.ids)
-            if len(self.ids) + len(fresh) > CACHED_WORDS:
-                self.ids.clear()
-                self.texts.clear()
-                fresh = need
+    def encode_all(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
+        """(number of ids, ids joined by one space, decoded text) of each text; words are learned for all at once."""
+        split = [[w for special, s in self.bpe.pieces(text or "") for w in ([s] if special else self.bpe.split(s))] for text in texts]
+        need = set().union(*split)
+        fresh = need.difference(self.ids)
+        if len(self.ids) + len(fresh) > CACHED_WORDS:
+            self.ids.clear()
+            self.texts.clear()
+            fresh = need
+        if fresh:
             self._learn(fresh)
+        out = []
+        for words in split:
             ids = " ".join(map(self.ids.__getitem__, words))
-        return ids.count(" ") + 1, ids, " ".join(map(self.texts.__getitem__, words))
+            out.append((ids.count(" ") + 1 if ids else 0, ids, " ".join(map(self.texts.__getitem__, words))))
+        return out
+
+    def encode(self, text: str | None) -> tuple[int, str, str]:
+        return self.encode_all([text])[0]
 
 
 @cache
@@ -295,10 +305,9 @@ def bpe_documents(docs: DataFrame, vocabulary: str | None = None, words: int = L
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary, SparkFiles.get(name))
-        for b in small_batches(batches, 1, 1 << 20):
+        for b in small_batches(batches, 1, 2 << 20):
             n, ids, texts = [], [], []
-            for text in b.column(1).to_pylist():
-                k, i, t = enc.encode(text)
+            for k, i, t in enc.encode_all(b.column(1).to_pylist()):
                 n.append(k)
                 ids.append(i if keep_text else hashlib.sha256(i.encode()).hexdigest())
                 texts.append(t if keep_text else hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest())
