@@ -642,3 +642,97 @@ def key_difference(spark, d):
 def seed_split(spark, d):
     s = F.col("doc_id")
     return table(spark, d, "documents").select(s.alias("seed"), text.seed_split(s).alias("split"), text.degradable(F.col("source"), ("src1", "src2")).alias("degradable"), text.safe_name(F.concat_ws("/", "source", s.cast("string"))).alias("name"))
+
+
+_LANES = """flds AS (
+    SELECT l_orderkey AS doc_id, l_linenumber AS pos, CASE WHEN l_linenumber % 3 = 0 THEN 'question' ELSE 'answer' END AS role, CASE WHEN l_quantity > 10 THEN cast(l_partkey AS VARCHAR) ELSE '' END AS value,
+        (l_linenumber - 1)::INTEGER AS page, l_discount AS x0, l_tax AS y0, l_quantity / 50 AS x1, l_extendedprice / 50000 AS y1 FROM lineitem
+)"""
+
+
+def order_fields(spark, d):
+    li = table(spark, d, "lineitem")
+    f = F.struct(
+        F.col("l_linenumber").alias("pos"), F.concat(F.lit("f"), "l_linenumber").alias("field_id"), F.lit("x").alias("label"), F.when(F.col("l_quantity") > 10, F.col("l_partkey").cast("string")).otherwise("").alias("value"),
+        F.when(F.col("l_linenumber") % 3 == 0, "question").otherwise("answer").alias("role"), F.array(F.col("l_discount"), F.col("l_tax"), F.col("l_quantity") / 50, F.col("l_extendedprice") / 50000).alias("bbox_norm"), (F.col("l_linenumber") - 1).cast("int").alias("page"),
+    )
+    return li.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.array_sort(F.collect_list(f)).alias("fields")).withColumns({"source": F.lit("s"), "page_count": F.lit(3)})
+
+
+_VALID = "role = 'answer' AND value <> '' AND x1 > x0 AND y1 > y0"
+
+
+@query(
+    f"""WITH {_LANES} SELECT 'content_stream' AS lane, doc_id, 'f' || pos AS field_id, value AS expected_value FROM flds WHERE {_VALID} AND page BETWEEN 0 AND 2
+    UNION ALL SELECT 'widget', doc_id, 'f' || pos, value FROM flds WHERE role = 'answer' AND value <> '' UNION ALL SELECT 'image', doc_id, 'f' || pos, value FROM flds WHERE role = 'answer'"""
+)
+def lane_labels(spark, d):
+    docs = order_fields(spark, d)
+    parts = [fields.labels(docs, lane).select("lane", "doc_id", "field_id", "expected_value") for lane in fields.LANES]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query(
+    f"""WITH {_LANES} SELECT doc_id, 'f' || pos AS field_id, CASE WHEN NOT ({_VALID}) THEN 'no-bbox-or-empty-value' ELSE 'page-out-of-range' END AS reason
+    FROM flds WHERE role = 'answer' AND (NOT ({_VALID}) OR page > 2)"""
+)
+def skipped_fields(spark, d):
+    return pdf.skipped_fields(order_fields(spark, d)).select("doc_id", "field_id", "reason")
+
+
+@query(
+    f"""WITH {_LANES}, g AS (SELECT doc_id, count(*) FILTER (WHERE {_VALID} AND page <= 2)::INTEGER AS able, count(*) FILTER (WHERE role = 'answer' AND value <> '')::INTEGER AS answers FROM flds GROUP BY doc_id)
+    SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'ok' WHEN 1 THEN 'ok' ELSE 'skipped' END AS status, CASE WHEN doc_id % 3 = 2 THEN 'image_only_pdf' END AS reason,
+    CASE WHEN doc_id % 3 = 0 THEN able END AS redacted_field_count, CASE WHEN doc_id % 3 = 1 THEN answers END AS cleared_widget_count FROM g"""
+)
+def lane_rows(spark, d):
+    kind = F.when(F.col("doc_id") % 3 == 0, "born_digital_pdf").when(F.col("doc_id") % 3 == 1, "synthetic_acroform").otherwise("image_only_pdf")
+    return pdf.run_row(order_fields(spark, d).withColumn("category", kind)).select("doc_id", "status", "reason", "redacted_field_count", "cleared_widget_count")
+
+
+@query(
+    """SELECT doc_id, CASE WHEN n_chars < 300 THEN 'no annotations' WHEN lang = 'en' AND doc_id % 2 = 0 THEN 'no pdf path' WHEN lang = 'en' AND doc_id % 3 = 0 THEN 'pdf not found'
+    WHEN lang <> 'en' AND doc_id % 2 = 0 THEN 'no image path' WHEN lang <> 'en' AND doc_id % 3 = 0 THEN 'no images found' END AS reason FROM documents"""
+)
+def skip_ladder(spark, d):
+    i = F.col("doc_id")
+    path = F.when(i % 2 != 0, "p")
+    source = F.when(F.col("lang") == "en", "synthetic_x").otherwise("funsd")
+    reason = pdf.legacy_skip(F.when(F.col("n_chars") < 300, 0).otherwise(1), source, path, i % 3 != 0, path, F.when(i % 3 == 0, 0).otherwise(1))
+    return table(spark, d, "documents").select("doc_id", reason.alias("reason"))
+
+
+@query(
+    """WITH p AS (SELECT l_returnflag AS source, l_linenumber AS a, (l_orderkey % 7 + 1)::INTEGER AS b, l_quantity AS w, l_extendedprice AS h FROM lineitem)
+    SELECT source, round(avg(CASE WHEN a = b THEN 1 ELSE 0 END), 9) AS same_pages, round(avg(w), 6) AS mean_w_a, round(avg(h), 4) AS mean_h_a FROM p GROUP BY source"""
+)
+def structure_pairs(spark, d):
+    li = table(spark, d, "lineitem").select(
+        F.col("l_returnflag").alias("source"), F.col("l_linenumber").alias("pages_a"), (F.col("l_orderkey") % 7 + 1).cast("int").alias("pages_b"), F.col("l_quantity").alias("w_a"), F.col("l_extendedprice").alias("h_a"), F.col("l_quantity").alias("w_b"), F.col("l_extendedprice").alias("h_b")
+    )
+    out = audit.structure(li, ["source"])
+    return out.select("source", F.round("same_pages", 9).alias("same_pages"), F.round("mean_w_a", 6).alias("mean_w_a"), F.round("mean_h_a", 4).alias("mean_h_a"))
+
+
+@query(
+    """WITH w AS (SELECT event_id, CASE WHEN value > 50 THEN 'v' ELSE '' END AS value, CASE WHEN event_id % 5 = 0 THEN 'd' END AS dv FROM events)
+    SELECT event_id AS doc_id, (value <> '' OR dv IS NOT NULL) AS changed, CASE WHEN value <> '' AND dv IS NOT NULL THEN 'value,default_value' WHEN value <> '' THEN 'value' WHEN dv IS NOT NULL THEN 'default_value' END AS had FROM w"""
+)
+def widget_audit(spark, d):
+    none = F.lit(None).cast("string")
+    w = table(spark, d, "events").select(F.col("event_id").alias("doc_id"), F.lit("n").alias("name"), F.when(F.col("value") > 50, "v").otherwise("").alias("value"), F.when(F.col("event_id") % 5 == 0, "d").alias("default_value"), none.alias("appearance"), none.alias("background"))
+    left = pdf.residual_widgets(w).select("doc_id", F.array_join("left", ",").alias("had"))
+    return pdf.cleared_widgets(w).select("doc_id", "changed").join(left, "doc_id", "left")
+
+
+@query(
+    """WITH t AS (SELECT conv_id, turn, role, text FROM conversations), f AS (SELECT conv_id, split_part(text, ' ', 2) AS line FROM t WHERE turn = 1)
+    SELECT f.conv_id AS doc_id, 1::INTEGER AS n FROM f WHERE line <> '' AND EXISTS (SELECT 1 FROM t WHERE t.conv_id = f.conv_id AND t.turn > 1 AND contains(t.text, f.line))"""
+)
+def residual_lines(spark, d):
+    c = table(spark, d, "conversations")
+    box = F.array(*map(F.lit, (0.0, 0.0, 1.0, 1.0)))
+    f = c.where("turn = 1").select(F.col("conv_id").alias("doc_id"), F.lit(0).alias("pos"), F.lit(0).alias("page"), F.split_part("text", F.lit(" "), F.lit(2)).alias("value"), box.alias("bbox_norm"), F.lit(100.0).alias("page_w"), F.lit(1e6).alias("page_h"))
+    y = F.col("turn").cast("double")
+    s = c.where("turn > 1").select(F.col("conv_id").alias("doc_id"), F.lit(0).alias("page"), F.lit(1.0).alias("x0"), y.alias("y0"), F.lit(9.0).alias("x1"), (y + 0.5).alias("y1"), "text")
+    return pdf.residual_text(f, s).select("doc_id", F.size("lines").alias("n"))

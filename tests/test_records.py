@@ -241,3 +241,32 @@ def test_empty_tables(spark):
     d = doc(spark, ("s", "1", [field("a")], None)).where("false")
     assert corpus.manifest_rollup(d).count() == 0 and audit.dataset_overview(d).count() == 0 and corpus.assign_splits(d, 1).count() == 0
     assert corpus.fingerprint(d, ["source", "doc_id"], F.lit("")).first().documents == 0
+
+
+def test_cli(spark, tmp_path, capsys):
+    import json
+
+    from quire.cli import main
+
+    t = str(tmp_path)
+    assert main(["forms", "--out", f"{t}/forms"], spark) == 0
+    assert main(["report", "--documents", f"{t}/forms"], spark) == 0
+    assert main(["export", "--documents", f"{t}/forms", "--split", "val", "--out", f"{t}/val"], spark) == 0
+    said = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert said[0] == {"documents": 160} and {"kind": "total", "name": None, "n": 160} in said and said[-1] == {"documents": 16}
+    docs = doc(spark, ("vrdu_registration", "1_Amendment", [field("a")], None), ("vrdu_registration", "2_Report", [field("a")], None), ("vrdu_ad_buy", "3", [field("a")], None))
+    docs.write.parquet(f"{t}/docs")
+    prof = [(i, "born_digital_pdf", 1, 5, 0, None) for i in ("1_Amendment", "2_Report", "3")]
+    spark.createDataFrame(prof, "doc_id string, category string, page_count long, text_char_count long, widget_count long, error string").write.parquet(f"{t}/prof")
+    assert main(["manifest", "--documents", f"{t}/docs", "--profiles", f"{t}/prof", "--out", t, "--include-subtypes", "Report", "--exclude", "3"], spark) == 0
+    m = json.loads((tmp_path / "manifest.json").read_text())
+    assert [d["id"] for d in m["documents"]] == ["2_Report"] and m["build_stats"]["excluded_dropped"] == 1
+    pages_ = spark.createDataFrame([("d", 0, 40, 40, bytes([250]) * 4800)], "doc_id string, page int, h int, w int, data binary")
+    pages_.write.parquet(f"{t}/pages")
+    spark.createDataFrame([("d", 0, 0, "a", 1, 1, 9, 9)], "doc_id string, page int, pos int, field_id string, x0 int, y0 int, x1 int, y1 int").write.parquet(f"{t}/fields")
+    assert main(["blank", "--pages", f"{t}/pages", "--fields", f"{t}/fields", "--out", f"{t}/b", "--touch-up-dotted-lines"], spark) == 0
+    spark.createDataFrame([("d", 2, 0)], "doc_id string, pages int, ord int").write.parquet(f"{t}/order")
+    assert main(["combine", "--documents", f"{t}/order", "--run-log", f"{t}/b/run"], spark) == 0
+    assert json.loads(capsys.readouterr().out.splitlines()[-1])["start_page"] == 1
+    with pytest.raises(KeyError):
+        main(["build", "nope", "--documents", f"{t}/docs", "--profiles", f"{t}/prof", "--out", t], spark)
