@@ -53,18 +53,31 @@ def split_counts(n: Column, train: float = 0.7, val: float = 0.15) -> tuple[Colu
     return a - need_v - need_t, v + need_v
 
 
+def hash_ranked(docs: DataFrame, group: Sequence[str], seed: int, ids: Sequence[str], first: Column | None = None, digits: int = 3) -> DataFrame:
+    """Place of each row in its group (__r, from 1; rows with the larger first come first, then by md5 rank) and the group's size (__size).
+
+    A group is cut by the first digits of its hashes: rows are numbered inside a cut and cuts are offset by the
+    counts before them, so a group of any size spreads over as many tasks as it has cuts.
+    """
+    h = seeded(seed, *map(F.col, ids))
+    rows = docs.withColumns({"__f": F.lit(0) if first is None else -first.cast("int"), "__h": h, "__p": F.substring(h, 1, digits)})
+    cut = [*group, "__f", "__p"]
+    before = Window.partitionBy(*group).orderBy("__f", "__p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*cut).agg(F.count("*").alias("__n"))
+    counts = counts.select(*cut, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"), F.sum("__n").over(Window.partitionBy(*group)).alias("__size"))
+    place = F.row_number().over(Window.partitionBy(*cut).orderBy("__h", *ids))
+    return rows.withColumn("__i", place).join(counts, cut).withColumn("__r", F.col("__o") + F.col("__i")).drop("__f", "__h", "__p", "__o", "__i")
+
+
 def assign_splits(docs: DataFrame, seed: int, group: Sequence[str] = ("source",), ids: Sequence[str] = ("doc_id",), first: Column | None = None, fill: Sequence[str] = ("train", "val", "test")) -> DataFrame:
     """Stratified split by an md5 rank within each group.
 
     first: rows that go to val and test before others (fill = val, test, train then).
     """
-    rank = Window.partitionBy(*group).orderBy(*([] if first is None else [F.desc(first)]), seeded(seed, *map(F.col, ids)), *ids)
-    # sizes come from an aggregate of their own, so only the rank needs a window
-    counts = docs.groupBy(*group).agg(F.count("*").alias("__size"))
+    ranked = hash_ranked(docs, group, seed, ids, first)
     train, val = split_counts(F.col("__size"))
     sizes = {"train": train, "val": val, "test": F.col("__size") - train - val}
-    r, upto, split = F.row_number().over(rank), None, None
-    ranked = docs.withColumn("__r", r).join(F.broadcast(counts) if len(group) == 1 and group[0] == "source" else counts, list(group))
+    upto = split = None
     for name in fill[:-1]:
         upto = sizes[name] if upto is None else upto + sizes[name]
         split = F.when(F.col("__r") <= upto, name) if split is None else split.when(F.col("__r") <= upto, name)
@@ -97,14 +110,14 @@ def corpus_stats(docs: DataFrame) -> DataFrame:
     return both.select(kind.alias("kind"), F.coalesce("source", "quality_tier", "split").alias("name"), "n")
 
 
-def fingerprint(docs: DataFrame, keys: Sequence[str], content: Column) -> DataFrame:
+def fingerprint(docs: DataFrame, keys: Sequence[str], content: Column, digits: int = 4) -> DataFrame:
     """One hash for the set of rows, whatever their order: SHA-256 over sorted row digests, in two levels.
 
-    The rows fall into 4,096 ranges of their key hash; each range is hashed
+    The rows fall into 16 ** digits ranges of their key hash; each range is hashed
     in order, then the range hashes in order, so no task holds more than a range.
     """
     row = F.sha2(F.concat_ws("\x1f", *(F.col(k).cast("string") for k in keys), content), 256)
-    rows = docs.select(F.substring(F.md5(F.concat_ws("\x1f", *map(F.col, keys))), 1, 3).alias("part"), row.alias("digest"))
+    rows = docs.select(F.substring(F.md5(F.concat_ws("\x1f", *map(F.col, keys))), 1, digits).alias("part"), row.alias("digest"))
     parts = rows.groupBy("part").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("digest")), ""), 256).alias("d"), F.count("*").alias("n"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "d"))), lambda x: x["d"]), "")
     return parts.agg(F.sha2(joined, 256).alias("fingerprint"), F.coalesce(F.sum("n"), F.lit(0)).alias("documents"))

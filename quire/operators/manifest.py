@@ -12,6 +12,8 @@ from quire.functions.text import seeded, subtype
 from quire.schema import CATEGORIES
 
 VERSION = 1
+#: Most slots a source offers for the remainder of a proportional sample.
+SLOTS = 1 << 16
 
 
 @dataclass(frozen=True, slots=True)
@@ -95,13 +97,15 @@ def with_subtype(docs: DataFrame, include: Sequence[str] | None = None, scope: s
 
 def allocation(counts: DataFrame, n: int, seed: int) -> DataFrame:
     """counts: source, pool.  How many of n each source gives: its floor share, the rest drawn by weight of what is left."""
-    total = counts.agg(F.sum("pool").alias("available"))
-    base = counts.crossJoin(F.broadcast(total)).withColumn("take", F.least("pool", F.expr(f"({n} * pool) div available")))
-    short = base.agg((F.least(F.lit(n).cast("long"), F.max("available")) - F.sum("take")).alias("short"))
-    # fewer slots than sources are missing, so no source needs to offer more than that
-    offers = base.where("pool > take").select("source", F.explode(F.sequence(F.lit(1), F.least(F.col("pool") - F.col("take"), F.lit(1 << 16)).cast("int"))).alias("slot"))
-    drawn = offers.withColumn("r", F.row_number().over(Window.orderBy(seeded(seed, F.col("source"), F.col("slot")), "source", "slot")))
-    extra = drawn.join(F.broadcast(short), F.col("r") <= F.col("short")).groupBy("source").agg(F.count("*").alias("extra"))
+    available = counts.agg(F.sum("pool")).first()[0] or 0
+    if not available:
+        return counts.select("source", F.lit(0).cast("long").alias("take"))
+    base = counts.withColumn("take", F.least("pool", F.expr(f"({n}L * pool) div {available}L")))
+    taken, sources = base.agg(F.sum("take"), F.count("*")).first()
+    # each source lost less than one to rounding, so fewer slots than sources are missing and a source can give no more
+    offers = base.where("pool > take").select("source", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.col("pool") - F.col("take"), F.lit(max(sources, SLOTS))))).alias("slot"))
+    drawn = offers.orderBy(seeded(seed, F.col("source"), F.col("slot")), "source", "slot").limit(max(0, min(n, available) - taken))
+    extra = drawn.groupBy("source").agg(F.count("*").alias("extra"))
     return base.join(extra, "source", "left").select("source", (F.col("take") + F.coalesce("extra", F.lit(0))).cast("long").alias("take"))
 
 

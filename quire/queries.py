@@ -567,7 +567,7 @@ def first_answered(spark, d):
 
 
 @query(
-    """WITH r AS (SELECT substr(md5(source || chr(31) || doc_id), 1, 3) AS part, sha256(source || chr(31) || doc_id || chr(31) || text) AS digest FROM documents),
+    """WITH r AS (SELECT substr(md5(source || chr(31) || doc_id), 1, 4) AS part, sha256(source || chr(31) || doc_id || chr(31) || text) AS digest FROM documents),
     p AS (SELECT part, sha256(string_agg(digest, '' ORDER BY digest)) AS d, count(*) AS n FROM r GROUP BY part) SELECT sha256(string_agg(d, '' ORDER BY part)) AS fingerprint, sum(n)::BIGINT AS documents FROM p"""
 )
 def fingerprint(spark, d):
