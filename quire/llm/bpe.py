@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import read_table, small_batches
+from quire.llm.common import read_table, small_batches, stored
 from quire.llm.lexicon import Lexicon, compile_lexicon
 
 #: So many words, each of at most so many UTF-8 bytes, bound the lexicon.
@@ -279,9 +279,21 @@ def word_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def frequent_words(docs: DataFrame, vocabulary: str, limit: int = LEXICON_WORDS) -> list[str]:
-    """At most limit words go to the driver, each of bounded length."""
-    top = word_counts(docs, vocabulary).where((F.octet_length("word") <= LEXICON_BYTES) & (F.col("n") > 1)).orderBy(F.desc("n"), "word").limit(limit)
-    return [r.word for r in top.collect()]
+    """The most frequent words, at most limit, each of bounded length.
+
+    A histogram of the counts (64 steps to a doubling) gives the count from which on there are no more than limit
+    words; so each word that reaches the driver is one of them, whatever the number of partitions.
+    """
+    counts = stored(word_counts(docs, vocabulary).where((F.octet_length("word") <= LEXICON_BYTES) & (F.col("n") > 1)), "words")
+    step = F.floor(F.log2("n") * 64).cast("int")
+    room, least = limit, None
+    for s, k in sorted(((r.s, r.k) for r in counts.groupBy(step.alias("s")).agg(F.count("*").alias("k")).collect()), reverse=True):
+        if k > room:
+            break
+        room, least = room - k, s
+    if least is None:
+        return []
+    return [r.word for r in counts.where(step >= least).select("word").collect()]
 
 
 def ship_lexicon(spark: SparkSession, image: bytes) -> str:
