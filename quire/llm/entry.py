@@ -17,4 +17,4 @@ QUERIES = {
     "op10_warc": warc.op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_warc": warc.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_shard": shard.ORACLE_SQL, "op8_suffix": suffix.ORACLE_SQL, "op10_warc": warc.ORACLE_SQL}

@@ -130,3 +130,31 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, cells: int = CELLS, t
 
 def op1_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents")).select("doc_id", *ADDED)
+
+
+#: CRC-32 by its definition: the table from its polynomial, then byte by byte over the hex form, cut into parts to stay quick.
+ORACLE_SQL = """
+WITH bits AS (
+    SELECT n, list_reduce(list_prepend(n, range(0, 8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(0, 256) t(n)
+), tab AS (
+    SELECT list(c ORDER BY n) AS crc_table FROM bits
+), base AS (
+    SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
+        substr(md5(coalesce(text, '')), 1, 15) AS k
+    FROM documents
+), parts AS (
+    SELECT doc_id, j, substr(h, 1000 * j + 1, 1000) AS part FROM (SELECT doc_id, h, unnest(range(0, size // 500 + 1)) AS j FROM base)
+), bytes AS (
+    SELECT doc_id, flatten(list(list_transform(range(0, length(part) // 2),
+        lambda i: (strpos('0123456789abcdef', substr(part, 2 * i + 1, 1)) - 1) * 16 + strpos('0123456789abcdef', substr(part, 2 * i + 2, 1)) - 1) ORDER BY j)) AS b
+    FROM parts GROUP BY doc_id
+), crcs AS (
+    SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda a, x: xor(a >> 8, crc_table[(xor(a, x) & 255) + 1])), 4294967295) AS crc FROM bytes, tab
+), summed AS (
+    SELECT doc_id, size, k, (sum(size) OVER (ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS below, (sum(size) OVER ())::BIGINT AS total FROM base
+), placed AS (
+    SELECT *, (16 * below // total)::INTEGER AS shard FROM summed
+)
+SELECT p.doc_id, size, crc AS text_crc32, 'bytes' AS law, shard, (row_number() OVER (PARTITION BY shard ORDER BY k, p.doc_id) - 1)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM placed p JOIN crcs c ON p.doc_id = c.doc_id
+"""

@@ -515,3 +515,29 @@ def remove_repeats(docs: DataFrame, **how: int) -> DataFrame:
 
 def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_report(read_table(spark, sf_dir, "documents"))
+
+
+#: By the contract: every 200-byte string by its MD5, over the hex form, cut into parts to stay quick.
+ORACLE_SQL = """
+WITH d AS (
+    SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents
+), c AS (
+    SELECT doc_id, j, substr(h, 1000 * j + 1, 1400) AS part, n FROM (SELECT doc_id, h, n, unnest(range(0, (n - 200) // 500 + 1)) AS j FROM d WHERE n >= 200)
+), w AS (
+    SELECT doc_id, 500 * j + i AS i, md5(substr(part, 2 * i + 1, 400)) AS s FROM (SELECT doc_id, j, part, n, unnest(range(0, least(500, n - 199 - 500 * j))) AS i FROM c)
+), r AS (
+    SELECT w.doc_id, w.i FROM w JOIN (SELECT s FROM w GROUP BY s HAVING count(*) > 1) t ON w.s = t.s
+), o AS (
+    SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS opens FROM r
+), k AS (
+    SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM o
+), spans AS (
+    SELECT doc_id, min(i) AS s, max(i) + 200 AS e FROM k GROUP BY doc_id, run
+), pieces AS (
+    SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS before FROM spans
+), cut AS (
+    SELECT p.doc_id, sum(e - s)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * before + 1, 2 * (s - before)), '' ORDER BY s) || substr(any_value(h), 2 * max(e) + 1) AS kept
+    FROM pieces p JOIN d ON p.doc_id = d.doc_id GROUP BY p.doc_id
+)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN cut ON d.doc_id = cut.doc_id
+"""
