@@ -17,4 +17,9 @@ QUERIES = {
     "op10_warc": warc.op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_shard": shard.ORACLE_SQL, "op8_suffix": suffix.ORACLE_SQL, "op10_warc": warc.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_shard": shard.ORACLE_SQL,
+    "op8_suffix": suffix.ORACLE_SQL,
+    "op9_quality_rules": quality.ORACLE_SQL,
+    "op10_warc": warc.ORACLE_SQL,
+}

@@ -179,3 +179,50 @@ def clean_lines(docs: DataFrame) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read_table(spark, sf_dir, "documents"))
+
+
+_WORD = r"[^\x20\x09-\x0D]"
+_PHRASES = " OR ".join(f"contains(low, '{p}')" for p in BOILERPLATE)
+ORACLE_SQL = f"""
+WITH d AS (
+    SELECT doc_id, t, regexp_extract_all(t, '{_WORD}+') AS ws, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+        length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols
+    FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+), windows AS (
+    SELECT doc_id, i, md5(array_to_string(ws[i:i + 7], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM d WHERE len(ws) > 8)
+), twice AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, h) AS c FROM windows) WHERE c > 1
+), opened AS (
+    SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 8 THEN 0 ELSE 1 END AS o FROM twice
+), runs AS (
+    SELECT doc_id, i, sum(o) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS r FROM opened
+), rep AS (
+    SELECT doc_id, sum(n)::BIGINT AS n_repeat_words FROM (SELECT doc_id, r, max(i) - min(i) + 8 AS n FROM runs GROUP BY doc_id, r) GROUP BY doc_id
+), split AS (
+    SELECT doc_id, unnest(string_split(t, chr(10))) AS line, unnest(range(0, len(string_split(t, chr(10))))) AS j FROM d
+), lines AS (
+    SELECT doc_id, line, lower(line) AS low, regexp_extract_all(line, '{_WORD}+') AS w, row_number() OVER (PARTITION BY doc_id, line ORDER BY j) > 1 AS again FROM split WHERE regexp_matches(line, '{_WORD}')
+), counted AS (
+    SELECT *, len(w) AS n, length(regexp_replace(line, '[\\x20\\x09-\\x0D]', '', 'g')) AS chars FROM lines
+), judged AS (
+    SELECT doc_id, chars, again,
+        length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g')) > {MAX_SYMBOLS}::DOUBLE * chars
+        OR (n >= 3 AND 2 * len(list_filter(w, lambda x: ends_with(x, '!!'))) > n)
+        OR (n >= 4 AND 4 * len(list_filter(w, lambda x: x IN ('|', '>', '»', '•', '·', '/', '::', '-'))) > n)
+        OR (n >= 4 AND length(line) >= 20 AND len(list_filter(w, lambda x: x = upper(x) AND x <> lower(x))) > {MAX_UPPER}::DOUBLE * n)
+        OR (n >= 8 AND len(list_filter(range(2, n + 1), lambda k: w[k] = w[k - 1])) > {MAX_STUTTER}::DOUBLE * n)
+        OR (n >= 40 AND NOT regexp_matches(w[n], '[.!?…:;"''”’)\\]»,。]$') AND len(list_filter(w, lambda x: regexp_matches(x, '[.!?,;:]$'))) = 0)
+        OR (n <= 60 AND ({_PHRASES}))
+        OR (again AND length(line) >= 20) AS fails
+    FROM counted
+), per AS (
+    SELECT doc_id, count(*) FILTER (WHERE again) AS n_dup_lines, coalesce(sum(chars) FILTER (WHERE fails), 0) AS removed FROM judged GROUP BY doc_id
+), done AS (
+    SELECT d.doc_id, len(ws)::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        coalesce(removed, 0) AS removed
+    FROM d LEFT JOIN per ON d.doc_id = per.doc_id LEFT JOIN rep ON d.doc_id = rep.doc_id
+), based AS (
+    SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM done
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND removed <= {MAX_REMOVED}::DOUBLE * word_chars AS kept FROM based
+"""

@@ -448,13 +448,19 @@ def test_archives_round_trip(spark):
     assert warc.read_archives(none, where).count() == 0
 
 
-def test_archives_equal_sql(spark):
+@pytest.mark.parametrize("name", ["op1_shard", "op8_suffix", "op9_quality_rules", "op10_warc"])
+def test_queries_equal_sql(spark, name):
     import duckdb
 
+    from quire.llm.entry import ORACLE_SQL, QUERIES
+
     c = duckdb.connect()
-    c.sql(f"create view pages as select * from '{SF}/pages.parquet'")
-    want = sorted(map(repr, c.sql(warc.ORACLE_SQL).fetchall()))
-    assert sorted(repr(tuple(r)) for r in warc.op10_warc(spark, SF).collect()) == want
+    for t in ("documents", "pages"):
+        c.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    cur = c.sql(ORACLE_SQL[name])
+    got = QUERIES[name](spark, SF)
+    assert [d[0] for d in cur.description] == got.columns
+    assert sorted(map(repr, cur.fetchall())) == sorted(repr(tuple(r)) for r in got.collect())
 
 
 # HTML
