@@ -214,7 +214,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip((x - self.mean) / self.scale @ self.weights + self.bias, -30, 30)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Weights that do not fall below 0 for the first features: more evidence never lowers a score."""
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     scale[x.std(0) < 1e-9] = 1.0
