@@ -21,7 +21,7 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import pyarrow as pa
 from pyspark import SparkFiles
@@ -35,7 +35,7 @@ from quire.llm.lexicon import Lexicon, compile_lexicon
 #: So many words, each of at most so many UTF-8 bytes, bound the lexicon.
 LEXICON_WORDS = 65536
 LEXICON_BYTES = 48
-CACHED_WORDS = 350_000
+CACHED_WORDS = 200_000
 COUNTED_AT_ONCE = 200_000
 #: Words of more symbols than this merge in a heap.
 LONG_WORD = 100
@@ -203,7 +203,7 @@ def model(path: str) -> WordBPE:
     return WordBPE(path)
 
 
-@cache
+@lru_cache(maxsize=1)
 def lexicon(path: str) -> Lexicon:
     return Lexicon(path)
 
@@ -249,9 +249,9 @@ class Encoder:
         return self.encode_all([text])[0]
 
 
-@cache
+@lru_cache(maxsize=1)
 def encoder(vocabulary: str, path: str) -> Encoder:
-    """One for each worker process: its cache serves all tasks that the process runs."""
+    """The latest of a worker process: its cache serves the tasks that the process runs, and goes with the next lexicon."""
     return Encoder(model(vocabulary), lexicon(path))
 
 
