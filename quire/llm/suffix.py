@@ -140,15 +140,27 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (hs, keys, places)], names=["h", "tkey", "pos"])
 
 
-def _pack(column: int, names: list[str]):
+def _pack(column: int, names: list[str], once: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """text gives way to its compressed bytes, with tkey and n_bytes behind all columns."""
+        """text gives way to its compressed bytes, with tkey and n_bytes behind all columns; once: long enough texts, each once for a partition."""
         codec = pa.Codec("zstd", 3)
+        seen: set[int] = set()
         for b in small_batches(batches, column):
             raws = [_bytes(t) for t in b.column(column).to_pylist()]
+            keys = [text_key(r) for r in raws]
+            if once:
+                keep = []
+                for i, (k, r) in enumerate(zip(keys, raws, strict=True)):
+                    if len(r) >= LENGTH and k not in seen:
+                        keep.append(i)
+                        if len(seen) < 4 * REMEMBERED:
+                            seen.add(k)
+                if not keep:
+                    continue
+                b, raws, keys = b.take(pa.array(keep)), [raws[i] for i in keep], [keys[i] for i in keep]
             cols = list(b.columns)
             cols[column] = pa.array([codec.compress(r, asbytes=True) for r in raws], pa.binary())
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(map(text_key, raws), pa.int64()), pa.array(map(len, raws), pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(keys, pa.int64()), pa.array(map(len, raws), pa.int64())], names=names)
 
     return run
 
@@ -157,25 +169,10 @@ def _unpack(data: bytes, size: int) -> bytes:
     return pa.Codec("zstd").decompress(data, size, asbytes=True) if size else b""
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, once: bool = False) -> DataFrame:
     fields = [T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in docs.schema]
     out = T.StructType([*fields, T.StructField("__tkey", T.LongType()), T.StructField("__n", T.LongType())])
-    return docs.mapInArrow(_pack(docs.columns.index("text"), out.names), out)
-
-
-def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Long enough packed texts, each once for a partition."""
-    seen: set[int] = set()
-    for b in batches:
-        keys, sizes = b.column(1).to_pylist(), b.column(2).to_pylist()
-        keep = []
-        for i, k in enumerate(keys):
-            if sizes[i] >= LENGTH and k not in seen:
-                keep.append(i)
-                if len(seen) < 4 * REMEMBERED:
-                    seen.add(k)
-        if keep:
-            yield b.take(pa.array(keep))
+    return docs.mapInArrow(_pack(docs.columns.index("text"), out.names, once), out)
 
 
 CONTEXTS = "h long, salt long, tkey long, s long, n long, context binary"
@@ -429,8 +426,7 @@ def repeated_spans(docs: DataFrame, group: int = GROUP, shard_bytes: int = SHARD
     often = stored(often.select("h", "n"), "anchors")
     _release(docs.sparkSession)
     marks = anchors.join(often, "h").groupBy("tkey").agg(F.collect_set(F.struct("pos", "n")).alias("marks"))
-    one = packed(texts).select(F.col("text").alias("z"), F.col("__tkey").alias("tkey"), F.col("__n").alias("size"))
-    one = one.mapInArrow(_once, one.schema)
+    one = packed(texts, once=True).select(F.col("text").alias("z"), F.col("__tkey").alias("tkey"), F.col("__n").alias("size"))
     contexts = one.join(marks, "tkey").select("tkey", "z", "size", "marks").mapInArrow(_contexts(group), CONTEXTS)
     dealt = contexts.repartition("h", "salt").sortWithinPartitions("h", "salt")
     found = stored(dealt.mapInArrow(_shards(shard_bytes), FOUND), "repeats")
