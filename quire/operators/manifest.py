@@ -116,7 +116,7 @@ def sample(docs: DataFrame, n: int, seed: int, exclude_ids: DataFrame | None = N
         ids = exclude(ids, exclude_ids)
     take = allocation(ids.groupBy("source").agg(F.count("*").alias("pool")), n, seed)
     rank = F.row_number().over(Window.partitionBy("source").orderBy(seeded(seed, F.col("doc_id")), "doc_id"))
-    return ids.withColumn("r", rank).where(f"r <= {n}").join(F.broadcast(take), "source").where("r <= take").select("source", "doc_id")
+    return ids.withColumn("r", rank).where(f"r <= {n}").join(take, "source").where("r <= take").select("source", "doc_id")
 
 
 def breakdown(chosen: DataFrame) -> DataFrame:

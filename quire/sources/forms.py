@@ -96,7 +96,7 @@ def pdf_corpus(lines: DataFrame, source: str, files: DataFrame | None = None, ma
     place = F.try_variant_get("m", "$[1]", "array<double>")
     m = m.where("field_id is not null").withColumn("value", F.try_variant_get("m", "$[0]", "string")).withColumn("b", F.when(F.size(place) == 5, place)).where("value is not null")
     if match_types is not None:
-        m = m.join(F.broadcast(match_types), "field_id", "left")
+        m = m.join(match_types, "field_id", "left")
     else:
         m = m.withColumn("match_type", F.lit(None).cast("string"))
     box = F.when(F.col("b").isNotNull(), F.array(*(clamp(F.col("b")[k]) for k in (1, 2, 3, 4)))).otherwise(F.array(*[F.lit(0.0)] * 4))
