@@ -200,3 +200,21 @@ def test_run_logs_as_a_stream(spark, tmp_path):
     rows = runlog.follow(spark, str(tmp_path / "in"), "doc_id string, status string, at timestamp")
     runlog.drain(runlog.first_seen(rows, "doc_id", "at"), str(tmp_path / "out"), str(tmp_path / "c"))
     assert sorted(r.doc_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
+
+
+def png(image):
+    import struct
+    import zlib
+
+    h, w = image.shape[:2]
+    part = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    raw = b"".join(b"\0" + image[y].tobytes() for y in range(h))
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + part(b"IDAT", zlib.compress(raw)) + part(b"IEND", b"")
+
+
+def test_images_come_as_rgb(spark, tmp_path):
+    image = np.random.default_rng(1).integers(0, 256, (5, 7, 3), dtype=np.uint8)
+    (tmp_path / "a.png").write_bytes(png(image))
+    (tmp_path / "b.png").write_bytes(b"no image")
+    got = files.images(spark, str(tmp_path)).collect()
+    assert [(r.h, r.w) for r in got] == [(5, 7)] and (np.frombuffer(got[0].data, np.uint8).reshape(5, 7, 3) == image).all()
