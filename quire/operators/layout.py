@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def runs(tokens: DataFrame, by: Sequence[str], order: Sequence[str], role: str, begins: Column | None = None) -> DataFrame:
@@ -72,19 +74,34 @@ def nearest(points: DataFrame, targets: DataFrame, by: Sequence[str], point_id:
 
 
 def bands(points: DataFrame, by: Sequence[str], y: str, ids: Sequence[str], tolerance: float) -> DataFrame:
-    """Number the y-bands of each group (column band): a band takes what lies within tolerance of its first member."""
-    members = F.array_sort(F.collect_list(F.struct(F.col(y).cast("double").alias("y"), *ids)))
-    start = F.struct(F.lit(-1).alias("band"), F.lit(None).cast("double").alias("first"), F.array().cast("array<int>").alias("bands"))
-
-    def step(acc: Column, m: Column) -> Column:
-        opens = acc["first"].isNull() | (m["y"] - acc["first"] > tolerance)
-        band = F.when(opens, acc["band"] + 1).otherwise(acc["band"])
-        return F.struct(band.alias("band"), F.when(opens, m["y"]).otherwise(acc["first"]).alias("first"), F.concat(acc["bands"], F.array(band)).alias("bands"))
-
-    grouped = points.groupBy(*by).agg(members.alias("__m"))
-    numbered = grouped.withColumn("__b", F.aggregate("__m", start, step)["bands"])
-    z = numbered.select(*by, F.explode(F.arrays_zip("__m", "__b")).alias("z"))
-    return z.select(*by, *(F.col("z")["__m"][i].alias(i) for i in ids), F.col("z")["__m"]["y"].alias(y), F.col("z")["__b"].alias("band"))
+    """Number the y-bands of each group (column band): a band takes what lies within tolerance of its first member.
+
+    Only the distinct heights of a group are walked, in order and batch by batch, so no group is held in memory; the
+    points get their band by an equality join on group and height.  Points without a height have no band.
+    """
+    places = points.select(*by, F.col(y).cast("double").alias("__y")).where("__y is not null").distinct()
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, first, band = None, 0.0, 0
+        for b in batches:
+            out = []
+            for *g, v in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if g != group:
+                    group, first, band = g, v, 0
+                elif not v - first <= tolerance:  # NaN comes last and has a band of its own
+                    first, band = v, band + 1
+                out.append(band)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int32())], names=[*b.schema.names, "band"])
+
+    ordered = places.repartition(*by).sortWithinPartitions(*by, "__y")
+    numbered = ordered.mapInArrow(walk, T.StructType([*places.schema, T.StructField("band", T.IntegerType())]))
+    keys = [f"__k{i}" for i in range(len(by))]
+    numbered = numbered.select(*(F.col(c).alias(k) for c, k in zip(by, keys, strict=True)), "__y", "band")
+    rows = points.select(*by, *ids, F.col(y).cast("double").alias(y))
+    same = F.col("__y") == F.col(y)
+    for c, k in zip(by, keys, strict=True):
+        same &= F.col(k).eqNullSafe(F.col(c))
+    return rows.join(numbered, same, "left").select(*by, *ids, y, "band")
 
 
 def spacings(points: DataFrame, by: Sequence[str], x: str, ids: Sequence[str] = ()) -> DataFrame:

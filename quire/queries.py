@@ -343,6 +343,22 @@ def point_in_box_semi(spark, d):
     return layout.points_in_shared_boxes(e, b).select("event_id")
 
 
+#: The same over all parts.
+_PB_ALL = "SELECT DISTINCT (p_size % 50)::DOUBLE AS x0, (p_partkey % 60)::DOUBLE AS y0, (p_size % 50 + 1)::DOUBLE AS x1, (p_partkey % 60 + 1)::DOUBLE AS y1 FROM part"
+
+
+@query(
+    f"""WITH b AS ({_PB_ALL}), e AS (SELECT event_id, value AS x, extract(minute FROM ts)::DOUBLE AS y FROM events)
+    SELECT event_id FROM e WHERE EXISTS (SELECT 1 FROM b WHERE x >= x0 AND x <= x1 AND y >= y0 AND y <= y1)"""
+)
+def point_in_box_semi_all(spark, d):
+    p = table(spark, d, "part")
+    x, y = F.col("p_size") % 50, F.col("p_partkey") % 60
+    b = p.select(x.cast("double").alias("x0"), y.cast("double").alias("y0"), (x + 1).cast("double").alias("x1"), (y + 1).cast("double").alias("y1"))
+    e = table(spark, d, "events").select("event_id", F.col("value").alias("x"), F.minute("ts").cast("double").alias("y"))
+    return layout.points_in_shared_boxes(e, b).select("event_id")
+
+
 @query(
     """WITH p AS (SELECT user_id, event_id, value FROM events WHERE event_type = 'view' OR event_id % 3 = 0), t AS (SELECT user_id, event_id AS target, value FROM events WHERE event_id % 7 = 0)
     SELECT t.user_id, t.target, arg_min(p.event_id, row(abs(p.value - t.value), p.event_id)) AS nearest_id FROM t JOIN p ON t.user_id = p.user_id GROUP BY t.user_id, t.target"""
@@ -354,6 +370,17 @@ def nearest_dot(spark, d):
     return layout.nearest(p, t, ["user_id"], "event_id", "value", ["target"], "value").select("user_id", "target", "nearest_id").where("nearest_id is not null")
 
 
+@query(
+    """WITH p AS (SELECT user_id, event_id, value FROM events WHERE event_type = 'view'), t AS (SELECT user_id, event_id AS target, value FROM events WHERE event_type <> 'view')
+    SELECT t.user_id, t.target, arg_min(p.event_id, row(abs(p.value - t.value), p.event_id)) AS nearest_id FROM t JOIN p ON t.user_id = p.user_id GROUP BY t.user_id, t.target"""
+)
+def nearest_dot_all(spark, d):
+    e = table(spark, d, "events")
+    p = e.where("event_type = 'view'").select("user_id", "event_id", "value")
+    t = e.where("event_type <> 'view'").select("user_id", F.col("event_id").alias("target"), "value")
+    return layout.nearest(p, t, ["user_id"], "event_id", "value", ["target"], "value").select("user_id", "target", "nearest_id").where("nearest_id is not null")
+
+
 _PTS = "SELECT user_id, event_id, floor(value)::DOUBLE AS y FROM events WHERE user_id % 20 = 0"
 
 
@@ -369,6 +396,21 @@ def y_bands(spark, d):
     return layout.bands(e, ["user_id"], "y", ["event_id"], 2.0)
 
 
+_PTS_ALL = "SELECT user_id, event_id, floor(value)::DOUBLE AS y FROM events"
+
+
+@query(
+    f"""WITH RECURSIVE p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY y, event_id) AS r FROM ({_PTS_ALL})),
+    walk AS (SELECT user_id, event_id, y, r, y AS first, 0 AS band FROM p WHERE r = 1
+        UNION ALL SELECT p.user_id, p.event_id, p.y, p.r, CASE WHEN p.y - w.first > 2 THEN p.y ELSE w.first END, CASE WHEN p.y - w.first > 2 THEN w.band + 1 ELSE w.band END
+        FROM walk w JOIN p ON p.user_id = w.user_id AND p.r = w.r + 1)
+    SELECT user_id, event_id, y, band FROM walk"""
+)
+def y_bands_all(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_id", F.floor("value").cast("double").alias("y"))
+    return layout.bands(e, ["user_id"], "y", ["event_id"], 2.0)
+
+
 _GAPS = """gaps AS (SELECT user_id, event_id, value AS x, lead(value) OVER (PARTITION BY user_id ORDER BY value, event_id) - value AS spacing FROM events),
 mid AS (SELECT user_id, greatest(median(spacing) * 1.5, 1.0::DOUBLE) AS cut FROM gaps WHERE spacing IS NOT NULL GROUP BY user_id),
 stats AS (SELECT g.user_id, count(*) AS n, avg(spacing) AS mean, stddev_pop(spacing) AS deviation FROM gaps g JOIN mid m ON g.user_id = m.user_id WHERE spacing <= cut GROUP BY g.user_id HAVING count(*) >= 2 AND avg(spacing) > 0)"""
@@ -418,6 +460,20 @@ def single_sided_notes(spark, d):
     return layout.single_sided(c, b, ["user_id"]).select("user_id", "note").distinct()
 
 
+@query(
+    """WITH c AS (SELECT user_id, min(value) AS x_lo, max(value) AS x_hi, avg(value) AS y_center, 1.0::DOUBLE AS mean FROM events GROUP BY user_id),
+    b AS (SELECT DISTINCT user_id, value - 3 AS x0, value - 500 AS y0, value + 3 AS x1, value + 500 AS y1 FROM events),
+    j AS (SELECT c.user_id, x_lo, x_hi, x0, x1 FROM c JOIN b ON c.user_id = b.user_id WHERE y0 - 2 <= y_center AND y_center <= y1 + 2)
+    SELECT DISTINCT user_id, 'single_sided:no_right_anchor' AS note FROM j WHERE x1 > x_hi + 1.5::DOUBLE UNION ALL SELECT DISTINCT user_id, 'single_sided:no_left_anchor' FROM j WHERE x0 < x_lo - 1.5::DOUBLE"""
+)
+def single_sided_notes_all(spark, d):
+    e = table(spark, d, "events")
+    c = e.groupBy("user_id").agg(F.min("value").alias("x_lo"), F.max("value").alias("x_hi"), F.avg("value").alias("y_center"), F.lit(1.0).alias("mean"))
+    v = F.col("value")
+    b = e.select("user_id", (v - 3).alias("x0"), (v - 500).alias("y0"), (v + 3).alias("x1"), (v + 500).alias("y1")).distinct()
+    return layout.single_sided(c, b, ["user_id"]).select("user_id", "note").distinct()
+
+
 def rasters(spark, d):
     return raster.from_array(table(spark, d, "embeddings"), "vec_id", "embedding", 8, lambda e: F.greatest(F.lit(0), F.least(F.lit(255), F.floor((e.cast("double") + 0.5) * 255).cast("int"))))
 

@@ -270,3 +270,20 @@ def test_cli(spark, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out.splitlines()[-1])["start_page"] == 1
     with pytest.raises(KeyError):
         main(["build", "nope", "--documents", f"{t}/docs", "--profiles", f"{t}/prof", "--out", t], spark)
+
+
+def test_bands_of_a_hot_group(spark):
+    """300,000 points of one user: an array that grows by a copy for each point does not end here."""
+    from quire.operators import layout
+
+    hot = spark.range(300_000).selectExpr("1L as u", "id", "(id * 7919 % 200003) / 8d as y")
+    few = spark.createDataFrame([(2, 0, 1.0), (2, 1, 3.0), (2, 2, 3.5), (2, 3, None), (None, 4, 9.0)], "u long, id long, y double")
+    got = {(r.u, r.id): r.band for r in layout.bands(hot.union(few), ["u"], "y", ["id"], 2.0).collect()}
+    assert len(got) == 300_005
+    assert [got[2, i] for i in range(4)] == [0, 0, 1, None] and got[None, 4] == 0
+    first, band, want = None, -1, {}
+    for y, i in sorted((i * 7919 % 200003 / 8, i) for i in range(300_000)):
+        if first is None or y - first > 2:
+            first, band = y, band + 1
+        want[i] = band
+    assert all(got[1, i] == b for i, b in want.items())
