@@ -12,8 +12,10 @@ from quire.functions.text import seeded, subtype
 from quire.schema import CATEGORIES
 
 VERSION = 1
-#: Most slots a source offers for the remainder of a proportional sample.
+#: Slots that are made and ranked at a time for the remainder of a proportional sample.
 SLOTS = 1 << 16
+#: Most tasks that rank slots.
+RANGE_TASKS = 4096
 
 
 @dataclass(frozen=True, slots=True)
@@ -101,9 +103,13 @@ def allocation(counts: DataFrame, n: int, seed: int) -> DataFrame:
     if not available:
         return counts.select("source", F.lit(0).cast("long").alias("take"))
     base = counts.withColumn("take", F.least("pool", F.expr(f"({n}L * pool) div {available}L")))
-    taken, sources = base.agg(F.sum("take"), F.count("*")).first()
-    # each source lost less than one to rounding, so fewer slots than sources are missing and a source can give no more
-    offers = base.where("pool > take").select("source", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.col("pool") - F.col("take"), F.lit(max(sources, SLOTS))))).alias("slot"))
+    blocks = F.expr(f"(pool - take + {SLOTS - 1}L) div {SLOTS}L")
+    taken, ranges = base.agg(F.sum("take"), F.sum(blocks)).first()
+    # every slot is offered: sources are cut into ranges of slots, dealt to tasks, and each task keeps its least ranks only
+    cuts = base.where("pool > take").select("source", (F.col("pool") - F.col("take")).alias("left"), F.explode(F.sequence(F.lit(1).cast("long"), blocks)).alias("block"))
+    cuts = cuts.repartition(max(1, min(ranges, RANGE_TASKS)))
+    slots = F.sequence((F.col("block") - 1) * SLOTS + 1, F.least(F.col("left"), F.col("block") * SLOTS))
+    offers = cuts.select("source", F.explode(slots).alias("slot"))
     drawn = offers.orderBy(seeded(seed, F.col("source"), F.col("slot")), "source", "slot").limit(max(0, min(n, available) - taken))
     extra = drawn.groupBy("source").agg(F.count("*").alias("extra"))
     return base.join(extra, "source", "left").select("source", (F.col("take") + F.coalesce("extra", F.lit(0))).cast("long").alias("take"))

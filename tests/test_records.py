@@ -287,3 +287,20 @@ def test_bands_of_a_hot_group(spark):
             first, band = y, band + 1
         want[i] = band
     assert all(got[1, i] == b for i, b in want.items())
+
+
+def test_remainder_draw_offers_every_slot(spark):
+    import hashlib
+
+    pools = {"hot": 200_000, "a": 3, "b": 2, "c": 70_000}
+    counts = spark.createDataFrame(list(pools.items()), "source string, pool long")
+    total = sum(pools.values())
+    base = {s: 7 * p // total for s, p in pools.items()}
+    beyond = 0
+    for seed in range(6):
+        slots = ((hashlib.md5(f"{seed}|{s}|{i}".encode()).hexdigest(), s, i) for s, p in pools.items() for i in range(1, p - base[s] + 1))  # noqa: S324
+        drawn = sorted(slots)[: 7 - sum(base.values())]
+        beyond += any(i > 65_536 for _, _, i in drawn)
+        want = {s: base[s] + sum(d[1] == s for d in drawn) for s in pools}
+        assert {r["source"]: r["take"] for r in manifest.allocation(counts, 7, seed).collect()} == want
+    assert beyond
