@@ -1,8 +1,11 @@
 """Main text of web pages, with site templates removed.
 
 ``subtree_counts`` hashes every element subtree outside the main content and
-counts, in Spark, on how many pages of its host each occurs; those on at least
-``MIN_PAGES`` pages and ``MIN_SHARE`` of them are the host's template.
+counts, in Spark, in how many distinct page contents of its host each occurs;
+those in at least ``MIN_PAGES`` contents and ``MIN_SHARE`` of them are the
+host's template.  A content is a page's text outside dropped elements, so
+copies of a page count once.  A recurring subtree that holds most of a page's
+text, and more than ``SHORT`` characters, is that page's content: it stays whole.
 ``extract_pages`` then drops these subtrees, elements that never hold article
 text (menus, forms, scripts, ...) and elements whose class, id or role says so,
 and joins what is left block by block.
@@ -14,8 +17,8 @@ is read.
 
 Defined cases: null or empty html gives ''; broken markup is read as browsers
 do in the main (unclosed tags, stray ends, text cut off anywhere); a null url
-belongs to the host ''; repeated pages count once each; other columns are not
-read.
+belongs to the host ''; repeated pages count once, and each has its row; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ from quire.llm.common import read_table, small_batches, stored
 
 MIN_PAGES = 5
 MIN_SHARE = 0.1
+#: Characters of text up to which a recurring subtree is a notice, however little else a page holds.
+SHORT = 200
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"']|[\"'])*)>?|<[!?/][^>]*>?", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -176,14 +181,35 @@ class Page:
                 inner[self.parent[node]].append(d.hex())
         return out
 
+    def sizes(self) -> list[int]:
+        """Characters of each node's subtree that are not in dropped elements."""
+        out = [0] * len(self.parent)
+        for block in self.blocks:
+            for node, text in block:
+                if not self.dropped[node]:
+                    out[node] += len(" ".join(text.split()))
+        for node in range(len(out) - 1, 0, -1):
+            out[self.parent[node]] += out[node]
+        return out
+
+    def content(self) -> int:
+        """A hash of the text outside dropped elements."""
+        kept = " ".join(" ".join("".join(t for node, t in block if not self.dropped[node]) for block in self.blocks).split())
+        return int.from_bytes(hashlib.blake2b(kept.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
     def text(self, template: frozenset[int] = frozenset()) -> str:
         """The main text, without subtrees whose hash is in template."""
         gone = list(self.dropped)
         want = 1 if self.kinds & 1 else 2 if self.kinds & 2 else 0
         if template and not want:
-            h = self.hashes()
+            h, size = self.hashes(), self.sizes()
+            stays = [False] * len(gone)
             for node in range(1, len(gone)):
-                gone[node] = gone[node] or gone[self.parent[node]] or h[node] in template
+                up = self.parent[node]
+                often = h[node] in template
+                most = self.tag[node] in ("html", "body") or (size[node] > SHORT and 2 * size[node] > size[0])
+                stays[node] = stays[up] or (often and most)
+                gone[node] = gone[node] or gone[up] or (often and not stays[node])
         out = []
         for block in self.blocks:
             s = " ".join("".join(t for node, t in block if not gone[node] and (not want or self.main[node] & want)).split())
@@ -211,19 +237,22 @@ def host() -> Column:
 
 
 def subtree_counts(pages: DataFrame) -> DataFrame:
-    """(host, subtree, n): on how many pages of the host each subtree outside the main content occurs; subtree 0 counts the pages."""
+    """(host, subtree, n): in how many distinct contents of the host each subtree outside the main content occurs; subtree 0 counts the contents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, 1):
-            hosts, out = [], []
+            hosts, out, contents = [], [], []
             for h, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 page = Page(html or "")
                 found = {x for x, main in zip(page.hashes(), page.main, strict=True) if not main} | {0}
                 out += found
                 hosts += [h] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(np.array(out, np.int64))], names=["host", "subtree"])
+                contents += [page.content()] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(np.array(x, np.int64)) for x in (out, contents))], names=["host", "subtree", "content"])
 
-    return pages.select(host().alias("host"), "html").mapInArrow(run, "host string, subtree long").groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    found = pages.select(host().alias("host"), "html").mapInArrow(run, "host string, subtree long, content long")
+    # first by all three, so that a common subtree of a large host is spread and then counted in parts
+    return found.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n"))
 
 
 def site_templates(pages: DataFrame) -> DataFrame:

@@ -513,3 +513,15 @@ def test_pipeline_takes_odd_rows(spark, tmp_path):
     table(spark, ODD).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, None), (2, "no such words anywhere in here")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert {r.doc_id for r in P.run(spark, str(tmp_path)).collect()} <= {6, 7, 8, 9, None}
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    own = "a long own text of this one page that many mirrors hold " * 6
+    copied = f"<html><body><div><p>{own}</p></div></body></html>"
+    moved = "<html><body><div><p>%s</p></div><p>seen %d times</p></body></html>"
+    rows = [(i, "http://mirror.example/a", copied) for i in range(10)] + [(10 + i, f"http://mirror.example/m{i}", moved % (own + "more", i)) for i in range(6)]
+    rows += [(50 + i, f"http://mirror.example/{i}", f"<html><body><div><i>Follow us</i></div><p>own text {i}</p></body></html>") for i in range(20)]
+    got = {r.page_id: r.text for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == own.strip() for i in range(10))
+    assert all(got[10 + i] == f"{own}more\nseen {i} times" for i in range(6))
+    assert all(got[50 + i] == f"own text {i}" for i in range(20))
