@@ -1,6 +1,6 @@
 """Main text of web pages, with site templates removed.
 
-``subtree_counts`` hashes every element subtree outside the main content and
+``subtree_counts`` hashes every element subtree that may be template and
 counts, in Spark, in how many distinct page contents of its host each occurs;
 those in at least ``MIN_PAGES`` contents and ``MIN_SHARE`` of them are the
 host's template.  A content is a page's text outside dropped elements, so
@@ -11,9 +11,11 @@ text (menus, forms, scripts, ...) and elements whose class, id or role says so,
 and joins what is left block by block.
 
 If a page marks its main content (``article``, else ``main``), only that is
-read, and subtrees inside it are never taken for template: a passage that many
-articles quote stays.  Otherwise everything in the body outside the template
-is read.
+read.  Host counts decide there too, but on blocks in ``NOTICES`` only: link
+lists (half of the text or more in links) anywhere, and notices of up to
+``SHORT`` characters in a ``main`` outside articles, which often wraps the whole
+layout.  A passage that many articles quote stays.  Otherwise everything in the
+body outside the template is read.
 
 Defined cases: null or empty html gives ''; broken markup is read as browsers
 do in the main (unclosed tags, stray ends, text cut off anywhere); a null url
@@ -53,6 +55,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
+#: Blocks that may be template inside marked content; no headings, cells or single list items, whose words recur anyway.
+NOTICES = frozenset("address center details dir div dl ol p section table ul".split())
 #: A start tag that ends an open element of the second kind, unless one of the third stands between.
 _ENDS = {
     **{t: ({"p"}, {"table", "td", "th", "caption", "button"}) for t in BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup"}},
@@ -192,6 +196,22 @@ class Page:
             out[self.parent[node]] += out[node]
         return out
 
+    def candidates(self) -> list[bool]:
+        """Whether each node may be template where it stands."""
+        size, links = [0] * len(self.parent), [0] * len(self.parent)
+        for block in self.blocks:
+            for node, text in block:
+                size[node] += len(" ".join(text.split()))
+        for node in range(len(size) - 1, 0, -1):
+            if self.tag[node] == "a":
+                links[node] = size[node]
+            size[self.parent[node]] += size[node]
+            links[self.parent[node]] += links[node]
+        return [
+            not main or (tag in NOTICES and (2 * linked >= n or (main == 2 and n <= SHORT)))
+            for main, tag, linked, n in zip(self.main, self.tag, links, size, strict=True)
+        ]
+
     def content(self) -> int:
         """A hash of the text outside dropped elements."""
         kept = " ".join(" ".join("".join(t for node, t in block if not self.dropped[node]) for block in self.blocks).split())
@@ -201,12 +221,12 @@ class Page:
         """The main text, without subtrees whose hash is in template."""
         gone = list(self.dropped)
         want = 1 if self.kinds & 1 else 2 if self.kinds & 2 else 0
-        if template and not want:
-            h, size = self.hashes(), self.sizes()
+        if template:
+            h, size, may = self.hashes(), self.sizes(), self.candidates()
             stays = [False] * len(gone)
             for node in range(1, len(gone)):
                 up = self.parent[node]
-                often = h[node] in template
+                often = may[node] and h[node] in template
                 most = self.tag[node] in ("html", "body") or (size[node] > SHORT and 2 * size[node] > size[0])
                 stays[node] = stays[up] or (often and most)
                 gone[node] = gone[node] or gone[up] or (often and not stays[node])
@@ -237,14 +257,14 @@ def host() -> Column:
 
 
 def subtree_counts(pages: DataFrame) -> DataFrame:
-    """(host, subtree, n): in how many distinct contents of the host each subtree outside the main content occurs; subtree 0 counts the contents."""
+    """(host, subtree, n): in how many distinct contents of the host each subtree that may be template occurs; subtree 0 counts the contents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, 1):
             hosts, out, contents = [], [], []
             for h, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 page = Page(html or "")
-                found = {x for x, main in zip(page.hashes(), page.main, strict=True) if not main} | {0}
+                found = {x for x, may in zip(page.hashes(), page.candidates(), strict=True) if may} | {0}
                 out += found
                 hosts += [h] * len(found)
                 contents += [page.content()] * len(found)

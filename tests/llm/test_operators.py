@@ -525,3 +525,13 @@ def test_copies_of_a_page_are_no_template(spark):
     assert all(got[i] == own.strip() for i in range(10))
     assert all(got[10 + i] == f"{own}more\nseen {i} times" for i in range(6))
     assert all(got[50 + i] == f"own text {i}" for i in range(20))
+
+
+def test_templates_inside_marked_content(spark):
+    links = "<div><a href=/x>Other things to read</a> <a href=/y>More of them</a></div>"
+    quote = "a passage that many pages quote " * 8
+    rows = [(i, "http://m.example/", f"<main><div><p>We are closed on Sunday</p></div>{links}<h2>Summary</h2><p>{quote}</p><p>own text {i} {'of this page ' * 40}</p></main>") for i in range(12)]
+    rows += [(50 + i, "http://a.example/", f"<article><p>quoted everywhere</p><p>own {i}, see <a href=/z>there</a></p>{links}</article>") for i in range(12)]
+    got = {r.page_id: r.text for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == f"Summary\n{quote.strip()}\nown text 3 {('of this page ' * 40).strip()}"
+    assert got[54] == "quoted everywhere\nown 4, see there"
