@@ -8,7 +8,9 @@ by block: items stand in blocks of ``BLOCK``, each term keeps its largest
 impact in each block, and a block is scored only where these bounds, with the
 lightest terms taken for granted, can reach the threshold.  Retrieved items
 are verified on shingles, for question (all but the last sentence) and answer
-(the last sentence) apart and together.
+(the last sentence) apart and together.  An item whose pieces lie farther apart
+than a window is found by its shingles in the whole document.  The whole item
+decides; the overlaps of question and answer are reported beside it.
 
 Items go to the executors in groups of bounded size, one pass over the
 documents for each group, so no broadcast grows with the benchmark.
@@ -84,9 +86,19 @@ class ItemIndex:
     block_starts: np.ndarray = None
     blocks: np.ndarray = None
     bounds: np.ndarray = None
+    # shingles of five words: hashes of their word numbers, sorted, with the items that have them
+    shingle_keys: np.ndarray = None
+    shingle_items: np.ndarray = None
     granted: np.ndarray = None  # by block: the most that the terms not looked up can add
 
 
+def _keys(columns) -> np.ndarray:
+    out = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        out = out * np.uint64(0x9E3779B97F4A7C15) + c.astype(np.uint64) + np.uint64(1)
+    return out
+
+
 def build_index(rows: list[tuple[int, str]]) -> ItemIndex:
     by_words: dict[tuple[str, ...], list] = {}
     for item_id, text in rows:
@@ -136,6 +148,11 @@ def build_index(rows: list[tuple[int, str]]) -> ItemIndex:
     index.block_starts = np.searchsorted(uniq // blocks, np.arange(len(df) + 1))
     index.granted = np.zeros(blocks)
     np.maximum.at(index.granted, np.arange(n) // BLOCK, np.array(granted)) if n else None
+    pairs = [(x, k) for k, (every, _, _) in enumerate(index.parts) for x in every if len(x) == SHINGLE]
+    numbers = np.array([[index.vocabulary[w] for w in x] for x, _ in pairs], np.int64).reshape(-1, SHINGLE)
+    keys = _keys(numbers.T)
+    order = np.argsort(keys, kind="stable")
+    index.shingle_keys, index.shingle_items = keys[order], np.array([k for _, k in pairs], np.int64)[order]
     return index
 
 
@@ -197,8 +214,33 @@ def search(index: ItemIndex, docs: list[list[str]]) -> list[tuple[int, int, floa
     return out
 
 
+def spread_items(index: ItemIndex, words: list[str]) -> list[tuple[int, float]]:
+    """(item, score) of the items with enough shingles anywhere in the document; verified by the caller."""
+    if len(words) < SHINGLE or not len(index.shingle_keys):
+        return []
+    get = index.vocabulary.get
+    ids = np.array([get(w, -1) for w in words], np.int64)
+    n = len(ids) - SHINGLE + 1
+    known = np.concatenate(([0], np.cumsum(ids >= 0)))
+    at = np.flatnonzero(known[SHINGLE:] - known[:n] == SHINGLE)
+    if not len(at):
+        return []
+    keys = np.unique(_keys([ids[at + j] for j in range(SHINGLE)]))
+    low, high = (np.searchsorted(index.shingle_keys, keys, side) for side in ("left", "right"))
+    size = high - low
+    places = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+    items, counts = np.unique(index.shingle_items[places], return_counts=True)
+    out = []
+    for item, c in zip(items.tolist(), counts.tolist(), strict=True):
+        if c / len(index.parts[item][0]) >= SIMILARITY:
+            post = np.flatnonzero(index.items == item)
+            have = np.isin(np.searchsorted(index.starts, post, "right") - 1, ids)
+            out.append((item, float(index.impacts[post][have].sum() * index.full[item])))
+    return out
+
+
 def leaks(index: ItemIndex, docs: list[list[str]]) -> list[tuple[int, int, float, float, float, float]]:
-    """(document, item, score, overlap, question overlap, answer overlap) of the verified items, best window each."""
+    """(document, item, score, overlap, question overlap, answer overlap) of the verified items, best window each, or else the whole document."""
     best: dict[tuple[int, int], tuple] = {}
     share = lambda part, have: len(part & have) / len(part) if part else 1.0
     for d, item, score, a, z in search(index, docs):
@@ -210,6 +252,14 @@ def leaks(index: ItemIndex, docs: list[list[str]]) -> list[tuple[int, int, float
         if overlap >= SIMILARITY:
             parts = [share({s for s in p if len(s) == short}, have) for p in (question, answer)]
             best[d, item] = max(best.get((d, item), (0,)), (overlap, score, *parts))
+    for d, words in enumerate(docs):
+        more = [(i, s) for i, s in spread_items(index, words) if (d, i) not in best]
+        have = shingles(words) if more else set()
+        for item, score in more:
+            every, question, answer = index.parts[item]
+            if share(every, have) >= SIMILARITY:
+                parts = [share({s for s in p if len(s) == SHINGLE}, have) for p in (question, answer)]
+                best[d, item] = (share(every, have), score, *parts)
     return [(d, i, s, o, q, a) for (d, i), (o, s, q, a) in sorted(best.items())]
 
 

@@ -260,6 +260,16 @@ def test_leaks_equal_brute_force(spark):
     assert kept == {r.doc_id for r in docs.collect()} - bad
 
 
+def test_leaks_in_pieces(spark):
+    """An item cut in two by more words than a window holds is still in the document."""
+    own = [f"w{i}" for i in range(59)]
+    rows = [(k, " ".join(own[:30] + [f"x{i}" for i in range(n)] + own[30:])) for k, n in enumerate((0, 30, 400))] + [(9, " ".join(own[:40]))]
+    docs, items = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(own)), (2, "other words of an item that nobody has")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.overlap for r in decontaminate.find_leaks(docs, items).collect()}
+    assert set(got) == slow_leaks([tuple(r) for r in items.collect()], rows) == {(0, 1), (1, 1), (2, 1)} and abs(got[2, 1] - 51 / 55) < 1e-9
+    assert [r.doc_id for r in decontaminate.drop_leaks(docs, items).collect()] == [9]
+
+
 def test_leaks_in_groups_of_items(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     one = rows_of(decontaminate.find_leaks(docs, items).select("doc_id", "item_id"))
