@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 #: Used only where the session names no checkpoint folder (tests, local runs).
 LOCAL_CHECKPOINTS = "file:///tmp/checkpoints"
@@ -34,6 +35,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """These names, each with as many underscores before it as make it unlike every column of df."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        name = f"__{name}"
+        while any(c.startswith(name) for c in taken):
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def recounted(df: DataFrame) -> int | None:
+    """Where n_chars stands if it holds whole numbers, which a changed text makes wrong."""
+    at = df.columns.index("n_chars") if "n_chars" in df.columns else None
+    return at if at is not None and isinstance(df.schema[at].dataType, (T.LongType, T.IntegerType)) else None
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the bytes of one column stay near max_bytes; a longer row stays alone."""
     for batch in batches:

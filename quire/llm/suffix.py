@@ -14,33 +14,38 @@ is removed.
    aside and the rest is sorted into a suffix array by Larsson-Sadakane
    refinement; Kasai's lemma gives common prefixes, and neighbours that share
    LENGTH bytes are repeats.
-4. Shards of one salted anchor publish a fingerprint (128 bits) of each distinct
-   window; these meet sorted, and binary search finds what two shards share.
-5. Spans return to the texts.
-
-All keys are of distinct texts; copies of a text ride along with it, and a text
-that occurs twice is one repeat as a whole.  Text travels compressed.
+4. Shards of one salted anchor publish each of their distinct windows once, as a
+   sorted run of fingerprints (128 bits) that says which windows the shard has
+   marked already.  The runs are merged two by two, the smaller searched in the
+   larger by bisection, and only windows that no shard has marked get an answer.
+5. Spans, joined to runs, return to the texts.
+
+The suffix arrays decide wherever windows of different contexts meet in a
+shard.  Where whole contexts or whole texts are equal no array is needed: a
+text that occurs twice is one repeat as a whole, and so is a context.  A text
+is known by two 64-bit hashes; copies ride along with it.  Text travels
+compressed.
 
 Defined cases: null is empty; texts shorter than LENGTH keep all; matches never
 cross documents; repeated rows repeat each other and lose all from LENGTH bytes
 on; other columns pass through ``remove_repeats``, whose text is what is left,
-decoded without broken characters.
+decoded without broken characters; ``n_chars`` is counted anew if it holds whole
+numbers; columns may have any names.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import read_table, small_batches, stored
+from quire.llm.common import recounted, read_table, small_batches, stored, unused
 
 LENGTH = 200
 GRAM = 32
@@ -50,6 +55,8 @@ SHARD_BYTES = 1 << 20
 #: Occurrences of an anchor that may share a shard.
 GROUP = 2048
 REMEMBERED = 300_000
+#: Published windows that one task merges.
+MERGED = 1 << 17
 
 _P = 0x9E3779B97F4A7C15
 _M = (1 << 64) - 1
@@ -109,10 +116,17 @@ def window_anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple
     return np.concatenate(places), np.concatenate(hashes)
 
 
-def text_key(text: bytes) -> int:
-    """The same as xxhash64(text) in Spark."""
-    k = xxhash.xxh64_intdigest(text, 42)
-    return k - (1 << 64) if k >> 63 else k
+_SEEDS = (42, xxhash.xxh64_intdigest((1).to_bytes(4, "little"), 42))
+
+
+def text_key(text: bytes) -> tuple[int, int]:
+    """The same as xxhash64(text) and xxhash64(1, text) in Spark, 128 bits together."""
+    return tuple(k - (1 << 64) if k >> 63 else k for k in (xxhash.xxh64_intdigest(text, s) for s in _SEEDS))
+
+
+def spark_key(text: Column) -> tuple[Column, Column]:
+    text = F.coalesce(text, F.lit(""))
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
 
 
 def _bytes(text: str | None) -> bytes:
@@ -120,10 +134,10 @@ def _bytes(text: str | None) -> bytes:
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, tkey, pos): each anchor of each text that is new to this partition."""
-    seen: set[int] = set()
+    """(h, t1, t2, pos): each anchor of each text that is new to this partition."""
+    seen: set[tuple[int, int]] = set()
     for b in small_batches(batches, 0):
-        hs, keys, places = [], [], []
+        hs, one, two, places = [], [], [], []
         for text in b.column(0).to_pylist():
             raw = _bytes(text)
             key = text_key(raw)
@@ -135,16 +149,17 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = np.concatenate([[0], np.flatnonzero(p[1:] != p[:-1]) + 1])
             hs.append(h[first])
             places.append(p[first])
-            keys.append(np.full(len(first), key))
+            one.append(np.full(len(first), key[0]))
+            two.append(np.full(len(first), key[1]))
         if hs:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (hs, keys, places)], names=["h", "tkey", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (hs, one, two, places)], names=["h", "t1", "t2", "pos"])
 
 
 def _pack(column: int, names: list[str], once: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """text gives way to its compressed bytes, with tkey and n_bytes behind all columns; once: long enough texts, each once for a partition."""
+        """text gives way to its compressed bytes, with its key and n_bytes behind all columns; once: long enough texts, each once for a partition."""
         codec = pa.Codec("zstd", 3)
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for b in small_batches(batches, column):
             raws = [_bytes(t) for t in b.column(column).to_pylist()]
             keys = [text_key(r) for r in raws]
@@ -160,7 +175,8 @@ def _pack(column: int, names: list[str], once: bool = False):
                 b, raws, keys = b.take(pa.array(keep)), [raws[i] for i in keep], [keys[i] for i in keep]
             cols = list(b.columns)
             cols[column] = pa.array([codec.compress(r, asbytes=True) for r in raws], pa.binary())
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(keys, pa.int64()), pa.array(map(len, raws), pa.int64())], names=names)
+            more = [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(map(len, raws), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*cols, *more], names=names)
 
     return run
 
@@ -169,25 +185,41 @@ def _unpack(data: bytes, size: int) -> bytes:
     return pa.Codec("zstd").decompress(data, size, asbytes=True) if size else b""
 
 
-def packed(docs: DataFrame, once: bool = False) -> DataFrame:
+def packed(docs: DataFrame, names: list[str], once: bool = False) -> DataFrame:
+    """names: of the two halves of the key and of the size."""
     fields = [T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in docs.schema]
-    out = T.StructType([*fields, T.StructField("__tkey", T.LongType()), T.StructField("__n", T.LongType())])
+    out = T.StructType([*fields, *(T.StructField(n, T.LongType()) for n in names)])
     return docs.mapInArrow(_pack(docs.columns.index("text"), out.names, once), out)
 
 
-CONTEXTS = "h long, salt long, tkey long, s long, n long, context binary"
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Maximal runs of the bytes that spans cover."""
+    out: list[list[int]] = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], e)
+        else:
+            out.append([s, e])
+    return [(s, e) for s, e in out]
+
+
+CONTEXTS = "h long, salt long, t1 long, t2 long, s long, n long, context binary"
+_CONTEXT_KINDS = [*[pa.int64()] * 6, pa.binary()]
+_CONTEXT_NAMES = ["h", "salt", "t1", "t2", "s", "n", "context"]
 
 
 def _contexts(group: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Runs of windows with one recurring anchor.  A run without bytes is settled: all its windows recur."""
+        """Runs of windows with one recurring anchor.  A row without bytes is settled: a span of n bytes whose windows all recur."""
         met: dict[bytes, list] = {}
-        done: set[int] = set()
+        done: set[tuple[int, int]] = set()
         for whole in batches:
             for i in range(0, whole.num_rows, 64):
                 b = whole.slice(i, 64)
                 rows: list[tuple] = []
-                for key, z, size, marks in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                settled: dict[tuple[int, int], list[tuple[int, int]]] = {}
+                for one, two, z, size, marks in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    key = (one, two)
                     if key in done:
                         continue
                     if len(done) < 4 * REMEMBERED:
@@ -203,22 +235,21 @@ def _contexts(group: int):
                         context = raw[a : e + LENGTH - 1]
                         name = xxhash.xxh3_128_digest(context)
                         salt = int.from_bytes(name[:6], "big") % -(-n // group) if n > group else -1
-                        head = (int(h[a]), salt)
                         first = met.get(name)
                         if first is None:
                             if len(met) >= REMEMBERED:
                                 met.clear()
                             met[name] = [key, a, False]
-                            rows.append((*head, key, a, e - a, context))
-                        elif first[:2] != [key, a]:
-                            # settled runs need no shard of their anchor: they spread by text and place
+                            rows.append((int(h[a]), salt, *key, a, e - a, context))
+                        elif first[0] != key or first[1] != a:
                             if not first[2]:
-                                rows.append((first[0], first[1], first[0], first[1], e - a, None))
+                                settled.setdefault(first[0], []).append((first[1], first[1] + len(context)))
                                 first[2] = True
-                            rows.append((key, a, key, a, e - a, None))
+                            settled.setdefault(key, []).append((a, a + len(context)))
+                # settled runs need no shard of their anchor: they spread by text and place
+                rows += [(key[0], s, *key, s, e - s, None) for key, spans in settled.items() for s, e in _joined(spans)]
                 if rows:
-                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["h", "salt", "tkey", "s", "n", "context"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _CONTEXT_KINDS, strict=True)], names=_CONTEXT_NAMES)
 
     return run
 
@@ -319,7 +350,11 @@ def shard_repeats(contexts: list[bytes], length: int = LENGTH) -> list[np.ndarra
     return out
 
 
-FOUND = "tkey long, s long, e long, w1 long, w2 long"
+#: A span (e is set), or a published window: its run, fingerprint and whether its shard has marked it.
+FOUND = "t1 long, t2 long, s long, e long, run long, w1 long, w2 long, marked boolean"
+_FOUND_KINDS = [*[pa.int64()] * 7, pa.bool_()]
+_FOUND_NAMES = ["t1", "t2", "s", "e", "run", "w1", "w2", "marked"]
+SPANS = "t1 long, t2 long, s long, e long"
 
 
 def _spans(marks: np.ndarray) -> list[tuple[int, int]]:
@@ -328,133 +363,187 @@ def _spans(marks: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _found(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) if rows else [()] * 5
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["tkey", "s", "e", "w1", "w2"])
+    cols = [*zip(*rows, strict=True), *[[None] * len(rows)] * 4] if rows else [()] * 8
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, _FOUND_KINDS, strict=True)], names=_FOUND_NAMES)
+
+
+_W = np.dtype([("w", "S16"), ("t1", "i8"), ("t2", "i8"), ("s", "i8"), ("marked", "?")])
+
+
+def _published(contexts: list[tuple[bytes, np.ndarray, tuple]]) -> np.ndarray:
+    """Each distinct window of these contexts once, in order of its fingerprint."""
+    parts = []
+    for context, marks, (one, two, s) in contexts:
+        digests = b"".join([xxhash.xxh3_128_digest(context[i : i + LENGTH]) for i in range(len(marks))])
+        part = np.empty(len(marks), _W)
+        part["w"], part["t1"], part["t2"], part["s"], part["marked"] = np.frombuffer(digests, "S16"), one, two, s + np.arange(len(marks)), marks
+        parts.append(part)
+    every = np.concatenate(parts) if parts else np.empty(0, _W)
+    # a window that occurs twice here is marked at both places, so any one of them will do
+    return every[np.unique(every["w"], return_index=True)[1]]
+
+
+def _halves(w: np.ndarray) -> list[np.ndarray]:
+    """The fingerprint as two signed longs that sort as its bytes do."""
+    halves = np.ascontiguousarray(w).view(">u8").reshape(-1, 2).astype(np.uint64) ^ np.uint64(1 << 63)
+    return [np.ascontiguousarray(halves[:, i]).view(np.int64) for i in (0, 1)]
+
+
+def _whole(w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
+    """What _halves took apart."""
+    halves = np.stack([w1, w2], 1).view(np.uint64) ^ np.uint64(1 << 63)
+    return np.ascontiguousarray(halves.astype(">u8")).view("S16").ravel()
 
 
 def _shards(shard_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by shard: spans, and for salted or cut shards the fingerprint of each distinct window (e is null)."""
+        """Rows sorted by shard: spans, and for salted or cut shards a run of their distinct windows."""
 
-        def settle(rows: dict[bytes, list[tuple]], shared: set[bytes]) -> Iterator[pa.RecordBatch]:
-            out: list[tuple] = []
-            contexts = list(rows)
+        def settle(rows: dict[bytes, list[tuple]], shared: set[bytes], name: int) -> Iterator[pa.RecordBatch]:
+            spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
+            contexts, open_ = list(rows), []
             for context, marks in zip(contexts, shard_repeats(contexts), strict=True):
                 places = rows[context]
                 if len(places) > 1:
                     marks = np.ones(len(marks), bool)
-                spans = _spans(marks)
-                for key, s in places:
-                    out += [(key, s + a, s + b, None, None) for a, b in spans]
+                if runs := _spans(marks):
+                    for one, two, s in places:
+                        spans.setdefault((one, two), []).extend((s + a, s + b) for a, b in runs)
                 if context in shared:
-                    key, s = places[0]
-                    for i in range(len(marks)):
-                        d = xxhash.xxh3_128_digest(context[i : i + LENGTH])
-                        out.append((key, s + i, None, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)))
-                if len(out) > 20_000:
-                    yield _found(out)
-                    out = []
-            if out:
-                yield _found(out)
+                    open_.append((context, marks, places[0]))
+            out = [(*key, s, e) for key, found in spans.items() for s, e in _joined(found)]
+            for i in range(0, len(out), 20_000):
+                yield _found(out[i : i + 20_000])
+            w = _published(open_)
+            for i in range(0, len(w), 20_000):
+                part = w[i : i + 20_000]
+                cols = [part["t1"], part["t2"], part["s"], None, np.full(len(part), name), *_halves(part["w"]), part["marked"]]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(part), k) if c is None else pa.array(c, k) for c, k in zip(cols, _FOUND_KINDS, strict=True)], names=_FOUND_NAMES)
 
         rows: dict[bytes, list[tuple]] = {}
         shared: set[bytes] = set()
-        size, now, inside = 0, None, 0
+        size, now, cuts = 0, None, 0
+
+        def name() -> int:
+            """Of the run of this shard: the same whenever the task runs."""
+            return int.from_bytes(xxhash.xxh64_digest(repr((now, cuts)).encode()), "big", signed=True)
+
         for b in batches:
             settled = []
-            for h, salt, key, s, n, context in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for h, salt, one, two, s, n, context in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if context is None:
-                    settled.append((key, s, s + n + LENGTH - 1, None, None))
+                    settled.append((one, two, s, s + n))
                     continue
                 if (h, salt) != now:
-                    now, inside = (h, salt), 0
                     if size >= shard_bytes:
-                        yield from settle(rows, shared)
+                        yield from settle(rows, shared, name())
                         rows, shared, size = {}, set(), 0
+                    now, cuts = (h, salt), 0
                 elif size >= 4 * shard_bytes:  # a shard that outgrew its salt is cut
                     shared.update(rows)
-                    inside = 1
-                    yield from settle(rows, shared)
+                    yield from settle(rows, shared, name())
                     rows, shared, size = {}, set(), 0
+                    cuts += 1
                 places = rows.setdefault(context, [])
-                if (key, s) not in places[-1:]:
+                if (one, two, s) not in places[-1:]:
                     size += len(context) if not places else 0
-                    places.append((key, s))
-                if salt >= 0 or inside:
+                    places.append((one, two, s))
+                if salt >= 0 or cuts:
                     shared.add(context)
             if settled:
                 yield _found(settled)
-        yield from settle(rows, shared) if rows else ()
+        yield from settle(rows, shared, name()) if rows else ()
 
     return run
 
 
+_RUN = np.dtype([("w", "S16"), ("place", "u8"), ("twice", "?")])
+
+
+def merge_runs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Two sorted runs of distinct windows as one; a window of both is there twice unless it has the same place in both."""
+    if len(a) < len(b):
+        a, b = b, a
+    if not len(b):
+        return a
+    at = np.searchsorted(a["w"], b["w"])
+    same = a["w"][np.minimum(at, len(a) - 1)] == b["w"]
+    i = at[same]
+    a["twice"][i] |= b["twice"][same] | (a["place"][i] != b["place"][same])
+    return np.insert(a, at[~same], b[~same])
+
+
+def _place(run: np.ndarray) -> np.ndarray:
+    one, two, s = (np.ascontiguousarray(run[c]).view(np.uint64) for c in ("t1", "t2", "s"))
+    with np.errstate(over="ignore"):
+        return _mix(one * np.uint64(_P) + two + s * np.uint64(0xD6E8FEB86659FD93))
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows sorted by fingerprint, one for each shard that holds them: those that a binary search finds more than once."""
-    rest = [np.empty(0, np.int64)] * 4
-
-    def settle(key, s, w1, w2) -> pa.RecordBatch:
-        pair = np.empty(len(w1), [("a", "i8"), ("b", "i8")])
-        pair["a"], pair["b"] = w1, w2
-        first, last = np.searchsorted(w1, w1, "left"), np.searchsorted(w1, w1, "right")
-        many = np.flatnonzero(last - first > 1)
-        rank = np.concatenate([[0], np.cumsum(pair[1:] != pair[:-1])]) if len(pair) else np.empty(0, np.int64)
-        count = np.searchsorted(rank, rank[many], "right") - np.searchsorted(rank, rank[many], "left")
-        hit = many[count > 1]
-        # the same place may come from two shards if its context was cut out twice: it is no repeat of itself
-        own = {}
-        for i in hit.tolist():
-            own.setdefault(int(rank[i]), set()).add((int(key[i]), int(s[i])))
-        hit = np.array([i for i in hit.tolist() if len(own[int(rank[i])]) > 1], np.int64)
-        return _found([(k, a, a + LENGTH, None, None) for k, a in zip(key[hit].tolist(), s[hit].tolist(), strict=True)])
+    """From published runs, one behind the other: spans of windows that no shard has marked and two shards hold."""
+    merged: list[np.ndarray] = []  # runs, each at least twice as long as the next
+    asked: list[np.ndarray] = []
+    now, parts = None, []
+
+    def push() -> None:
+        run = np.concatenate(parts) if parts else np.empty(0, _W)
+        parts.clear()
+        asked.append(run[~run["marked"]])
+        r = np.empty(len(run), _RUN)
+        r["w"], r["twice"], r["place"] = run["w"], run["marked"], _place(run)
+        while len(r):  # once, unless two shards have one name
+            first = np.concatenate([[True], r["w"][1:] != r["w"][:-1]])
+            merged.append(r[first])
+            r = r[~first]
+            while len(merged) > 1 and len(merged[-2]) < 2 * len(merged[-1]):
+                merged.append(merge_runs(merged.pop(), merged.pop()))
 
     for b in batches:
-        rest = [np.concatenate([r, b.column(i).to_numpy(zero_copy_only=False)]) for r, i in zip(rest, (0, 1, 3, 4), strict=True)]
-        if len(rest[2]):
-            cut = int(np.searchsorted(rest[2], rest[2][-1]))
-            yield settle(*(r[:cut] for r in rest))
-            rest = [r[cut:] for r in rest]
-    yield settle(*rest)
+        run, w1, w2, one, two, s, marked = (b.column(i).to_numpy(zero_copy_only=False) for i in range(7))
+        part = np.empty(b.num_rows, _W)
+        part["w"], part["t1"], part["t2"], part["s"], part["marked"] = _whole(w1, w2), one, two, s, marked
+        edge = np.concatenate([[0], np.flatnonzero(run[1:] != run[:-1]) + 1, [len(run)]]) if len(run) else [0]
+        for x, y in zip(edge[:-1], edge[1:], strict=True):
+            if run[x] != now:
+                push()
+                now = run[x]
+            parts.append(part[x:y])
+    push()
+    while len(merged) > 1:
+        merged.append(merge_runs(merged.pop(), merged.pop()))
+    for q in asked:
+        if len(q):
+            every = merged[0]
+            hit = q[every["twice"][np.searchsorted(every["w"], q["w"])]]
+            if len(hit):
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in (hit["t1"], hit["t2"], hit["s"], hit["s"] + LENGTH)], names=["t1", "t2", "s", "e"])
 
 
 def repeated_spans(docs: DataFrame, group: int = GROUP, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(tkey, s, e): byte spans of distinct texts that repeated strings cover; they may overlap."""
+    """(t1, t2, s, e): byte spans of distinct texts that repeated strings cover; they may overlap."""
     texts = docs.select("text")
-    anchors = texts.mapInArrow(_anchor_rows, "h long, tkey long, pos long")
-    place = F.xxhash64("tkey", "pos")
+    anchors = texts.mapInArrow(_anchor_rows, "h long, t1 long, t2 long, pos long")
+    place = F.xxhash64("t1", "t2", "pos")
     often = anchors.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count("*").alias("n")).where("lo <> hi")
     often = stored(often.select("h", "n"), "anchors")
-    _release(docs.sparkSession)
-    marks = anchors.join(often, "h").groupBy("tkey").agg(F.collect_set(F.struct("pos", "n")).alias("marks"))
-    one = packed(texts, once=True).select(F.col("text").alias("z"), F.col("__tkey").alias("tkey"), F.col("__n").alias("size"))
-    contexts = one.join(marks, "tkey").select("tkey", "z", "size", "marks").mapInArrow(_contexts(group), CONTEXTS)
+    marks = anchors.join(often, "h").groupBy("t1", "t2").agg(F.collect_set(F.struct("pos", "n")).alias("marks"))
+    one = packed(texts, ["t1", "t2", "size"], once=True).withColumnRenamed("text", "z")
+    contexts = one.join(marks, ["t1", "t2"]).select("t1", "t2", "z", "size", "marks").mapInArrow(_contexts(group), CONTEXTS)
     dealt = contexts.repartition("h", "salt").sortWithinPartitions("h", "salt")
     found = stored(dealt.mapInArrow(_shards(shard_bytes), FOUND), "repeats")
-    _release(docs.sparkSession)
-    windows = found.where("e is null").repartition("w1").sortWithinPartitions("w1", "w2")
-    across = windows.mapInArrow(_across, FOUND)
-    copies = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("tkey")).groupBy("tkey").count().where("count > 1")
-    whole = copies.select("tkey", F.lit(0).cast("long").alias("s"), F.lit(1 << 62).alias("e"))
-    return found.where("e is not null").select("tkey", "s", "e").union(across.select("tkey", "s", "e")).union(whole)
-
-
-def _release(spark: SparkSession) -> None:
-    """Let go of shuffle files that nothing reads any more: Spark deletes them when their handles are collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    windows = found.where("e is null")
+    spans = found.where("e is not null").select("t1", "t2", "s", "e")
+    if published := windows.count():
+        runs = windows.repartition(-(-published // MERGED), "w1").sortWithinPartitions("run", "w1", "w2")
+        spans = spans.union(runs.select("run", "w1", "w2", "t1", "t2", "s", "marked").mapInArrow(_across, SPANS))
+    one, two = spark_key(F.col("text"))
+    copies = docs.select(one.alias("t1"), two.alias("t2")).groupBy("t1", "t2").count().where("count > 1")
+    return spans.union(copies.select("t1", "t2", F.lit(0).cast("long").alias("s"), F.lit(1 << 62).alias("e")))
 
 
 def _cover(spans: list | None, size: int) -> list[tuple[int, int]]:
     """Maximal removed runs."""
-    out: list[list[int]] = []
-    if size < LENGTH:
-        return []
-    for s, e in sorted((x["s"], min(x["e"], size)) for x in spans or ()):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([s, e])
-    return [(s, e) for s, e in out]
+    return _joined([(x["s"], min(x["e"], size)) for x in spans or ()]) if size >= LENGTH else []
 
 
 def _kept(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
@@ -466,9 +555,12 @@ def _kept(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def _with_spans(docs: DataFrame, **how: int) -> DataFrame:
-    spans = repeated_spans(docs, **how).groupBy("tkey").agg(F.collect_list(F.struct("s", "e")).alias("__spans")).withColumnRenamed("tkey", "__key")
-    rows = packed(docs)
-    return rows.join(spans, rows["__tkey"] == spans["__key"], "left").drop("__key", "__tkey")
+    """The columns of docs, text packed, and behind them the text's size and spans."""
+    one, two, size, spans = unused(docs, "t1", "t2", "size", "spans")
+    found = repeated_spans(docs, **how).groupBy("t1", "t2").agg(F.collect_list(F.struct("s", "e")).alias(spans))
+    found = found.select(F.col("t1").alias(f"{one}_"), F.col("t2").alias(f"{two}_"), spans)
+    rows = packed(docs, [one, two, size])
+    return rows.join(found, (rows[one] == found[f"{one}_"]) & (rows[two] == found[f"{two}_"]), "left").drop(one, two, f"{one}_", f"{two}_")
 
 
 def removal_report(docs: DataFrame, **how: int) -> DataFrame:
@@ -492,8 +584,7 @@ def removal_report(docs: DataFrame, **how: int) -> DataFrame:
 def remove_repeats(docs: DataFrame, **how: int) -> DataFrame:
     """All rows and columns; text without its repeated bytes (and n_chars counted anew)."""
     rows = _with_spans(docs, **how)
-    at = docs.columns.index("text")
-    n_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    at, n_at = docs.columns.index("text"), recounted(docs)
     names = docs.columns
     width = len(names)
 
