@@ -23,6 +23,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import cache, lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -35,10 +36,12 @@ from quire.llm.lexicon import Lexicon, compile_lexicon
 #: So many words, each of at most so many UTF-8 bytes, bound the lexicon.
 LEXICON_WORDS = 65536
 LEXICON_BYTES = 48
-CACHED_WORDS = 200_000
+CACHED_WORDS = 250_000
 COUNTED_AT_ONCE = 200_000
 #: Words of more symbols than this merge in a heap.
 LONG_WORD = 100
+#: Words that merge in step.
+IN_STEP = 4096
 NO_PAIR = 1 << 62
 
 #: Blocks whose letters and marks no Unicode version has changed since long.  A text with a character outside them
@@ -97,6 +100,11 @@ class WordBPE:
         self.first = [self.vocab.get(c) for c in letters]
         self.last = [self.vocab.get(c + self.end) for c in letters]
         self.decimal = {i: str(i) for i in self.token}
+        keys = sorted(self.pairs)
+        self.pair_keys = np.array(keys or [-1], np.int64)
+        self.pair_values = np.array([self.pairs[k] for k in keys] or [NO_PAIR], np.int64)
+        self.every_byte = None not in self.first and None not in self.last
+        self.first_ids, self.last_ids = (np.array([-1 if i is None else i for i in x], np.int32) for x in (self.first, self.last))
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = _word_pattern(split["pattern"]["Regex"])
         self.library = path
@@ -126,6 +134,64 @@ class WordBPE:
                 pairs[i] = get(ids[i] << 32 | ids[i + 1], NO_PAIR)
         return ids
 
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """As merge of each word; words of like length are merged in step, a row of a matrix each."""
+        out: list[list[int]] = [[]] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(sizes, kind="stable")
+        for at in range(0, len(order), IN_STEP):
+            rows = order[at : at + IN_STEP]
+            rows = rows[sizes[rows] > 0]
+            if len(rows) and (sizes[rows[-1]] > LONG_WORD or not self.every_byte):
+                for r in rows.tolist():
+                    out[r] = self.merge(words[r])
+            elif len(rows):
+                for r, ids in zip(rows.tolist(), self._merge_rows([words[r] for r in rows.tolist()], sizes[rows]), strict=True):
+                    out[r] = ids
+        return out
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a.astype(np.int64) << 32 | b
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where((self.pair_keys[at] == key) & (b >= 0), self.pair_values[at], NO_PAIR)
+
+    def _merge_rows(self, words: list[bytes], sizes: np.ndarray) -> list[list[int]]:
+        n, width = len(words), int(sizes.max())
+        inside = np.arange(width) < sizes[:, None]
+        ids = np.full((n, width), -1, np.int32)
+        ids[inside] = self.first_ids[np.frombuffer(b"".join(words), np.uint8)]
+        ids[np.arange(n), sizes - 1] = self.last_ids[np.fromiter((w[-1] for w in words), np.uint8, n)]
+        done: list[list[int]] = [[]] * n
+        rows = np.arange(n)
+        if width > 1:
+            ranks = self._ranks(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(n, width - 1)
+        while len(rows):
+            if ids.shape[1] > 1:
+                i = ranks.argmin(1)
+                best = ranks[np.arange(len(rows)), i]
+                ended = best == NO_PAIR
+            else:
+                ended = np.ones(len(rows), bool)
+            if ended.any():
+                for r, x in zip(rows[ended].tolist(), ids[ended].tolist(), strict=True):
+                    done[r] = x[: x.index(-1)] if x[-1] < 0 else x
+                go = ~ended
+                if not go.any():
+                    break
+                rows, ids, ranks, i, best = rows[go], ids[go], ranks[go], i[go], best[go]
+            every = np.arange(len(rows))
+            ids[every, i] = best & 0xFFFFFFFF
+            # one symbol and one pair go; those behind them move up
+            cols = np.arange(ids.shape[1] - 1)
+            ids = np.take_along_axis(ids, cols + (cols > i[:, None]), 1)
+            cols = cols[:-1]
+            ranks = np.take_along_axis(ranks, cols + (cols >= i[:, None]), 1)
+            for left in (i - 1, i):
+                ok = (left >= 0) & (left < ids.shape[1] - 1)
+                r, c = every[ok], left[ok]
+                ranks[r, c] = self._ranks(ids[r, c], ids[r, c + 1])
+        return done
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -208,41 +274,72 @@ def lexicon(path: str) -> Lexicon:
     return Lexicon(path)
 
 
+class _Numbers(dict):
+    """A number for each word; a word asked for the first time gets the next one and is noted."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class Encoder:
     """Encodes texts through the lexicon and a bounded cache of words already met."""
 
     def __init__(self, bpe: WordBPE, lex: Lexicon | None) -> None:
         self.bpe, self.lex = bpe, lex
-        self.ids: dict[str, str] = {}
-        self.texts: dict[str, str] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        special, token, decimal, merge = self.bpe.special, self.bpe.token, self.bpe.decimal, self.bpe.merge
-        for w in words & special.keys():  # no word of a text looks like one: it would split
-            self.ids[w], self.texts[w] = str(special[w]), w
-        new = [w for w in words if w not in special]
-        raw = [w.encode("utf-8", "surrogatepass") for w in new]
-        places = self.lex.find(raw).tolist() if self.lex else [-1] * len(new)
-        for w, b, p in zip(new, raw, places, strict=True):
-            ids = self.lex.output(p) if p >= 0 else merge(b)
-            self.ids[w] = " ".join([decimal[i] for i in ids])
-            self.texts[w] = " ".join([token[i] for i in ids])
+        self.numbers = _Numbers()
+        #: by number
+        self.ids: list[str] = []
+        self.texts: list[str] = []
+        self.frequent: list[str] = []  # those met so far that the lexicon holds: they stay
+
+    def _learn(self) -> None:
+        """The ids of all words noted, at once."""
+        special, token, decimal = self.bpe.special, self.bpe.token, self.bpe.decimal
+        words = self.numbers.new
+        self.numbers.new = []
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        places = self.lex.find(raw).tolist() if self.lex else [-1] * len(raw)
+        rare = iter(self.bpe.merge_all([b for b, p in zip(raw, places, strict=True) if p < 0]))
+        for w, p in zip(words, places, strict=True):
+            if p >= 0:
+                ids = self.lex.output(p)
+                self.frequent.append(w)
+            else:
+                ids = next(rare)
+            if w in special:  # no word of a text looks like one: it would split
+                ids = [special[w]]
+            self.ids.append(" ".join([decimal[i] for i in ids]))
+            self.texts.append(" ".join([token[i] for i in ids]))
+
+    def _forget(self) -> None:
+        """Let go of rare words."""
+        keep = [self.numbers[w] for w in self.frequent]
+        self.ids, self.texts, self.numbers = [self.ids[n] for n in keep], [self.texts[n] for n in keep], _Numbers()
+        self.numbers.update(zip(self.frequent, range(len(keep)), strict=True))
 
     def encode_all(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
         """(number of ids, ids joined by one space, decoded text) of each text; words are learned for all at once."""
-        split = [[w for special, s in self.bpe.pieces(text or "") for w in ([s] if special else self.bpe.split(s))] for text in texts]
-        need = set().union(*split)
-        fresh = need.difference(self.ids)
-        if len(self.ids) + len(fresh) > CACHED_WORDS:
-            self.ids.clear()
-            self.texts.clear()
-            fresh = need
-        if fresh:
-            self._learn(fresh)
+        if len(self.numbers) > CACHED_WORDS:
+            self._forget()
+        pieces, split, number = self.bpe.pieces, self.bpe.split, self.numbers.__getitem__
+        found = []
+        for text in texts:
+            of_text: list[int] = []
+            for special, s in pieces(text or ""):
+                of_text += (number(s),) if special else map(number, split(s))
+            found.append(of_text)
+        self._learn()
         out = []
-        for words in split:
-            ids = " ".join(map(self.ids.__getitem__, words))
-            out.append((ids.count(" ") + 1 if ids else 0, ids, " ".join(map(self.texts.__getitem__, words))))
+        ids_of, text_of = self.ids.__getitem__, self.texts.__getitem__
+        for of_text in found:
+            ids = " ".join(map(ids_of, of_text))
+            out.append((ids.count(" ") + 1 if ids else 0, ids, " ".join(map(text_of, of_text))))
         return out
 
     def encode(self, text: str | None) -> tuple[int, str, str]:
@@ -255,11 +352,24 @@ def encoder(vocabulary: str, path: str) -> Encoder:
     return Encoder(model(vocabulary), lexicon(path))
 
 
-def word_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """How often each normalised word occurs, over all texts."""
+def vocabulary_file(spark: SparkSession, path: str | None) -> str | None:
+    """What names a vocabulary to workers: None for the default one, which each finds where it is installed; others are shipped."""
+    if path is None:
+        return None
+    with open(path, "rb") as f:
+        return ship(spark, f.read(), "vocabulary", ".json")
+
+
+def resolved(name: str | None) -> str:
+    """The path of a vocabulary in this process."""
+    return default_vocabulary() if name is None else SparkFiles.get(name)
+
+
+def word_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """How often each normalised word occurs, over all texts; vocabulary as vocabulary_file gives it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, counts = model(vocabulary), Counter()
+        bpe, counts = model(resolved(vocabulary)), Counter()
 
         def flush() -> pa.RecordBatch:
             out = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
@@ -278,7 +388,7 @@ def word_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(docs: DataFrame, vocabulary: str, limit: int = LEXICON_WORDS) -> list[str]:
+def frequent_words(docs: DataFrame, vocabulary: str | None = None, limit: int = LEXICON_WORDS) -> list[str]:
     """The most frequent words, at most limit, each of bounded length.
 
     A histogram of the counts (64 steps to a doubling) gives the count from which on there are no more than limit
@@ -296,27 +406,32 @@ def frequent_words(docs: DataFrame, vocabulary: str, limit: int = LEXICON_WORDS)
     return [r.word for r in counts.where(step >= least).select("word").collect()]
 
 
-def ship_lexicon(spark: SparkSession, image: bytes) -> str:
-    """Give the file to every executor; the name to find it by."""
-    name = f"lexicon-{hashlib.sha256(image).hexdigest()[:24]}.bin"
-    if any(f.endswith(name) for f in spark.sparkContext.listFiles):
-        return name
-    path = os.path.join(tempfile.mkdtemp(), name)
-    with open(path, "wb") as f:
-        f.write(image)
-    spark.sparkContext.addFile(path)
+_outbox = None
+
+
+def ship(spark: SparkSession, data: bytes, stem: str, suffix: str) -> str:
+    """Give a file to every executor; the name to find it by.  The driver's copy goes when its process ends."""
+    global _outbox  # noqa: PLW0603
+    name = f"{stem}-{hashlib.sha256(data).hexdigest()[:24]}{suffix}"
+    if not any(f.endswith(name) for f in spark.sparkContext.listFiles):
+        _outbox = _outbox or tempfile.TemporaryDirectory(prefix="outbox-")
+        path = os.path.join(_outbox.name, name)
+        with open(path, "wb") as f:
+            f.write(data)
+        spark.sparkContext.addFile(path)
     return name
 
 
 def bpe_documents(docs: DataFrame, vocabulary: str | None = None, words: int = LEXICON_WORDS, keep_text: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids (decimal, one space between), decoded; without keep_text their SHA-256 instead."""
-    vocabulary = vocabulary or default_vocabulary()
-    bpe = model(vocabulary)
-    frequent = {w.encode(): bpe.merge(w.encode()) for w in frequent_words(docs, vocabulary, words)}
-    name = ship_lexicon(docs.sparkSession, compile_lexicon(frequent))
+    spark = docs.sparkSession
+    bpe = model(vocabulary or default_vocabulary())
+    vocabulary = vocabulary_file(spark, vocabulary)
+    frequent = [w.encode() for w in frequent_words(docs, vocabulary, words)]
+    name = ship(spark, compile_lexicon(dict(zip(frequent, bpe.merge_all(frequent), strict=True))), "lexicon", ".bin")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(vocabulary, SparkFiles.get(name))
+        enc = encoder(resolved(vocabulary), SparkFiles.get(name))
         for b in small_batches(batches, 1, 2 << 20):
             n, ids, texts = [], [], []
             for k, i, t in enc.encode_all(b.column(1).to_pylist()):
