@@ -1,24 +1,33 @@
 """Benchmark decontamination: a BM25 index of test items, searched by every training passage.
 
 Each document is read as overlapping windows of words, long enough that every
-item lies whole in one of them.  A window is the query; an item is retrieved
-when its BM25 score reaches the least score that a window with at least
-``SIMILARITY`` of the item's five-word shingles can have.  The search is block
-by block: items stand in blocks of ``BLOCK``, each term keeps its largest
-impact in each block, and a block is scored only where these bounds, with the
-lightest terms taken for granted, can reach the threshold.  Retrieved items
-are verified on shingles, for question (all but the last sentence) and answer
-(the last sentence) apart and together.  An item whose pieces lie farther apart
-than a window is found by its shingles in the whole document.  The whole item
-decides; the overlaps of question and answer are reported beside it.
+item lies whole in one of them, and, if it has several, as one passage more,
+the whole document, in which items stand whose pieces lie far apart.  A passage
+is the query; an item is retrieved when its BM25 score reaches the least score
+that a passage with at least ``SIMILARITY`` of the item's five-word shingles
+can have.  The search is block-max WAND: items stand in blocks of ``BLOCK``,
+and each term keeps its largest impact in each block.  For all passages of a
+batch at once these bounds, with the lightest terms taken for granted, say
+which blocks can hold an item; passages with such blocks are walked item by
+item, each term's list skipping to the pivot, the first item that the largest
+impacts of the lists before it can lift over the threshold, or to the next such
+block.
+
+Retrieved items are verified on the document's shingles: the whole item, its
+question (all but the last sentence) and its answer (the last sentence) must
+each be there by ``SIMILARITY``.  A part of fewer than five words is one shingle
+of its own length, and a part without words asks for nothing.
 
 Items go to the executors in groups of bounded size, one pass over the
-documents for each group, so no broadcast grows with the benchmark.
+documents for each group, so no broadcast grows with the benchmark.  Document
+frequencies, the mean length and the window length are those of all items, so
+groups change nothing but the number of passes.
 
 Defined cases: null texts have no words and never match; items without words
 are left out; items of fewer than five words are one shingle; items of equal
-words share one entry, with all their ids; repeated documents are each
-reported; columns besides those named are passed through by ``drop_leaks``.
+words share one entry, with all their ids; ids may have any type; repeated
+documents are each reported; columns besides those named are passed through by
+``drop_leaks``, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,20 +40,23 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from quire.llm.common import read_table, small_batches
+from quire.llm.common import read_table, small_batches, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
 K1, B = 1.2, 0.75
 BLOCK = 8
 #: Bytes of item text that are indexed and broadcast at a time.
-ITEM_BYTES = 4 << 20
-#: Share of the threshold that the lightest terms of an item may hold without being looked up.
+ITEM_BYTES = 8 << 20
+#: Share of the threshold that the lightest terms of an item may hold without being looked up for a block's bound.
 TAKEN_FOR_GRANTED = 0.5
+_ENOUGH = 1 - 1e-9
 
 _words = re.compile(r"\w+").findall
 
@@ -53,8 +65,9 @@ def words_of(text: str | None) -> list[str]:
     return _words((text or "").lower())
 
 
-def shingles(words: list[str]) -> set[tuple[str, ...]]:
-    if not words:
+def shingles(words: list) -> set[tuple]:
+    """Runs of SHINGLE words; of fewer words the one run of all."""
+    if not len(words):
         return set()
     return {tuple(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))}
 
@@ -69,239 +82,271 @@ def split_item(text: str) -> tuple[list[str], list[str]]:
     return words_of(body[:cut]), words_of(body[cut:])
 
 
+@dataclass
+class Statistics:
+    """Of all items: distinct ones, their mean and largest number of words, and in how many each word occurs."""
+
+    n: int
+    mean: float
+    longest: int
+    df: dict[str, int]
+
+
 @dataclass
 class ItemIndex:
     """Impacts are divided by their item's threshold: an item is retrieved at a sum of 1."""
 
-    ids: list[list[int]] = field(default_factory=list)
-    parts: list[tuple[set, set, set]] = field(default_factory=list)  # shingles of all, question, answer
-    full: list[float] = field(default_factory=list)
+    span: int = 1  # words of the longest of all items
+    ids: list[list] = field(default_factory=list)
+    full: list[float] = field(default_factory=list)  # thresholds
     vocabulary: dict[str, int] = field(default_factory=dict)
-    span: int = 1
-    # postings by term, all items
+    # the items as numbers of words, one behind the other, and where their answers begin
+    words: np.ndarray = None
+    begins: np.ndarray = None
+    answers: np.ndarray = None
+    # postings by term, and each term's largest impact
+    keys: np.ndarray = None  # term * items + item
     starts: np.ndarray = None
     items: np.ndarray = None
     impacts: np.ndarray = None
+    top: np.ndarray = None
     # block bounds by term, of the heavier terms only
     block_starts: np.ndarray = None
     blocks: np.ndarray = None
     bounds: np.ndarray = None
-    # shingles of five words: hashes of their word numbers, sorted, with the items that have them
-    shingle_keys: np.ndarray = None
-    shingle_items: np.ndarray = None
     granted: np.ndarray = None  # by block: the most that the terms not looked up can add
 
 
-def _keys(columns) -> np.ndarray:
-    out = np.zeros(len(columns[0]), np.uint64)
-    for c in columns:
-        out = out * np.uint64(0x9E3779B97F4A7C15) + c.astype(np.uint64) + np.uint64(1)
-    return out
-
-
-def build_index(rows: list[tuple[int, str]]) -> ItemIndex:
+def _entries(rows: list[tuple]) -> list[tuple[tuple[str, ...], str, list]]:
+    """(words, least text, ids) of the items that differ in words."""
     by_words: dict[tuple[str, ...], list] = {}
     for item_id, text in rows:
-        if words := words_of(text):
-            by_words.setdefault(tuple(words), [text, []])[1].append(item_id)
-    entries = sorted(by_words.items())
-    index = ItemIndex()
-    df = Counter(t for words, _ in entries for t in set(words))
-    n = len(entries)
-    mean = sum(len(w) for w, _ in entries) / max(1, n)
-    idf = {t: math.log(1 + (n - d + 0.5) / (d + 0.5)) for t, d in df.items()}
-    index.vocabulary = {t: i for i, t in enumerate(sorted(df))}
+        if words := tuple(words_of(text)):
+            entry = by_words.setdefault(words, [text, []])
+            entry[0] = min(entry[0], text)
+            entry[1].append(item_id)
+    return [(w, t, sorted(i for i in ids if i is not None)) for w, (t, ids) in sorted(by_words.items())]
+
+
+def statistics(rows: list[tuple]) -> Statistics:
+    words = [w for w, _, _ in _entries(rows)]
+    return Statistics(len(words), sum(map(len, words)) / max(1, len(words)), max(map(len, words), default=1), Counter(t for w in words for t in set(w)))
+
+
+def build_index(rows: list[tuple], of_all: Statistics | None = None) -> ItemIndex:
+    """of_all: statistics of all items, if rows are but a group of them."""
+    of_all = of_all or statistics(rows)
+    entries = _entries(rows)
+    index, n = ItemIndex(span=of_all.longest), len(entries)
+    index.vocabulary = {t: i for i, t in enumerate(sorted({t for w, _, _ in entries for t in w}))}
+    number = index.vocabulary.__getitem__
+    idf = {t: math.log(1 + (of_all.n - d + 0.5) / (d + 0.5)) for t in index.vocabulary for d in [of_all.df[t]]}
     post: list[tuple[int, int, float, bool]] = []
-    granted = [0.0] * n
-    for k, (words, (text, ids)) in enumerate(entries):
+    granted, answers = [0.0] * n, []
+    for k, (words, text, ids) in enumerate(entries):
         tf = Counter(words)
-        norm = K1 * (1 - B + B * len(words) / mean)
+        norm = K1 * (1 - B + B * len(words) / of_all.mean)
         w = {t: idf[t] * c * (K1 + 1) / (c + norm) for t, c in tf.items()}
-        sh = shingles(list(words))
-        lost = len(sh) - math.ceil(SIMILARITY * len(sh) - 1e-9)
+        n_shingles = len(shingles(words))
+        lost = n_shingles - math.ceil(SIMILARITY * n_shingles - 1e-9)
         # so many shingles may be missing, and with them at most as many words
         heavy = sorted(w.values(), reverse=True)
-        least = max(sum(w.values()) - sum(heavy[:lost]), 0.25 * min(heavy))
-        index.ids.append(sorted(i for i in ids if i is not None))
-        q, a = split_item(text)
-        index.parts.append((sh, shingles(q), shingles(a)))
+        least = max(sum(heavy[lost:]), 0.25 * heavy[-1])
+        index.ids.append(ids)
         index.full.append(least)
-        index.span = max(index.span, len(words))
-        for t, x in sorted(w.items(), key=lambda p: p[1]):
+        answers.append(len(split_item(text)[0]))
+        for t, x in sorted(w.items(), key=lambda p: (p[1], p[0])):
             x /= least
             light = granted[k] + x <= TAKEN_FOR_GRANTED
             if light:
                 granted[k] += x
-            post.append((index.vocabulary[t], k, x, light))
+            post.append((number(t), k, x, light))
     post.sort()
+    index.words = np.array([number(t) for w, _, _ in entries for t in w], np.int32)
+    index.begins = np.cumsum([0, *(len(w) for w, _, _ in entries)])
+    index.answers = index.begins[:-1] + np.array(answers, np.int64)
+    terms = len(index.vocabulary)
     term = np.array([p[0] for p in post], np.int64)
     index.items = np.array([p[1] for p in post], np.int64)
     index.impacts = np.array([p[2] for p in post], np.float64)
-    index.starts = np.searchsorted(term, np.arange(len(df) + 1))
+    index.keys = term * max(1, n) + index.items
+    index.starts = np.searchsorted(term, np.arange(terms + 1))
+    index.top = np.maximum.reduceat(index.impacts, index.starts[:-1]) if terms else np.zeros(0)
     heavy = ~np.array([p[3] for p in post], bool)
     blocks = n // BLOCK + 1
-    key = term[heavy] * blocks + index.items[heavy] // BLOCK
-    uniq, inv = np.unique(key, return_inverse=True)
+    uniq, inv = np.unique(term[heavy] * blocks + index.items[heavy] // BLOCK, return_inverse=True)
     index.bounds = np.zeros(len(uniq))
     np.maximum.at(index.bounds, inv, index.impacts[heavy])
     index.blocks = uniq % blocks
-    index.block_starts = np.searchsorted(uniq // blocks, np.arange(len(df) + 1))
+    index.block_starts = np.searchsorted(uniq // blocks, np.arange(terms + 1))
     index.granted = np.zeros(blocks)
     np.maximum.at(index.granted, np.arange(n) // BLOCK, np.array(granted)) if n else None
-    pairs = [(x, k) for k, (every, _, _) in enumerate(index.parts) for x in every if len(x) == SHINGLE]
-    numbers = np.array([[index.vocabulary[w] for w in x] for x, _ in pairs], np.int64).reshape(-1, SHINGLE)
-    keys = _keys(numbers.T)
-    order = np.argsort(keys, kind="stable")
-    index.shingle_keys, index.shingle_items = keys[order], np.array([k for _, k in pairs], np.int64)[order]
     return index
 
 
-def _expand(terms: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row of terms, place in the postings) for all postings of these terms."""
-    size = starts[terms + 1] - starts[terms]
-    row = np.repeat(np.arange(len(terms)), size)
-    within = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-    return row, starts[terms][row] + within
+def _live_blocks(index: ItemIndex, passage: np.ndarray, term: np.ndarray) -> np.ndarray:
+    """passage * blocks + block, where the block's bound for this passage reaches 1."""
+    size = index.block_starts[term + 1] - index.block_starts[term]
+    row = np.repeat(np.arange(len(term)), size)
+    at = index.block_starts[term][row] + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+    blocks = len(index.granted)
+    key, inv = np.unique(passage[row] * blocks + index.blocks[at], return_inverse=True)
+    return key[np.bincount(inv, index.bounds[at], len(key)) + index.granted[key % blocks] >= _ENOUGH]
 
 
-def search(index: ItemIndex, docs: list[list[str]]) -> list[tuple[int, int, float, int, int]]:
-    """(document, item, score, first and last word of the window) for all windows and items at or over the threshold."""
+def wand(index: ItemIndex, terms: np.ndarray, live: np.ndarray) -> list[tuple[int, float]]:
+    """(item, share of its threshold) of the items in these blocks that the terms lift to their threshold."""
+    n, last = max(1, len(index.ids)), len(index.items) - 1
+    base, end, top = terms * n, index.starts[terms + 1], index.top[terms]
+    at = index.starts[terms]
+    out = []
+    while True:
+        head = np.where(at < end, index.items[np.minimum(at, last)], n)
+        order = np.argsort(head, kind="stable")
+        reach = np.cumsum(top[order])
+        p = int(np.searchsorted(reach, _ENOUGH))
+        if p == len(order) or (pivot := int(head[order[p]])) == n:
+            return out
+        j = int(np.searchsorted(live, pivot // BLOCK))
+        if j == len(live):
+            return out
+        if live[j] != pivot // BLOCK:
+            at = np.maximum(at, np.searchsorted(index.keys, base + int(live[j]) * BLOCK))
+            continue
+        at = np.maximum(at, np.searchsorted(index.keys, base + pivot))
+        here = at[at < end]
+        score = float(index.impacts[here[index.items[here] == pivot]].sum())
+        if score >= _ENOUGH:
+            out.append((pivot, score))
+        at = np.maximum(at, np.searchsorted(index.keys, base + pivot + 1))
+
+
+def search(index: ItemIndex, docs: list[list[str]]) -> dict[tuple[int, int], float]:
+    """{(document, item): score} of the items that a passage retrieves: of its best window, or else of the whole document."""
     if not index.ids:
-        return []
+        return {}
     half = index.span + index.span // 4 + 4
     get = index.vocabulary.get
-    known, window, base = [], [], 0
-    origin = []
-    for words in docs:
+    terms, passages, owner, whole = [], [], [], []
+    for d, words in enumerate(docs):
         ids = np.array([get(w, -1) for w in words], np.int64)
         at = np.flatnonzero(ids >= 0)
-        known.append(ids[at])
-        window.append(base + at // half)
-        n = len(words) // half + 1
-        origin.append(np.full(n + 1, len(origin)))
-        base += n + 1  # an empty slot parts the documents
-    term, slot = np.concatenate(known), np.concatenate(window)
-    if not len(term):
-        return []
-    owner = np.concatenate(origin)
-    first = np.searchsorted(owner, owner)  # the first slot of each slot's document
-    # a window is two slots: each word counts for its slot and the one before, once
+        # window k has the words of the slots k and k + 1
+        windows = max(1, -(-len(words) // half) - 1)
+        slot, first = at // half, len(owner)
+        for k in (np.minimum(slot, windows - 1), np.maximum(slot - 1, 0)):
+            terms.append(ids[at])
+            passages.append(first + k)
+        if windows > 1:
+            terms.append(ids[at])
+            passages.append(np.full(len(at), first + windows))
+        owner += [d] * (windows + (windows > 1))
+        whole += [False] * windows + [True] * (windows > 1)
     size = len(index.vocabulary)
-    pair = np.unique(np.concatenate([slot * size + term, np.where(slot > first[slot], slot - 1, slot) * size + term]))
-    slot, term = pair // size, pair % size
-    row, at = _expand(term, index.block_starts)
-    n_blocks = len(index.granted)
-    key, inv = np.unique(slot[row] * n_blocks + index.blocks[at], return_inverse=True)
-    bound = np.bincount(inv, index.bounds[at], len(key)) + index.granted[key % n_blocks]
-    live = key[bound >= 1 - 1e-9]
-    if not len(live):
-        return []
-    # the blocks that are left, item by item
-    keep = np.isin(slot, live // n_blocks)
-    slot, term = slot[keep], term[keep]
-    row, at = _expand(term, index.starts)
-    near = np.isin(slot[row] * n_blocks + index.items[at] // BLOCK, live)
-    row, at = row[near], at[near]
-    n_items = len(index.ids)
-    key, inv = np.unique(slot[row] * n_items + index.items[at], return_inverse=True)
-    score = np.bincount(inv, index.impacts[at], len(key))
+    pair = np.unique(np.concatenate(passages) * size + np.concatenate(terms)) if terms else np.empty(0, np.int64)
+    passage, term = pair // size, pair % size
+    live = _live_blocks(index, passage, term)
+    blocks = len(index.granted)
+    found: dict[tuple[int, int], float] = {}
+    for k in np.unique(live // blocks).tolist():  # windows come before their document
+        a, z = np.searchsorted(live, (k * blocks, (k + 1) * blocks))
+        x, y = np.searchsorted(passage, (k, k + 1))
+        for item, score in wand(index, term[x:y], live[a:z] - k * blocks):
+            key = (owner[k], item)
+            if not whole[k]:
+                found[key] = max(found.get(key, 0.0), score * index.full[item])
+            else:
+                found.setdefault(key, score * index.full[item])
+    return found
+
+
+def _overlaps(index: ItemIndex, item: int, runs: dict[int, set], ids: list[int]) -> list[float]:
+    """Shares of the whole item, its question and its answer in a document; runs: its word runs by length, as far as known."""
+    a, m, z = int(index.begins[item]), int(index.answers[item]), int(index.begins[item + 1])
     out = []
-    for k, s in zip(key[score >= 1 - 1e-9].tolist(), score[score >= 1 - 1e-9].tolist(), strict=True):
-        w, item = divmod(k, n_items)
-        d = int(owner[w])
-        i = (w - int(first[w])) * half
-        out.append((d, item, s * index.full[item], i, i + 2 * half))
+    for x, y in ((a, z), (a, m), (m, z)):
+        part = shingles(index.words[x:y].tolist())
+        n = min(SHINGLE, y - x)
+        if n not in runs:
+            runs[n] = set(zip(*(ids[i:] for i in range(n)), strict=False))
+        out.append(len(part & runs[n]) / len(part) if part else 1.0)
+        if out[-1] < SIMILARITY:
+            break
     return out
 
 
-def spread_items(index: ItemIndex, words: list[str]) -> list[tuple[int, float]]:
-    """(item, score) of the items with enough shingles anywhere in the document; verified by the caller."""
-    if len(words) < SHINGLE or not len(index.shingle_keys):
-        return []
+def leaks(index: ItemIndex, docs: list[list[str]]) -> list[tuple[int, int, float, float, float, float]]:
+    """(document, item, score, overlap, question overlap, answer overlap) of the verified items."""
+    found = search(index, docs)
     get = index.vocabulary.get
-    ids = np.array([get(w, -1) for w in words], np.int64)
-    n = len(ids) - SHINGLE + 1
-    known = np.concatenate(([0], np.cumsum(ids >= 0)))
-    at = np.flatnonzero(known[SHINGLE:] - known[:n] == SHINGLE)
-    if not len(at):
-        return []
-    keys = np.unique(_keys([ids[at + j] for j in range(SHINGLE)]))
-    low, high = (np.searchsorted(index.shingle_keys, keys, side) for side in ("left", "right"))
-    size = high - low
-    places = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
-    items, counts = np.unique(index.shingle_items[places], return_counts=True)
-    out = []
-    for item, c in zip(items.tolist(), counts.tolist(), strict=True):
-        if c / len(index.parts[item][0]) >= SIMILARITY:
-            post = np.flatnonzero(index.items == item)
-            have = np.isin(np.searchsorted(index.starts, post, "right") - 1, ids)
-            out.append((item, float(index.impacts[post][have].sum() * index.full[item])))
+    out, now, ids, runs = [], -1, [], {}
+    for d, item in sorted(found):
+        if d != now:
+            now, ids, runs = d, [get(w, -1) for w in docs[d]], {}
+        shares = _overlaps(index, item, runs, ids)
+        if shares[-1] >= SIMILARITY:
+            out.append((d, item, found[d, item], *shares))
     return out
 
 
-def leaks(index: ItemIndex, docs: list[list[str]]) -> list[tuple[int, int, float, float, float, float]]:
-    """(document, item, score, overlap, question overlap, answer overlap) of the verified items, best window each, or else the whole document."""
-    best: dict[tuple[int, int], tuple] = {}
-    share = lambda part, have: len(part & have) / len(part) if part else 1.0
-    for d, item, score, a, z in search(index, docs):
-        every, question, answer = index.parts[item]
-        words = docs[d][a:z]
-        short = min(len(next(iter(every))), SHINGLE)
-        have = {tuple(words[i : i + short]) for i in range(len(words) - short + 1)}
-        overlap = share(every, have)
-        if overlap >= SIMILARITY:
-            parts = [share({s for s in p if len(s) == short}, have) for p in (question, answer)]
-            best[d, item] = max(best.get((d, item), (0,)), (overlap, score, *parts))
-    for d, words in enumerate(docs):
-        more = [(i, s) for i, s in spread_items(index, words) if (d, i) not in best]
-        have = shingles(words) if more else set()
-        for item, score in more:
-            every, question, answer = index.parts[item]
-            if share(every, have) >= SIMILARITY:
-                parts = [share({s for s in p if len(s) == SHINGLE}, have) for p in (question, answer)]
-                best[d, item] = (share(every, have), score, *parts)
-    return [(d, i, s, o, q, a) for (d, i), (o, s, q, a) in sorted(best.items())]
-
-
-def item_groups(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """All items, in groups of about ITEM_BYTES of text."""
-    items = items.select("item_id", "text").where("text is not null")
+def keyed_items(items: DataFrame) -> DataFrame:
+    """The items that have words, with a key of their words and their number."""
+    schema = T.StructType([*items.select("item_id", "text").schema, T.StructField("key", T.LongType()), T.StructField("n_words", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches, 1):
+            words = [words_of(t) for t in b.column(1).to_pylist()]
+            keep = [i for i, w in enumerate(words) if w]
+            keys = [xxhash.xxh64_intdigest(" ".join(words[i]).encode()) - (1 << 63) for i in keep]
+            cols = [b.column(0).take(pa.array(keep, pa.int64())), b.column(1).take(pa.array(keep, pa.int64())), pa.array(keys, pa.int64()), pa.array([len(words[i]) for i in keep], pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=schema.names)
+
+    return items.select("item_id", "text").mapInArrow(run, schema)
+
+
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in small_batches(batches, 0):
+        yield pa.RecordBatch.from_arrays([pa.array([w for t in b.column(0).to_pylist() for w in set(words_of(t))], pa.string())], names=["word"])
+
+
+def item_groups(items: DataFrame) -> Iterator[tuple[list[tuple], Statistics | None]]:
+    """All items, in groups of about ITEM_BYTES of text, items of equal words together; with the statistics of all if there are several groups."""
+    items = stored(keyed_items(items), "items")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = math.ceil(total / ITEM_BYTES)
-    group = F.pmod(F.xxhash64("text"), F.lit(max(1, n)))
+    if n == 1:
+        yield [(r.item_id, r.text) for r in items.collect()], None
+    if n < 2:
+        return
+    once = items.groupBy("key").agg(F.min("text").alias("text"), F.min("n_words").alias("n_words"))
+    count, n_words, longest = once.agg(F.count("*"), F.sum("n_words"), F.max("n_words")).first()
+    df = stored(once.select("text").mapInArrow(_distinct_words, "word string").groupBy("word").agg(F.count("*").alias("df")), "item-words")
+    group = F.pmod(F.col("key"), F.lit(n))
     for k in range(n):
-        yield [(r.item_id, r.text) for r in items.where(group == k).collect()]
-
-
-FOUND = T.StructType(
-    [
-        T.StructField("item_id", T.LongType()),
-        T.StructField("item_ids", T.ArrayType(T.LongType())),
-        *(T.StructField(c, T.DoubleType()) for c in ("bm25", "overlap", "question_overlap", "answer_overlap")),
-    ]
-)
+        mine = items.where(group == k)
+        known = df.join(mine.select("text").mapInArrow(_distinct_words, "word string").distinct(), "word", "left_semi")
+        yield [(r.item_id, r.text) for r in mine.collect()], Statistics(count, n_words / count, longest, {r.word: r.df for r in known.collect()})
 
 
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """A row for each document and item that it holds; item_ids lists the items of equal words, item_id is the first."""
     spark, parts = docs.sparkSession, []
-    schema = T.StructType([docs.select("doc_id").schema[0], *FOUND])
-    for group in item_groups(items):
-        shared = spark.sparkContext.broadcast(build_index(group))
+    of_item = items.schema["item_id"].dataType
+    doubles = [T.StructField(c, T.DoubleType()) for c in ("bm25", "overlap", "question_overlap", "answer_overlap")]
+    schema = T.StructType([docs.select("doc_id").schema[0], T.StructField("item_id", of_item), T.StructField("item_ids", T.ArrayType(of_item)), *doubles])
+    kind = to_arrow_type(of_item)
+    for group, of_all in item_groups(items):
+        shared = spark.sparkContext.broadcast(build_index(group, of_all))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for b in small_batches(batches, 1, 1 << 20):
-                ids = b.column(0).to_pylist()
                 rows = leaks(index, [words_of(t) for t in b.column(1).to_pylist()])
                 if rows:
-                    yield pa.RecordBatch.from_pylist(
-                        [
-                            {"doc_id": ids[d], "item_id": (index.ids[i] or [None])[0], "item_ids": index.ids[i], "bm25": s, "overlap": o, "question_overlap": q, "answer_overlap": a}
-                            for d, i, s, o, q, a in rows
-                        ],
-                        pa.schema([b.schema.field(0).with_name("doc_id"), ("item_id", pa.int64()), ("item_ids", pa.list_(pa.int64())), *((c, pa.float64()) for c in FOUND.names[2:])]),
-                    )
+                    d, i, *shares = zip(*rows, strict=True)
+                    ids = [index.ids[x] for x in i]
+                    cols = [b.column(0).take(pa.array(d, pa.int64())), pa.array([(x or [None])[0] for x in ids], kind), pa.array(ids, pa.list_(kind)), *(pa.array(x, pa.float64()) for x in shares)]
+                    yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
         parts.append(docs.select("doc_id", "text").mapInArrow(run, schema))
     if not parts:
@@ -315,8 +360,8 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no item, with all their columns; nothing is shuffled."""
     at = docs.columns.index("text")
-    for group in item_groups(items):
-        shared = docs.sparkSession.sparkContext.broadcast(build_index(group))
+    for group, of_all in item_groups(items):
+        shared = docs.sparkSession.sparkContext.broadcast(build_index(group, of_all))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for b in small_batches(batches, at, 1 << 20):
