@@ -37,8 +37,9 @@ SAMPLE = 6000
 TERMS = 4000
 MIN_TOXIC = 5
 MIN_WEIGHT = 1.8
-STEMS = (3, 4, 5, 6)
-FUZZY_LENGTH = 5
+STEMS = (3, 4, 5, 6, 7, 8)
+#: Letters from which on a term is caught misspelled, and from which on whatever the edit; below that the first letter must stand and none be missing.
+FUZZY_LENGTH, FUZZY_FREELY = 4, 5
 FUZZY_WEIGHT = 0.8
 QUOTED = 0.35
 NEAR = 12
@@ -136,8 +137,8 @@ class Matcher:
         w = bare(token)
         found = [(self.words[w], w)] if w in self.words else []
         found += [(self.stems[w[:k]], w[:k] + "-") for k in STEMS if len(w) > k and w[:k] in self.stems]
-        if not found and len(w) >= FUZZY_LENGTH - 1 and w not in self.clean:
-            found = [(FUZZY_WEIGHT * self.words[t], t) for t in self.fuzzy.find(w)]
+        if not found and len(w) >= FUZZY_LENGTH and w not in self.clean:
+            found = [(FUZZY_WEIGHT * self.words[t], t) for t in self.fuzzy.find(w) if len(t) >= FUZZY_FREELY or (w[0] == t[0] and len(w) >= len(t))]
         return max(found, default=None)
 
     def hits_in(self, tokens: list[str]) -> set[str]:
@@ -153,7 +154,9 @@ class Matcher:
         return {t for t in distinct if t in self.hits} if len(distinct) < len(self.hits) else distinct & self.hits.keys()
 
 
-N_FEATURES = 7
+N_FEATURES = 9
+#: So many of them, the first, are evidence of toxicity, which never lowers a score.
+EVIDENCE = 7
 
 
 def features(text: str | None, matcher: Matcher) -> list[float]:
@@ -177,7 +180,11 @@ def features(text: str | None, matcher: Matcher) -> list[float]:
     for w, t in each:
         best[t] = max(best.get(t, 0.0), w)
     own = sum(w for w, _ in each)
-    return [max(best.values()), min(30.0, sum(best.values())), math.log1p(own), min(5.0, 10 * own / len(tokens)), math.log1p(len(best)), near / len(where), reported / len(where)]
+    # terms that clean texts use now and then: so many hits are evidence in so long a text only if there are more than it explains
+    return [
+        max(best.values()), min(30.0, sum(best.values())), math.log1p(own), min(5.0, 10 * own / len(tokens)), math.log1p(len(best)), near / len(where), own / math.sqrt(len(tokens)),
+        reported / len(where), math.log1p(len(tokens)),
+    ]
 
 
 def _quoted(text: str, hot: set[str]) -> dict[str, set[int]]:
@@ -233,7 +240,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[np.n
             w -= step / max(1.0, np.abs(step).max() / 4)
             if np.abs(step).max() < 1e-6:
                 break
-        low = np.flatnonzero(w[:6] < -1e-9)
+        low = np.flatnonzero(w[:EVIDENCE] < -1e-9)
         if not len(low):
             break
         free[low] = False
