@@ -6,7 +6,10 @@ by counting, again and again, the exact bytes of the key ranges that may hold
 it, each round 1,024 times narrower, for all splitters in one pass.  A round
 stops for a splitter whose place misses its target by no more than the
 tolerance (0: until a single row is left).  Then rows are exchanged once, to
-``cells`` even parts of each shard, and numbered there.
+``cells`` even parts of each shard, cut further by the first bits of the key
+where there are many rows, and numbered there.  Cells and bits follow the row
+count; the counts of the parts, at most ``PARTS`` and one for each cell, say
+where each begins.
 
 Equal texts stand side by side and share a shard unless a splitter falls among
 them; then doc_id parts them, so a group of copies of any size spreads over as
@@ -15,7 +18,7 @@ many cells as its bytes fill.  Only DataFrame functions run.
 Defined cases: a null text has no bytes and counts 1, as an empty one does; a
 null doc_id sorts first; rows equal in text and doc_id stay together; an empty
 table gives no rows.  Columns of the input that clash with those added are
-renamed with the prefix ``doc_``.
+renamed with the prefix ``doc_``, twice or more if that name is taken too.
 """
 
 from __future__ import annotations
@@ -23,10 +26,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import read_table, stored
+from quire.llm.common import read_table, stored, unused
 
 SHARDS = 16
-CELLS = 4
+#: Parts of a shard, fewest and most.
+CELLS = (4, 16)
+#: Rows that one task should sort and number.
+ROWS = 1 << 18
+#: Most parts by the first bits of the key.
+PARTS = 1 << 16
 #: Share of a shard's bytes by which a splitter may miss its target.
 TOLERANCE = 0.0
 KEY_BITS, DIGIT = 60, 10
@@ -104,28 +112,62 @@ def find_splitters(keys: DataFrame, parts: int, tolerance: float = TOLERANCE) ->
     return [bounds[i] for i in sorted(bounds)]
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, cells: int = CELLS, tolerance: float = TOLERANCE) -> DataFrame:
-    """All rows and columns, with size, text_crc32, law ('bytes'), shard, slot (gapless in each shard) and grown_shard (null)."""
-    clash = [F.col(c).alias(f"doc_{c}") if c in ADDED else F.col(c) for c in docs.columns]
+def parts_of(rows: int, shards: int = SHARDS) -> tuple[int, int]:
+    """(cells of a shard, bits of the key that cut them further) for so many rows."""
+    cells = max(CELLS[0], min(CELLS[1], -(-rows // (shards * ROWS))))
+    return cells, max(0, min((PARTS - 1).bit_length(), (rows // ROWS).bit_length() if rows > shards * cells * ROWS else 0))
+
+
+def shard_documents(docs: DataFrame, shards: int = SHARDS, cells: int | None = None, tolerance: float = TOLERANCE, bits: int | None = None) -> DataFrame:
+    """All rows and columns, with size, text_crc32, law ('bytes'), shard, slot (gapless in each shard) and grown_shard (null).
+
+    cells, bits: as parts_of gives them for the number of rows, unless named.
+    """
+    names, own = renamed(docs), unused(docs, "k", "d", "c", "p", "size", "first")
+    key, doc, cell_, part, size, first = own
     keys = stored(docs.select(row_key().alias("k"), row_id().alias("d"), row_size().alias("size")), "shard-keys")
+    by_count = parts_of(keys.count(), shards)
+    cells, bits = by_count[0] if cells is None else cells, by_count[1] if bits is None else bits
     bounds = find_splitters(keys, shards * cells, tolerance)
     limits = F.array(*(F.struct(F.lit(k).cast("long").alias("k"), F.lit(d).cast("long").alias("d")) for k, d in bounds)) if bounds else None
 
     def cell(k: Column, d: Column) -> Column:
         return F.size(F.filter(limits, lambda b: b < F.struct(k.alias("k"), d.alias("d")))) if bounds else F.lit(0)
 
-    counts = dict(keys.groupBy(cell(F.col("k"), F.col("d")).alias("c")).count().collect())
-    first, so_far = [], 0
-    for c in range(shards * cells):
-        so_far = 0 if c % cells == 0 else so_far
-        first.append(so_far)
-        so_far += counts.get(c, 0)
-    put = docs.select(*clash, row_size().alias("size"), F.crc32(_text()).alias("text_crc32"), F.lit("bytes").alias("law"), row_key().alias("__k"), row_id().alias("__d"))
-    put = put.withColumn("__c", cell(F.col("__k"), F.col("__d")))
-    place = F.row_number().over(Window.partitionBy("__c").orderBy("__k", "__d")) - 1
-    slot = (F.element_at(F.array(*map(F.lit, first)), F.col("__c") + 1) + place).cast("long")
-    out = put.withColumn("slot", slot).withColumn("shard", F.floor(F.col("__c") / cells).cast("int"))
-    return out.withColumn("grown_shard", F.lit(None).cast("int")).drop("__k", "__d", "__c")
+    def prefix(k: Column) -> Column:
+        return F.shiftright(k, KEY_BITS - bits).cast("int")
+
+    put = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)), row_size().alias(size), F.crc32(_text()).alias("text_crc32"), row_key().alias(key), row_id().alias(doc))
+    put = put.withColumn(cell_, cell(F.col(key), F.col(doc))).withColumn(part, prefix(F.col(key)))
+    counts = keys.groupBy(cell(F.col("k"), F.col("d")).alias("c"), prefix(F.col("k")).alias("p")).count()
+    # the parts of a shard in the order of their rows: a window over counts only, at most PARTS and one for each cell
+    before = Window.partitionBy(F.floor(F.col("c") / cells)).orderBy("c", "p").rowsBetween(Window.unboundedPreceding, -1)
+    if bits:
+        begin = counts.select(F.col("c").alias(cell_), F.col("p").alias(part), F.coalesce(F.sum("count").over(before), F.lit(0)).alias(first))
+        put = put.join(F.broadcast(begin), [cell_, part])
+    else:
+        so_far, found = [], {r.c: r["count"] for r in counts.collect()}
+        for c in range(shards * cells):
+            so_far.append(so_far[-1] + found.get(c - 1, 0) if c % cells else 0)
+        put = put.withColumn(first, F.element_at(F.array(*(F.lit(n).cast("long") for n in so_far)), F.col(cell_) + 1))
+    place = F.row_number().over(Window.partitionBy(cell_, part).orderBy(key, doc)) - 1
+    return put.select(
+        *(F.col(f"`{n}`") for n in names), F.col(size).alias("size"), "text_crc32", F.lit("bytes").alias("law"), F.floor(F.col(cell_) / cells).cast("int").alias("shard"),
+        (F.col(first) + place).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def renamed(docs: DataFrame) -> list[str]:
+    """The names of the columns beside those added: each that clashes gets the prefix doc_, again until it is like no other."""
+    taken = {c.lower() for c in (*docs.columns, *ADDED)}
+    out = []
+    for c in docs.columns:
+        name = c
+        while name.lower() in ADDED or (name != c and name.lower() in taken):
+            name = f"doc_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def op1_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
