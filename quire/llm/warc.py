@@ -9,7 +9,8 @@
    deduplicated twin with fresh headers; a revisit keeps no payload.
 4. ``read_archives`` reads archives back, checking payloads against digests.
 
-Payloads never take part in a shuffle.  A task writes files whose names no
+Payloads never take part in a shuffle.  Headers are dealt by archive over so many
+tasks as there are archives, up to ``TASKS``; an archive has a bounded size.  A task writes files whose names no
 other attempt shares, and only the rows that it commits name them: a task that
 runs again after a lost executor harms nothing.
 
@@ -38,6 +39,8 @@ MIN_PAYLOAD = 1000
 #: An archive ends at this many compressed bytes or records.
 ARCHIVE_BYTES = 8 << 20
 ARCHIVE_RECORDS = 4096
+#: Most tasks that rewrite or read archives.
+TASKS = 10_000
 DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "archive string, record long, page_id long, payload_bytes long, payload_digest string"
@@ -167,8 +170,13 @@ def resolve(index: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
     return joined.select(*index.columns, *(F.when(keep, F.col(c)).alias(c) for c in ("o_page", "o_archive", "o_record")))
 
 
-def write_resolved(resolved: DataFrame, source: str, folder: str) -> DataFrame:
-    """Write the deduplicated twin of every archive; the names of the archives written (column archive)."""
+def by_archive(rows: DataFrame, archives: int) -> DataFrame:
+    """Rows are few bytes that stand for whole archives, so their number of tasks is set and not left to their size."""
+    return rows.repartition(max(1, min(TASKS, archives)), "archive")
+
+
+def write_resolved(resolved: DataFrame, source: str, folder: str, archives: int) -> DataFrame:
+    """Write the deduplicated twin of every archive (there are so many); the names of the archives written (column archive)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -203,7 +211,7 @@ def write_resolved(resolved: DataFrame, source: str, folder: str) -> DataFrame:
         finish()
         yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], names=["archive"])
 
-    ordered = resolved.select("archive", "record", "o_page", "o_archive", "o_record").repartition("archive").sortWithinPartitions("archive", "record")
+    ordered = by_archive(resolved.select("archive", "record", "o_page", "o_archive", "o_record"), archives).sortWithinPartitions("archive", "record")
     return stored(ordered.mapInArrow(run, "archive string"), "warc-archives")
 
 
@@ -234,7 +242,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return archives.select("archive").repartition("archive").mapInArrow(run, READ)
+    return by_archive(archives.select("archive"), archives.count()).mapInArrow(run, READ)
 
 
 def deduplicated_archives(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> tuple[DataFrame, str]:
@@ -242,7 +250,8 @@ def deduplicated_archives(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> t
     spark = pages.sparkSession
     raw, out = shared_dir(spark, "warc-raw"), shared_dir(spark, "warc")
     index = write_archives(pages, raw)
-    return write_resolved(resolve(index, min_payload), raw, out), out
+    # each archive has one record 0
+    return write_resolved(resolve(index, min_payload), raw, out, index.where("record = 0").count()), out
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
