@@ -2,20 +2,25 @@
 
 A fingerprint is cut into ``segments`` parts.  Of two fingerprints that differ
 in at most k bits, the ``choose`` most alike parts together differ by at most
-one bit (3 parts of about 21 bits, 1 of them, for k = 4; 5 parts, 2 of them,
-give longer keys for more fingerprints).  Each such union of parts is indexed
-once for every bit of it, with this bit made a wildcard.  Fingerprints that
-share a variant meet in an equality shuffle and are verified.
+one bit (3 parts of about 21 bits, 1 of them, for k = 4 or 5; more parts give
+longer keys, and ``scheme`` takes them as fingerprints get more).  Each such
+union of parts is indexed once for every bit of it, with this bit made a
+wildcard.  Fingerprints that share a variant meet in an equality shuffle and
+are verified.
 
 Only distinct fingerprints take part: exact copies cost one row.  A run of
-fingerprints under one variant never becomes all its pairs: small runs are
-compared, long ones are covered from hubs, and a partition gives back a
-spanning forest of what it has linked.
+fingerprints under one variant never becomes all its pairs: short runs are
+compared; long ones are cut again by parts of which near fingerprints have one
+in common, and what is still long is covered from hubs.  A partition gives back
+a spanning forest of what it has linked.
 
 Defined cases: no words (null, empty or blank text): fingerprint zero.  Fewer
-than four words: the one shingle of all words.  Repeated rows: each row is
+words than a shingle: the one shingle of all words.  Repeated rows: each row is
 returned; a null doc_id never names a component unless all its ids are null.
-Columns other than doc_id and text are not read.
+``near_duplicates`` reads doc_id and text only.  ``keep_one`` takes rows as they
+are, whether or not they have a doc_id or share it, and keeps one of each group:
+that with the smallest doc_id (none last), of those the one whose columns have
+the least hash; columns may have any names.
 """
 
 from __future__ import annotations
@@ -30,24 +35,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import read_table, small_batches, stored
+from quire.llm.common import read_table, small_batches, stored, unused
 from quire.llm.components import connected_components
 
 SHINGLE = 4
 SEED = 42
 BITS = 4
-#: Runs up to this length are compared pair by pair, longer ones from hubs.
+#: By how many bits fingerprints of distinct words of near copies differ.
+COPY_BITS = 5
+#: Runs up to this length are compared pair by pair.
 SHORT_RUN = 24
+#: Most distinct fingerprints, segments and how many of them make a key; the keys have 20, 24, 30 and 26 equal bits or more.
+SCHEMES = ((1 << 23, 3, 1), (1 << 29, 5, 2), (1 << 63, 6, 3), (1 << 63, 7, 3))
 
 
-def simhash(text: str | None) -> int:
+def simhash(text: str | None, shingle: int | None = SHINGLE) -> int:
+    """The fingerprint over runs of so many words, repeats included; None: over the distinct words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes.lower() is A-Z only
     if not words:
         return 0
+    if shingle is None:
+        words, shingle = sorted(set(words)), 1
     joined = b" ".join(words)
     ends = [e - 1 for e in accumulate(len(w) + 1 for w in words)]
     starts = [0, *(e + 1 for e in ends[:-1])]
-    last = ends[SHINGLE - 1 :] or ends[-1:]
+    last = ends[shingle - 1 :] or ends[-1:]
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, last, strict=False)], np.uint64)
     ones = np.zeros(64, np.int64)
@@ -60,21 +72,35 @@ def simhash(text: str | None) -> int:
     return out
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and the 64-bit fingerprint as a signed long, one row per document."""
+def fingerprints(rows: DataFrame, shingle: int | None = SHINGLE) -> DataFrame:
+    """The columns of rows without text, and behind them the 64-bit fingerprint as a signed long (fp), row by row."""
+    at = rows.columns.index("text")
+    names = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, 1):
-            fp = np.array([simhash(t) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
+        for b in small_batches(batches, at):
+            fp = np.array([simhash(t, shingle) for t in b.column(at).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(b.columns) if i != at), pa.array(fp)], names=[*names, "fp"])
 
-    out = T.StructType([docs.select("doc_id").schema[0], T.StructField("fp", T.LongType())])
-    return docs.select("doc_id", "text").mapInArrow(run, out)
+    return rows.mapInArrow(run, T.StructType([*rows.select(*names).schema, T.StructField("fp", T.LongType())]))
+
+
+def scheme(distinct: int, k: int = BITS) -> tuple[int, int]:
+    """(segments, choose) for so many distinct fingerprints: keys so long that few unlike ones share one."""
+    for most, *parts in SCHEMES:
+        if distinct <= most and _apart(*parts, k) <= 1:
+            return tuple(parts)
+    raise ValueError(f"no scheme bears {k} bits")
+
+
+def _apart(segments: int, choose: int, k: int) -> int:
+    """The most bits by which the choose most alike of these segments differ together, if all differ by k."""
+    return k // segments * choose + max(0, k % segments - (segments - choose))
 
 
 def variant_masks(segments: int = 3, choose: int = 1, k: int = BITS) -> list[int]:
     """One mask for each indexed variant: the bits that must be equal."""
-    if k // segments * choose + max(0, k % segments - (segments - choose)) > 1:
+    if _apart(segments, choose, k) > 1:
         raise ValueError("the chosen segments of near fingerprints would differ by more than one bit")
     cuts = [round(i * 64 / segments) for i in range(segments + 1)]
     parts = [sum(1 << b for b in range(a, z)) for a, z in zip(cuts, cuts[1:], strict=False)]
@@ -98,12 +124,12 @@ def _variants(masks: list[int]):
     return run
 
 
-def _near(a: np.ndarray, b) -> np.ndarray:
-    return np.bitwise_count(a ^ b) <= BITS
+def _near(a: np.ndarray, b, k: int = BITS) -> np.ndarray:
+    return np.bitwise_count(a ^ b) <= k
 
 
-def run_links(a: np.ndarray) -> list[tuple[int, int]]:
-    """Index pairs that join exactly those members of a run that chains of links join; few of them."""
+def hub_links(a: np.ndarray, k: int = BITS) -> list[tuple[int, int]]:
+    """Index pairs that join exactly those members of a that chains of links join; few of them, if many are alike."""
     n = len(a)
     label = np.arange(n)
     out = []
@@ -117,7 +143,7 @@ def run_links(a: np.ndarray) -> list[tuple[int, int]]:
 
     left = np.arange(n)
     while len(left):
-        near = np.flatnonzero(_near(a, a[left[0]]))
+        near = np.flatnonzero(_near(a, a[left[0]], k))
         join(int(left[0]), near)
         covered = np.zeros(n, bool)
         covered[near] = True
@@ -126,78 +152,114 @@ def run_links(a: np.ndarray) -> list[tuple[int, int]]:
     names, counts = np.unique(label, return_counts=True)
     if len(names) > 1:
         for i in np.flatnonzero(label != names[np.argmax(counts)]).tolist():
-            join(i, np.flatnonzero(_near(a, a[i])))
+            join(i, np.flatnonzero(_near(a, a[i], k)))
     return out
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by variant key: a spanning forest of the verified links of this partition."""
-    parent: dict[int, int] = {}
+def _short_links(key: np.ndarray, fp: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows sorted by key, all near pairs under one key, given that no key has more than SHORT_RUN."""
+    one, two = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+    for s in range(1, min(SHORT_RUN, len(key))):
+        same = np.flatnonzero(key[s:] == key[:-s])
+        if not len(same):
+            break
+        hit = same[_near(fp[same], fp[same + s], k) & (fp[same] != fp[same + s])]
+        one.append(fp[hit])
+        two.append(fp[hit + s])
+    return np.concatenate(one), np.concatenate(two)
 
-    def find(x: int) -> int:
-        root = x
-        while (p := parent.get(root, root)) != root:
-            root = p
-        while x != root:
-            parent[x], x = root, parent.get(x, x)
-        return root
 
-    def union(xs: list[int], ys: list[int]) -> None:
-        for x, y in zip(xs, ys, strict=True):
-            x, y = find(x), find(y)
-            parent[max(x, y)] = min(x, y)
-            parent.setdefault(min(x, y), min(x, y))
+def run_links(a: np.ndarray, k: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that join exactly those of the distinct fingerprints a that chains of links join.
 
-    def settle(key: np.ndarray, fp: np.ndarray) -> None:
-        if len(key) < 2:
-            return
+    Of k + 1 parts near fingerprints have one in common, so unlike ones meet under few of them.
+    """
+    cuts = [round(i * 64 / (k + 1)) for i in range(k + 2)]
+    one, two = [], []
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        key = a >> np.uint64(lo) & np.uint64((1 << (hi - lo)) - 1)
+        order = np.argsort(key, kind="stable")
+        key, fp = key[order], a[order]
         edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
         size = np.diff(edge)
         for r in np.flatnonzero(size > SHORT_RUN).tolist():
-            a = np.unique(fp[edge[r] : edge[r + 1]])
-            if len({find(x) for x in a.view(np.int64).tolist()}) > 1:
-                pairs = run_links(a)
-                if pairs:
-                    i, j = np.array(pairs).T
-                    union(a[i].view(np.int64).tolist(), a[j].view(np.int64).tolist())
+            part = fp[edge[r] : edge[r + 1]]
+            if pairs := hub_links(part, k):
+                i, j = np.array(pairs).T
+                one.append(part[i])
+                two.append(part[j])
         short = np.repeat((size > 1) & (size <= SHORT_RUN), size)
-        key, fp = key[short], fp[short]
-        for s in range(1, min(SHORT_RUN, len(key))):
-            same = np.flatnonzero(key[s:] == key[:-s])
-            if not len(same):
-                break
-            hit = same[_near(fp[same], fp[same + s]) & (fp[same] != fp[same + s])]
-            if len(hit):
-                pairs = np.unique(np.stack([fp[hit], fp[hit + s]], 1), axis=0).view(np.int64)
-                union(pairs[:, 0].tolist(), pairs[:, 1].tolist())
-
-    key, fp = np.empty(0, np.int64), np.empty(0, np.uint64)
-    for b in batches:
-        if not b.num_rows:
-            continue
-        key = np.concatenate([key, b.column(0).to_numpy(zero_copy_only=False)])
-        fp = np.concatenate([fp, b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)])
-        cut = int(np.searchsorted(key, key[-1]))  # the last run may go on
-        settle(key[:cut], fp[:cut])
-        key, fp = key[cut:], fp[cut:]
-    settle(key, fp)
-    nodes = [x for x in parent if find(x) != x]
-    for i in range(0, len(nodes), 1 << 16):
-        part = nodes[i : i + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(x) for x in part], pa.int64())], names=["u", "v"])
-
-
-def fingerprint_components(prints: DataFrame, segments: int = 3, choose: int = 1) -> DataFrame:
-    """(node, root) of the distinct fingerprints (column fp) that have a link."""
-    single = prints.select("fp").distinct()
-    keyed = single.mapInArrow(_variants(variant_masks(segments, choose)), "key long, fp long")
-    links = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_links, "u long, v long")
+        x, y = _short_links(key[short], fp[short], k)
+        one.append(x)
+        two.append(y)
+    return np.concatenate(one), np.concatenate(two)
+
+
+def _links(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """From rows sorted by variant key: a spanning forest of the verified links of this partition."""
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            root = x
+            while (p := parent.get(root, root)) != root:
+                root = p
+            while x != root:
+                parent[x], x = root, parent.get(x, x)
+            return root
+
+        def union(xs: np.ndarray, ys: np.ndarray) -> None:
+            for x, y in zip(xs.view(np.int64).tolist(), ys.view(np.int64).tolist(), strict=True):
+                x, y = find(x), find(y)
+                parent[max(x, y)] = min(x, y)
+                parent.setdefault(min(x, y), min(x, y))
+
+        def settle(key: np.ndarray, fp: np.ndarray) -> None:
+            if len(key) < 2:
+                return
+            edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+            size = np.diff(edge)
+            for r in np.flatnonzero(size > SHORT_RUN).tolist():
+                a = np.unique(fp[edge[r] : edge[r + 1]])
+                if len({find(x) for x in a.view(np.int64).tolist()}) > 1:
+                    union(*run_links(a, k))
+            short = np.repeat((size > 1) & (size <= SHORT_RUN), size)
+            x, y = _short_links(key[short], fp[short], k)
+            if len(x):
+                pairs = np.unique(np.stack([x, y], 1), axis=0)
+                union(np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))
+
+        key, fp = np.empty(0, np.int64), np.empty(0, np.uint64)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            key = np.concatenate([key, b.column(0).to_numpy(zero_copy_only=False)])
+            fp = np.concatenate([fp, b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)])
+            cut = int(np.searchsorted(key, key[-1]))  # the last run may go on
+            settle(key[:cut], fp[:cut])
+            key, fp = key[cut:], fp[cut:]
+        settle(key, fp)
+        nodes = [x for x in parent if find(x) != x]
+        for i in range(0, len(nodes), 1 << 16):
+            part = nodes[i : i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(x) for x in part], pa.int64())], names=["u", "v"])
+
+    return run
+
+
+def fingerprint_components(prints: DataFrame, segments: int | None = None, choose: int = 1, k: int = BITS) -> DataFrame:
+    """(node, root) of the distinct fingerprints (column fp) that have a link; segments and choose by their number unless named."""
+    single = stored(prints.select("fp").distinct(), "simhash-distinct")
+    if segments is None:
+        segments, choose = scheme(single.count(), k)
+    keyed = single.mapInArrow(_variants(variant_masks(segments, choose, k)), "key long, fp long")
+    links = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_links(k), "u long, v long")
     return connected_components(links)
 
 
-def near_duplicates(docs: DataFrame, segments: int = 3, choose: int = 1) -> DataFrame:
+def near_duplicates(docs: DataFrame, segments: int | None = None, choose: int = 1) -> DataFrame:
     """doc_id, fp, component_id (smallest doc_id that links reach), one row per document."""
-    prints = stored(fingerprints(docs), "simhash")
+    prints = stored(fingerprints(docs.select("doc_id", "text")), "simhash")
     roots = fingerprint_components(prints, segments, choose)
     per_print = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     rooted = per_print.join(roots, per_print.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
@@ -207,15 +269,27 @@ def near_duplicates(docs: DataFrame, segments: int = 3, choose: int = 1) -> Data
     return prints.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group: the one whose doc_id names it.
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind)
+    return _hashable(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def keep_one(docs: DataFrame, shingle: int | None = None, k: int = COPY_BITS) -> DataFrame:
+    """One row of each group of near copies; rows equal in all columns are one.
 
-    Rows that repeat a doc_id count as one document.  Rows without a doc_id can
-    not be named: of those with equal texts one stays.
+    A changed word moves four shingles but one word, so fingerprints of distinct words tell near copies better.
     """
-    found = near_duplicates(docs.where("doc_id is not null")).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    kept = docs.join(found, docs["doc_id"] == found["__kept"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.union(docs.where("doc_id is null").dropDuplicates(["text"]))
+    one, two = unused(docs, "i1", "i2")
+    every = [F.col(f"`{f.name}`") for f in docs.schema if _hashable(f.dataType)]
+    rows = docs.withColumns({one: F.xxhash64(*every), two: F.xxhash64(F.lit(1), *every)})
+    who = F.struct(F.col("doc_id").isNull(), "doc_id", F.col(one).alias("i1"), F.col(two).alias("i2"))
+    prints = stored(fingerprints(rows.select("text", who.alias("who")), shingle), "simhash")
+    first = prints.groupBy("fp").agg(F.min("who").alias("who"))
+    roots = fingerprint_components(prints, k=k)
+    best = first.join(roots, first.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("who").alias("who"))
+    kept = rows.join(best.select(F.col("who.i1").alias(one), F.col("who.i2").alias(two)), [one, two], "left_semi")
+    return kept.dropDuplicates([one, two]).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
