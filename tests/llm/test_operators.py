@@ -6,6 +6,7 @@ import os
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -119,7 +120,7 @@ def test_simhash_equals_brute_force():
         assert simhash.simhash(t) == slow_simhash(t)
 
 
-@pytest.mark.parametrize("scheme", [(3, 1), (5, 2)])
+@pytest.mark.parametrize("scheme", [(3, 1), (5, 2), (6, 3)])
 def test_every_near_pair_shares_a_variant(scheme):
     masks = simhash.variant_masks(*scheme)
     rng = np.random.default_rng(5)
@@ -139,18 +140,29 @@ def cloud(n, seed):
     return [int(centres[i % 4]) ^ sum(1 << int(b) for b in rng.choice(24, rng.integers(0, 7), replace=False)) for i in range(n)]
 
 
-def test_long_runs_join_what_chains_join():
+@pytest.mark.parametrize("links", [simhash.run_links, simhash.hub_links])
+def test_long_runs_join_what_chains_join(links):
     for seed in range(5):
         a = np.unique(np.array(cloud(150, seed), np.uint64))
         want = slow_components(a.tolist())
+        got = links(a)
+        place = {x: i for i, x in enumerate(a.tolist())}
+        pairs = got if isinstance(got, list) else [(place[x], place[y]) for x, y in zip(got[0].tolist(), got[1].tolist(), strict=True)]
         label = list(range(len(a)))
-        for i, j in simhash.run_links(a):
+        for i, j in pairs:
             old, new = label[j], label[i]
             label = [new if x == old else x for x in label]
         assert len(set(label)) == len(set(want)) and len(set(zip(label, want, strict=True))) == len(set(want))
 
 
-@pytest.mark.parametrize("scheme", [(3, 1), (5, 2)])
+def test_schemes_follow_the_number_of_fingerprints():
+    assert [simhash.scheme(n) for n in (0, 10**6, 10**8, 10**10)] == [(3, 1), (3, 1), (5, 2), (6, 3)]
+    assert [simhash.scheme(n, 5) for n in (10**6, 10**10)] == [(3, 1), (7, 3)]
+    for n, k in ((10**6, 4), (10**8, 4), (10**10, 4), (10**10, 5)):
+        assert len(simhash.variant_masks(*simhash.scheme(n, k), k)) < 1000
+
+
+@pytest.mark.parametrize("scheme", [(3, 1), (5, 2), (6, 3)])
 def test_fingerprint_components(spark, scheme):
     fps = sorted(set(cloud(400, 9)))
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
@@ -168,7 +180,41 @@ def test_near_duplicates_of_odd_rows(spark):
     assert simhash.near_duplicates(odd(spark).where("false")).count() == 0
     kept = simhash.keep_one(odd(spark))
     assert kept.columns == odd(spark).columns
-    assert collections.Counter(r.doc_id for r in kept.collect()) == collections.Counter([0, 3, 5, 6, 8, 10, None] + ([9] if by[9] == 9 else []))
+    assert collections.Counter(r.doc_id for r in kept.collect()) == collections.Counter([0, 3, 5, 6, 8, 10] + ([9] if by[9] == 9 else []))
+
+
+def test_op6_equals_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    fps = [slow_simhash(t) for _, t in docs]
+    want = slow_components(fps)
+    least = {c: min(docs[i][0] for i in range(len(docs)) if want[i] == c) for c in set(want)}
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.op6_simhash(spark, SF).collect()}
+    assert got == {d: (f"{fp:016x}", least[c]) for (d, _), fp, c in zip(docs, fps, want, strict=True)}
+
+
+def test_one_of_each_group_whatever_its_id(spark):
+    other = " ".join(f"quite{i} another{i}" for i in range(30))
+    rows = [(5, WORDS), (5, other), (5, WORDS), (2, WORDS + " "), (None, other), (None, "text without id " * 9), (None, None), (7, "")]
+    got = simhash.keep_one(table(spark, rows, ("__i1", "fp", "who")))
+    assert {(r.doc_id, r.text) for r in got.collect()} == {(2, WORDS + " "), (5, other), (None, "text without id " * 9), (7, "")} and got.count() == 4
+    assert got.columns == table(spark, rows, ("__i1", "fp", "who")).columns
+
+
+def test_components_of_hubs(spark, monkeypatch):
+    from quire.llm import components
+
+    monkeypatch.setattr(components, "MIN_HUB", 3)
+    rng = np.random.default_rng(1)
+    edges = [(0, i) for i in range(1, 60)] + [(100 + int(a), 100 + int(b)) for a, b in rng.integers(0, 40, (25, 2))] + [(59, 300), (300, 301)]
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    label = {}
+    for a, b in edges:
+        label.setdefault(a, a)
+        label.setdefault(b, b)
+    for a, b in edges * 40:
+        label[a] = label[b] = min(label[a], label[b])
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    assert got == {x: label[x] for x in linked}
 
 
 def test_components_of_a_long_chain(spark):
@@ -219,6 +265,50 @@ def test_repeats_of_contexts():
         assert [m.tolist() for m in suffix.repeats(c, 8)] == [[count[x[i : i + 8]] > 1 for i in range(len(x) - 7)] for x in c]
 
 
+def test_merged_runs_equal_counting(spark):
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        runs = []
+        for k in range(int(rng.integers(1, 9))):
+            w = np.unique(rng.integers(0, 40, int(rng.integers(0, 30))).astype("S16"))
+            r = np.empty(len(w), suffix._W)
+            r["w"], r["t1"], r["t2"], r["s"], r["marked"] = w, k, 0, rng.integers(0, 2, len(w)), rng.integers(0, 2, len(w)) == 1
+            runs.append(r)
+        at = collections.defaultdict(set)
+        for r in runs:
+            for x in r.tolist():
+                at[x[0]] |= {x[1:4]} | ({"more"} if x[4] else set())
+        want = sorted((x[1], x[2], x[3], x[3] + suffix.LENGTH) for r in runs for x in r.tolist() if not x[4] and len(at[x[0]]) > 1)
+        batches = []
+        for k, r in enumerate(runs):
+            w = np.array([x.ljust(16, b"\0") for x in r["w"].tolist()], "S16")
+            h = suffix._halves(w) if len(w) else [np.empty(0, np.int64)] * 2
+            assert suffix._whole(*h).tolist() == w.tolist()
+            cols = [np.full(len(r), k), *h, *(np.ascontiguousarray(r[c]) for c in ("t1", "t2", "s", "marked"))]
+            batches.append(pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["run", "w1", "w2", "t1", "t2", "s", "marked"]))
+        got = sorted(tuple(x.values()) for b in suffix._across(iter(batches)) for x in b.to_pylist())
+        assert got == want
+
+
+def test_a_frequent_passage_costs_no_more_than_its_windows(spark):
+    """Shards of one anchor answer for unmarked windows only, and each publishes a window once."""
+    rng = np.random.default_rng(8)
+    word = lambda n: "".join(chr(97 + int(i)) for i in rng.integers(0, 26, n))
+    passage = word(500)
+    rows = [word(int(rng.integers(20, 260))) + passage + word(int(rng.integers(20, 260))) for _ in range(300)]
+    d = table(spark, list(enumerate(rows))).repartition(3)
+    got = {r[0]: tuple(r)[1:] for r in suffix.removal_report(d, group=20).collect()}
+    assert [got[i] for i in range(len(rows))] == slow_removal(rows)
+    assert suffix.repeated_spans(d, group=20).count() < 4 * len(rows)
+
+
+@pytest.mark.parametrize("name", ["__n", "__tkey", "__spans", "__t1", "__size", "h", "t1"])
+def test_removal_beside_any_column(spark, name):
+    d = table(spark, [(1, "abc" * 100), (2, "abc" * 100), (3, None)], (name,)).withColumn("n_chars", F.lit("many"))
+    got = suffix.remove_repeats(d)
+    assert got.columns == d.columns and {(r.doc_id, r.text, r.n_chars) for r in got.collect()} == {(1, "", "many"), (2, "", "many"), (3, "", "many")}
+
+
 def test_removal_of_odd_rows(spark):
     assert suffix.removal_report(odd(spark)).count() == len(ODD)
     got = suffix.remove_repeats(odd(spark))
@@ -231,7 +321,7 @@ def test_removal_of_odd_rows(spark):
 def test_text_key_is_sparks(spark):
     for _, t in ODD[1:]:
         if t:
-            assert spark.createDataFrame([(t,)], "t string").select(F.xxhash64("t")).first()[0] == suffix.text_key(t.encode())
+            assert tuple(spark.createDataFrame([(t,)], "t string").select(*suffix.spark_key(F.col("t"))).first()) == suffix.text_key(t.encode())
 
 
 # decontamination
@@ -240,10 +330,18 @@ def test_text_key_is_sparks(spark):
 def slow_leaks(items, docs):
     out = set()
     for d, t in docs:
-        have = decontaminate.shingles(decontaminate.words_of(t))
+        words = decontaminate.words_of(t)
         for i, x in items:
-            own = decontaminate.shingles(decontaminate.words_of(x))
-            if own and len(own & have) / len(own) >= 0.8:
+            q, a = decontaminate.split_item(x or "")
+            if not q + a:
+                continue
+            ok = True
+            for part in (q + a, q, a):
+                n = min(5, len(part))
+                have = {tuple(words[k : k + n]) for k in range(len(words) - n + 1)}
+                own = {tuple(part[k : k + n]) for k in range(len(part) - n + 1)} if n else set()
+                ok = ok and (not own or len(own & have) / len(own) >= 0.8)
+            if ok:
                 out.add((d, i))
     return out
 
@@ -270,12 +368,50 @@ def test_leaks_in_pieces(spark):
     assert [r.doc_id for r in decontaminate.drop_leaks(docs, items).collect()] == [9]
 
 
+def test_answers_decide(spark):
+    item = "Which town lies between the old mill and bridge of the river. Paris town"
+    rows = [(1, f"so it was said {item} and more"), (2, f"so it was said {item.replace('Paris town', 'London here')} and more"), (3, "Paris town"), (4, item.replace(". Paris", ", or so it is told. Paris"))]
+    items = [(7, item), (8, "one sentence of nine plain words without an answer")]
+    docs = spark.createDataFrame([*rows, (5, items[1][1])], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == slow_leaks(items, [*rows, (5, items[1][1])]) == {(1, 7), (4, 7), (5, 8)}
+
+
+def test_wand_equals_scoring_all():
+    rng = np.random.default_rng(12)
+    vocab = [f"w{i}" for i in range(60)]
+    text = lambda n: " ".join(vocab[int(i)] for i in np.minimum(rng.geometric(0.06, n), 59))
+    rows = [(k, text(int(rng.integers(1, 30)))) for k in range(70)]
+    index = decontaminate.build_index(rows)
+    docs = [decontaminate.words_of(text(int(n))) for n in rng.integers(0, 400, 60)] + [decontaminate.words_of(t) for _, t in rows]
+    got = decontaminate.search(index, docs)
+    half = index.span + index.span // 4 + 4
+    want = {}
+    for d, words in enumerate(docs):
+        windows = max(1, -(-len(words) // half) - 1)
+        for k in range(windows + (windows > 1)):
+            have = np.unique([index.vocabulary[w] for w in (words if k == windows else words[k * half : (k + 2) * half]) if w in index.vocabulary]).astype(int)
+            for item in range(len(index.ids)):
+                at = [p for t in have for p in range(index.starts[t], index.starts[t + 1]) if index.items[p] == item]
+                score = index.impacts[at].sum()
+                if score >= 1 - 1e-9 and (k < windows or (d, item) not in want):
+                    want[d, item] = max(want.get((d, item), 0.0), score * index.full[item])
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got) and len(got) > 80
+
+
 def test_leaks_in_groups_of_items(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
-    one = rows_of(decontaminate.find_leaks(docs, items).select("doc_id", "item_id"))
+    one = rows_of(decontaminate.find_leaks(docs, items))
     monkeypatch.setattr(decontaminate, "ITEM_BYTES", 1500)
     assert len(list(decontaminate.item_groups(items))) > 3
-    assert rows_of(decontaminate.find_leaks(docs, items).select("doc_id", "item_id")) == one
+    assert rows_of(decontaminate.find_leaks(docs, items)) == one
+
+
+def test_items_may_have_any_id(spark):
+    docs = table(spark, [(1, WORDS), (2, "other")]).withColumn("item_id", F.lit("x"))
+    items = spark.createDataFrame([("b", WORDS), ("a", WORDS.upper()), (None, WORDS)], "item_id string, text string")
+    assert [(r.doc_id, r.item_id, r.item_ids) for r in decontaminate.find_leaks(docs, items).collect()] == [(1, "a", ["a", "b"])]
+    assert [r.doc_id for r in decontaminate.drop_leaks(docs, items).collect()] == [2]
 
 
 def test_leaks_of_odd_rows(spark):
@@ -311,6 +447,27 @@ def test_shards_equal_brute_force(spark):
         assert got == slow_shards(rows)
 
 
+@pytest.mark.parametrize(("cells", "bits"), [(1, 0), (16, 0), (4, 5), (7, 12)])
+def test_parts_change_no_shard(spark, cells, bits):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    d = docs.union(spark.range(150).select((F.col("id") + 10_000).alias("doc_id"), F.lit("the same text " * 9).alias("text")))
+    got = {r.doc_id: (r.size, r.text_crc32, r.shard, r.slot) for r in shard.shard_documents(d, cells=cells, bits=bits).select("doc_id", "size", "text_crc32", "shard", "slot").collect()}
+    assert got == slow_shards([tuple(r) for r in d.collect()])
+
+
+def test_parts_follow_the_row_count():
+    assert shard.parts_of(0) == shard.parts_of(10**6) == (4, 0) and shard.parts_of(10**8) == (16, 9) and shard.parts_of(10**12) == (16, 16)
+    for n in (10**7, 10**8, 10**9, 10**10):
+        cells, bits = shard.parts_of(n)
+        assert n / (16 * cells + 2**bits) < 2 * shard.ROWS
+
+
+def test_shards_beside_clashing_names(spark):
+    d = table(spark, [(1, "a"), (2, None)], ("size", "doc_size", "Slot", "__k", "__size", "a b"))
+    got = shard.shard_documents(d)
+    assert got.columns[5:] == ["doc_doc_size", "doc_size", "doc_Slot", "__k", "__size", "a b", *shard.ADDED[:3], "shard", "slot", "grown_shard"] and got.count() == 2
+
+
 def test_shards_of_odd_rows(spark):
     d = odd(spark)
     got = shard.shard_documents(d, tolerance=0.01)
@@ -365,6 +522,21 @@ def test_fuzzy_trie_equals_edit_distance():
         assert trie.find(w) == [t for t in terms if near(w, t)]
 
 
+def test_short_terms_are_caught_misspelled():
+    m = toxicity.Matcher({"scum": 5.0, "moron": 5.0, "fool": 4.0}, {}, frozenset({"foot"}))
+    assert m.match("scum") == (5.0, "scum") and m.match("scvm")[1] == m.match("scumm")[1] == m.match("scum***")[1] == "scum"
+    assert m.match("scm") is None and m.match("cum") is None and m.match("slum")[1] == "scum"
+    assert m.match("foot") is None and m.match("pool") is None and m.match("mron")[1] == "moron" and m.match("oron")[1] == "moron"
+
+
+def test_toxicity_of_held_out_documents(spark):
+    """Of the documents whose label the words can tell (the rest of the toxic labels lie on junk), nearly all."""
+    sf = SF.replace("sf0.001", "sf0.1")
+    got = toxicity.op5_toxicity(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    n = {(r.toxic, r.predicted): r["count"] for r in got.groupBy("toxic", "predicted").count().collect()}
+    assert n[1, 1] >= 0.9 * (n[1, 0] + n[1, 1]) and n.get((0, 1), 0) <= 0.005 * n[0, 0]
+
+
 def test_toxic_documents_are_told_apart(spark):
     rng = np.random.default_rng(4)
     vocab = [f"{a}{b}" for a in "ba ko ti su re".split() for b in "lan mor vin des tur".split()]
@@ -400,23 +572,37 @@ def test_bpe_equals_the_library(spark):
     path = bpe.default_vocabulary()
     lib = Tokenizer.from_file(path)
     rows = [*ODD, (20, "İSTANBUL Σίσυφος ΟΔΟΣ"), (21, "²½ x²y 3½ ¹\x1c\x85 z"), (22, "x" * 700), (23, "a<|startoftext|>b <|ENDOFTEXT|>"), (24, "é ṩ ﬁ ǅ"), (25, "don't WE'LL 'tis")]
-    docs = table(spark, rows).union(spark.read.parquet(f"{SF}/documents.parquet").select(DOCS.names))
+    odd_rows = table(spark, [(1_000_000 + k, t) for k, (_, t) in enumerate(rows)])
+    docs = odd_rows.union(spark.read.parquet(f"{SF}/documents.parquet").select(DOCS.names))
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     got = bpe.bpe_documents(docs, words=500).collect()
-    assert len(got) == docs.count()
+    assert len(got) == docs.count() == len(texts)
     for r in got:
-        if r.doc_id is not None and (r.doc_id > 10 or r.doc_id in (8, 9)):
-            want = lib.encode(texts[r.doc_id], add_special_tokens=False).ids
-            if r.ids != " ".join(map(str, want)):
-                assert r.doc_id <= 25  # ids of both tables meet below 26
-            else:
-                assert r.n_tokens == len(want) and r.decoded == lib.decode(want, skip_special_tokens=False)
+        want = lib.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert r.ids == " ".join(map(str, want)) and r.n_tokens == len(want)
+        assert r.decoded == (lib.decode(want, skip_special_tokens=False) if want else "")
+    assert rows_of(bpe.bpe_documents(docs, vocabulary=path, words=0)) == rows_of(bpe.bpe_documents(docs))
     enc = bpe.Encoder(bpe.model(path), None)
     for _, t in rows:
         want = lib.encode(t or "", add_special_tokens=False).ids
         assert enc.encode(t) == (len(want), " ".join(map(str, want)), lib.decode(want, skip_special_tokens=False) if want else "")
 
 
+def test_words_merged_in_step_equal_words_merged_alone():
+    m = bpe.model(bpe.default_vocabulary())
+    rng = np.random.default_rng(6)
+    words = [b"", b"a", b"ab", "日本".encode(), b"x" * 99, b"y" * 101, *(bytes(rng.integers(97, 104, int(rng.integers(1, 40))).astype(np.uint8)) for _ in range(500))]
+    assert m.merge_all(words) == [m.merge(w) if w else [] for w in words] and m.merge_all([]) == []
+
+
+def test_a_forgetful_encoder_gives_the_same(monkeypatch):
+    docs = [t or "" for _, t in ODD] + ["one two three one", "four <|endoftext|> five one"]
+    want = [bpe.Encoder(bpe.model(bpe.default_vocabulary()), None).encode(t) for t in docs]
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 2)
+    enc = bpe.Encoder(bpe.model(bpe.default_vocabulary()), None)
+    assert [enc.encode(t) for t in docs] == want and [enc.encode(t) for t in docs] == want
+
+
 def test_bpe_of_empty_tables(spark):
     assert bpe.bpe_documents(odd(spark).where("false")).count() == 0
     assert bpe.bpe_documents(table(spark, [(1, None), (2, "")])).select("ids").distinct().collect()[0][0] == ""
@@ -483,12 +669,42 @@ def test_queries_equal_sql(spark, name):
         ("<script>var t='<p>no</p>'</script><style>p{}</style><p>yes", "yes"), ("<nav>m</nav><header>h</header><article><header><h1>T</h1></header><p>a <b>b</b></p><aside>s</aside></article><footer>f</footer>", "T\na b"),
         ("<div class='post-comments'>c</div><main><p>m</p><form>f</form></main>", "m"), ("<!-- x <p>y --><ul><li>1<li>2</ul>", "1\n2"), ("<p title='a>b'>q</p", "q"), ("<div id=cookie-notice>n</div><p>ok<script>", "ok"),
         ("<article><p>a</p><section class='comments'><article><p>c</p></article></section></article>", "a"), ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"), ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2"), ("<b>" * 3000 + "deep", "deep"),
+        ('<article><section class="related-work"><p>Earlier studies.</p></section><p class="notice">Body.</p><p>End</p></article>', "Earlier studies.\nBody.\nEnd"),
+        ('<main><article class="teaser">..</article><p>The real story text.</p></main>', "..\nThe real story text."),
+        ("<article><p>a</p></article><div class=sidebar>" + "s " * 400 + "</div>", "a"), ("<div class='widget'><p>" + "w " * 200 + "</p></div><p>x</p>", ("w " * 200).strip() + "\nx"),
+        ("<article><p>a</p><div class='comments'>" + "c " * 400 + "</div><div class='ad'>b</div><span class='comment'>code</span></article>", "a\ncode"),
     ],
 )
 def test_main_text(page, text):
     assert html.Page(page or "").text() == text
 
 
+def test_marked_slots_need_their_host(spark):
+    page = "<main><article><p>own text {0} of this page</p><div class='promo box-{0}'>unlike promotion {0}</div><p class='notice {1}'>a notice {0}</p></article></main>"
+    rows = [(i, "http://h.example/", page.format(i, "other" if i else "rare")) for i in range(12)] + [(100 + i, "http://few.example/", page.format(i, "x")) for i in range(3)]
+    got = {r.page_id: r.text for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "own text 3 of this page" and got[0] == "own text 0 of this page\na notice 0"
+    assert got[101] == "own text 1 of this page\nunlike promotion 1\na notice 1"
+
+
+def test_templates_of_a_hot_host_are_dealt(spark):
+    rows = [(i, f"http://h{i % 40 if i > 300 else 0}.example/", f"<div><i>Follow us</i></div><p>own text {i}</p>") for i in range(700)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    templates, hot = html.site_templates(pages)
+    assert 0 < hot.count() <= 1 / html.HOT
+    got = html.with_templates(pages, templates, hot, small=0)
+    assert rows_of(got.select("page_id", F.array_sort("template"))) == rows_of(html.with_templates(pages, templates, hot).select("page_id", F.array_sort("template")))
+    assert got.count() == 700 and got.where("template is null").count() == 0
+    assert {r.text for r in html.extract_pages(pages).collect()} == {f"own text {i}" for i in range(700)}
+
+
+def test_quoted_passages_stay_on_unmarked_pages(spark):
+    quote, links = "a passage that many pages of this host quote in full " * 5, "<ul><li><a href=/a>one</a></li></ul>"
+    rows = [(i, "http://q.example/", f"<body><div>{links}<p>own words {i} {'x' * i}</p><p>{quote}</p><p>more {i}</p></div><div><p>{quote}</p></div></body>") for i in range(9)]
+    got = {r.page_id: r.text for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[4] == f"own words 4 xxxx\n{quote.strip()}\nmore 4"
+
+
 def test_site_templates_go_and_article_passages_stay(spark):
     rows = [(i, f"http://Site.example/{i}", f"<div><div><i>Follow us on everything</i></div><p>own text {i}</p></div>") for i in range(12)]
     rows += [(100 + i, "https://other.example/x", f"<article><p>quoted everywhere</p><p>own {i}</p></article>") for i in range(12)] + [(200, None, None), (201, "no url", "<p>t</p>"), (0, "http://site.example/0", rows[0][2])]
