@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +19,23 @@ def responses(fields: Column) -> Column:
     return F.filter(fields, lambda f: has_response(f["role"], f["value"]))
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with value computed once however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def last_wins_map(entries: Column) -> Column:
-    """A map from an array of (key, value) structs; of equal keys the last counts."""
-    keys = F.reverse(F.transform(entries, lambda e: e["key"]))
-    return F.map_from_entries(F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == F.size(keys) - i))
+    """A map from an array of (key, value) structs; of equal keys the last counts.  Two sorts, no search."""
+    placed = F.array_sort(F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), e["value"].alias("value"))))
+    last = _let(placed, lambda s: F.filter(s, lambda e, i: F.coalesce(F.get(s, i + 1)["key"] != e["key"], F.lit(True))))
+    in_order = F.array_sort(F.transform(last, lambda e: F.struct(e["i"].alias("i"), e["key"].alias("key"), e["value"].alias("value"))))
+    return F.map_from_entries(F.transform(in_order, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))
+
+
+def payload_rows(flat: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+    """The payload as rows: of the answers with one field_id the last value by order; combined before the shuffle."""
+    answers = flat.where(has_response(F.col("role"), F.col("value")))
+    return answers.groupBy(*by, F.col("field_id").alias("k")).agg(F.max_by("value", order).alias("v"))
 
 
 def gt_payload(fields: Column) -> Column:

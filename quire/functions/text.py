@@ -77,10 +77,16 @@ def seed_split(seed: Column) -> Column:
     return F.when(v < 7, "train").when(v < 8, "val").otherwise("test")
 
 
-def caption(doc_id: Column, dots: Column, clusters: Column, gaps: Column, notes: Column) -> Column:
+#: Fixed value: the wording of a review caption.
+CAPTION = "%s  |  %d clusters  %d gaps  %d dots stamped"
+
+
+def caption(doc_id: Column, dots: Column, clusters: Column, gaps: Column, notes: Column, logged: Column | None = None) -> Column:
+    """The footer of a reviewed document; one that the run log does not know (not logged) has its id alone."""
     n = lambda c: F.coalesce(c.cast("int"), F.lit(0))
-    head = F.format_string("%s  dots=%d clusters=%d gaps=%d", doc_id, n(dots), n(clusters), n(gaps))
-    return F.when(F.size(notes) > 0, F.concat(head, F.lit("  notes: "), F.array_join(notes, ","))).otherwise(head)
+    counts = F.format_string(CAPTION, doc_id, n(clusters), n(gaps), n(dots))
+    whole = F.when(F.size(notes) > 0, F.concat(counts, F.lit("  |  "), F.array_join(notes, ", "))).otherwise(counts)
+    return whole if logged is None else F.when(logged, whole).otherwise(doc_id)
 
 
 def parse_list(text: str) -> list[str]:

@@ -22,6 +22,36 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return out if exempt is None else out.unionByName(df.where(exempt))
 
 
+#: Tasks that a running sum without groups is cut into, and values of its order that are looked at for each cut.
+CUTS, LOOKED_AT = 64, 32
+
+
+def running(rows: DataFrame, value: str, order: str, out: str, by: Sequence[str] = (), cuts: int = CUTS) -> DataFrame:
+    """The sum of value over the rows before each row (column out, from 0), in each group, or over all rows without one.
+
+    Without groups the rows are cut by order into ranges, summed range by range, and each range begins at the sums
+    before it, so no task sees all rows.  Rows of equal order may come in any order, as in any sort.  The bounds are
+    taken from a fixed number of values; they decide how even the ranges are, not the result.
+    """
+    upto = lambda *part: Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    if by:
+        return rows.withColumn(out, F.coalesce(F.sum(value).over(upto(*by)), F.lit(0)).cast("long"))
+    few = rows.select(F.col(order).alias("o")).where("o is not null").orderBy(F.xxhash64("o"), "o").limit(cuts * LOOKED_AT).collect()
+    seen = sorted({r.o for r in few})
+    bounds = sorted({seen[i * len(seen) // cuts] for i in range(1, cuts)}) if len(seen) > cuts else []
+    cut = F.lit(0)
+    for b in bounds:
+        cut = cut + F.coalesce((F.col(order) >= F.lit(b)).cast("int"), F.lit(0))
+    marked = rows.withColumn("__cut", cut)
+    sums = {r["__cut"]: r.s or 0 for r in marked.groupBy("__cut").agg(F.sum(value).alias("s")).collect()}
+    begins, so_far = [], 0
+    for c in range(len(bounds) + 1):
+        begins.append(F.lit(so_far).cast("long"))
+        so_far += sums.get(c, 0)
+    before = F.coalesce(F.sum(value).over(upto("__cut")), F.lit(0)).cast("long")
+    return marked.withColumn(out, F.element_at(F.array(*begins), F.col("__cut") + 1) + before).drop("__cut")
+
+
 def deduplicate(docs: DataFrame, order: Sequence[str | Column], content_hash: str = "content_hash") -> DataFrame:
     """First on (source, doc_id), then on content among those left; unknown content is never a copy."""
     once = keep_first(docs, ["source", "doc_id"], order)

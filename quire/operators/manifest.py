@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import seeded, subtype
+from quire.operators.corpus import running
 from quire.schema import CATEGORIES
 
 VERSION = 1
@@ -131,9 +132,12 @@ def breakdown(chosen: DataFrame) -> DataFrame:
 
 def build_stats(candidates: DataFrame, excluded: DataFrame, included: DataFrame) -> DataFrame:
     """One row: candidates, dropped by exclusion, included."""
-    n = lambda df, name: df.agg(F.count("*").alias(name))
-    dropped = only(candidates, excluded)
-    return n(candidates, "candidates").crossJoin(n(dropped, "excluded_dropped")).crossJoin(n(included, "included"))
+    parts = {"candidates": candidates, "excluded_dropped": only(candidates, excluded), "included": included}
+    rows = None
+    for name, df in parts.items():
+        part = df.select(F.lit(name).alias("part"))
+        rows = part if rows is None else rows.union(part)
+    return rows.agg(*(F.count_if(F.col("part") == name).alias(name) for name in parts))
 
 
 def last_of_each(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -154,11 +158,10 @@ def review_pages(docs: DataFrame, runs: DataFrame, order: str, only_touched: boo
 
 
 def start_pages(rows: DataFrame, order: str, by: Sequence[str] = ()) -> DataFrame:
-    before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("start_page", (F.coalesce(F.sum("pages").over(before), F.lit(0)) + 1).cast("long"))
+    return running(rows, "pages", order, "start_page", by).withColumn("start_page", F.col("start_page") + 1)
 
 
 def until_successes(rows: DataFrame, limit: int, order: str, ok: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows that run before so many have succeeded; skipped ones do not count."""
-    before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("__n", F.coalesce(F.sum(F.col(ok).cast("int")).over(before), F.lit(0))).where(f"__n < {limit}").drop("__n")
+    counted = running(rows.withColumn("__ok", F.col(ok).cast("int")), "__ok", order, "__n", by)
+    return counted.where(f"__n < {limit}").drop("__n", "__ok")

@@ -316,8 +316,8 @@ def overlay(image: np.ndarray, masks: Sequence[tuple[np.ndarray, tuple[int, int,
     return np.round(out).astype(np.uint8)
 
 
-def degrade(image: np.ndarray, blur: int = 0, salt: float = 0.0, open_: int = 0, close: int = 0, bleed: float = 0.0, seed: int = 0) -> np.ndarray:
-    """Scanner wear: box blur, salt and pepper, morphology along x, the mirrored page shining through."""
+def degrade(image: np.ndarray, blur: int = 0, salt: float = 0.0, open_: tuple[int, int] = (1, 1), close: tuple[int, int] = (1, 1), bleed: float = 0.0, seed: int = 0) -> np.ndarray:
+    """Scanner wear: box blur, salt and pepper, opening or closing with a kernel of so many rows and columns, the mirrored page shining through."""
     out = image.astype(float)
     for axis in (0, 1) if blur else ():
         p = np.pad(out, [(blur, blur) if a == axis else (0, 0) for a in range(out.ndim)], mode="edge")
@@ -331,13 +331,15 @@ def degrade(image: np.ndarray, blur: int = 0, salt: float = 0.0, open_: int = 0,
         out[noise < salt / 2] = 0
         out[noise > 1 - salt / 2] = 255
     out = np.round(out).astype(np.uint8)
-    if open_:
-        out = opened(out, 1, open_ // 2)
-    return closed(out, 1, close // 2) if close else out
+    for kernel, first, then in ((open_, erode, dilate), (close, dilate, erode)):
+        for step in (first, then):
+            for axis, n in enumerate(kernel):
+                out = step(out, axis, n // 2) if n > 1 else out
+    return out
 
 
-#: Wear by profile.
-DEGRADATIONS = {"light": {"blur": 1, "salt": 0.002}, "medium": {"blur": 2, "salt": 0.005, "open_": 3}, "heavy": {"blur": 3, "bleed": 0.8, "salt": 0.01, "close": 9}}
+#: Wear by profile.
+DEGRADATIONS = {"light": {"blur": 1, "salt": 0.002}, "medium": {"blur": 2, "salt": 0.005, "open_": (3, 3)}, "heavy": {"blur": 3, "bleed": 0.8, "salt": 0.01, "close": (9, 1)}}
 
 
 def blank_pages(pages, fields, knobs: dict | None = None, touch: bool = False, least_lines: int = 5):

@@ -92,13 +92,16 @@ def legacy_skip(field_count: Column, source: Column, pdf_path: Column, pdf_found
     )
 
 
-def run_row(docs: DataFrame) -> DataFrame:
-    """The run log's row of each document by lane: docs has doc_id, source, category, fields, page_count."""
+def plan_row(docs: DataFrame) -> DataFrame:
+    """What each document's lane will do: docs has doc_id, source, category, fields, page_count.
+
+    Status is planned or skipped; the run log's rows come from the lane that did the work.
+    """
     lane = dispatch(F.col("category"))
     answers = F.size(F.filter("fields", lambda f: has_response(f["role"], f["value"])))
     able = F.size(F.filter("fields", lambda f: (f["role"] == "answer") & skip_reason(f, F.col("page_count")).isNull()))
     skip = lane.startswith("skipped")
     return docs.select(
-        "doc_id", "source", "category", lane.alias("approach"), F.when(skip, "skipped").otherwise("ok").alias("status"), F.when(skip, F.substring(lane, 9, 200)).alias("reason"),
-        F.when(lane == "content-stream", able).alias("redacted_field_count"), F.when(lane == "widget", answers).alias("cleared_widget_count"),
+        "doc_id", "source", "category", lane.alias("approach"), F.when(skip, "skipped").otherwise("planned").alias("status"), F.when(skip, F.substring(lane, 9, 200)).alias("reason"),
+        F.when(lane == "content-stream", able).alias("redactable_field_count"), F.when(lane == "widget", answers).alias("clearable_field_count"),
     )

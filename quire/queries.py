@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from quire.functions import boxes, fields, text
 from quire.operators import audit, corpus, layout, manifest, pdf, raster
+from quire.plans import release
+from quire.sources import forms
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -117,12 +119,12 @@ def corpus_stats(spark, d):
 
 
 @query(
-    f"""WITH {JUDGED} SELECT source, (count(*) FILTER (WHERE quality IS NOT NULL) / count(*)::DOUBLE + sum(has_gt) / count(*)::DOUBLE) / 2 AS score FROM judged GROUP BY source"""
+    f"""WITH {JUDGED} SELECT source, avg((CASE WHEN quality IS NOT NULL THEN 1.0::DOUBLE ELSE 0 END + has_gt) / 2) AS score FROM judged GROUP BY source"""
 )
 def quality_score(spark, d):
-    docs = judged(spark, d)
     f = F.struct(F.when(F.col("quality").isNotNull(), "answer").otherwise("other").alias("role"), F.lit("x").alias("value"), F.when(F.col("has_gt") == 1, F.array(*map(F.lit, (0.0, 0.0, 1.0, 1.0)))).otherwise(F.array(*map(F.lit, (0.0, 0.0, 0.0, 0.0)))).alias("bbox_norm"))
-    return docs.groupBy("source").agg(F.collect_list(f).alias("fields")).select("source", fields.quality_score(F.col("fields")).alias("score"))
+    scored = corpus.score(judged(spark, d).select("source", F.array(f).alias("fields")))
+    return scored.groupBy("source").agg(F.avg("quality_score").alias("score"))
 
 
 _RANK = "CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 WHEN 'fr' THEN 2 WHEN 'es' THEN 3 ELSE 99 END"
@@ -198,9 +200,17 @@ def last_wins_payload(spark, d):
 
 @query("SELECT user_id, k, v FROM (SELECT user_id, event_type AS k, arg_max(cast(event_id AS VARCHAR), event_id) AS v FROM events GROUP BY user_id, event_type)")
 def payload_map(spark, d):
-    f = F.struct(F.col("event_id").alias("o"), F.col("event_type").alias("field_id"), F.col("event_id").cast("string").alias("value"), F.lit("answer").alias("role"))
-    rows = table(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(f)).alias("fields"))
-    return rows.select("user_id", F.explode(fields.gt_payload(F.col("fields"))).alias("k", "v"))
+    flat = table(spark, d, "events").select("user_id", F.col("event_id").alias("pos"), F.col("event_type").alias("field_id"), F.col("event_id").cast("string").alias("value"), F.lit("answer").alias("role"))
+    return fields.payload_rows(flat, ["user_id"], "pos")
+
+
+@query("SELECT doc_id, CASE WHEN n_chars >= 300 THEN 'b=' || n_chars ELSE 'b=' || source END || ',a=' || lang AS payload FROM documents")
+def payload_in_row(spark, d):
+    f = lambda key, value: F.struct(F.lit(key).alias("field_id"), value.alias("value"), F.lit("answer").alias("role"))
+    n = F.when(F.col("n_chars") >= 300, F.col("n_chars").cast("string")).otherwise("")
+    docs = table(spark, d, "documents").select("doc_id", F.array(f("b", F.col("source")), f("a", F.col("source")), f("b", n), f("a", F.col("lang"))).alias("fields"))
+    m = F.col("gt_payload")
+    return fields.with_derived(docs).select("doc_id", F.concat(F.lit("b="), m["b"], F.lit(",a="), m["a"]).alias("payload"))
 
 
 _ISLANDS = """islands AS (
@@ -328,7 +338,7 @@ def json_props(spark, d):
     return table(spark, d, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "long").alias("k"))
 
 
-_PB = "SELECT DISTINCT (p_size % 50)::DOUBLE AS x0, (p_partkey % 60)::DOUBLE AS y0, (p_size % 50 + 1)::DOUBLE AS x1, (p_partkey % 60 + 1)::DOUBLE AS y1 FROM part WHERE p_partkey % 50 = 0"
+_PB = "SELECT DISTINCT (p_size % 50)::DOUBLE AS x0, (p_partkey % 60)::DOUBLE AS y0, (p_size % 50 + 1)::DOUBLE AS x1, (p_partkey % 60 + 1)::DOUBLE AS y1 FROM part"
 
 
 @query(
@@ -336,22 +346,6 @@ _PB = "SELECT DISTINCT (p_size % 50)::DOUBLE AS x0, (p_partkey % 60)::DOUBLE AS
     SELECT event_id FROM e WHERE EXISTS (SELECT 1 FROM b WHERE x >= x0 AND x <= x1 AND y >= y0 AND y <= y1)"""
 )
 def point_in_box_semi(spark, d):
-    p = table(spark, d, "part").where("p_partkey % 50 = 0")
-    x, y = F.col("p_size") % 50, F.col("p_partkey") % 60
-    b = p.select(x.cast("double").alias("x0"), y.cast("double").alias("y0"), (x + 1).cast("double").alias("x1"), (y + 1).cast("double").alias("y1"))
-    e = table(spark, d, "events").select("event_id", F.col("value").alias("x"), F.minute("ts").cast("double").alias("y"))
-    return layout.points_in_shared_boxes(e, b).select("event_id")
-
-
-#: The same over all parts.
-_PB_ALL = "SELECT DISTINCT (p_size % 50)::DOUBLE AS x0, (p_partkey % 60)::DOUBLE AS y0, (p_size % 50 + 1)::DOUBLE AS x1, (p_partkey % 60 + 1)::DOUBLE AS y1 FROM part"
-
-
-@query(
-    f"""WITH b AS ({_PB_ALL}), e AS (SELECT event_id, value AS x, extract(minute FROM ts)::DOUBLE AS y FROM events)
-    SELECT event_id FROM e WHERE EXISTS (SELECT 1 FROM b WHERE x >= x0 AND x <= x1 AND y >= y0 AND y <= y1)"""
-)
-def point_in_box_semi_all(spark, d):
     p = table(spark, d, "part")
     x, y = F.col("p_size") % 50, F.col("p_partkey") % 60
     b = p.select(x.cast("double").alias("x0"), y.cast("double").alias("y0"), (x + 1).cast("double").alias("x1"), (y + 1).cast("double").alias("y1"))
@@ -359,29 +353,18 @@ def point_in_box_semi_all(spark, d):
     return layout.points_in_shared_boxes(e, b).select("event_id")
 
 
-@query(
-    """WITH p AS (SELECT user_id, event_id, value FROM events WHERE event_type = 'view' OR event_id % 3 = 0), t AS (SELECT user_id, event_id AS target, value FROM events WHERE event_id % 7 = 0)
-    SELECT t.user_id, t.target, arg_min(p.event_id, row(abs(p.value - t.value), p.event_id)) AS nearest_id FROM t JOIN p ON t.user_id = p.user_id GROUP BY t.user_id, t.target"""
-)
-def nearest_dot(spark, d):
-    e = table(spark, d, "events")
-    p = e.where("event_type = 'view' or event_id % 3 = 0").select("user_id", "event_id", "value")
-    t = e.where("event_id % 7 = 0").select("user_id", F.col("event_id").alias("target"), "value")
-    return layout.nearest(p, t, ["user_id"], "event_id", "value", ["target"], "value").select("user_id", "target", "nearest_id").where("nearest_id is not null")
-
-
 @query(
     """WITH p AS (SELECT user_id, event_id, value FROM events WHERE event_type = 'view'), t AS (SELECT user_id, event_id AS target, value FROM events WHERE event_type <> 'view')
     SELECT t.user_id, t.target, arg_min(p.event_id, row(abs(p.value - t.value), p.event_id)) AS nearest_id FROM t JOIN p ON t.user_id = p.user_id GROUP BY t.user_id, t.target"""
 )
-def nearest_dot_all(spark, d):
+def nearest_dot(spark, d):
     e = table(spark, d, "events")
     p = e.where("event_type = 'view'").select("user_id", "event_id", "value")
     t = e.where("event_type <> 'view'").select("user_id", F.col("event_id").alias("target"), "value")
     return layout.nearest(p, t, ["user_id"], "event_id", "value", ["target"], "value").select("user_id", "target", "nearest_id").where("nearest_id is not null")
 
 
-_PTS = "SELECT user_id, event_id, floor(value)::DOUBLE AS y FROM events WHERE user_id % 20 = 0"
+_PTS = "SELECT user_id, event_id, floor(value)::DOUBLE AS y FROM events"
 
 
 @query(
@@ -392,21 +375,6 @@ _PTS = "SELECT user_id, event_id, floor(value)::DOUBLE AS y FROM events WHERE us
     SELECT user_id, event_id, y, band FROM walk"""
 )
 def y_bands(spark, d):
-    e = table(spark, d, "events").where("user_id % 20 = 0").select("user_id", "event_id", F.floor("value").cast("double").alias("y"))
-    return layout.bands(e, ["user_id"], "y", ["event_id"], 2.0)
-
-
-_PTS_ALL = "SELECT user_id, event_id, floor(value)::DOUBLE AS y FROM events"
-
-
-@query(
-    f"""WITH RECURSIVE p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY y, event_id) AS r FROM ({_PTS_ALL})),
-    walk AS (SELECT user_id, event_id, y, r, y AS first, 0 AS band FROM p WHERE r = 1
-        UNION ALL SELECT p.user_id, p.event_id, p.y, p.r, CASE WHEN p.y - w.first > 2 THEN p.y ELSE w.first END, CASE WHEN p.y - w.first > 2 THEN w.band + 1 ELSE w.band END
-        FROM walk w JOIN p ON p.user_id = w.user_id AND p.r = w.r + 1)
-    SELECT user_id, event_id, y, band FROM walk"""
-)
-def y_bands_all(spark, d):
     e = table(spark, d, "events").select("user_id", "event_id", F.floor("value").cast("double").alias("y"))
     return layout.bands(e, ["user_id"], "y", ["event_id"], 2.0)
 
@@ -446,27 +414,13 @@ def baseline_fit(spark, d):
     return layout.baseline(e, ["user_id"], "x", "y").select("user_id", F.round("slope", 6).alias("slope"), F.round("intercept", 5).alias("intercept"))
 
 
-@query(
-    """WITH c AS (SELECT user_id, min(value) AS x_lo, max(value) AS x_hi, avg(value) AS y_center, 1.0::DOUBLE AS mean FROM events GROUP BY user_id),
-    b AS (SELECT DISTINCT user_id, value - 3 AS x0, value - 500 AS y0, value + 3 AS x1, value + 500 AS y1 FROM events WHERE event_id % 11 = 0),
-    j AS (SELECT c.user_id, x_lo, x_hi, x0, x1 FROM c JOIN b ON c.user_id = b.user_id WHERE y0 - 2 <= y_center AND y_center <= y1 + 2)
-    SELECT DISTINCT user_id, 'single_sided:no_right_anchor' AS note FROM j WHERE x1 > x_hi + 1.5::DOUBLE UNION ALL SELECT DISTINCT user_id, 'single_sided:no_left_anchor' FROM j WHERE x0 < x_lo - 1.5::DOUBLE"""
-)
-def single_sided_notes(spark, d):
-    e = table(spark, d, "events")
-    c = e.groupBy("user_id").agg(F.min("value").alias("x_lo"), F.max("value").alias("x_hi"), F.avg("value").alias("y_center"), F.lit(1.0).alias("mean"))
-    v = F.col("value")
-    b = e.where("event_id % 11 = 0").select("user_id", (v - 3).alias("x0"), (v - 500).alias("y0"), (v + 3).alias("x1"), (v + 500).alias("y1")).distinct()
-    return layout.single_sided(c, b, ["user_id"]).select("user_id", "note").distinct()
-
-
 @query(
     """WITH c AS (SELECT user_id, min(value) AS x_lo, max(value) AS x_hi, avg(value) AS y_center, 1.0::DOUBLE AS mean FROM events GROUP BY user_id),
     b AS (SELECT DISTINCT user_id, value - 3 AS x0, value - 500 AS y0, value + 3 AS x1, value + 500 AS y1 FROM events),
     j AS (SELECT c.user_id, x_lo, x_hi, x0, x1 FROM c JOIN b ON c.user_id = b.user_id WHERE y0 - 2 <= y_center AND y_center <= y1 + 2)
     SELECT DISTINCT user_id, 'single_sided:no_right_anchor' AS note FROM j WHERE x1 > x_hi + 1.5::DOUBLE UNION ALL SELECT DISTINCT user_id, 'single_sided:no_left_anchor' FROM j WHERE x0 < x_lo - 1.5::DOUBLE"""
 )
-def single_sided_notes_all(spark, d):
+def single_sided_notes(spark, d):
     e = table(spark, d, "events")
     c = e.groupBy("user_id").agg(F.min("value").alias("x_lo"), F.max("value").alias("x_hi"), F.avg("value").alias("y_center"), F.lit(1.0).alias("mean"))
     v = F.col("value")
@@ -586,11 +540,10 @@ def pixel_diff(spark, d):
     return out.withColumns({c: F.round(c, 9) for c in ("mean_diff", "std_diff", "bright_a", "bright_b")})
 
 
-@query(f"WITH {SPLIT} SELECT doc_id || '_' || p AS doc_id, source || '_degraded' AS source, p AS profile, 'train' AS split FROM split, (SELECT unnest(['light', 'medium', 'heavy']) AS p) WHERE split = 'train' AND source = 'src0'")
+@query(f"WITH {SPLIT} SELECT doc_id || '_' || p AS doc_id, 'synthetic_' || source || '_degraded' AS source, p AS profile, 'degraded_synthetic' AS quality_tier, 'train' AS split FROM split, (SELECT unnest(['light', 'medium', 'heavy']) AS p) WHERE split = 'train'")
 def degrade_cross(spark, d):
-    docs = divided(spark, d).where("source = 'src0'").select(F.col("doc_id").cast("string").alias("doc_id"), F.lit("synthetic_").alias("s"), "source", "split")
-    docs = docs.withColumn("source", F.concat("s", "source")).withColumn("quality_tier", F.lit("clean"))
-    return audit.degraded_records(docs).select("doc_id", F.replace("source", F.lit("synthetic_"), F.lit("")).alias("source"), "profile", "split")
+    docs = divided(spark, d).select(F.col("doc_id").cast("string").alias("doc_id"), F.concat(F.lit("synthetic_"), "source").alias("source"), "split", F.lit("clean").alias("quality_tier"))
+    return audit.degraded_records(docs).select("doc_id", "source", "profile", "quality_tier", "split")
 
 
 @query("SELECT conv_id, turn, length(text)::BIGINT AS pages, (coalesce(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1)::BIGINT AS start_page FROM conversations")
@@ -652,35 +605,60 @@ def master_rows(spark, d):
 
 @query(
     """WITH d AS (SELECT doc_id, lang FROM documents), r AS (SELECT doc_id, quality AS dots FROM labels)
-    SELECT d.doc_id, d.lang, coalesce(r.dots, 0) AS dots, d.doc_id || '  dots=' || coalesce(r.dots, 0) || ' clusters=0 gaps=0' || CASE WHEN r.dots = 1 THEN '  notes: a,b' ELSE '' END AS caption
+    SELECT d.doc_id, d.lang, coalesce(r.dots, 0) AS dots, d.doc_id || CASE WHEN r.doc_id IS NULL THEN '' ELSE '  |  0 clusters  0 gaps  ' || coalesce(r.dots, 0) || ' dots stamped' || CASE WHEN r.dots = 1 THEN '  |  a, b' ELSE '' END END AS caption
     FROM d LEFT JOIN r ON d.doc_id = r.doc_id"""
 )
 def review_captions(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", "lang").join(table(spark, d, "labels").select("doc_id", F.col("quality").alias("dots")), "doc_id", "left")
+    logged = table(spark, d, "labels").select("doc_id", F.col("quality").alias("dots"), F.lit(True).alias("logged"))
+    rows = table(spark, d, "documents").select("doc_id", "lang").join(logged, "doc_id", "left")
     notes = F.when(F.col("dots") == 1, F.array(F.lit("a"), F.lit("b")))
     none = F.lit(None).cast("int")
-    return rows.select("doc_id", "lang", F.coalesce("dots", F.lit(0)).alias("dots"), text.caption(F.col("doc_id").cast("string"), F.col("dots"), none, none, notes).alias("caption"))
+    line = text.caption(F.col("doc_id").cast("string"), F.col("dots"), none, none, notes, F.coalesce("logged", F.lit(False)))
+    return rows.select("doc_id", "lang", F.coalesce("dots", F.lit(0)).alias("dots"), line.alias("caption"))
 
 
-@query("SELECT d.doc_id, d.n_chars AS pages, l.quality AS dots FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality > 0")
-def only_touched(spark, d):
+_REVIEW = """r AS (SELECT d.doc_id, d.n_chars AS pages, l.quality AS dots FROM documents d {how} JOIN labels l ON d.doc_id = l.doc_id {where})
+    SELECT doc_id, pages, dots, (coalesce(sum(pages) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1)::BIGINT AS start_page FROM r"""
+
+
+def reviewed(spark, d, only: bool):
     docs = table(spark, d, "documents").select("doc_id", F.col("n_chars").alias("pages"))
     runs = table(spark, d, "labels").select("doc_id", F.col("quality").alias("touch_up_dots"))
-    return docs.join(runs.withColumnRenamed("touch_up_dots", "dots"), "doc_id", "left").where(F.coalesce("dots", F.lit(0)) > 0)
+    return manifest.review_pages(docs, runs, "doc_id", only)
+
+
+@query("WITH " + _REVIEW.format(how="LEFT", where=""))
+def review_plan(spark, d):
+    return reviewed(spark, d, False)
+
+
+@query("WITH " + _REVIEW.format(how="", where="WHERE l.quality > 0"))
+def only_touched(spark, d):
+    return reviewed(spark, d, True)
+
+
+#: Four turns share a page; each turn is a field whose value is its first word, and a line of text.
+_PAGES = """c AS (SELECT conv_id, turn, floor(turn / 4)::BIGINT AS page, text, split_part(text, ' ', 1) AS value FROM conversations)"""
+
+
+def turn_fields(spark, d, word: int = 1):
+    box = F.array(*map(F.lit, (0.0, 0.0, 1.0, 1.0)))
+    page = F.floor(F.col("turn") / 4)
+    return table(spark, d, "conversations").select(
+        F.col("conv_id").alias("doc_id"), F.col("turn").alias("pos"), page.alias("page"), F.split_part("text", F.lit(" "), F.lit(word)).alias("value"), box.alias("bbox_norm"), F.lit(100.0).alias("page_w"), F.lit(1e6).alias("page_h")
+    )
+
+
+def turn_spans(spark, d):
+    y = F.col("turn").cast("double")
+    return table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.floor(F.col("turn") / 4).alias("page"), F.lit(1.0).alias("x0"), y.alias("y0"), F.lit(9.0).alias("x1"), (y + 0.5).alias("y1"), "text")
 
 
 @query(
-    """WITH c AS (SELECT conv_id, turn, text, split_part(text, ' ', 1) AS first FROM conversations), f AS (SELECT conv_id, first AS value FROM c WHERE turn = (SELECT min(turn) FROM conversations x WHERE x.conv_id = c.conv_id))
-    SELECT f.conv_id AS doc_id, count(*) AS hits FROM f JOIN c ON f.conv_id = c.conv_id WHERE f.value <> '' AND contains(c.text, f.value) GROUP BY f.conv_id"""
+    f"""WITH {_PAGES} SELECT f.conv_id AS doc_id, f.turn AS pos, count(*) AS hits FROM c f JOIN c ON f.conv_id = c.conv_id AND f.page = c.page WHERE trim(f.value) <> '' AND contains(c.text, f.value) GROUP BY f.conv_id, f.turn"""
 )
 def redaction_hits(spark, d):
-    c = table(spark, d, "conversations")
-    first = audit.first_per_group(c.select("conv_id", "turn", "text"), ["conv_id"], ["turn"])
-    box = F.array(*map(F.lit, (0.0, 0.0, 1.0, 1.0)))
-    f = first.select(F.col("conv_id").alias("doc_id"), F.lit(0).alias("pos"), F.lit(0).alias("page"), F.split_part("text", F.lit(" "), F.lit(1)).alias("value"), box.alias("bbox_norm"), F.lit(100.0).alias("page_w"), F.lit(1e6).alias("page_h"))
-    y = F.col("turn").cast("double")
-    s = c.select(F.col("conv_id").alias("doc_id"), F.lit(0).alias("page"), F.lit(1.0).alias("x0"), y.alias("y0"), F.lit(9.0).alias("x1"), y.alias("y1"), "text")
-    return pdf.targets(f, s).where("complete").groupBy("doc_id").agg(F.count("*").alias("hits"))
+    return pdf.targets(turn_fields(spark, d), turn_spans(spark, d)).where("complete").groupBy("doc_id", "pos").agg(F.count("*").alias("hits"))
 
 
 @query("SELECT 'all' AS part, doc_id FROM documents UNION ALL SELECT 'english', doc_id FROM documents WHERE lang = 'en'")
@@ -738,12 +716,12 @@ def skipped_fields(spark, d):
 
 @query(
     f"""WITH {_LANES}, g AS (SELECT doc_id, count(*) FILTER (WHERE {_VALID} AND page <= 2)::INTEGER AS able, count(*) FILTER (WHERE role = 'answer' AND value <> '')::INTEGER AS answers FROM flds GROUP BY doc_id)
-    SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'ok' WHEN 1 THEN 'ok' ELSE 'skipped' END AS status, CASE WHEN doc_id % 3 = 2 THEN 'image_only_pdf' END AS reason,
-    CASE WHEN doc_id % 3 = 0 THEN able END AS redacted_field_count, CASE WHEN doc_id % 3 = 1 THEN answers END AS cleared_widget_count FROM g"""
+    SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'planned' WHEN 1 THEN 'planned' ELSE 'skipped' END AS status, CASE WHEN doc_id % 3 = 2 THEN 'image_only_pdf' END AS reason,
+    CASE WHEN doc_id % 3 = 0 THEN able END AS redactable_field_count, CASE WHEN doc_id % 3 = 1 THEN answers END AS clearable_field_count FROM g"""
 )
 def lane_rows(spark, d):
     kind = F.when(F.col("doc_id") % 3 == 0, "born_digital_pdf").when(F.col("doc_id") % 3 == 1, "synthetic_acroform").otherwise("image_only_pdf")
-    return pdf.run_row(order_fields(spark, d).withColumn("category", kind)).select("doc_id", "status", "reason", "redacted_field_count", "cleared_widget_count")
+    return pdf.plan_row(order_fields(spark, d).withColumn("category", kind)).select("doc_id", "status", "reason", "redactable_field_count", "clearable_field_count")
 
 
 @query(
@@ -782,13 +760,116 @@ def widget_audit(spark, d):
 
 
 @query(
-    """WITH t AS (SELECT conv_id, turn, role, text FROM conversations), f AS (SELECT conv_id, split_part(text, ' ', 2) AS line FROM t WHERE turn = 1)
-    SELECT f.conv_id AS doc_id, 1::INTEGER AS n FROM f WHERE line <> '' AND EXISTS (SELECT 1 FROM t WHERE t.conv_id = f.conv_id AND t.turn > 1 AND contains(t.text, f.line))"""
+    f"""WITH {_PAGES}, f AS (SELECT conv_id, turn, page, trim(unnest(string_split(split_part(text, ' ', 2), chr(10)))) AS line FROM c)
+    SELECT f.conv_id AS doc_id, f.turn AS pos, count(DISTINCT line)::INTEGER AS n FROM f WHERE line <> '' AND EXISTS (SELECT 1 FROM c WHERE c.conv_id = f.conv_id AND c.page = f.page AND contains(c.text, f.line)) GROUP BY f.conv_id, f.turn"""
 )
 def residual_lines(spark, d):
-    c = table(spark, d, "conversations")
-    box = F.array(*map(F.lit, (0.0, 0.0, 1.0, 1.0)))
-    f = c.where("turn = 1").select(F.col("conv_id").alias("doc_id"), F.lit(0).alias("pos"), F.lit(0).alias("page"), F.split_part("text", F.lit(" "), F.lit(2)).alias("value"), box.alias("bbox_norm"), F.lit(100.0).alias("page_w"), F.lit(1e6).alias("page_h"))
-    y = F.col("turn").cast("double")
-    s = c.where("turn > 1").select(F.col("conv_id").alias("doc_id"), F.lit(0).alias("page"), F.lit(1.0).alias("x0"), y.alias("y0"), F.lit(9.0).alias("x1"), (y + 0.5).alias("y1"), "text")
-    return pdf.residual_text(f, s).select("doc_id", F.size("lines").alias("n"))
+    return pdf.residual_text(turn_fields(spark, d, 2), turn_spans(spark, d)).select("doc_id", "pos", F.size("lines").alias("n"))
+
+
+@query(
+    """WITH t AS (SELECT user_id, event_id, value, CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 3 WHEN 'purchase' THEN 5 ELSE 0 END + CASE WHEN event_id % 4 = 0 THEN 1 ELSE 0 END AS tag FROM events),
+    r AS (SELECT *, CASE WHEN tag IN (1, 2) THEN 'header' WHEN tag IN (3, 4) THEN 'question' WHEN tag IN (5, 6) THEN 'answer' ELSE 'other' END AS role FROM t),
+    o AS (SELECT *, CASE WHEN tag IN (1, 3, 5) OR role IS DISTINCT FROM lag(role) OVER w THEN 1 ELSE 0 END AS o FROM r WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+    n AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM o),
+    e AS (SELECT user_id, run, role, string_agg(cast(event_id AS VARCHAR), ' ' ORDER BY event_id) AS text, min(value) AS x0, max(value) AS x1 FROM n WHERE role <> 'other' GROUP BY user_id, run, role)
+    SELECT user_id AS doc_id, row_number() OVER (PARTITION BY user_id ORDER BY run) - 1 AS entity, role, md5(text) AS text, x0, x1 FROM e"""
+)
+def tagged_entities(spark, d):
+    tag = F.when(F.col("event_type") == "click", 1).when(F.col("event_type") == "view", 3).when(F.col("event_type") == "purchase", 5).otherwise(0) + F.when(F.col("event_id") % 4 == 0, 1).otherwise(0)
+    v = F.col("value")
+    words = table(spark, d, "events").select(F.col("user_id").alias("doc_id"), F.col("event_id").alias("pos"), F.col("event_id").cast("string").alias("word"), F.struct(v.alias("x0"), v.alias("y0"), v.alias("x1"), v.alias("y1")).alias("box"), tag.alias("tag"))
+    return layout.token_entities(words).select("doc_id", F.col("entity").cast("long").alias("entity"), "role", F.md5("text").alias("text"), "x0", "x1")
+
+
+@query(f"WITH {JUDGED} SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY {_RANK}, coalesce(quality, 0) DESC, source, doc_id) AS r FROM judged) WHERE r <= 100")
+def best_records(spark, d):
+    """The first hundred of the corpus in its order (a report)."""
+    tier = F.when(F.col("lang") == "en", "clean").when(F.col("lang") == "de", "degraded").when(F.col("lang") == "fr", "clean_synthetic").when(F.col("lang") == "es", "degraded_synthetic")
+    rows = judged(spark, d).select("doc_id", "source", tier.alias("quality_tier"), F.coalesce("quality", F.lit(0)).alias("quality_score"))
+    return corpus.ordered(rows, "doc_id").limit(100).select("doc_id")
+
+
+@query(
+    f"""WITH docs AS (SELECT source, doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = 1)),
+    pools AS (SELECT source, count(*) AS pool FROM docs GROUP BY source), av AS (SELECT sum(pool)::BIGINT AS available FROM pools),
+    base AS (SELECT source, pool, least(pool, (61 * pool) // available)::BIGINT AS take, available FROM pools, av),
+    short AS (SELECT (least(61, max(available)) - sum(take))::BIGINT AS short FROM base),
+    slots AS (SELECT source, unnest(range(1, pool - take + 1)) AS slot FROM base WHERE pool > take),
+    drawn AS (SELECT source, row_number() OVER (ORDER BY md5('7|' || source || '|' || slot), source, slot) AS r FROM slots),
+    extra AS (SELECT source, count(*) AS extra FROM drawn, short WHERE r <= short GROUP BY source),
+    takes AS (SELECT b.source, b.take + coalesce(e.extra, 0) AS take FROM base b LEFT JOIN extra e ON b.source = e.source),
+    ranked AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY md5('7|' || doc_id), doc_id) AS r FROM docs)
+    SELECT k.source, k.doc_id FROM ranked k JOIN takes t ON k.source = t.source WHERE k.r <= t.take"""
+)
+def sample_excluding(spark, d):
+    return manifest.sample(table(spark, d, "documents").select("source", "doc_id"), 61, 7, table(spark, d, "labels").where("toxic = 1"))
+
+
+@query("SELECT source, count(*) AS n FROM documents WHERE lang = 'en' GROUP BY source")
+def sample_breakdown(spark, d):
+    return manifest.breakdown(table(spark, d, "documents").where("lang = 'en'"))
+
+
+@query("SELECT doc_id, source FROM documents WHERE lang = 'en' AND source = 'src0'")
+def selected_rows(spark, d):
+    return corpus.select_rows(table(spark, d, "documents"), lang="en", source="src0", n_chars=None).select("doc_id", "source")
+
+
+@query(
+    """WITH t AS (SELECT 'a_' || CASE doc_id % 4 WHEN 0 THEN 'Amendment' WHEN 1 THEN 'Short-Form' WHEN 2 THEN 'Amendment_Report' ELSE 'x' END || '_' || doc_id AS doc_id, CASE WHEN lang = 'en' THEN 'vrdu_registration' ELSE 'funsd' END AS source, doc_id % 4 AS k FROM documents)
+    SELECT doc_id, source, CASE WHEN source = 'vrdu_registration' THEN 'Amendment' END AS subtype FROM t WHERE source <> 'vrdu_registration' OR k IN (0, 2)"""
+)
+def subtype_filter(spark, d):
+    k = F.col("doc_id") % 4
+    tag = F.when(k == 0, "Amendment").when(k == 1, "Short-Form").when(k == 2, "Amendment_Report").otherwise("x")
+    docs = table(spark, d, "documents").select(F.concat_ws("_", F.lit("a"), tag, F.col("doc_id").cast("string")).alias("doc_id"), F.when(F.col("lang") == "en", "vrdu_registration").otherwise("funsd").alias("source"))
+    return manifest.with_subtype(docs, ["Amendment"])
+
+
+@query("SELECT doc_id, lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def missing_outputs(spark, d):
+    return release.missing(table(spark, d, "documents").select("doc_id", "lang"), table(spark, d, "labels"))
+
+
+@query("SELECT (SELECT count(*) FROM documents) AS candidates, (SELECT count(*) FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = 1)) AS excluded_dropped, (SELECT count(*) FROM documents WHERE lang = 'en') AS included")
+def manifest_stats(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang")
+    return manifest.build_stats(docs, table(spark, d, "labels").where("toxic = 1"), docs.where("lang = 'en'"))
+
+
+@query("SELECT 0 AS source_ord, source, cast(doc_id AS VARCHAR) AS doc_id FROM documents UNION ALL SELECT 1, 'conv', cast(conv_id AS VARCHAR) FROM conversations WHERE turn = 0 UNION ALL SELECT 2, 'page', cast(page_id AS VARCHAR) FROM pages")
+def union_sources(spark, d):
+    parts = [
+        forms.record(table(spark, d, t).where(where), source=source, doc_id=F.col(key))
+        for t, where, source, key in (("documents", "true", F.col("source"), "doc_id"), ("conversations", "turn = 0", F.lit("conv"), "conv_id"), ("pages", "true", F.lit("page"), "page_id"))
+    ]
+    return forms.union_sources(*parts).select("source_ord", "source", "doc_id")
+
+
+@query(
+    """WITH a AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos FROM conversations), m AS (SELECT * FROM (VALUES ('system', 'Exact'), ('assistant', 'Fuzzy')) t(role, kind))
+    SELECT cast(conv_id AS VARCHAR) AS doc_id, pos, a.role AS field_id, upper(a.role[1]) || a.role[2:] AS label, text AS value, coalesce(kind, 'StringMatch') AS match_type, (turn % 3)::INTEGER AS page, 0.25::DOUBLE AS x0, 1.0::DOUBLE AS x1 FROM a LEFT JOIN m ON a.role = m.role"""
+)
+def json_line_records(spark, d):
+    """Conversations as the JSON lines of annotated PDFs, read back into records."""
+    place = F.array(F.col("turn") % 3, F.lit(0.25), F.lit(0.5), F.lit(7.0), F.lit(0.75))
+    one = F.concat(F.lit("["), F.to_json(F.struct(F.col("role").alias("x"))), F.lit(",[["), F.to_json(F.struct(F.col("text").alias("x"))), F.lit(","), F.to_json(place), F.lit("]]]"))
+    one = F.regexp_replace(one, r'\{"x":("(?:[^"\\]|\\.)*")\}', "$1")
+    rows = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", one.alias("a")))), lambda x: x["a"]), ",").alias("all"))
+    lines = rows.select(F.parse_json(F.concat(F.lit('{"filename":"'), "conv_id", F.lit('.pdf","page_count":3,"annotations":['), "all", F.lit("]}"))).alias("v"), F.lit(0).alias("subset_ord"), F.col("conv_id").alias("line_no"))
+    kinds = spark.createDataFrame([("system", "Exact"), ("assistant", "Fuzzy")], "field_id string, match_type string")
+    f = fields.flat(forms.pdf_corpus(lines, "c", match_types=kinds))
+    return f.select("doc_id", F.col("pos").cast("long").alias("pos"), "field_id", "label", "value", "match_type", "page", F.col("bbox_norm")[0].alias("x0"), F.col("bbox_norm")[2].alias("x1"))
+
+
+@query(f"WITH {PX} SELECT img, y, x, floor(v * 0.299::DOUBLE + (255 - v) * 0.587::DOUBLE + (v // 2) * 0.114::DOUBLE + 0.5::DOUBLE)::INTEGER AS gray FROM px")
+def page_gray(spark, d):
+    v = F.col("v")
+    return rasters(spark, d).select("img", "y", "x", raster.luma(v, 255 - v, F.floor(v / 2)).alias("gray"))
+
+
+@query("SELECT path, sum(length(path)) OVER (ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM (SELECT DISTINCT coalesce(url, '') AS path FROM pages)".replace("sum(length(path))", "coalesce(sum(length(path))").replace("1 PRECEDING)", "1 PRECEDING), 0)::BIGINT"))
+def running_offsets(spark, d):
+    paths = table(spark, d, "pages").select(F.coalesce("url", F.lit("")).alias("path")).distinct().withColumn("n", F.length("path"))
+    return corpus.running(paths, "n", "path", "before").select("path", "before")

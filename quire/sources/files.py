@@ -33,8 +33,12 @@ def run_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def images(spark: SparkSession, path: str) -> DataFrame:
-    """path, h, w, data: RGB bytes, row by row."""
-    raw = spark.read.format("image").option("dropInvalid", True).load(path).select("image.*").where("nChannels = 3")
+    """path, h, w, data (RGB bytes, row by row) and error: a row for each file.
+
+    Grey images get three equal channels, of images with an alpha channel it is left out.  A file that is no image has
+    an error and no data.
+    """
+    raw = spark.read.format("image").load(path).select("image.*")
 
     def rgb(batches):
         import numpy as np
@@ -42,7 +46,13 @@ def images(spark: SparkSession, path: str) -> DataFrame:
 
         for b in batches:
             d = b.to_pydict()
-            out = [np.frombuffer(x, np.uint8).reshape(-1, 3)[:, ::-1].tobytes() for x in d["data"]]
-            yield pa.RecordBatch.from_arrays([pa.array(d["origin"]), pa.array(d["height"], pa.int32()), pa.array(d["width"], pa.int32()), pa.array(out, pa.binary())], names=["path", "h", "w", "data"])
-
-    return raw.select("origin", "height", "width", "data").mapInArrow(rgb, "path string, h int, w int, data binary")
+            out, errors = [], []
+            for n, h, w, x in zip(d["nChannels"], d["height"], d["width"], d["data"], strict=True):
+                ok = n in (1, 3, 4) and x is not None and len(x) == h * w * n
+                errors.append(None if ok else f"no image of 1, 3 or 4 channels of 8 bits ({n})")
+                px = np.frombuffer(x, np.uint8).reshape(-1, n) if ok else None
+                out.append(None if px is None else (np.repeat(px, 3, 1) if n == 1 else px[:, 2::-1]).tobytes())
+            sizes = [pa.array([v if e is None else None for v, e in zip(d[c], errors, strict=True)], pa.int32()) for c in ("height", "width")]
+            yield pa.RecordBatch.from_arrays([pa.array(d["origin"], pa.string()), *sizes, pa.array(out, pa.binary()), pa.array(errors, pa.string())], names=["path", "h", "w", "data", "error"])
+
+    return raw.select("origin", "height", "width", "nChannels", "data").mapInArrow(rgb, "path string, h int, w int, data binary, error string")

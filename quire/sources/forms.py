@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.boxes import clamp, normalise
 from quire.functions.text import title_label
-from quire.operators.corpus import keep_first
+from quire.operators.corpus import keep_first, running
 from quire.operators.layout import token_entities
 from quire.schema import DOCUMENT, FIELD
 
@@ -49,8 +49,12 @@ def token_scans(rows: DataFrame, source: str = "funsd") -> DataFrame:
 ENTITY_JSON = "documents array<struct<id:string,img:struct<fname:string,width:int,height:int>,document:array<struct<id:bigint,text:string,label:string,box:array<int>>>>>"
 
 
-def entity_scans(spark: SparkSession, path: str, language: str, images: DataFrame | None = None) -> DataFrame:
-    """Nested JSON with one entry for each scan; images (path): the files there are, matched by name, else by base name."""
+def entity_scans(spark: SparkSession, path: str, language: str, images: DataFrame | None = None, root: str = "") -> DataFrame:
+    """Nested JSON with one entry for each scan; images (path): the files there are, below the folder root.
+
+    A scan has the file at its name below root, or else, of the files with its base name, the one whose path sorts
+    first.  Scans without a file are left out.
+    """
     docs = spark.read.option("multiLine", True).schema(ENTITY_JSON).json(path).select(F.explode("documents").alias("d")).select("d.*")
     w, h = (F.coalesce(F.col(f"img.{c}"), F.lit(1)) for c in ("width", "height"))
 
@@ -62,9 +66,7 @@ def entity_scans(spark: SparkSession, path: str, language: str, images: DataFram
     name = F.col("img.fname")
     out = docs.withColumn("fields", F.transform("document", one)).withColumn("fname", name)
     if images is not None:
-        base = F.element_at(F.split("path", "/"), -1)
-        by_name = images.groupBy(base.alias("fname")).agg(F.min("path").alias("image_path"))
-        out = out.join(by_name, F.element_at(F.split(out["fname"], "/"), -1) == by_name["fname"], "inner").drop(by_name["fname"])
+        out = with_files(out, images, "fname", root).where("image_path is not null")
     else:
         out = out.withColumn("image_path", F.col("fname"))
     return record(
@@ -73,6 +75,16 @@ def entity_scans(spark: SparkSession, path: str, language: str, images: DataFram
     )
 
 
+def with_files(docs: DataFrame, files: DataFrame, name: str, root: str = "") -> DataFrame:
+    """docs with image_path: the file (column path) at this name below root, else the first with this base name, else null."""
+    base = lambda c: F.element_at(F.split(c, "/"), -1)
+    exact = files.select(F.col("path").alias("__exact")).distinct()
+    by_base = files.groupBy(base("path").alias("__base")).agg(F.min("path").alias("__first"))
+    whole = F.concat(F.lit(root.rstrip("/") + "/" if root else ""), F.col(name))
+    found = docs.join(exact, whole == F.col("__exact"), "left").join(by_base, base(name) == F.col("__base"), "left")
+    return found.withColumn("image_path", F.coalesce("__exact", "__first")).drop("__exact", "__base", "__first")
+
+
 def pdf_lines(spark: SparkSession, path: str, subset_ord: int = 0) -> DataFrame:
     """JSON lines (gz or not) as variants; blank and broken lines are left out."""
     text = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id()).where(F.trim("value") != "")
@@ -118,8 +130,8 @@ def match_types(spark: SparkSession, path: str) -> DataFrame:
 
 def label_scans(images: DataFrame, split: str, order: str = "path") -> DataFrame:
     """Scans without fields; ids count up in order within the split."""
-    n = F.row_number().over(Window.partitionBy(F.lit(split)).orderBy(order)) - 1
-    out = images.withColumn("doc_id", F.concat(F.lit(f"rvlcdip_{split}_"), F.lpad(n.cast("string"), 6, "0")))
+    n = F.col("__before")
+    out = running(images.withColumn("__one", F.lit(1)), "__one", order, "__before").drop("__one").withColumn("doc_id", F.concat(F.lit(f"rvlcdip_{split}_"), F.lpad(n.cast("string"), 6, "0")))
     return record(out, source=F.lit("rvlcdip"), doc_id=F.col("doc_id"), image_path=F.col("path"), page_count=F.lit(1), language=F.lit("en"), doc_class=F.lit("invoice"), fields=F.array().cast(f"array<{FIELD_DDL}>"), quality_tier=F.lit("degraded"))
 
 

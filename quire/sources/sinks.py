@@ -37,15 +37,32 @@ def write_labels(labels: DataFrame, path: str) -> None:
     labels.groupBy("lane", "source", "doc_id", "page_count").agg(answers.alias("answer_fields")).write.mode("overwrite").partitionBy("lane").json(path)
 
 
+#: Documents that one manifest or sample file may list, as a person reviews it.
+LISTED = 100_000
+
+
+def listed(rows: DataFrame, what: str) -> list:
+    """The rows of a file that is written in one piece; more than LISTED are an error."""
+    out = rows.limit(LISTED + 1).collect()
+    if len(out) > LISTED:
+        raise ValueError(f"{what} of more than {LISTED} documents: write it in parts (write_manifest)")
+    return out
+
+
+def write_manifest(entries: DataFrame, path: str) -> None:
+    """A manifest of any size: its entries as JSON lines."""
+    entries.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
 def manifest(entries: DataFrame, description: str, compatibility: dict, stats: dict | None = None, version: int = 1) -> dict:
-    """The manifest of a release: bounded by what a person reviews, so it is gathered and written in one piece."""
-    out = {"version": version, "description": description, "documents": [json.loads(r) for (r,) in entries.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).toLocalIterator()], "category_compatibility": compatibility}
+    """The manifest of a release in one piece."""
+    out = {"version": version, "description": description, "documents": [json.loads(r) for (r,) in listed(entries.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})), "a manifest")], "category_compatibility": compatibility}
     return out | ({"build_stats": stats} if stats else {})
 
 
 def sample_record(chosen: DataFrame, seed: int, requested: int, excluded_from: str | None = None) -> dict:
     """What a sample was drawn by; doc_ids in order."""
-    ids = sorted(r.doc_id for r in chosen.toLocalIterator())
+    ids = sorted(r.doc_id for r in listed(chosen.select("doc_id"), "a sample"))
     by = {r["source"]: r["n"] for r in chosen.groupBy("source").agg(F.count("*").alias("n")).collect()}
     return {"seed": seed, "n_requested": requested, "n_selected": len(ids), "doc_ids": ids, "excluded_from": excluded_from, "sources_breakdown": by}
 

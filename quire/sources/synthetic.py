@@ -20,9 +20,20 @@ FORMS = {
 #: Forms of each kind and their first seed.
 BATCH = {"supplier": (50, 1000), "invoice": (50, 2000), "compliance": (30, 3000), "patient": (30, 4000)}
 
-COMPANIES, LEGAL = ("Northwind", "Bluestone", "Larkfield", "Oakmere", "Silverline"), ("Ltd.", "GmbH", "Inc.", "S.A.")
-PEOPLE, TOWNS = ("Ada Moss", "Ben Hale", "Cleo Byrd", "Dan Roth", "Eva Lind", "Finn Ohm"), ("Lund", "Graz", "Turin", "Porto", "Cork", "Riga")
-WORDS = {"country": ("GB", "DE", "FR", "ES"), "status": ("Approved", "Pending", "Rejected"), "payment_terms": ("Net 30", "Net 60", "Immediate"), "jurisdiction": ("Bavaria", "Ontario", "Delaware"), "diagnosis": ("Asthma", "Migraine", "Hypertension")}
+#: What kind of value each field takes.
+KIND_OF = {
+    "supplier_name": "company", "vendor_name": "company", "company_name": "company", "patient_name": "person", "officer_name": "person", "physician_name": "doctor",
+    "address": "address", "city": "city", "country": "country", "contact_email": "email", "issue_date": "date", "due_date": "date", "compliance_date": "date", "date_of_birth": "date",
+    "visit_date": "date", "subtotal": "amount", "total_amount": "amount", "tax_rate": "rate", "tax_id": "code", "reg_number": "code", "insurance_id": "code",
+    "invoice_number": "reference", "mrn": "reference", "payment_terms": "payment_terms", "jurisdiction": "jurisdiction", "status": "status", "diagnosis": "diagnosis",
+}
+#: Words that values are made of, by kind or part.
+WORDS = {
+    "house": ("Northwind", "Bluestone", "Larkfield", "Oakmere", "Silverline"), "trade": ("Metals", "Foods", "Optics", "Paper"), "legal": ("Ltd.", "GmbH", "Inc.", "S.A."),
+    "given": ("Ada", "Ben", "Cleo", "Dan", "Eva", "Finn"), "family": ("Moss", "Hale", "Byrd", "Roth", "Lind", "Ohm"), "street": ("Mill Lane", "Harbour Road", "Station Street"),
+    "city": ("Lund", "Graz", "Turin", "Porto", "Cork", "Riga"), "country": ("GB", "DE", "FR", "ES"), "status": ("Approved", "Pending", "Rejected"), "payment_terms": ("Net 30", "Net 60", "Immediate"),
+    "jurisdiction": ("Bavaria", "Ontario", "Delaware"), "diagnosis": ("Asthma", "Migraine", "Hypertension"),
+}
 
 
 def draw(seed: Column, name: Column, salt: str, n: int) -> Column:
@@ -30,26 +41,35 @@ def draw(seed: Column, name: Column, salt: str, n: int) -> Column:
     return F.pmod(F.xxhash64(seed, name, F.lit(salt)), F.lit(n))
 
 
-def pick(seed: Column, name: Column, salt: str, words: tuple[str, ...]) -> Column:
-    return F.element_at(F.array(*map(F.lit, words)), (draw(seed, name, salt, len(words)) + 1).cast("int"))
+def value_of(kind: str, seed: Column, name: Column) -> Column:
+    """A value of this kind: words, digits and days drawn by seed and name."""
+    n = lambda part, below: draw(seed, name, part, below)
+    word = lambda part: F.element_at(F.array(*map(F.lit, WORDS[part])), (n(part, len(WORDS[part])) + 1).cast("int"))
+    if kind == "company":
+        return F.concat_ws(" ", word("house"), F.when(n("has trade", 2) == 0, word("trade")), word("legal"))
+    if kind in ("person", "doctor"):
+        return F.concat_ws(" ", F.when(F.lit(kind == "doctor"), F.lit("Dr")), word("given"), word("family"))
+    if kind == "email":
+        return F.concat(F.lower(F.concat_ws(".", word("given"), word("family"))), F.lit("@"), F.lower(word("house")), F.lit(".example"))
+    if kind == "address":
+        return F.concat_ws(" ", (n("house number", 240) + 1).cast("string"), word("street"))
+    if kind == "date":
+        return F.date_format(F.date_add(F.lit("2015-01-01").cast("date"), n("day", 4000).cast("int")), "yyyy-MM-dd")
+    if kind == "amount":
+        return (n("cents", 5_000_000) / 100).cast("decimal(12,2)").cast("string")
+    if kind == "rate":
+        return F.concat((n("per cent", 25) + 1).cast("string"), F.lit(" %"))
+    if kind == "code":
+        return F.concat(F.char(n("first letter", 26) + 65), F.char(n("second letter", 26) + 65), F.lpad(n("digits", 10_000_000).cast("string"), 7, "0"))
+    if kind == "reference":
+        return F.concat_ws("/", (n("series", 9000) + 1000).cast("string"), F.lpad(n("number", 1_000_000).cast("string"), 6, "0"))
+    return word(kind)
 
 
 def fake_value(seed: Column, name: Column) -> Column:
-    """A value that suits the field's name."""
-    d = lambda salt, n: draw(seed, name, salt, n)
-    has = lambda *parts: F.rlike(name, F.lit("|".join(parts)))
-    company = F.concat_ws(" ", pick(seed, name, "co", COMPANIES), F.when(d("two", 10) >= 3, "Trading"), pick(seed, name, "le", LEGAL))
-    person = pick(seed, name, "pe", PEOPLE)
-    date = F.date_format(F.make_date((d("y", 6) + 2020).cast("int"), (d("m", 12) + 1).cast("int"), (d("d", 28) + 1).cast("int")), "yyyy-MM-dd")
-    out = F.when(has("company", "vendor", "supplier"), company).when(has("physician"), F.concat(F.lit("Dr. "), person)).when(has("officer", "name"), person)
-    out = out.when(has("address"), F.concat_ws(" ", (d("no", 999) + 1).cast("string"), F.lit("Mill Lane"))).when(has("city"), pick(seed, name, "ci", TOWNS))
-    out = out.when(has("email"), F.concat(F.lower(F.replace(person, F.lit(" "), F.lit("."))), F.lit("@example.com"))).when(has("date"), date)
-    out = out.when(has("amount", "subtotal", "total"), F.format_string("%.2f", (d("am", 9_990_001) + 10_000) / 100)).when(has("rate"), F.concat(((d("ra", 4) + 1) * 5).cast("string"), F.lit("%")))
-    out = out.when(has("tax_id", "reg_number", "insurance_id"), F.format_string("%d-%d", d("a", 90) + 10, d("b", 9_000_000) + 1_000_000))
-    out = out.when(has("number", "invoice", "mrn"), F.format_string("REF-%d-%d", d("y", 6) + 2020, d("n", 90_000) + 10_000))
-    for key, words in WORDS.items():
-        out = out.when(has(key), pick(seed, name, key, words))
-    return out.otherwise(F.format_string("REF-%d", d("r", 900_000) + 100_000))
+    """A value of the kind that the field takes."""
+    kind = F.create_map(*(F.lit(x) for kv in KIND_OF.items() for x in kv))[name]
+    return F.coalesce(*(F.when(kind == k, value_of(k, seed, name)) for k in sorted(set(KIND_OF.values()))))
 
 
 def layout(name_at: Column, total: Column) -> Column:

@@ -207,14 +207,32 @@ def png(image):
     import zlib
 
     h, w = image.shape[:2]
+    kind = {1: 0, 3: 2, 4: 6}[image.shape[2] if image.ndim == 3 else 1]
     part = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
     raw = b"".join(b"\0" + image[y].tobytes() for y in range(h))
-    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + part(b"IDAT", zlib.compress(raw)) + part(b"IEND", b"")
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, kind, 0, 0, 0)) + part(b"IDAT", zlib.compress(raw)) + part(b"IEND", b"")
 
 
 def test_images_come_as_rgb(spark, tmp_path):
-    image = np.random.default_rng(1).integers(0, 256, (5, 7, 3), dtype=np.uint8)
-    (tmp_path / "a.png").write_bytes(png(image))
-    (tmp_path / "b.png").write_bytes(b"no image")
-    got = files.images(spark, str(tmp_path)).collect()
-    assert [(r.h, r.w) for r in got] == [(5, 7)] and (np.frombuffer(got[0].data, np.uint8).reshape(5, 7, 3) == image).all()
+    rng = np.random.default_rng(1)
+    image, grey, alpha = (rng.integers(0, 256, (5, 7, n), dtype=np.uint8) for n in (3, 1, 4))
+    for name, data in (("a", png(image)), ("b", b"no image"), ("c", png(grey)), ("d", png(alpha))):
+        (tmp_path / f"{name}.png").write_bytes(data)
+    got = {r.path[-5]: r for r in files.images(spark, str(tmp_path)).collect()}
+    assert set(got) == set("abcd") and got["b"].data is None and "image" in got["b"].error and got["b"].h is None
+    for name, want in (("a", image), ("c", np.repeat(grey, 3, 2)), ("d", alpha[:, :, :3])):
+        r = got[name]
+        assert (r.h, r.w, r.error) == (5, 7, None) and (np.frombuffer(r.data, np.uint8).reshape(5, 7, 3) == want).all(), name
+
+
+def test_wear_by_profile():
+    page = np.full((21, 21), 255, np.uint8)
+    page[10, 5:16] = 0
+    page[3:18, 10] = 0
+    wide, tall = P.degrade(page, close=(1, 9)), P.degrade(page, close=(9, 1))
+    assert (wide[10] == page[10]).all() and (wide[0] == 255).all()
+    assert (tall[10, 5:10] == 255).all() and tall[10, 10] == 0  # a closing along y takes the thin horizontal stroke only
+    dark = np.zeros((9, 9), np.uint8)
+    dark[4, 3:6] = 255
+    assert not P.degrade(dark, open_=(3, 3)).any() and P.degrade(dark, open_=(1, 3))[4, 4] == 255  # light of less than three rows goes
+    assert P.DEGRADATIONS["medium"]["open_"] == (3, 3) and P.DEGRADATIONS["heavy"]["close"] == (9, 1)

@@ -191,8 +191,8 @@ def test_widgets(spark):
 
 def test_lanes(spark):
     d = doc(spark, ("vrdu_ad_buy", "1", [field("a"), field("b", box=(0, 0, 0, 0))], None), ("funsd", "2", [field("a")], None)).withColumn("category", F.when(F.col("doc_id") == "1", "born_digital_pdf").otherwise("odd"))
-    got = {r.doc_id: (r.approach, r.status, r.reason, r.redacted_field_count) for r in pdf.run_row(d).collect()}
-    assert got == {"1": ("content-stream", "ok", None, 1), "2": ("skipped:unknown_category:odd", "skipped", "unknown_category:odd", None)}
+    got = {r.doc_id: (r.approach, r.status, r.reason, r.redactable_field_count) for r in pdf.plan_row(d).collect()}
+    assert got == {"1": ("content-stream", "planned", None, 1), "2": ("skipped:unknown_category:odd", "skipped", "unknown_category:odd", None)}
 
 
 def test_review_pages_and_limits(spark):
@@ -304,3 +304,57 @@ def test_remainder_draw_offers_every_slot(spark):
         want = {s: base[s] + sum(d[1] == s for d in drawn) for s in pools}
         assert {r["source"]: r["take"] for r in manifest.allocation(counts, 7, seed).collect()} == want
     assert beyond
+
+
+def test_running_sums_over_all_rows(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(f"k{rng.randrange(10**6):06d}{i}", rng.randrange(5)) for i in range(700)] + [(None, 3)]
+    df = spark.createDataFrame(rows, "k string, n int").repartition(5)
+    got = {r.k: r.before for r in corpus.running(df, "n", "k", "before", cuts=7).collect()}
+    so_far, want = 0, {}
+    for k, n in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "")):
+        want[k] = so_far
+        so_far += n
+    assert got == want
+    assert corpus.running(df.where("false"), "n", "k", "before").count() == 0
+    assert [r.before for r in corpus.running(df.where("k is null"), "n", "k", "before").collect()] == [0]
+
+
+def test_scans_have_the_file_at_their_name_before_one_of_that_base_name(spark):
+    docs = spark.createDataFrame([("1", "b/x.jpg"), ("2", "c/x.jpg"), ("3", "y.jpg"), ("4", "z.jpg")], "id string, fname string")
+    images = spark.createDataFrame([("/root/a/x.jpg",), ("/root/b/x.jpg",), ("/root/d/y.jpg",), ("/root/c/y.jpg",)], "path string")
+    got = {r.id: r.image_path for r in S.with_files(docs, images, "fname", "/root/").collect()}
+    assert got == {"1": "/root/b/x.jpg", "2": "/root/a/x.jpg", "3": "/root/c/y.jpg", "4": None}
+
+
+def test_long_payloads_are_no_search(spark):
+    d = doc(spark, ("s", "1", [field(str(i % 4000), str(i)) for i in range(12_000)], None))
+    got = fields.with_derived(d).first().gt_payload
+    assert got == {str(i % 4000): str(i) for i in range(8000, 12_000)}
+
+
+def test_files_in_one_piece_are_bounded(spark, monkeypatch, tmp_path):
+    from quire.sources import sinks
+
+    monkeypatch.setattr(sinks, "LISTED", 3)
+    ids = spark.range(5).selectExpr("cast(id as string) as doc_id", "'s' as source")
+    with pytest.raises(ValueError, match="in parts"):
+        sinks.manifest(ids, "", {})
+    with pytest.raises(ValueError, match="in parts"):
+        sinks.sample_record(ids, 1, 5)
+    sinks.write_manifest(ids, f"{tmp_path}/m")
+    assert spark.read.json(f"{tmp_path}/m").count() == 5 and sinks.sample_record(ids.limit(2), 1, 2)["n_selected"] == 2
+
+
+def test_values_of_forms_suit_their_kind(spark):
+    import re
+
+    assert {n for names in synthetic.FORMS.values() for n in names} == set(synthetic.KIND_OF)
+    kinds = {
+        "date": r"20\d\d-[01]\d-[0-3]\d", "amount": r"\d+\.\d\d", "email": r"[a-z.]+@[a-z]+\.example", "rate": r"\d+ %", "code": r"[A-Z]{2}\d{7}", "reference": r"\d{4}/\d{6}", "doctor": r"Dr [A-Z]\w+ [A-Z]\w+", "person": r"[A-Z]\w+ [A-Z]\w+", "company": r"[A-Z].* \S+", "address": r"\d+ .+",
+    }
+    for r in fields.flat(synthetic.forms(spark, {k: (20, 7) for k in synthetic.FORMS})).collect():
+        kind = synthetic.KIND_OF[r.field_id]
+        assert re.fullmatch(kinds[kind], r.value) if kind in kinds else r.value in synthetic.WORDS[kind], (r.field_id, r.value)
