@@ -9,8 +9,8 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.text import parse_list
-from quire.operators import corpus, manifest, pages
+from quire.functions.text import caption, parse_list
+from quire.operators import corpus, manifest, pages, pdf
 from quire.plans import release
 from quire.sources import files, sinks, synthetic
 
@@ -41,10 +41,18 @@ def _parser() -> argparse.ArgumentParser:
     k.add_argument("--dot-bridge-px", type=int, default=0)
     k.add_argument("--detect-dotted", action="store_true")
     k.add_argument("--touch-up-dotted-lines", action="store_true")
-    c = sub.add_parser("combine", help="the page plan of a review file")
+    k.add_argument("--overlays", action="store_true")
+    c = sub.add_parser("combine", help="the page plan of a review file, and with --files and --out the file")
     c.add_argument("--documents", required=True)
     c.add_argument("--run-log", required=True)
     c.add_argument("--only-touched", action="store_true")
+    c.add_argument("--files")
+    c.add_argument("--out")
+    for name, text in (("blank-pdf", "blank files by lane and their run log"), ("preview", "files with their answers in colour and their log")):
+        w = sub.add_parser(name, help=text)
+        w.add_argument("--files", required=True)
+        w.add_argument("--documents", required=True)
+        w.add_argument("--out", required=True)
     r = sub.add_parser("report", help="counts of a corpus")
     r.add_argument("--documents", required=True)
     e = sub.add_parser("export", help="one split")
@@ -53,9 +61,25 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--out", required=True)
     f = sub.add_parser("forms", help="synthetic forms")
     f.add_argument("--out", required=True)
+    f.add_argument("--files", action="store_true", help="write each form's PDF too")
     return p
 
 
+def _pdf_files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", "true").load(path)
+
+
+def _lane(spark: SparkSession, a: argparse.Namespace) -> dict:
+    """Run a lane once, write its files below out and its rows, without the bytes, as the log."""
+    work, name = (pdf.blank_files, "blank.pdf") if a.command == "blank-pdf" else (pdf.preview_files, "preview.pdf")
+    done = work(_pdf_files(spark, a.files), spark.read.parquet(a.documents))
+    done.write.mode("overwrite").parquet(f"{a.out}/lane")
+    done = spark.read.schema(done.schema).parquet(f"{a.out}/lane")
+    written = sinks.write_files(done, f"{a.out}/files", name).count()
+    sinks.write_run_log(done.drop("data"), f"{a.out}/run")
+    return {"files": written, **{r.status: r["count"] for r in done.groupBy("status").count().collect()}}
+
+
 def _release(spark: SparkSession, a: argparse.Namespace, r: release.Recipe) -> dict:
     out = release.plan(spark.read.parquet(a.documents), spark.read.parquet(a.profiles), r)
     stats = out.stats.first().asDict() | {"sources": list(r.sources), "classified": {x.category: x.n for x in out.counts.collect()}}
@@ -83,8 +107,20 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         log = pages.run_totals(spark.read.parquet(f"{a.out}/pages").drop("data"))
         sinks.write_run_log(log, f"{a.out}/run")
         said = {"documents": spark.read.json(f"{a.out}/run").count()}
+        if a.overlays:
+            said["overlays"] = sinks.write_files(pages.overlay_rows(pg, fl, a.touch_up_dotted_lines, {} if a.touch_up_dotted_lines else knobs), f"{a.out}/overlays", "overlay.png").count()
+    elif a.command in ("blank-pdf", "preview"):
+        said = _lane(spark, a)
     elif a.command == "combine":
-        said = manifest.review_pages(spark.read.parquet(a.documents), files.run_log(spark, a.run_log), "ord", a.only_touched)
+        log = files.run_log(spark, a.run_log)
+        said = manifest.review_pages(spark.read.parquet(a.documents), log, "ord", a.only_touched)
+        if a.files and a.out:
+            counts = [F.col(c) if c in log.columns else F.lit(None) for c in ("touch_up_dots", "touch_up_clusters", "touch_up_gaps")]
+            notes = F.col("touch_up_notes") if "touch_up_notes" in log.columns else F.lit(None).cast("array<string>")
+            captions = log.select("doc_id", F.lit(True).alias("logged"), caption(F.col("doc_id"), *counts, notes).alias("caption"))
+            plan = said.select("doc_id", "ord").join(captions, "doc_id", "left").withColumn("caption", F.coalesce("caption", "doc_id"))
+            data, said = pdf.combine(_pdf_files(spark, a.files), plan, "ord")
+            sinks.put_bytes(spark, a.out, data)
     elif a.command == "report":
         said = corpus.corpus_stats(spark.read.parquet(a.documents))
     elif a.command == "export":
@@ -93,6 +129,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     else:
         synthetic.forms(spark).write.mode("overwrite").parquet(a.out)
         said = {"documents": spark.read.parquet(a.out).count()}
+        if a.files:
+            said["files"] = sinks.write_files(synthetic.form_files(synthetic.forms(spark)), f"{a.out.rstrip('/')}-files", "form.pdf").count()
     if isinstance(said, dict):
         print(json.dumps(said))
     else:

@@ -316,6 +316,97 @@ def overlay(image: np.ndarray, masks: Sequence[tuple[np.ndarray, tuple[int, int,
     return np.round(out).astype(np.uint8)
 
 
+#: Colours of the overlays.
+COLORS = {"text": (255, 0, 0), "h_rule": (0, 200, 0), "v_rule": (0, 80, 255), "box": (255, 215, 0), "gap": (230, 0, 0), "line": (0, 180, 0), "erased": (0, 180, 200)}
+
+
+def outline(image: np.ndarray, box: Box, color: tuple[int, int, int], width: int = 2) -> None:
+    """A frame along the inside of a box; the image changes in place."""
+    h, w = image.shape[:2]
+    x0, y0, x1, y1 = max(0, box[0]), max(0, box[1]), min(w, box[2]), min(h, box[3])
+    if x1 <= x0 or y1 <= y0:
+        return
+    view = image[y0:y1, x0:x1]
+    view[:width] = view[-width:] = color
+    view[:, :width] = view[:, -width:] = color
+
+
+def overlay_classes(image: np.ndarray, boxes: Sequence[Box], alpha: float = 0.55, **knobs) -> np.ndarray:
+    """A copy on which every box's window shows its rules, dividers and text in colour, and the box its frame."""
+    out = image.copy()
+    h, w = image.shape[:2]
+    for x0, y0, x1, y1 in boxes:
+        dx, dy = max(10, round((x1 - x0) * 0.5)), max(10, round((y1 - y0) * 0.5))
+        wx0, wy0, wx1, wy1 = max(0, x0 - dx), max(0, y0 - dy), min(w, x1 + dx), min(h, y1 + dy)
+        if wx1 > wx0 and wy1 > wy0:
+            m = classify(image[wy0:wy1, wx0:wx1], y1 - y0, **knobs)
+            out[wy0:wy1, wx0:wx1] = overlay(out[wy0:wy1, wx0:wx1], [(m.v_rules, COLORS["v_rule"]), (m.h_rules, COLORS["h_rule"]), (m.text, COLORS["text"])], alpha)
+    for box in boxes:
+        outline(out, box, COLORS["box"])
+    return out
+
+
+def overlay_touch_up(image: np.ndarray, erased: Sequence[Box], max_dot: int = 8) -> np.ndarray:
+    """A copy with the erased boxes framed, the dotted lines found along their fit and the gaps in them."""
+    out = image.copy()
+    for box in erased:
+        outline(out, box, COLORS["erased"], 1)
+    gray = gray_of(image)
+    _, found, _ = dotted_lines(gray <= otsu(gray), max_dot, 3, 3, 0.4, 10, tolerant=True)
+    h, w = image.shape[:2]
+    for line in found:
+        slope, intercept = line.fit()
+        spans = [(line.xs[0], line.xs[-1], COLORS["line"])]
+        spans += [(a, b, COLORS["gap"]) for a, b in zip(line.xs, line.xs[1:], strict=False) if b - a > 1.3 * line.spacing]
+        for a, b, color in spans:
+            x = np.arange(max(0, int(a)), min(w, int(b) + 1))
+            y = np.clip(np.round(slope * x + intercept).astype(int), 0, h - 1)
+            out[y, x] = color
+    return out
+
+
+def side_by_side(a: np.ndarray, b: np.ndarray, height: int = 1000, gap: int = 20, bar: int = 30) -> np.ndarray:
+    """Two pages scaled to one height beside each other on white, below a bar."""
+
+    def scaled(image: np.ndarray) -> np.ndarray:
+        h, w = image.shape[:2]
+        ys = np.minimum((np.arange(height) * h) // height, h - 1)
+        width = max(1, w * height // h)
+        return image[ys][:, np.minimum((np.arange(width) * w) // width, w - 1)]
+
+    left, right = scaled(a), scaled(b)
+    out = np.full((height + bar, left.shape[1] + gap + right.shape[1], 3), 255, np.uint8)
+    out[bar:, : left.shape[1]] = left
+    out[bar:, left.shape[1] + gap :] = right
+    return out
+
+
+def overlay_rows(pages, fields, touch: bool = False, knobs: dict | None = None):
+    """doc_id (with its page), data: a PNG of each page of blank_pages() input with what was decided on it."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from quire.sources.sinks import png
+
+    knobs = knobs or {}
+    boxes = fields.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(F.struct("pos", "x0", "y0", "x1", "y1"))).alias("boxes"))
+    rows = pages.join(boxes, ["doc_id", "page"], "left").select(F.format_string("%s_p%03d", "doc_id", "page").alias("doc_id"), "h", "w", "data", "boxes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                r = b.slice(i, 1).to_pylist()[0]
+                try:
+                    image = np.frombuffer(r["data"], np.uint8).reshape(r["h"], r["w"], 3)
+                    at = [(f["x0"], f["y0"], f["x1"], f["y1"]) for f in r["boxes"] or []]
+                    data = png(overlay_touch_up(image, at) if touch else overlay_classes(image, at, **knobs))
+                except (ValueError, TypeError):  # a broken page has no picture
+                    data = None
+                yield pa.RecordBatch.from_arrays([pa.array([r["doc_id"]], pa.string()), pa.array([data], pa.binary())], names=["doc_id", "data"])
+
+    return rows.mapInArrow(run, "doc_id string, data binary")
+
+
 def degrade(image: np.ndarray, blur: int = 0, salt: float = 0.0, open_: tuple[int, int] = (1, 1), close: tuple[int, int] = (1, 1), bleed: float = 0.0, seed: int = 0) -> np.ndarray:
     """Scanner wear: box blur, salt and pepper, opening or closing with a kernel of so many rows and columns, the mirrored page shining through."""
     out = image.astype(float)

@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import json
+import struct
+import uuid
 import zlib
+from collections.abc import Iterator
 from datetime import UTC, datetime
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.functions.fields import master_row, with_derived
+from quire.pdf.forms import image_pages
 
 
 def write_master(docs: DataFrame, path: str) -> None:
@@ -69,50 +76,82 @@ def sample_record(chosen: DataFrame, seed: int, requested: int, excluded_from: s
 
 def put_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file through Spark's file systems."""
+    put_bytes(spark, path, text.encode())
+
+
+def put_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
     try:
-        out.write(bytearray(text.encode()))
+        for i in range(0, len(data), 1 << 20):
+            out.write(bytearray(data[i : i + (1 << 20)]))
     finally:
         out.close()
 
 
-def mark_stage(state: dict, stage: str, **info) -> dict:
-    return state | {stage: {"status": "complete", "completed_at": datetime.now(UTC).isoformat(), **info}}
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """A small file through Spark's file systems; None if there is none."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def stage_state(spark: SparkSession, path: str) -> dict:
+    return json.loads(get_text(spark, path) or "{}")
+
+
+def mark_stage(spark: SparkSession, path: str, stage: str, **info) -> dict:
+    """Note in the state file that a stage is complete."""
+    state = stage_state(spark, path) | {stage: {"status": "complete", "completed_at": datetime.now(UTC).isoformat(), **info}}
+    put_text(spark, path, json.dumps(state, indent=2))
+    return state
+
+
+def stage_done(spark: SparkSession, path: str, stage: str) -> bool:
+    return stage_state(spark, path).get(stage, {}).get("status") == "complete"
+
+
+def write_files(rows: DataFrame, root: str, name: str, data: str = "data", key: str = "doc_id") -> DataFrame:
+    """Write the bytes of each row to root/key/name (a URI or path that executors share); key, path, length.  Rows without bytes write nothing."""
+    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("path", T.StringType()), T.StructField("length", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = pafs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (pafs.LocalFileSystem(), root)
+        for b in batches:
+            out = []
+            for k, x in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if x is None:
+                    continue
+                folder = f"{base.rstrip('/')}/{k.translate({47: 95, 92: 95})}"
+                fs.create_dir(folder, recursive=True)
+                part = f"{folder}/.{name}.{uuid.uuid4().hex}"  # it gets its name whole, so an attempt that runs again harms nothing
+                with fs.open_output_stream(part, compression=None) as f:
+                    f.write(x)
+                fs.move(part, f"{folder}/{name}")
+                out.append((k, f"{folder}/{name}", len(x)))
+            cols = list(zip(*out, strict=True)) if out else [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], names=schema.names)
+
+    return rows.select(F.col(key).cast("string"), data).mapInArrow(run, schema)
+
+
+def png(image: np.ndarray) -> bytes:
+    """An 8-bit grey or RGB raster as a PNG file."""
+    h, w = image.shape[:2]
+    rows = np.ascontiguousarray(image, np.uint8).reshape(h, -1)
+    raw = np.concatenate([np.zeros((h, 1), np.uint8), rows], 1).tobytes()
+    part = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2 if image.ndim == 3 else 0, 0, 0, 0)) + part(b"IDAT", zlib.compress(raw)) + part(b"IEND", b"")
 
 
 def image_pdf(pages: list[np.ndarray], dpi: int = 150, titles: list[str] | None = None) -> bytes:
-    """A PDF with a page for each RGB raster, compressed, and a bookmark for each title."""
-    if not pages:
-        raise ValueError("a PDF needs a page")
-    objects: list[bytes] = [b"", b""]
-    kids = []
-    for image in pages:
-        h, w = image.shape[:2]
-        data = zlib.compress(np.ascontiguousarray(image, np.uint8).tobytes())
-        size = f"{w * 72 / dpi:.2f} {h * 72 / dpi:.2f}"
-        n = len(objects) + 1
-        objects.append(f"<</Type/XObject/Subtype/Image/Width {w}/Height {h}/ColorSpace/DeviceRGB/BitsPerComponent 8/Filter/FlateDecode/Length {len(data)}>>stream\n".encode() + data + b"\nendstream")
-        draw = f"{size.split()[0]} 0 0 {size.split()[1]} 0 0 cm /I Do".encode()
-        objects.append(b"<</Length %d>>stream\n%s\nendstream" % (len(draw), draw))
-        objects.append(f"<</Type/Page/Parent 2 0 R/MediaBox[0 0 {size}]/Resources<</XObject<</I {n} 0 R>>>>/Contents {n + 1} 0 R>>".encode())
-        kids.append(n + 2)
-    outline = ""
-    if titles:
-        first = len(objects) + 2
-        objects.append(f"<</Type/Outlines/First {first} 0 R/Last {first + len(titles) - 1} 0 R/Count {len(titles)}>>".encode())
-        for i, t in enumerate(titles):
-            near = (f"/Prev {first + i - 1} 0 R" if i else "") + (f"/Next {first + i + 1} 0 R" if i + 1 < len(titles) else "")
-            text = t.encode("utf-16-be").hex()
-            objects.append(f"<</Title<feff{text}>/Parent {first - 1} 0 R{near}/Dest[{kids[min(i, len(kids) - 1)]} 0 R/Fit]>>".encode())
-        outline = f"/Outlines {first - 1} 0 R"
-    objects[0] = f"<</Type/Catalog/Pages 2 0 R{outline}>>".encode()
-    objects[1] = f"<</Type/Pages/Count {len(kids)}/Kids[{' '.join(f'{k} 0 R' for k in kids)}]>>".encode()
-    out, places = bytearray(b"%PDF-1.5\n"), []
-    for i, o in enumerate(objects, 1):
-        places.append(len(out))
-        out += b"%d 0 obj\n%s\nendobj\n" % (i, o)
-    start = len(out)
-    out += b"xref\n0 %d\n0000000000 65535 f \n" % (len(objects) + 1) + b"".join(b"%010d 00000 n \n" % p for p in places)
-    return bytes(out + b"trailer<</Size %d/Root 1 0 R>>\nstartxref\n%d\n%%%%EOF\n" % (len(objects) + 1, start))
+    """A PDF with a page for each RGB raster and a bookmark for each title."""
+    return image_pages(pages, dpi, titles)

@@ -95,6 +95,21 @@ def forms(spark: SparkSession, batch: dict[str, tuple[int, int]] | None = None)
     )
 
 
+def form_files(docs: DataFrame) -> DataFrame:
+    """The file of each record of forms(): doc_id, data (a one-page PDF with a filled widget for each field)."""
+    import pyarrow as pa
+
+    from quire.pdf.forms import form_file
+
+    def run(batches):
+        for b in batches:
+            rows = b.to_pylist()
+            data = [form_file(r["doc_class"].title(), [(f["field_id"], f["label"], f["value"], f["bbox_norm"]) for f in r["fields"]]) for r in rows]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(data, pa.binary())], names=["doc_id", "data"])
+
+    return docs.select("doc_id", "doc_class", "fields").mapInArrow(run, "doc_id string, data binary")
+
+
 class FormSource(DataSource):
     """spark.read.format("quire_forms").option("form", ...).option("count", ...).option("seed", ...): (form, seed, field_id, pos)."""
 

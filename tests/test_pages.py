@@ -5,6 +5,8 @@ import json
 import numpy as np
 import pytest
 from quire.operators import pages as P
+from quire.pdf.forms import page_image
+from quire.pdf.objects import Pdf
 from quire.operators import raster
 from quire.sources import files, sinks
 
@@ -154,7 +156,9 @@ def test_wear_keeps_shape():
 
 def test_image_pdf():
     data = sinks.image_pdf([page(), page(40, 40)], titles=["a", "b"])
-    assert data.startswith(b"%PDF-1.5") and data.count(b"/Type/Page/") == 2 and b"/Outlines" in data
+    back = Pdf(data)
+    assert data.startswith(b"%PDF-1.7") and len(back.pages()) == 2 and "Outlines" in back.root
+    assert (page_image(back, back.pages()[0][1]) == page()).all()
     start = int(data.rsplit(b"startxref\n", 1)[1].split(b"\n")[0])
     assert data[start : start + 4] == b"xref"
     with pytest.raises(ValueError, match="needs a page"):
@@ -236,3 +240,23 @@ def test_wear_by_profile():
     dark[4, 3:6] = 255
     assert not P.degrade(dark, open_=(3, 3)).any() and P.degrade(dark, open_=(1, 3))[4, 4] == 255  # light of less than three rows goes
     assert P.DEGRADATIONS["medium"]["open_"] == (3, 3) and P.DEGRADATIONS["heavy"]["close"] == (9, 1)
+
+
+def test_overlays(spark):
+    image = page(60, 120)
+    image[50] = 30
+    glyph(image, 20, 40)
+    out = P.overlay_classes(image, [(30, 15, 60, 35)])
+    assert (out[15, 30:60] == P.COLORS["box"]).all() and (out[20:28, 40:42, 0] > 120).all() and (out[22, 45] != image[22, 45]).any() and (image[15, 30] == 250).all()
+    dots = page(60, 120)
+    for x in [*range(5, 50, 5), *range(80, 115, 5)]:
+        dots[30:32, x : x + 2] = 20
+    got = P.overlay_touch_up(dots, [(50, 25, 80, 35)])
+    assert (got[25, 50:80] == P.COLORS["erased"]).all() and (got[30:32, 60] == P.COLORS["gap"]).all(1).any()
+    both = P.side_by_side(page(50, 100), page(200, 100), height=100)
+    assert both.shape == (130, 200 + 20 + 50, 3)
+    rows = spark.createDataFrame([("d", 0, 60, 120, image.tobytes()), ("e", 1, 60, 120, b"short")], "doc_id string, page int, h int, w int, data binary")
+    f = spark.createDataFrame([("d", 0, 0, "a", 30, 15, 60, 35)], "doc_id string, page int, pos int, field_id string, x0 int, y0 int, x1 int, y1 int")
+    got = {r.doc_id: r.data for r in P.overlay_rows(rows, f).collect()}
+    assert got["e_p001"] is None and bytes(got["d_p000"]) == sinks.png(out)
+    assert {r.doc_id for r in P.overlay_rows(rows, f, touch=True).collect()} == {"d_p000", "e_p001"}
