@@ -6,9 +6,11 @@ training sample span the feature space, one-versus-rest kernel ridge
 regression gives a weight for every landmark and language, and whole batches
 are scored as two matrix products.
 
-Training reads only text and lang of rows outside the held-out part, at most
-about ``SAMPLE`` rows for each of at most ``LANGUAGES`` languages, and takes
-their n-gram sets (bits, of fixed size) to the driver, not their texts.
+Training reads only text and lang of rows outside the held-out part, about
+``SAMPLE`` rows for each language, fewer if there are so many languages that all
+together would be more than ``ROWS``, and takes their n-gram sets (bits, of
+fixed size) to the driver, not their texts.  The driver goes through them in
+blocks: it keeps landmarks and sums, not a matrix of all rows.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 so is everything when there is nothing to learn from.  Repeated rows get equal
@@ -33,8 +35,11 @@ BITS = 13
 SIZE = 1 << BITS
 ORDERS = 3
 SAMPLE = 400
-LANGUAGES = 128
+ROWS = 50_000
+#: At least so many, and two for each language.
 LANDMARKS = 256
+#: Rows whose presences are unpacked at a time.
+AT_ONCE = 2048
 RIDGE = 1e-2
 #: Sharpness of the softmax that turns regression values into a score.
 SHARP = 6.0
@@ -91,26 +96,37 @@ class LanguageModel:
         return out
 
 
-def fit(spectra: np.ndarray, langs: list[str]) -> LanguageModel:
-    """spectra: a row of SIZE presences for each text."""
+def _unit(packed: list[bytes]) -> np.ndarray:
+    """Rows of packed presences at unit length."""
+    x = np.unpackbits(np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), SIZE // 8), axis=1).astype(np.float32)
+    return x / np.sqrt(np.maximum(1, x.sum(1, keepdims=True)))
+
+
+def fit(packed: list[bytes], langs: list[str]) -> LanguageModel:
+    """packed: the SIZE presences of each text, eight to a byte."""
     names = sorted(set(langs))
     if not names:
         return LanguageModel([], np.zeros((0, SIZE), np.float32), np.zeros((0, 0), np.float32))
-    x = spectra.astype(np.float32)
-    x /= np.sqrt(np.maximum(1, x.sum(1, keepdims=True)))
-    y = np.array([[1.0 if a == n else -1.0 for n in names] for a in langs])
+    number = {a: i for i, a in enumerate(names)}
+    label = np.array([number[a] for a in langs])
     # landmarks in turn from every language
     order = _in_turn(langs)
-    marks = x[order[:LANDMARKS]]
+    marks = _unit([packed[i] for i in order[: max(LANDMARKS, 2 * len(names))]])
     s, u = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     keep = s > 1e-6 * s.max()
     root = u[:, keep] / np.sqrt(s[keep])
-    phi = (x @ marks.T).astype(np.float64) @ root
     # every language weighs the same
-    w = np.array([1 / langs.count(a) for a in names])[[names.index(a) for a in langs]]
-    w *= len(langs) / w.sum()
-    left = phi.T @ (phi * w[:, None]) + RIDGE * len(langs) / len(order) * np.eye(phi.shape[1])
-    return LanguageModel(names, marks, (root @ np.linalg.solve(left, phi.T @ (y * w[:, None]))).astype(np.float32))
+    count = np.bincount(label)
+    weight = 1 / count[label]
+    weight *= len(langs) / weight.sum()
+    left, right = RIDGE * np.eye(root.shape[1]), np.zeros((root.shape[1], len(names)))
+    for at in range(0, len(packed), AT_ONCE):
+        part = slice(at, at + AT_ONCE)
+        phi = (_unit(packed[part]) @ marks.T).astype(np.float64) @ root
+        y = np.where(label[part, None] == np.arange(len(names)), 1.0, -1.0) * weight[part, None]
+        left += phi.T @ (phi * weight[part, None])
+        right += phi.T @ y
+    return LanguageModel(names, marks, (root @ np.linalg.solve(left, right)).astype(np.float32))
 
 
 def _in_turn(langs: list[str]) -> list[int]:
@@ -122,17 +138,19 @@ def _in_turn(langs: list[str]) -> list[int]:
     return sorted(range(len(langs)), key=lambda i: (place[i], langs[i]))
 
 
-def sampled(df: DataFrame, label: str, key: Column, per_label: int, labels: int) -> DataFrame:
-    """About per_label rows of each of the most frequent labels, chosen by a hash of key; no row moves."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).count().orderBy(F.desc("count"), label).limit(labels).collect()
+def sampled(df: DataFrame, label: str, key: Column, per_label: int, rows: int | None = None) -> DataFrame:
+    """About per_label rows of each label, fewer if all together would be more than rows, chosen by a hash of key; no row moves."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).count().orderBy(label).collect()
     if not counts:
         return df.where(F.lit(False))
+    if rows is not None:
+        per_label = min(per_label, rows / len(counts))
     share = F.create_map(*(F.lit(x) for r in counts for x in (r[0], min(1.0, per_label / r[1]))))
     return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < share[F.col(label)] * (1 << 20))
 
 
 def train(docs: DataFrame, learn: Column) -> LanguageModel:
-    rows = sampled(docs.where(learn & F.col("text").isNotNull()).select("doc_id", "text", "lang"), "lang", F.col("doc_id"), SAMPLE, LANGUAGES)
+    rows = sampled(docs.where(learn & F.col("text").isNotNull()).select("doc_id", "text", "lang"), "lang", F.col("doc_id"), SAMPLE, ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, 0):
@@ -140,8 +158,7 @@ def train(docs: DataFrame, learn: Column) -> LanguageModel:
             yield pa.RecordBatch.from_arrays([pa.array([np.packbits(s).tobytes() for s, _ in got], pa.binary()), pa.array([a for _, a in got], pa.string())], names=["bits", "lang"])
 
     found = sorted((r.lang, bytes(r.bits)) for r in rows.select("text", "lang").mapInArrow(run, "bits binary, lang string").collect())
-    spectra = np.array([np.unpackbits(np.frombuffer(b, np.uint8)) for _, b in found], np.uint8).reshape(len(found), SIZE)
-    return fit(spectra, [a for a, _ in found])
+    return fit([b for _, b in found], [a for a, _ in found])
 
 
 def held_out(modulus: int, rest: int) -> Column:

@@ -6,7 +6,8 @@ share of its words.
 
 Defined cases: a null text counts as empty; an empty text has no words, so it
 fails the base rule.  Any other columns, whatever their names, pass through
-``clean_lines`` untouched.  Repeated rows get equal results, row by row.
+``clean_lines`` untouched, but for ``n_chars``, which is counted anew if it holds
+whole numbers.  Repeated rows get equal results, row by row.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from quire.llm.common import SPACES, read_table, small_batches
+from quire.llm.common import SPACES, read_table, recounted, small_batches
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -158,8 +159,7 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 def clean_lines(docs: DataFrame) -> DataFrame:
     """The documents that pass, all their columns, with failing lines cut from text (and n_chars counted anew)."""
-    at = docs.columns.index("text")
-    n_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    at, n_at = docs.columns.index("text"), recounted(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, at):

@@ -250,7 +250,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[np.n
 def labelled(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
     """doc_id, text, toxic, part of the sampled labelled documents; the label sample is broadcast, being bounded."""
     one = labels.where(learn & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    few = sampled(one, "toxic", F.col("doc_id"), SAMPLE, 2)
+    few = sampled(one, "toxic", F.col("doc_id"), SAMPLE)
     few = few.select("doc_id", "toxic", (F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)) == 0).alias("part"))
     return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(few), "doc_id").select("text", "toxic", "part")
 

@@ -494,6 +494,26 @@ def test_languages_of_held_out_documents(spark):
     assert held[0] > 0.98 and held[1] > 150 and got.where("score < 0 or score > 1").count() == 0
 
 
+def test_every_language_is_learned(spark):
+    words = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in "bdfgklmnprst"]
+    texts = [(k, " ".join(words[4 * k : 4 * k + 4]) * 3) for k in range(150)]
+    rows = [(1000 * k + i, f"{t} {i}") for k, t in texts for i in range(3)]
+    docs = spark.createDataFrame([(i, t, f"l{i // 1000:03d}") for i, t in rows], "doc_id long, text string, lang string")
+    model = language.train(docs, F.lit(True))
+    assert len(model.names) == 150 and len(model.landmarks) == 300
+    right = language.identify(docs, model).join(docs, "doc_id").where("lang = lang_pred").count()
+    assert right > 0.95 * len(rows)
+
+
+def test_fitting_in_blocks_changes_nothing(monkeypatch):
+    rng = np.random.default_rng(0)
+    packed = [np.packbits(rng.integers(0, 2, language.SIZE) * rng.integers(0, 2, language.SIZE)).tobytes() for _ in range(50)]
+    langs = [f"l{i % 4}" for i in range(50)]
+    whole = language.fit(packed, langs)
+    monkeypatch.setattr(language, "AT_ONCE", 7)
+    assert np.allclose(whole.weights, language.fit(packed, langs).weights, atol=1e-4)
+
+
 def test_language_of_odd_rows(spark):
     docs = table(spark, [(i, t) for i, t in ODD] + [(100 + i, "the and with " * 9) for i in range(9)] + [(200 + i, "été où ça leur " * 9) for i in range(9)]).withColumn("lang", F.when(F.col("doc_id") >= 200, "fr").when(F.col("doc_id") >= 100, "en"))
     model = language.train(docs, F.lit(True))
@@ -741,6 +761,83 @@ def test_pipeline_takes_odd_rows(spark, tmp_path):
     assert {r.doc_id for r in P.run(spark, str(tmp_path)).collect()} <= {6, 7, 8, 9, None}
 
 
+def test_pipeline_stages_beside_any_columns(spark):
+    import corpus_pipeline as P
+
+    names = ("__n", "__tkey", "__spans", "__i1", "__i2", "__t1", "fp", "who", "item_id", "h", "size", "n_tokens", "ids")
+    docs = table(spark, [(None if i is None else i + 100, t) for i, t in ODD], names).withColumn("n_chars", F.lit("many")).withColumn("m", F.create_map(F.lit("a"), F.lit(1)))
+    for _, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+        assert 0 < out.count() <= len(ODD) and stage(spark, docs.where("false"), SF).count() == 0
+    assert P.STAGES[-1][1](spark, docs, SF).count() == len(ODD)
+
+
+def test_pipeline_equals_brute_force(spark):
+    """Every stage worked out plainly over all documents of the smallest tables."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline as P
+
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    kept = [(i, g[7]) for i, t in rows for g in [quality.judge(t)] if g[6]]
+
+    def print_of(text):
+        h = [xxhash.xxh64_intdigest(w, 42) for w in set(text.encode().lower().split())]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    fps = [print_of(t) for _, t in kept]
+    label = list(range(len(kept)))
+    for a in range(len(kept)):
+        for b in range(a):
+            if (fps[a] ^ fps[b]).bit_count() <= simhash.COPY_BITS and label[a] != label[b]:
+                old, new = label[a], label[b]
+                label = [new if x == old else x for x in label]
+    kept = [min((d for d, x in zip(kept, label, strict=True) if x == c), key=lambda d: d[0]) for c in sorted(set(label))]
+    raws = [t.encode() for _, t in kept]
+    count = collections.Counter(r[i : i + 200] for r in raws for i in range(len(r) - 199))
+    cleaned = []
+    for (i, _), r in zip(kept, raws, strict=True):
+        m = bytearray(len(r))
+        for k in range(len(r) - 199):
+            if count[r[k : k + 200]] > 1:
+                m[k : k + 200] = b"\1" * 200
+        cleaned.append((i, bytes(x for x, y in zip(r, m, strict=True) if not y).decode("utf-8", "ignore")))
+    bad = {d for d, _ in slow_leaks(items, cleaned)}
+    lib = Tokenizer.from_file(bpe.default_vocabulary())
+    want = {}
+    for i, t in cleaned:
+        if i not in bad:
+            ids = lib.encode(t, add_special_tokens=False).ids
+            want[i] = (len(ids), " ".join(map(str, ids)), lib.decode(ids, skip_special_tokens=False) if ids else "")
+    got = {r.doc_id: (r.n_tokens, r.ids, r.decoded) for r in P.run(spark, SF).collect()}
+    assert got == want and len(want) > 50
+
+
+def test_pages_equal_brute_force(spark):
+    """Templates counted plainly, on pages whose content is marked and on the same pages without the marks."""
+    rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{SF.replace('sf0.001', 'sf0.1')}/pages.parquet").collect()]
+    bare = [(i, u, (h or "").replace("article", "div").replace("<nav", "<div").replace("</nav", "</div").replace("footer", "div").replace('class="ad"', "")) for i, u, h in rows]
+    for table_ in (rows, bare):
+        hosts = collections.defaultdict(dict)
+        for _, u, h in table_:
+            p = html.Page(h or "")
+            name = (u or "").split("://", 1)[-1].split("/")[0].split("?")[0].split("#")[0].split("@")[-1].lower()
+            hosts[name][p.content()] = p.subtrees()
+        want = {}
+        for i, u, h in table_:
+            name = (u or "").split("://", 1)[-1].split("/")[0].split("?")[0].split("#")[0].split("@")[-1].lower()
+            contents = hosts[name]
+            n = collections.Counter(x for s in contents.values() for x in s)
+            often = frozenset(x for x, k in n.items() if k >= html.MIN_PAGES and k >= html.MIN_SHARE * len(contents))
+            firm = frozenset(x for x in often if n[x] >= html.FIRM * len(contents))
+            want[i] = html.Page(h or "").text(often, firm)
+        got = {r.page_id: r.text for r in html.extract_pages(spark.createDataFrame(table_, "page_id long, url string, html string")).collect()}
+        assert got == want
+    assert any(html.Page(h).text() != want[i] for i, _, h in bare)
+
+
 def test_copies_of_a_page_are_no_template(spark):
     own = "a long own text of this one page that many mirrors hold " * 6
     copied = f"<html><body><div><p>{own}</p></div></body></html>"
