@@ -655,7 +655,9 @@ def turn_spans(spark, d):
 
 
 @query(
-    f"""WITH {_PAGES} SELECT f.conv_id AS doc_id, f.turn AS pos, count(*) AS hits FROM c f JOIN c ON f.conv_id = c.conv_id AND f.page = c.page WHERE trim(f.value) <> '' AND contains(c.text, f.value) GROUP BY f.conv_id, f.turn"""
+    f"""WITH {_PAGES}, f AS (SELECT conv_id, turn, page, list_filter(list_transform(string_split(value, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines FROM c),
+    h AS (SELECT f.conv_id AS doc_id, f.turn AS pos, any_value(len(lines)) AS n, count(*) AS hits FROM f JOIN c ON f.conv_id = c.conv_id AND f.page = c.page WHERE len(list_filter(lines, lambda x: contains(c.text, x))) > 0 GROUP BY f.conv_id, f.turn)
+    SELECT doc_id, pos, hits FROM h WHERE hits >= n"""
 )
 def redaction_hits(spark, d):
     return pdf.targets(turn_fields(spark, d), turn_spans(spark, d)).where("complete").groupBy("doc_id", "pos").agg(F.count("*").alias("hits"))

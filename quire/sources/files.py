@@ -27,9 +27,9 @@ def manifest_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run_log(spark: SparkSession, path: str) -> DataFrame:
-    """The last row of each doc_id."""
-    rows = spark.read.json(path).withColumn("__line", F.monotonically_increasing_id())
-    return last_of_each(rows, "doc_id", "__line").drop("__line")
+    """The last row of each doc_id; of several files those whose names sort later are later."""
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return last_of_each(spark.read.json(path).withColumn("__line", place), "doc_id", "__line").drop("__line")
 
 
 def images(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+import quire.page_queries  # noqa: F401
 from quire.queries import ORACLE_SQL, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
