@@ -293,6 +293,22 @@ def scanned_pages(files: DataFrame) -> DataFrame:
     return _per_file(files.select(_documents(F.col("path")).alias("doc_id"), "content"), "doc_id string, page int, h int, w int, data binary, error string", work)
 
 
+def page_pngs(files: DataFrame) -> DataFrame:
+    """The pages of scanned_pages() as PNG files: doc_id (with its page), data; pages that need a rasteriser are left out."""
+    import numpy as np
+
+    from quire.sources.sinks import png
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = b.to_pylist()
+            data = [png(np.frombuffer(r["data"], np.uint8).reshape(r["h"], r["w"], 3)) for r in rows]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(data, pa.binary())], names=["doc_id", "data"])
+
+    named = scanned_pages(files).where("error is null").select(F.format_string("%s_p%03d", "doc_id", "page").alias("doc_id"), "h", "w", "data")
+    return named.mapInArrow(run, "doc_id string, data binary")
+
+
 #: Bytes that one combined file may gather.
 COMBINED_BYTES = 1 << 30
 

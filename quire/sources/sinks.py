@@ -119,8 +119,11 @@ def stage_done(spark: SparkSession, path: str, stage: str) -> bool:
     return stage_state(spark, path).get(stage, {}).get("status") == "complete"
 
 
-def write_files(rows: DataFrame, root: str, name: str, data: str = "data", key: str = "doc_id") -> DataFrame:
-    """Write the bytes of each row to root/key/name (a URI or path that executors share); key, path, length.  Rows without bytes write nothing."""
+def write_files(rows: DataFrame, root: str, name: str, data: str = "data", key: str = "doc_id", once: bool = False) -> DataFrame:
+    """Write the bytes of each row to root/key/name (a URI or path that executors share); key, path, length.
+
+    Rows without bytes write nothing.  once: a file that is there already stays.
+    """
     schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("path", T.StringType()), T.StructField("length", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,6 +135,9 @@ def write_files(rows: DataFrame, root: str, name: str, data: str = "data", key:
                     continue
                 folder = f"{base.rstrip('/')}/{k.translate({47: 95, 92: 95})}"
                 fs.create_dir(folder, recursive=True)
+                if once and fs.get_file_info(f"{folder}/{name}").type == pafs.FileType.File:
+                    out.append((k, f"{folder}/{name}", fs.get_file_info(f"{folder}/{name}").size))
+                    continue
                 part = f"{folder}/.{name}.{uuid.uuid4().hex}"  # it gets its name whole, so an attempt that runs again harms nothing
                 with fs.open_output_stream(part, compression=None) as f:
                     f.write(x)

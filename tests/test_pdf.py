@@ -285,3 +285,38 @@ def test_commands_for_files(spark, tmp_path, capsys):
     assert cli.main(["combine", "--documents", f"{tmp_path}/docs", "--run-log", f"{tmp_path}/log", "--files", f"{tmp_path}/in", "--out", f"{tmp_path}/all.pdf"], spark) == 0
     assert "born  |  2 clusters  1 gaps  3 dots stamped  |  n" in words((tmp_path / "all.pdf").read_bytes())
     assert '"included": 1' in capsys.readouterr().out
+
+
+def test_fetching(spark, tmp_path):
+    import subprocess
+    import zipfile
+
+    from quire.sources import fetch
+
+    (tmp_path / "a.txt").write_text("data")
+    url = (tmp_path / "a.txt").as_uri()
+    assert fetch.download(url, f"{tmp_path}/in/b.txt") and (tmp_path / "in/b.txt").read_text() == "data"
+    assert fetch.download("file:///no/such", f"{tmp_path}/in/b.txt") and not fetch.download("file:///no/such", f"{tmp_path}/in/c.txt") and not fetch.download("no address", f"{tmp_path}/in/c.txt")
+    assert sorted(p.name for p in (tmp_path / "in").iterdir()) == ["b.txt"]
+    repo = tmp_path / "repo"
+    for args in (["init", "-q", str(repo)], ["-C", str(repo), "-c", "user.name=a", "-c", "user.email=a@b", "commit", "-q", "--allow-empty", "-m", "x"]):
+        subprocess.run(["git", *args], check=True)
+    assert fetch.clone(repo.as_uri(), f"{tmp_path}/copy", ".git") and fetch.clone("file:///no/such", f"{tmp_path}/copy", ".git") and not fetch.clone("file:///no/such", f"{tmp_path}/other")
+    (tmp_path / "zips").mkdir()
+    with zipfile.ZipFile(tmp_path / "zips/x.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("d/one.txt", "1" * 1000)
+        z.writestr("two.txt", "")
+    (tmp_path / "zips/bad.zip").write_bytes(b"PK nothing")
+    got = {(r.archive[-7:], r.path): (r.length, r.error is None) for r in fetch.unzipped(spark, f"{tmp_path}/zips").collect()}
+    assert got == {("s/x.zip", "d/one.txt"): (1000, True), ("s/x.zip", "two.txt"): (0, True), ("bad.zip", None): (None, False)}
+
+
+def test_page_cache(spark, tmp_path):
+    image = np.arange(9 * 7 * 3, dtype=np.uint8).reshape(9, 7, 3)
+    f = files(spark, [("scan", W.image_pages([image, image])), ("text", PAGE), ("bad", b"x")])
+    rows = L.page_pngs(f)
+    first = sinks.write_files(rows, str(tmp_path), "page.png", once=True).collect()
+    assert sorted(r.doc_id for r in first) == ["scan_p000", "scan_p001"]
+    (tmp_path / "scan_p000/page.png").write_bytes(b"kept")
+    again = {r.doc_id: r.length for r in sinks.write_files(rows, str(tmp_path), "page.png", once=True).collect()}
+    assert again["scan_p000"] == 4 and (tmp_path / "scan_p001/page.png").read_bytes() == sinks.png(image)
