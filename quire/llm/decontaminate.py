@@ -373,4 +373,57 @@ def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    found = find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.transform("item_ids", lambda x: x.cast("string")), ",")
+    return found.select("doc_id", "item_id", ids.alias("item_ids"), F.round("bm25", 6).alias("bm25"), "overlap", "question_overlap", "answer_overlap")
+
+
+#: Every item against every document by shingles; the scores of those found from the windows' words.
+ORACLE_SQL = f"""
+WITH doc AS (
+    SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}_]+') AS ws FROM documents
+), body AS (
+    SELECT item_id, text, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS body FROM benchmark WHERE text IS NOT NULL
+), cut AS (
+    SELECT item_id, text, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS every,
+        regexp_extract_all(lower(CASE WHEN contains(body, chr(10)) THEN regexp_extract(body, '(?s)^(.*)\\n[^\\n]*$', 1) ELSE regexp_extract(body, '(?s)^(.*[.?!]\\s+)', 1) END), '[\\p{{L}}\\p{{N}}_]+') AS question
+    FROM body
+), item AS (
+    SELECT min(item_id) AS item_id, string_agg(cast(item_id AS VARCHAR), ',' ORDER BY item_id) AS item_ids, every, arg_min(question, text) AS question FROM cut WHERE len(every) > 0 GROUP BY every
+), parts AS (
+    SELECT item_id, 0 AS part, every AS ws FROM item UNION ALL SELECT item_id, 1, question FROM item UNION ALL SELECT item_id, 2, every[len(question) + 1:] FROM item
+), grams AS (
+    SELECT DISTINCT item_id, part, least({SHINGLE}, len(ws)) AS n, ws[i:i + least({SHINGLE}, len(ws)) - 1] AS g FROM (SELECT *, unnest(range(1, greatest(1, len(ws) - {SHINGLE} + 1) + 1)) AS i FROM parts WHERE len(ws) > 0)
+), size AS (
+    SELECT item_id, part, count(*) AS total FROM grams GROUP BY item_id, part
+), held AS (
+    SELECT DISTINCT doc_id, n, ws[i:i + n - 1] AS g FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM grams) WHERE len(ws) >= n)
+), hits AS (
+    SELECT doc_id, item_id, part, count(*) AS k FROM held JOIN grams ON held.n = grams.n AND held.g = grams.g GROUP BY doc_id, item_id, part
+), shares AS (
+    SELECT h.doc_id, h.item_id, h.k / s.total AS overlap,
+        CASE WHEN q.total IS NULL THEN 1.0::DOUBLE ELSE coalesce((SELECT k FROM hits x WHERE x.doc_id = h.doc_id AND x.item_id = h.item_id AND x.part = 1), 0) / q.total END AS question_overlap,
+        CASE WHEN a.total IS NULL THEN 1.0::DOUBLE ELSE coalesce((SELECT k FROM hits x WHERE x.doc_id = h.doc_id AND x.item_id = h.item_id AND x.part = 2), 0) / a.total END AS answer_overlap
+    FROM hits h JOIN size s ON h.item_id = s.item_id AND s.part = 0 LEFT JOIN size q ON h.item_id = q.item_id AND q.part = 1 LEFT JOIN size a ON h.item_id = a.item_id AND a.part = 2 WHERE h.part = 0 AND h.k / s.total >= {SIMILARITY}
+), found AS (
+    SELECT * FROM shares WHERE question_overlap >= {SIMILARITY} AND answer_overlap >= {SIMILARITY}
+), stats AS (
+    SELECT count(*) AS n, avg(len(every)) AS mean, max(len(every)) + max(len(every)) // 4 + 4 AS half FROM item
+), tf AS (
+    SELECT item_id, t, len(every) AS size, count(*) AS c FROM (SELECT item_id, every, unnest(every) AS t FROM item) GROUP BY item_id, t, len(every)
+), impact AS (
+    SELECT item_id, tf.t, ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * c * {K1 + 1}::DOUBLE / (c + {K1}::DOUBLE * ({1 - B}::DOUBLE + {B}::DOUBLE * size / mean)) AS w
+    FROM tf JOIN (SELECT t, count(*) AS df FROM tf GROUP BY t) d ON tf.t = d.t, stats
+), least_ AS (
+    SELECT i.item_id, greatest(list_sum(list_sort(list(w), 'DESC')[any_value(total - ceil({SIMILARITY}::DOUBLE * total - 1e-9)::BIGINT) + 1:]), 0.25::DOUBLE * min(w)) AS least FROM impact i JOIN size s ON i.item_id = s.item_id AND s.part = 0 GROUP BY i.item_id
+), words AS (
+    SELECT d.doc_id, d.ws[p] AS t, (p - 1) // half AS slot, greatest(1, (len(ws) + half - 1) // half - 1) AS windows FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS p FROM doc WHERE doc_id IN (SELECT doc_id FROM found)) d, stats
+), windowed AS (
+    SELECT DISTINCT doc_id, t, unnest([least(slot, windows - 1), greatest(slot - 1, 0), -1]) AS k FROM words
+), scored AS (
+    SELECT f.doc_id, f.item_id, k, sum(w) AS score FROM found f JOIN windowed x ON f.doc_id = x.doc_id JOIN impact i ON i.item_id = f.item_id AND i.t = x.t GROUP BY f.doc_id, f.item_id, k
+), best AS (
+    SELECT doc_id, s.item_id, coalesce(max(CASE WHEN k >= 0 AND score >= least * (1 - 1e-9) THEN score END), max(CASE WHEN k = -1 THEN score END)) AS bm25 FROM scored s JOIN least_ l ON s.item_id = l.item_id GROUP BY doc_id, s.item_id
+)
+SELECT f.doc_id, f.item_id, i.item_ids, round(bm25, 6) AS bm25, overlap, question_overlap, answer_overlap FROM found f JOIN best b ON f.doc_id = b.doc_id AND f.item_id = b.item_id JOIN item i ON f.item_id = i.item_id
+"""

@@ -19,6 +19,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_shard": shard.ORACLE_SQL,
+    "op4_decontaminate": decontaminate.ORACLE_SQL,
     "op8_suffix": suffix.ORACLE_SQL,
     "op9_quality_rules": quality.ORACLE_SQL,
     "op10_warc": warc.ORACLE_SQL,

@@ -664,14 +664,14 @@ def test_archives_round_trip(spark):
     assert warc.read_archives(none, where).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op1_shard", "op8_suffix", "op9_quality_rules", "op10_warc"])
+@pytest.mark.parametrize("name", ["op1_shard", "op4_decontaminate", "op8_suffix", "op9_quality_rules", "op10_warc"])
 def test_queries_equal_sql(spark, name):
     import duckdb
 
     from quire.llm.entry import ORACLE_SQL, QUERIES
 
     c = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         c.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     cur = c.sql(ORACLE_SQL[name])
     got = QUERIES[name](spark, SF)
