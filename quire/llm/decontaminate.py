@@ -393,13 +393,13 @@ WITH doc AS (
 ), parts AS (
     SELECT item_id, 0 AS part, every AS ws FROM item UNION ALL SELECT item_id, 1, question FROM item UNION ALL SELECT item_id, 2, every[len(question) + 1:] FROM item
 ), grams AS (
-    SELECT DISTINCT item_id, part, least({SHINGLE}, len(ws)) AS n, ws[i:i + least({SHINGLE}, len(ws)) - 1] AS g FROM (SELECT *, unnest(range(1, greatest(1, len(ws) - {SHINGLE} + 1) + 1)) AS i FROM parts WHERE len(ws) > 0)
+    SELECT DISTINCT item_id, part, least({SHINGLE}, len(ws)) AS n, array_to_string(ws[i:i + least({SHINGLE}, len(ws)) - 1], ' ') AS g FROM (SELECT *, unnest(range(1, greatest(1, len(ws) - {SHINGLE} + 1) + 1)) AS i FROM parts WHERE len(ws) > 0)
 ), size AS (
     SELECT item_id, part, count(*) AS total FROM grams GROUP BY item_id, part
 ), held AS (
-    SELECT DISTINCT doc_id, n, ws[i:i + n - 1] AS g FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM grams) WHERE len(ws) >= n)
+    SELECT doc_id, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM grams) WHERE len(ws) >= n)
 ), hits AS (
-    SELECT doc_id, item_id, part, count(*) AS k FROM held JOIN grams ON held.n = grams.n AND held.g = grams.g GROUP BY doc_id, item_id, part
+    SELECT doc_id, item_id, part, count(DISTINCT held.g) AS k FROM held JOIN grams ON held.n = grams.n AND held.g = grams.g GROUP BY doc_id, item_id, part
 ), shares AS (
     SELECT h.doc_id, h.item_id, h.k / s.total AS overlap,
         CASE WHEN q.total IS NULL THEN 1.0::DOUBLE ELSE coalesce((SELECT k FROM hits x WHERE x.doc_id = h.doc_id AND x.item_id = h.item_id AND x.part = 1), 0) / q.total END AS question_overlap,
