@@ -98,10 +98,11 @@ _ENDS = {
 PASSAGES = frozenset("blockquote p pre".split())
 #: Words of class or id, whole, that mark a block as no article text wherever it stands.
 SURE = frozenset(
-    "ad ads adbox adsense adslot advert adverts advertisement advertising sponsor sponsored breadcrumb breadcrumbs comments comment-list comment-section commentlist comments-area post-comments disqus disqus_thread respond cookie-notice cookie-banner cookie-consent newsletter newsletter-signup share-buttons share-bar sharing social-share sidebar pagination related-posts related-articles".split()
+    "ad ads adbox adsense adslot advert adverts advertisement advertising sponsor sponsored promo promoted nav navbar menu breadcrumb breadcrumbs toolbar footer pagination sidebar widget login signup popup modal cookie cookies cookie-notice cookie-banner cookie-consent newsletter newsletter-signup subscribe share share-buttons share-bar sharing social social-share related related-posts related-articles recommended "
+    "comment comments comment-list comment-section commentlist comments-area post-comments reply replies disqus disqus_thread respond".split()
 )
 #: Those of them that may hold most of a page's text.
-THREADS = frozenset("comments comment-list comment-section commentlist comments-area post-comments disqus disqus_thread respond".split())
+THREADS = frozenset("comment comments comment-list comment-section commentlist comments-area post-comments disqus disqus_thread respond".split())
 #: Parts of class or id that mark a block outside marked content, or a slot that recurs on its host.
 MARKS = frozenset(
     "ad ads adbox adsense adslot advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar nav navbar navigation menu menubar breadcrumb breadcrumbs footer masthead topbar toolbar cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription share sharing social related recommended recommendations comment comments disqus respond replies widget pagination pager login signin signup search skip teaser".split()

@@ -691,6 +691,7 @@ def test_queries_equal_sql(spark, name):
         ("<article><p>a</p><section class='comments'><article><p>c</p></article></section></article>", "a"), ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"), ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2"), ("<b>" * 3000 + "deep", "deep"),
         ('<article><section class="related-work"><p>Earlier studies.</p></section><p class="notice">Body.</p><p>End</p></article>', "Earlier studies.\nBody.\nEnd"),
         ('<main><article class="teaser">..</article><p>The real story text.</p></main>', "..\nThe real story text."),
+        ("<article><p>a</p><div class='share'>s</div><section class='related'>r</section><li class='comment odd'>c</li><div class='notice'>n</div><p class='social-history'>h</p></article>", "a\nn\nh"),
         ("<article><p>a</p></article><div class=sidebar>" + "s " * 400 + "</div>", "a"), ("<div class='widget'><p>" + "w " * 200 + "</p></div><p>x</p>", ("w " * 200).strip() + "\nx"),
         ("<article><p>a</p><div class='comments'>" + "c " * 400 + "</div><div class='ad'>b</div><span class='comment'>code</span></article>", "a\ncode"),
     ],
@@ -700,7 +701,7 @@ def test_main_text(page, text):
 
 
 def test_marked_slots_need_their_host(spark):
-    page = "<main><article><p>own text {0} of this page</p><div class='promo box-{0}'>unlike promotion {0}</div><p class='notice {1}'>a notice {0}</p></article></main>"
+    page = "<main><article><p>own text {0} of this page</p><div class='banner box-{0}'>unlike promotion {0}</div><p class='notice {1}'>a notice {0}</p></article></main>"
     rows = [(i, "http://h.example/", page.format(i, "other" if i else "rare")) for i in range(12)] + [(100 + i, "http://few.example/", page.format(i, "x")) for i in range(3)]
     got = {r.page_id: r.text for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[3] == "own text 3 of this page" and got[0] == "own text 0 of this page\na notice 0"
