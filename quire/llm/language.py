@@ -9,7 +9,8 @@ are scored as two matrix products.
 Training reads only text and lang of rows outside the held-out part, about
 ``SAMPLE`` rows for each language, fewer if there are so many languages that all
 together would be more than ``ROWS``, and takes their n-gram sets (bits, of
-fixed size) to the driver, not their texts.  The driver goes through them in
+fixed size) to the driver, not their texts; of more than ``LABELS`` languages
+the most frequent are learned.  The driver goes through them in
 blocks: it keeps landmarks and sums, not a matrix of all rows.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
@@ -36,6 +37,8 @@ SIZE = 1 << BITS
 ORDERS = 3
 SAMPLE = 400
 ROWS = 50_000
+#: Most labels that a sample knows: more languages than any corpus tells apart.
+LABELS = 2048
 #: At least so many, and two for each language.
 LANDMARKS = 256
 #: Rows whose presences are unpacked at a time.
@@ -139,8 +142,8 @@ def _in_turn(langs: list[str]) -> list[int]:
 
 
 def sampled(df: DataFrame, label: str, key: Column, per_label: int, rows: int | None = None) -> DataFrame:
-    """About per_label rows of each label, fewer if all together would be more than rows, chosen by a hash of key; no row moves."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).count().orderBy(label).collect()
+    """About per_label rows of each label (the LABELS most frequent ones), fewer if all together would be more than rows, chosen by a hash of key; no row moves."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).count().orderBy(F.desc("count"), label).limit(LABELS).collect()
     if not counts:
         return df.where(F.lit(False))
     if rows is not None:
