@@ -9,14 +9,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.operators.corpus import in_ranges, same_group
+
+#: Ranges that the tokens of a group are cut into.
+RANGES = 16
+
 
 def runs(tokens: DataFrame, by: Sequence[str], order: Sequence[str], role: str, begins: Column | None = None) -> DataFrame:
-    """Number the runs of equal roles in order; a token that begins, or follows another role, opens one (column run, from 0)."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    opens = F.coalesce(F.lag(role).over(w) != F.col(role), F.lit(True))
-    if begins is not None:
-        opens = opens | begins
-    return tokens.withColumn("__o", opens.cast("int")).withColumn("run", (F.sum("__o").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1).cast("long")).drop("__o")
+    """Number the runs of equal roles in order; a token that begins, or follows another role, opens one (column run, from 0).
+
+    Groups are cut into ranges of their order; a range counts the runs that open inside it, and the ends of the ranges
+    tell where one goes on in the next.
+    """
+    own = F.lit(False) if begins is None else begins
+    marked, _ = in_ranges(tokens.withColumn("__b", own), order[0], "__cut", RANGES)
+    w = Window.partitionBy(*by, "__cut").orderBy(*order)
+    opens = F.when(F.row_number().over(w) == 1, F.lit(False)).otherwise(F.coalesce(F.lag(role).over(w) != F.col(role), F.lit(True)) | F.col("__b"))
+    marked = marked.withColumn("__o", opens.cast("int")).withColumn("__in", F.sum("__o").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    place = F.struct(*order)
+    ends = marked.groupBy(*by, "__cut").agg(F.sum("__o").alias("__n"), F.min_by(F.struct(F.col(role).alias("r"), F.col("__b").alias("b")), place).alias("__first"), F.max_by(F.struct(F.col(role).alias("r")), place).alias("__last"))
+    g = Window.partitionBy(*by).orderBy("__cut")
+    goes_on = F.coalesce(F.lag("__last").over(g)["r"] == F.col("__first")["r"], F.lit(False)) & ~F.col("__first")["b"]
+    ends = ends.withColumn("__open", (~goes_on).cast("int"))
+    before = F.coalesce(F.sum(F.col("__n") + F.col("__open")).over(g.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    found = same_group(marked, ends.select(*by, "__cut", (before + F.col("__open") - 1).alias("__from")), [*by, "__cut"])
+    return found.withColumn("run", (F.col("__from") + F.col("__in")).cast("long")).drop("__b", "__cut", "__o", "__in", "__from")
 
 
 def token_entities(words: DataFrame) -> DataFrame:

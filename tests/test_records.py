@@ -358,3 +358,29 @@ def test_values_of_forms_suit_their_kind(spark):
     for r in fields.flat(synthetic.forms(spark, {k: (20, 7) for k in synthetic.FORMS})).collect():
         kind = synthetic.KIND_OF[r.field_id]
         assert re.fullmatch(kinds[kind], r.value) if kind in kinds else r.value in synthetic.WORDS[kind], (r.field_id, r.value)
+
+
+def test_runs_go_on_across_ranges(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = [(g, i, rng.choice(["a", "a", "a", "b", None]), rng.random() < 0.1) for g, n in (("x", 900), ("y", 3), (None, 40)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, o int, role string, b boolean").repartition(5)
+    for begins in (None, F.col("b")):
+        got = {(r.g, r.o): r.run for r in layout.runs(df, ["g"], ["o"], "role", begins).collect()}
+        want, last, run = {}, (0, None), -1
+        for g, o, role, b in rows:
+            if o == 0:
+                last, run = None, -1
+            if last is None or last[0] is None or role is None or last[0] != role or (begins is not None and b):
+                run += 1
+            last = (role,)
+            want[g, o] = run
+        assert got == want
+
+
+def test_running_sums_in_groups(spark):
+    rows = [(g, i, i % 7) for g, n in (("x", 800), (None, 30), ("z", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, o int, n int").repartition(4)
+    got = {(r.g, r.o): r.s for r in corpus.running(df, "n", "o", "s", ["g"], cuts=8).collect()}
+    assert got == {(g, o): sum(i % 7 for i in range(o)) for g, o, _ in rows}
