@@ -15,9 +15,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import os
 import re
-import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -30,8 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import read_table, small_batches, stored
+from quire.llm.common import read_table, shared_dir, small_batches, stored
 from quire.llm.lexicon import Lexicon, compile_lexicon
+from quire.sources.sinks import put_bytes
 
 #: So many words, each of at most so many UTF-8 bytes, bound the lexicon.
 LEXICON_WORDS = 65536
@@ -406,18 +405,12 @@ def frequent_words(docs: DataFrame, vocabulary: str | None = None, limit: int =
     return [r.word for r in counts.where(step >= least).select("word").collect()]
 
 
-_outbox = None
-
-
 def ship(spark: SparkSession, data: bytes, stem: str, suffix: str) -> str:
-    """Give a file to every executor; the name to find it by.  The driver's copy goes when its process ends."""
-    global _outbox  # noqa: PLW0603
+    """Give a file to every executor, by the folder that all share; the name to find it by."""
     name = f"{stem}-{hashlib.sha256(data).hexdigest()[:24]}{suffix}"
     if not any(f.endswith(name) for f in spark.sparkContext.listFiles):
-        _outbox = _outbox or tempfile.TemporaryDirectory(prefix="outbox-")
-        path = os.path.join(_outbox.name, name)
-        with open(path, "wb") as f:
-            f.write(data)
+        path = f"{shared_dir(spark, stem)}/{name}"
+        put_bytes(spark, path, data)
         spark.sparkContext.addFile(path)
     return name
 
