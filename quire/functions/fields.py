@@ -15,8 +15,8 @@ def has_response(role: Column, value: Column, strip: bool = False) -> Column:
     return (role == "answer") & (F.length(F.trim(value) if strip else value) > 0)
 
 
-def responses(fields: Column) -> Column:
-    return F.filter(fields, lambda f: has_response(f["role"], f["value"]))
+def responses(fields: Column, strip: bool = False) -> Column:
+    return F.filter(fields, lambda f: has_response(f["role"], f["value"], strip))
 
 
 def _let(value: Column, body) -> Column:
@@ -38,8 +38,8 @@ def payload_rows(flat: DataFrame, by: Sequence[str], order: str) -> DataFrame:
     return answers.groupBy(*by, F.col("field_id").alias("k")).agg(F.max_by("value", order).alias("v"))
 
 
-def gt_payload(fields: Column) -> Column:
-    return last_wins_map(F.transform(responses(fields), lambda f: F.struct(f["field_id"].alias("key"), f["value"].alias("value"))))
+def gt_payload(fields: Column, strip: bool = False) -> Column:
+    return last_wins_map(F.transform(responses(fields, strip), lambda f: F.struct(f["field_id"].alias("key"), f["value"].alias("value"))))
 
 
 def share(fields: Column, test) -> Column:
@@ -60,6 +60,12 @@ def with_derived(docs: DataFrame) -> DataFrame:
     return docs.withColumn("gt_payload", gt_payload(F.col("fields")))
 
 
+def legacy_record(docs: DataFrame) -> DataFrame:
+    """The older record: what derives from it is stored in it, and values of blanks alone are none."""
+    flagged = F.transform("fields", lambda f: f.withField("has_response", F.coalesce(has_response(f["role"], f["value"], strip=True), F.lit(False))))
+    return docs.withColumns({"gt_payload": gt_payload(F.col("fields"), strip=True), "fields": flagged})
+
+
 def without_derived(docs: DataFrame) -> DataFrame:
     check_columns(docs.columns)
     return docs.select(*[c for c in DOCUMENT.names if c in docs.columns])

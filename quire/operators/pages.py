@@ -111,6 +111,10 @@ class Line:
         return float(slope), float(intercept)
 
 
+# The default knobs of dotted_lines, classify, background, redact and touch_up, and the words of their reasons,
+# notes and strategies.
+
+
 def dotted_lines(fg: np.ndarray, max_dot: int = 6, y_tolerance: float = 2, min_dots: int = 4, max_cv: float = 0.3, min_width: float = 20, tolerant: bool = False) -> tuple[np.ndarray, list[Line], list[str]]:
     """(labels, lines, reasons of rejected bands)"""
     lab, n = label(fg > 0)

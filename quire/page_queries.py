@@ -51,6 +51,19 @@ def token_scan_fields(spark, d):
     return f.select("doc_id", "field_id", "label", "value", "role", *(F.col("bbox_norm")[i].alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))))
 
 
+@query(
+    "SELECT doc_id, CASE WHEN n_chars % 3 = 0 THEN 'b=' || n_chars ELSE '' END AS payload, (CASE WHEN n_chars % 3 = 0 THEN 1 ELSE 0 END)::INTEGER AS answered FROM documents"
+)
+def legacy_payloads(spark, d):
+    """A blank value is an answer in the record and none in its older form."""
+    f = lambda key, value, role: F.struct(F.lit(key).alias("field_id"), value.alias("value"), F.lit(role).alias("role"))
+    n = F.when(F.col("n_chars") % 3 == 0, F.col("n_chars").cast("string")).otherwise("  ")
+    docs = table(spark, d, "documents").select("doc_id", F.array(f("a", F.lit(" "), "answer"), f("b", n, "answer"), f("c", F.lit("x"), "question")).alias("fields"))
+    out = fields.legacy_record(docs)
+    payload = F.array_join(F.transform(F.map_entries("gt_payload"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return out.select("doc_id", payload.alias("payload"), F.size(F.filter("fields", lambda x: x["has_response"])).alias("answered"))
+
+
 @query("SELECT 'rvlcdip_train_' || lpad(cast(row_number() OVER (ORDER BY path) - 1 AS VARCHAR), 6, '0') AS doc_id, path AS image_path FROM (SELECT DISTINCT coalesce(url, '') AS path FROM pages)")
 def label_scan_ids(spark, d):
     images = table(spark, d, "pages").select(F.coalesce("url", F.lit("")).alias("path")).distinct()

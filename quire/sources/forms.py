@@ -25,12 +25,13 @@ def record(df: DataFrame, **columns) -> DataFrame:
     return df.select(*(columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in DOCUMENT))
 
 
-def token_scans(rows: DataFrame, source: str = "funsd") -> DataFrame:
+def token_scans(rows: DataFrame, source: str = "funsd", prefixed: bool = True) -> DataFrame:
     """rows: split, id, image_path (null drops the row), width, height, words, bboxes, ner_tags; one page each.
 
-    Arrays are cut to the shortest; runs of one tag kind become fields.
+    Arrays are cut to the shortest; runs of one tag kind become fields.  prefixed: ids begin with their split; the older
+    reader leaves it out (and keeps legacy_record() of what this gives).
     """
-    rows = rows.where("image_path is not null").withColumn("doc_id", F.concat_ws("_", "split", "id"))
+    rows = rows.where("image_path is not null").withColumn("doc_id", F.concat_ws("_", "split", "id") if prefixed else F.col("id"))
     n = F.least(F.size("words"), F.size("bboxes"), F.size("ner_tags"))
     z = F.arrays_zip(F.slice("words", 1, n), F.slice("bboxes", 1, n), F.slice("ner_tags", 1, n))
     b = normalise(F.col("t.1"), F.col("width"), F.col("height"))
