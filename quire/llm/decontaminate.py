@@ -37,6 +37,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,7 @@ from quire.llm.common import read_table, small_batches, stored
 SHINGLE = 5
 SIMILARITY = 0.8
 K1, B = 1.2, 0.75
-BLOCK = 8
+BLOCK = 4
 #: Bytes of item text that are indexed and broadcast at a time.
 ITEM_BYTES = 8 << 20
 #: Share of the threshold that the lightest terms of an item may hold without being looked up for a block's bound.
@@ -226,10 +227,10 @@ def search(index: ItemIndex, docs: list[list[str]]) -> dict[tuple[int, int], flo
     if not index.ids:
         return {}
     half = index.span + index.span // 4 + 4
-    get = index.vocabulary.get
+    get, unknown = index.vocabulary.get, repeat(-1)
     terms, passages, owner, whole = [], [], [], []
     for d, words in enumerate(docs):
-        ids = np.array([get(w, -1) for w in words], np.int64)
+        ids = np.fromiter(map(get, words, unknown), np.int64, len(words))
         at = np.flatnonzero(ids >= 0)
         # window k has the words of the slots k and k + 1
         windows = max(1, -(-len(words) // half) - 1)
