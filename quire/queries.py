@@ -856,8 +856,8 @@ def union_sources(spark, d):
 def json_line_records(spark, d):
     """Conversations as the JSON lines of annotated PDFs, read back into records."""
     place = F.array(F.col("turn") % 3, F.lit(0.25), F.lit(0.5), F.lit(7.0), F.lit(0.75))
-    one = F.concat(F.lit("["), F.to_json(F.struct(F.col("role").alias("x"))), F.lit(",[["), F.to_json(F.struct(F.col("text").alias("x"))), F.lit(","), F.to_json(place), F.lit("]]]"))
-    one = F.regexp_replace(one, r'\{"x":("(?:[^"\\]|\\.)*")\}', "$1")
+    quoted = lambda c: F.substring(F.to_json(F.struct(F.col(c).alias("x"))), F.lit(6), F.length(F.to_json(F.struct(F.col(c).alias("x")))) - 6)  # noqa: E731  {"x":...}
+    one = F.concat(F.lit("["), quoted("role"), F.lit(",[["), quoted("text"), F.lit(","), F.to_json(place), F.lit("]]]"))
     rows = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", one.alias("a")))), lambda x: x["a"]), ",").alias("all"))
     lines = rows.select(F.parse_json(F.concat(F.lit('{"filename":"'), "conv_id", F.lit('.pdf","page_count":3,"annotations":['), "all", F.lit("]}"))).alias("v"), F.lit(0).alias("subset_ord"), F.col("conv_id").alias("line_no"))
     kinds = spark.createDataFrame([("system", "Exact"), ("assistant", "Fuzzy")], "field_id string, match_type string")
