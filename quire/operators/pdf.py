@@ -293,8 +293,28 @@ def scanned_pages(files: DataFrame) -> DataFrame:
     return _per_file(files.select(_documents(F.col("path")).alias("doc_id"), "content"), "doc_id string, page int, h int, w int, data binary, error string", work)
 
 
-def page_pngs(files: DataFrame) -> DataFrame:
-    """The pages of scanned_pages() as PNG files: doc_id (with its page), data; pages that need a rasteriser are left out."""
+def page_images(files: DataFrame, folder: str) -> DataFrame:
+    """As scanned_pages(), with pages that are one JPEG too: those are put below folder (which all share) and decoded by the image source."""
+    from quire.pdf.forms import page_jpeg
+    from quire.sources.files import images
+    from quire.sources.sinks import write_files
+
+    def work(row: dict) -> list[dict]:
+        pdf = Pdf(row["content"])
+        return [{"doc_id": f"{row['doc_id']}_p{i:06d}", "data": d} for i, (_, page) in enumerate(pdf.pages()) if (d := page_jpeg(pdf, page)) is not None]
+
+    named = files.select(_documents(F.col("path")).alias("doc_id"), "content")
+    jpegs = _per_file(named, "doc_id string, data binary, error string", work)
+    plain = scanned_pages(files)
+    if not write_files(jpegs.where("error is null"), folder, "page.jpg").agg(F.count("*")).first()[0]:
+        return plain
+    name = F.element_at(F.split("path", "/"), -2)
+    found = images(files.sparkSession, folder, nested=True).select(F.regexp_replace(name, r"_p\d{6}$", "").alias("doc_id"), F.right(name, F.lit(6)).cast("int").alias("page"), "h", "w", "data", "error")
+    return plain.join(found.select("doc_id", "page"), ["doc_id", "page"], "left_anti").unionByName(found)
+
+
+def page_pngs(files: DataFrame, folder: str | None = None) -> DataFrame:
+    """The pages of scanned_pages(), or with a folder of page_images(), as PNG files: doc_id (with its page), data; pages that need a rasteriser are left out."""
     import numpy as np
 
     from quire.sources.sinks import png
@@ -305,7 +325,8 @@ def page_pngs(files: DataFrame) -> DataFrame:
             data = [png(np.frombuffer(r["data"], np.uint8).reshape(r["h"], r["w"], 3)) for r in rows]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(data, pa.binary())], names=["doc_id", "data"])
 
-    named = scanned_pages(files).where("error is null").select(F.format_string("%s_p%03d", "doc_id", "page").alias("doc_id"), "h", "w", "data")
+    rows = scanned_pages(files) if folder is None else page_images(files, folder)
+    named = rows.where("error is null").select(F.format_string("%s_p%03d", "doc_id", "page").alias("doc_id"), "h", "w", "data")
     return named.mapInArrow(run, "doc_id string, data binary")
 
 

@@ -97,17 +97,33 @@ def form_file(title: str, fields: list[tuple[str, str, str, list[float]]], size:
     return pdf.save()
 
 
-def page_image(pdf: Pdf, page: dict) -> np.ndarray:
-    """The raster of a page that is one uncompressed or deflated image of 8-bit grey or RGB; other pages are an error."""
+def _only_image(pdf: Pdf, page: dict) -> Stream:
     resources = pdf.get(page.get("Resources")) or {}
     images = [s for s in map(pdf.get, (pdf.get(resources.get("XObject")) or {}).values()) if isinstance(s, Stream) and s.head.get("Subtype") == "Image"]
     if len(images) != 1 or any(g.text.strip() for g in glyphs(pdf, page)):
         raise PdfError("a page of text and drawings needs a rasteriser")
-    head = {k: pdf.get(v) for k, v in images[0].head.items()}
+    return images[0]
+
+
+def page_jpeg(pdf: Pdf, page: dict) -> bytes | None:
+    """The JPEG file that a page consists of; None if it is another kind of page."""
+    try:
+        image = _only_image(pdf, page)
+    except PdfError:
+        return None
+    kind = pdf.get(image.head.get("Filter"))
+    kind = [pdf.get(k) for k in kind] if isinstance(kind, list) else [kind]
+    return image.raw if kind == ["DCTDecode"] else None
+
+
+def page_image(pdf: Pdf, page: dict) -> np.ndarray:
+    """The raster of a page that is one uncompressed or deflated image of 8-bit grey or RGB; other pages are an error."""
+    image = _only_image(pdf, page)
+    head = {k: pdf.get(v) for k, v in image.head.items()}
     channels = {"DeviceRGB": 3, "DeviceGray": 1}.get(head.get("ColorSpace") if isinstance(head.get("ColorSpace"), str) else "")
     if head.get("BitsPerComponent") != 8 or channels is None:
         raise PdfError("only images of 8-bit grey or RGB are read")
-    data = np.frombuffer(pdf.decoded(images[0]), np.uint8)
+    data = np.frombuffer(pdf.decoded(image), np.uint8)
     shape = (head["Height"], head["Width"], channels)
     if data.size < shape[0] * shape[1] * channels:
         raise PdfError("the image is cut off")

@@ -32,13 +32,13 @@ def run_log(spark: SparkSession, path: str) -> DataFrame:
     return last_of_each(spark.read.json(path).withColumn("__line", place), "doc_id", "__line").drop("__line")
 
 
-def images(spark: SparkSession, path: str) -> DataFrame:
-    """path, h, w, data (RGB bytes, row by row) and error: a row for each file.
+def images(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
+    """path, h, w, data (RGB bytes, row by row) and error: a row for each file of a folder; nested: of those below it too.
 
     Grey images get three equal channels, of images with an alpha channel it is left out.  A file that is no image has
     an error and no data.
     """
-    raw = spark.read.format("image").load(path).select("image.*")
+    raw = spark.read.format("image").option("recursiveFileLookup", nested).load(path).select("image.*")
 
     def rgb(batches):
         import numpy as np

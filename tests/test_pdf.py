@@ -320,3 +320,24 @@ def test_page_cache(spark, tmp_path):
     (tmp_path / "scan_p000/page.png").write_bytes(b"kept")
     again = {r.doc_id: r.length for r in sinks.write_files(rows, str(tmp_path), "page.png", once=True).collect()}
     assert again["scan_p000"] == 4 and (tmp_path / "scan_p001/page.png").read_bytes() == sinks.png(image)
+
+
+def test_jpeg_scans(spark, tmp_path):
+    jvm = spark._jvm
+    image = jvm.java.awt.image.BufferedImage(16, 24, 1)
+    for x in range(16):
+        for y in range(24):
+            image.setRGB(x, y, 0xC02040 if y < 8 else 0x20A0F0)
+    jvm.javax.imageio.ImageIO.write(image, "jpg", jvm.java.io.File(f"{tmp_path}/a.jpg"))
+    raw = (tmp_path / "a.jpg").read_bytes()
+    pdf = Pdf(W.image_pages([np.zeros((9, 7, 3), np.uint8)]))
+    look = pdf.add(Stream({"Type": Name("XObject"), "Subtype": Name("Image"), "Width": 16, "Height": 24, "ColorSpace": Name("DeviceRGB"), "BitsPerComponent": 8, "Filter": Name("DCTDecode")}, raw))
+    for n in (look, pdf.add(Stream(dict(pdf.objects[look.n].head), b"no jpeg"))):
+        pdf.add_page({"MediaBox": [0, 0, 16, 24], "Resources": {"XObject": {"I": n}}, "Contents": pdf.add(Stream({}, b"16 0 0 24 0 0 cm /I Do"))})
+    f = files(spark, [("scan", pdf.save()), ("text", PAGE), ("bad", b"x")])
+    got = {(r.doc_id, r.page): r for r in L.page_images(f, f"{tmp_path}/jpegs").collect()}
+    assert {k: r.error is None for k, r in got.items()} == {("scan", 0): True, ("scan", 1): True, ("scan", 2): False, ("text", 0): False, ("bad", None): False}
+    px = np.frombuffer(got["scan", 1].data, np.uint8).reshape(24, 16, 3).astype(int)
+    assert abs(px[2, 3] - (0xC0, 0x20, 0x40)).max() < 12 and abs(px[20, 3] - (0x20, 0xA0, 0xF0)).max() < 12
+    assert sorted(r.doc_id for r in L.page_pngs(f, f"{tmp_path}/again").collect()) == ["scan_p000", "scan_p001"]
+    assert L.page_images(f.where("path like '%text%'"), f"{tmp_path}/none").count() == 1
