@@ -9,8 +9,9 @@ walk over the word.  Words that clean documents use are no misspellings.
 
 A document's hits are then read in context: hits inside quotation marks or
 behind a reporting word count for less, hits near other hits for more.  A
-logistic regression on these few features, fitted on sampled documents that
-did not shape the lexicon, gives the score.
+logistic regression on these few features gives the score.  It is fitted on the
+sample, each document read with a lexicon to which its own part of the sample
+did not add.
 
 Defined cases: a null or empty text has no hits and gets the score of a text
 without hits; where nothing can be learned every score is 0; repeated rows get
@@ -34,6 +35,8 @@ from quire.llm.common import read_table, small_batches, stored
 from quire.llm.language import held_out, sampled
 
 SAMPLE = 6000
+#: Parts of the sample that learn for each other.
+PARTS = 5
 TERMS = 4000
 MIN_TOXIC = 5
 MIN_WEIGHT = 1.8
@@ -251,45 +254,45 @@ def labelled(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
     """doc_id, text, toxic, part of the sampled labelled documents; the label sample is broadcast, being bounded."""
     one = labels.where(learn & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     few = sampled(one, "toxic", F.col("doc_id"), SAMPLE)
-    few = few.select("doc_id", "toxic", (F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)) == 0).alias("part"))
+    few = few.select("doc_id", "toxic", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS)).cast("int").alias("part"))
     return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(few), "doc_id").select("text", "toxic", "part")
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    toxic, clean = Counter(), Counter()
+    """In how many toxic and clean documents of each part each word and word beginning occurs; '' counts the documents."""
+    counts: Counter = Counter()
 
     def flush() -> pa.RecordBatch:
-        terms = list(toxic.keys() | clean.keys())
-        out = pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in (toxic, clean))], names=["term", "toxic", "clean"])
-        toxic.clear()
-        clean.clear()
+        keys = list(zip(*counts.keys(), strict=True)) if counts else [(), (), ()]
+        kinds = (pa.string(), pa.int32(), pa.bool_())
+        out = pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(keys, kinds, strict=True)), pa.array(counts.values(), pa.int64())], names=["term", "part", "toxic", "n"])
+        counts.clear()
         return out
 
     for b in small_batches(batches, 0):
-        for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        for text, label, part in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
             words = {w for t in set(tokens_of(text)) if not (w := bare(t)).isdigit()}
-            own = words | {w[:k] + "-" for w in words for k in STEMS if len(w) > k}
-            own.add("")  # counts the documents
-            (toxic if label else clean).update(own)
-        if len(toxic) + len(clean) > 200_000:
+            own = words | {w[:k] + "-" for w in words for k in STEMS if len(w) > k} | {""}
+            counts.update((t, part, label > 0) for t in own)
+        if len(counts) > 200_000:
             yield flush()
     yield flush()
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column) -> ToxicityModel:
-    rows = stored(labelled(docs, labels, learn), "toxic-sample")
-    counts = rows.where(~F.col("part")).select("text", "toxic").mapInArrow(_word_counts, "term string, toxic long, clean long")
-    counts = stored(counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "toxic-terms")
-    total = counts.where("term = ''").first()
-    if total is None or not total.toxic or not total.clean:
-        return ToxicityModel(None)
-    weight = F.log((F.col("toxic") + 0.5) / (total.toxic + 1)) - F.log((F.col("clean") + 0.5) / (total.clean + 1))
-    terms = counts.where(f"term <> '' and toxic >= {MIN_TOXIC} and length(term) >= 3 and octet_length(term) <= 64").withColumn("w", weight)
-    lexicon = terms.where(F.col("w") >= MIN_WEIGHT).orderBy(F.desc(F.col("w") * F.log1p("toxic")), "term").limit(TERMS).collect()
-    words = {r.term: r.w for r in lexicon if not r.term.endswith("-")}
-    stems = {r.term[:-1]: r.w for r in lexicon if r.term.endswith("-")}
-    if not lexicon:
-        return ToxicityModel(None)
+def _lexicon(counts: DataFrame, without: int | None) -> tuple[dict, dict, frozenset] | None:
+    """(words, stems, clean words one edit from a word) learned from all parts but one; None if there is nothing to learn."""
+    seen = lambda label: F.sum(F.when((F.col("toxic") == label) & (F.lit(True) if without is None else F.col("part") != without), F.col("n")).otherwise(0))
+    both = counts.groupBy("term").agg(seen(True).alias("t"), seen(False).alias("c"))
+    total = both.where("term = ''").first()
+    if total is None or not total.t or not total.c:
+        return None
+    weight = F.log((F.col("t") + 0.5) / (total.t + 1)) - F.log((F.col("c") + 0.5) / (total.c + 1))
+    terms = both.where(f"term <> '' and t >= {MIN_TOXIC} and length(term) >= 3 and octet_length(term) <= 64").withColumn("w", weight)
+    found = terms.where(F.col("w") >= MIN_WEIGHT).orderBy(F.desc(F.col("w") * F.log1p("t")), "term").limit(TERMS).collect()
+    if not found:
+        return None
+    words = {r.term: r.w for r in found if not r.term.endswith("-")}
+    stems = {r.term[:-1]: r.w for r in found if r.term.endswith("-")}
     trie_words = sorted(w for w in words if len(w) >= FUZZY_LENGTH)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,24 +301,34 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> ToxicityModel:
             yield pa.RecordBatch.from_arrays([pa.array([w for w in b.column(0).to_pylist() if trie.find(w)], pa.string())], names=["word"])
 
     # at most the words one edit from a term that the sample's clean documents use
-    clean = frozenset(r.word for r in counts.where("clean > 0 and term <> '' and not endswith(term, '-')").select("term").mapInArrow(near, "word string").collect())
-    matcher = Matcher(words, stems, clean)
-    shared = docs.sparkSession.sparkContext.broadcast((words, stems, clean))
+    clean = both.where("c > 0 and term <> '' and not endswith(term, '-')").select("term").mapInArrow(near, "word string")
+    return words, stems, frozenset(r.word for r in clean.collect())
+
+
+def train(docs: DataFrame, labels: DataFrame, learn: Column) -> ToxicityModel:
+    """The lexicon comes from all sampled documents; the regression sees each with the lexicon of the other parts, as it will see new ones."""
+    rows = stored(labelled(docs, labels, learn), "toxic-sample")
+    counts = rows.mapInArrow(_word_counts, "term string, part int, toxic boolean, n long")
+    counts = stored(counts.groupBy("term", "part", "toxic").agg(F.sum("n").alias("n")), "toxic-terms")
+    whole = _lexicon(counts, None)
+    if whole is None:
+        return ToxicityModel(None)
+    shared = docs.sparkSession.sparkContext.broadcast([_lexicon(counts, k) for k in range(PARTS)])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Matcher(*shared.value)
+        matchers = [x and Matcher(*x) for x in shared.value]
         for b in small_batches(batches, 0):
-            x = [features(t, m) for t in b.column(0).to_pylist()]
+            x = [features(t, matchers[k]) if matchers[k] else [0.0] * N_FEATURES for t, k in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column(1).cast(pa.int32())], names=["x", "toxic"])
 
-    found = rows.where("part").select("text", "toxic").mapInArrow(measure, "x array<double>, toxic int").collect()
+    found = rows.mapInArrow(measure, "x array<double>, toxic int").collect()
     y = np.array([float(r.toxic > 0) for r in found])
     if len(set(y.tolist())) < 2:
         return ToxicityModel(None)
     # classes count alike as they do in the sample; order must not matter to the last digit
     x = np.array([r.x for r in found]).reshape(len(found), N_FEATURES)
     order = np.lexsort([*x.T, y])
-    return ToxicityModel(matcher, *fit_logistic(x[order], y[order]))
+    return ToxicityModel(Matcher(*whole), *fit_logistic(x[order], y[order]))
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
