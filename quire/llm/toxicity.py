@@ -130,8 +130,8 @@ class FuzzyTrie:
 class Matcher:
     """The best lexicon match of each word: (weight, term), or None."""
 
-    def __init__(self, words: dict[str, float], stems: dict[str, float], clean: frozenset[str]) -> None:
-        self.words, self.stems, self.clean = words, stems, clean
+    def __init__(self, words: dict[str, float], stems: dict[str, float], clean: frozenset[str], cached: int = CACHED_WORDS) -> None:
+        self.words, self.stems, self.clean, self.cached = words, stems, clean, cached
         self.fuzzy = FuzzyTrie(sorted(w for w in words if len(w) >= FUZZY_LENGTH))
         self.known: set[str] = set()
         self.hits: dict[str, tuple[float, str]] = {}
@@ -148,7 +148,7 @@ class Matcher:
         distinct = set(tokens)
         fresh = distinct.difference(self.known)
         if fresh:
-            if len(self.known) > CACHED_WORDS:
+            if len(self.known) > self.cached:
                 self.known.clear()
             for t in fresh:
                 if m := self.match(t):
@@ -316,7 +316,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> ToxicityModel:
     shared = docs.sparkSession.sparkContext.broadcast([_lexicon(counts, k) for k in range(PARTS)])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matchers = [x and Matcher(*x) for x in shared.value]
+        matchers = [x and Matcher(*x, cached=CACHED_WORDS // PARTS) for x in shared.value]
         for b in small_batches(batches, 0):
             x = [features(t, matchers[k]) if matchers[k] else [0.0] * N_FEATURES for t, k in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column(1).cast(pa.int32())], names=["x", "toxic"])
