@@ -280,9 +280,12 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _lexicon(counts: DataFrame, without: int | None) -> tuple[dict, dict, frozenset] | None:
-    """(words, stems, clean words one edit from a word) learned from all parts but one; None if there is nothing to learn."""
-    seen = lambda label: F.sum(F.when((F.col("toxic") == label) & (F.lit(True) if without is None else F.col("part") != without), F.col("n")).otherwise(0))
-    both = counts.groupBy("term").agg(seen(True).alias("t"), seen(False).alias("c"))
+    """(words, stems, clean words one edit from a word) learned from all parts but one; None if there is nothing to learn.
+
+    counts: term, and t0, c0, t1, ... of each part.
+    """
+    seen = lambda kind: sum((F.col(f"{kind}{k}") for k in range(PARTS) if k != without), F.lit(0))
+    both = counts.select("term", seen("t").alias("t"), seen("c").alias("c"))
     total = both.where("term = ''").first()
     if total is None or not total.t or not total.c:
         return None
@@ -309,7 +312,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> ToxicityModel:
     """The lexicon comes from all sampled documents; the regression sees each with the lexicon of the other parts, as it will see new ones."""
     rows = stored(labelled(docs, labels, learn), "toxic-sample")
     counts = rows.mapInArrow(_word_counts, "term string, part int, toxic boolean, n long")
-    counts = stored(counts.groupBy("term", "part", "toxic").agg(F.sum("n").alias("n")), "toxic-terms")
+    of = lambda k, toxic: F.coalesce(F.sum(F.when((F.col("part") == k) & (F.col("toxic") == toxic), F.col("n"))), F.lit(0))
+    counts = counts.groupBy("term").agg(*(of(k, toxic).alias(f"{'t' if toxic else 'c'}{k}") for k in range(PARTS) for toxic in (True, False)))
+    counts = stored(counts, "toxic-terms")
     whole = _lexicon(counts, None)
     if whole is None:
         return ToxicityModel(None)
