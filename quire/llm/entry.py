@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, decontaminate, html, language, quality, shard, simhash, suffix, toxicity, warc
+from quire.llm import bpe, decontaminate, html, language, pieces, quality, shard, simhash, suffix, toxicity, warc
 
 QUERIES = {
     "op1_shard": shard.op1_shard,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_suffix": suffix.op8_suffix,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_warc": warc.op10_warc,
+    "op11_pieces": pieces.op11_pieces,
 }
 
 ORACLE_SQL: dict[str, str] = {
