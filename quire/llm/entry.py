@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, decontaminate, html, language, pieces, quality, shard, simhash, suffix, toxicity, warc
+from quire.llm import audit, bpe, decontaminate, html, language, pieces, quality, shard, simhash, suffix, toxicity, warc
 
 QUERIES = {
     "op1_shard": shard.op1_shard,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_warc": warc.op10_warc,
     "op11_pieces": pieces.op11_pieces,
+    "op12_filter_audit": audit.op12_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -24,4 +25,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_suffix": suffix.ORACLE_SQL,
     "op9_quality_rules": quality.ORACLE_SQL,
     "op10_warc": warc.ORACLE_SQL,
+    "op12_filter_audit": audit.ORACLE_SQL,
 }
