@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import audit, bpe, decontaminate, html, language, pieces, quality, shard, simhash, suffix, toxicity, warc
+from quire.llm import audit, bpe, decontaminate, html, language, periodic, pieces, quality, shard, simhash, suffix, toxicity, warc
 
 QUERIES = {
     "op1_shard": shard.op1_shard,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_warc": warc.op10_warc,
     "op11_pieces": pieces.op11_pieces,
     "op12_filter_audit": audit.op12_filter_audit,
+    "op13_periodic_runs": periodic.op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
