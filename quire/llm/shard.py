@@ -13,16 +13,21 @@ where each begins.
 
 Equal texts stand side by side and share a shard unless a splitter falls among
 them; then doc_id parts them, so a group of copies of any size spreads over as
-many cells as its bytes fill.  Only DataFrame functions run.
+many cells as its bytes fill.  Where a splitter falls among rows that are equal
+in text and doc_id too, the rows of that group (of one for each splitter, at
+most) are written to the shared folder with a number each, which is a third key
+that further rounds narrow.  Only DataFrame functions run.
 
 Defined cases: a null text has no bytes and counts 1, as an empty one does; a
-null doc_id sorts first; rows equal in text and doc_id stay together; an empty
-table gives no rows.  Columns of the input that clash with those added are
+null doc_id sorts first; rows equal in text and doc_id, repeated rows among
+them, are dealt like any others; an empty table gives no rows.  Columns of the input that clash with those added are
 renamed with the prefix ``doc_``, twice or more if that name is taken too.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +43,7 @@ PARTS = 1 << 16
 #: Share of a shard's bytes by which a splitter may miss its target.
 TOLERANCE = 0.0
 KEY_BITS, DIGIT = 60, 10
-NO_ID = -(1 << 63)
+NO_ID, MOST = -(1 << 63), (1 << 63) - 1
 ADDED = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
@@ -58,15 +63,22 @@ def row_id() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
 
 
-def _steps() -> list[tuple[str, int]]:
-    """(column, bits to its right that a round leaves open), from coarse to fine."""
-    return [("k", s) for s in range(KEY_BITS - DIGIT, -1, -DIGIT)] + [("d", s) for s in (*range(64 - DIGIT, 0, -DIGIT), 0)]
+def _digits(bits: int) -> list[int]:
+    """How many bits each round leaves open to its right."""
+    return [*range(bits - DIGIT, 0, -DIGIT), 0]
+
 
+def _among(groups: Collection[tuple[int, ...]], *cols: Column) -> Column:
+    """Whether the columns are one of these tuples."""
+    known = F.struct(*cols)
+    return cols[0].isin(sorted({g[0] for g in groups})) & known.isin(*(F.struct(*(F.lit(v).cast("long") for v in g)) for g in sorted(groups)))
 
-def find_splitters(keys: DataFrame, parts: int, tolerance: float = TOLERANCE) -> list[tuple[int, int]]:
-    """parts - 1 ascending bounds (k, d): a row lies behind a bound if its (k, d) is greater.
 
-    keys: long columns k, d, size.  Each round collects at most 1,024 sums for each bound that is still open.
+def find_splitters(keys: DataFrame, parts: int, tolerance: float = TOLERANCE, ties: Callable[[list[tuple[int, int]]], DataFrame] | None = None) -> list[tuple[int, int, int]]:
+    """parts - 1 ascending bounds (k, d, m): a row lies behind a bound if its (k, d, m) is greater.
+
+    keys: long columns k, d, size.  ties(groups) gives the rows of these (k, d) with an m of their own; without it rows
+    equal in k and d are not parted.  Each round collects at most 1,024 sums for each bound that is still open.
     """
     total = keys.agg(F.sum("size")).first()[0]
     if not total:
@@ -74,41 +86,36 @@ def find_splitters(keys: DataFrame, parts: int, tolerance: float = TOLERANCE) ->
     slack = tolerance * total / parts
     #: bound number -> (bytes below the range, the range: values of the columns so far)
     open_, bounds = {i: (0, ()) for i in range(1, parts)}, {}
-    steps = _steps()
-    for n, (col, shift) in enumerate(steps):
+    names, rows, wide = ("k", "d", "m"), keys, None  # wide: bits that the range leaves open in the column at hand
+    steps = [(c, shift) for c, bits in (("k", KEY_BITS), ("d", 64), ("m", 64)) for shift in _digits(bits)]
+    for col, shift in steps:
         if not open_:
             break
-        cell = F.shiftright(col, shift)
-        if n == 0:
-            rows = keys
-        elif steps[n - 1][0] == col == "k":
-            rows = keys.where(F.shiftright("k", steps[n - 1][1]).isin(sorted({r[0] for _, r in open_.values()})))
-        else:
-            ranges = {r for _, r in open_.values()}
-            rows = keys.where(F.col("k").isin(sorted({r[0] for r in ranges})))
-            if col == "d" and steps[n - 1][0] == "d":
-                known = F.struct(F.col("k"), F.shiftright("d", steps[n - 1][1]).alias("p"))
-                rows = rows.where(known.isin(*(F.struct(F.lit(k).cast("long"), F.lit(p).cast("long")) for k, p in sorted(ranges))))
-        by = [cell.alias("c")] if col == "k" else [F.col("k"), cell.alias("c")]
-        found = [tuple(r) for r in rows.groupBy(*by).agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()]
+        done = [F.col(c) for c in names[: names.index(col)]]
+        fresh = shift == _digits(KEY_BITS if col == "k" else 64)[0]
+        wide = None if fresh else wide
+        if col == "m" and fresh:
+            rows = ties([r for _, r in open_.values()])
+        ranges = {r for _, r in open_.values()}
+        inside_of = [*done, *([] if fresh else [F.shiftright(col, wide)])]
+        part = rows.where(_among(ranges, *inside_of)) if inside_of else rows
+        found = part.groupBy(*(c.alias(f"c{i}") for i, c in enumerate([*done, F.shiftright(col, shift)]))).agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
         inside: dict[tuple, list] = {}
-        for *path, size, count in sorted(found):
-            up = path[-1] >> (steps[n - 1][1] - shift) if n and steps[n - 1][0] == col else None
-            parent = () if n == 0 else ((up,) if col == "k" else ((path[0],) if up is None else (path[0], up)))
-            inside.setdefault(parent, []).append((path, size, count))
+        for *path, size, count in sorted(map(tuple, found)):
+            inside.setdefault((*path[:-1], *([] if fresh else [path[-1] >> (wide - shift)])), []).append((path, size, count))
         still = {}
         for i, (below, parent) in open_.items():
             for path, size, count in inside[parent]:
                 if (below + size) * parts >= i * total:
-                    last = n + 1 == len(steps)
+                    last = shift == 0 and (col == "m" or col == "d" and ties is None)
                     if count == 1 or last or below + size - i * total / parts <= slack:
-                        top = (1 << shift) - 1
-                        bounds[i] = (path[0] << shift | top, (1 << 63) - 1) if col == "k" else (path[0], path[1] << shift | top)
+                        bound = [*path[:-1], path[-1] << shift | (1 << shift) - 1]
+                        bounds[i] = (*bound, *[MOST] * (3 - len(bound)))
                     else:
                         still[i] = (below, tuple(path))
                     break
                 below += size
-        open_ = still
+        open_, wide = still, shift
     return [bounds[i] for i in sorted(bounds)]
 
 
@@ -123,23 +130,36 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, cells: int | None = N
 
     cells, bits: as parts_of gives them for the number of rows, unless named.
     """
-    names, own = renamed(docs), unused(docs, "k", "d", "c", "p", "size", "first")
-    key, doc, cell_, part, size, first = own
+    names, own = renamed(docs), unused(docs, "k", "d", "m", "c", "p", "size", "first")
+    key, doc, number, cell_, part, size, first = own
     keys = stored(docs.select(row_key().alias("k"), row_id().alias("d"), row_size().alias("size")), "shard-keys")
     by_count = parts_of(keys.count(), shards)
     cells, bits = by_count[0] if cells is None else cells, by_count[1] if bits is None else bits
-    bounds = find_splitters(keys, shards * cells, tolerance)
-    limits = F.array(*(F.struct(F.lit(k).cast("long").alias("k"), F.lit(d).cast("long").alias("d")) for k, d in bounds)) if bounds else None
+    put = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)), row_size().alias(size), F.crc32(_text()).alias("text_crc32"), row_key().alias(key), row_id().alias(doc))
+    keys = keys.withColumn("m", F.lit(0).cast("long"))
+    apart: list[DataFrame] = []
+    groups: set[tuple[int, int]] = set()
 
-    def cell(k: Column, d: Column) -> Column:
-        return F.size(F.filter(limits, lambda b: b < F.struct(k.alias("k"), d.alias("d")))) if bounds else F.lit(0)
+    def numbered(among: list[tuple[int, int]]) -> DataFrame:
+        groups.update(among)
+        apart.append(stored(put.where(_among(groups, F.col(key), F.col(doc))).withColumn(number, F.monotonically_increasing_id()), "shard-ties"))
+        return apart[0].select(F.col(key).alias("k"), F.col(doc).alias("d"), F.col(size).alias("size"), F.col(number).alias("m"))
+
+    bounds = find_splitters(keys, shards * cells, tolerance, numbered)
+    put = put.withColumn(number, F.lit(0).cast("long"))
+    if apart:
+        put = put.where(~_among(groups, F.col(key), F.col(doc))).union(apart[0])
+        keys = keys.where(~_among(groups, F.col("k"), F.col("d"))).union(apart[0].select(key, doc, size, number))
+    limits = F.array(*(F.struct(*(F.lit(v).cast("long").alias(c) for c, v in zip("kdm", b, strict=True))) for b in bounds)) if bounds else None
+
+    def cell(*at: Column) -> Column:
+        return F.size(F.filter(limits, lambda b: b < F.struct(*(v.alias(c) for c, v in zip("kdm", at, strict=True))))) if bounds else F.lit(0)
 
     def prefix(k: Column) -> Column:
         return F.shiftright(k, KEY_BITS - bits).cast("int")
 
-    put = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)), row_size().alias(size), F.crc32(_text()).alias("text_crc32"), row_key().alias(key), row_id().alias(doc))
-    put = put.withColumn(cell_, cell(F.col(key), F.col(doc))).withColumn(part, prefix(F.col(key)))
-    counts = keys.groupBy(cell(F.col("k"), F.col("d")).alias("c"), prefix(F.col("k")).alias("p")).count()
+    put = put.withColumn(cell_, cell(F.col(key), F.col(doc), F.col(number))).withColumn(part, prefix(F.col(key)))
+    counts = keys.groupBy(cell(F.col("k"), F.col("d"), F.col("m")).alias("c"), prefix(F.col("k")).alias("p")).count()
     # the parts of a shard in the order of their rows: a window over counts only, at most PARTS and one for each cell
     before = Window.partitionBy(F.floor(F.col("c") / cells)).orderBy("c", "p").rowsBetween(Window.unboundedPreceding, -1)
     if bits:
@@ -150,7 +170,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, cells: int | None = N
         for c in range(shards * cells):
             so_far.append(so_far[-1] + found.get(c - 1, 0) if c % cells else 0)
         put = put.withColumn(first, F.element_at(F.array(*(F.lit(n).cast("long") for n in so_far)), F.col(cell_) + 1))
-    place = F.row_number().over(Window.partitionBy(cell_, part).orderBy(key, doc)) - 1
+    place = F.row_number().over(Window.partitionBy(cell_, part).orderBy(key, doc, number)) - 1
     return put.select(
         *(F.col(f"`{n}`") for n in names), F.col(size).alias("size"), "text_crc32", F.lit("bytes").alias("law"), F.floor(F.col(cell_) / cells).cast("int").alias("shard"),
         (F.col(first) + place).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
@@ -180,23 +200,23 @@ WITH bits AS (
     SELECT n, list_reduce(list_prepend(n, range(0, 8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(0, 256) t(n)
 ), tab AS (
     SELECT list(c ORDER BY n) AS crc_table FROM bits
-), base AS (
-    SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
+), base AS MATERIALIZED (
+    SELECT doc_id, row_number() OVER () AS r, lower(hex(encode(coalesce(text, '')))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
         substr(md5(coalesce(text, '')), 1, 15) AS k
     FROM documents
 ), parts AS (
-    SELECT doc_id, j, substr(h, 1000 * j + 1, 1000) AS part FROM (SELECT doc_id, h, unnest(range(0, size // 500 + 1)) AS j FROM base)
+    SELECT r, j, substr(h, 1000 * j + 1, 1000) AS part FROM (SELECT r, h, unnest(range(0, size // 500 + 1)) AS j FROM base)
 ), bytes AS (
-    SELECT doc_id, flatten(list(list_transform(range(0, length(part) // 2),
+    SELECT r, flatten(list(list_transform(range(0, length(part) // 2),
         lambda i: (strpos('0123456789abcdef', substr(part, 2 * i + 1, 1)) - 1) * 16 + strpos('0123456789abcdef', substr(part, 2 * i + 2, 1)) - 1) ORDER BY j)) AS b
-    FROM parts GROUP BY doc_id
+    FROM parts GROUP BY r
 ), crcs AS (
-    SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda a, x: xor(a >> 8, crc_table[(xor(a, x) & 255) + 1])), 4294967295) AS crc FROM bytes, tab
+    SELECT r, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda a, x: xor(a >> 8, crc_table[(xor(a, x) & 255) + 1])), 4294967295) AS crc FROM bytes, tab
 ), summed AS (
-    SELECT doc_id, size, k, (sum(size) OVER (ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS below, (sum(size) OVER ())::BIGINT AS total FROM base
+    SELECT doc_id, r, size, k, (sum(size) OVER (ORDER BY k, doc_id NULLS FIRST, r ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS below, (sum(size) OVER ())::BIGINT AS total FROM base
 ), placed AS (
     SELECT *, (16 * below // total)::INTEGER AS shard FROM summed
 )
-SELECT p.doc_id, size, crc AS text_crc32, 'bytes' AS law, shard, (row_number() OVER (PARTITION BY shard ORDER BY k, p.doc_id) - 1)::BIGINT AS slot, NULL::INTEGER AS grown_shard
-FROM placed p JOIN crcs c ON p.doc_id = c.doc_id
+SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard, (row_number() OVER (PARTITION BY shard ORDER BY k, doc_id NULLS FIRST, p.r) - 1)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM placed p JOIN crcs c ON p.r = c.r
 """
