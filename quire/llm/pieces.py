@@ -1,22 +1,25 @@
 """SentencePiece BPE encoding and decoding over a table of distinct chunks.
 
 No piece of the model goes on past the start of a word, which a marker shows
-(``▁``, in place of a space), nor holds a line break or a tab.  So texts are
-cut there, and no merge crosses a cut.
-
-1. Chunks.  The corpus is counted chunk by chunk; each distinct chunk is
-   segmented once, whatever its number of copies, into a table (chunk, n, ids).
-2. Codes.  The most frequent chunks, ``FREQUENT_BYTES`` at most, travel to all
-   workers by the shared folder.  A text becomes a list of 16-bit codes, one for
-   each chunk: its number among the frequent ones, or a mark that says "the next
-   rare one".  The distinct rare chunks of a text stand beside its codes.
-3. Join.  Rare chunks meet the table by equality and come back to their text as
-   id lists in the order of their local numbers; codes, then ids, are put
-   together by position.
-
-So what is left for the join is no hot key: a chunk that many texts hold is
-among the frequent ones.  Only a chunk of more than ``FREQUENT_CHUNK`` bytes is
-left to adaptive execution, however often it occurs.
+(``▁``, in place of a space), nor holds a line break or a tab, nor a letter and
+the comma behind it.  So texts are cut there, and no merge crosses a cut.
+
+1. Frequent chunks.  The corpus is counted chunk by chunk; the most frequent
+   ones, ``FREQUENT_BYTES`` at most, are segmented and travel to all workers by
+   the shared folder.
+2. Codes.  Texts are taken in blocks of about ``BLOCK`` bytes.  Each becomes a
+   list of 16-bit codes, one for each chunk: its number among the frequent ones,
+   or a mark that says "the next rare one".  The distinct rare chunks of a block
+   stand beside its codes, dealt into buckets by their CRC-32.
+3. Table.  Rare chunks are exchanged by bucket; there each distinct one is
+   segmented once, whatever the number of blocks that ask for it.
+4. Join.  Id lists come back to their block in the order in which they were asked
+   for; codes, then ids, are put together by position.
+
+No key is hot: a block asks for a chunk once, and what most blocks would ask for
+is among the frequent ones.  Which chunks are frequent decides speed only.  A
+chunk of more than ``LONG_CHUNK`` characters that cannot be cut is no word; it
+is segmented where it stands.
 
 Defined cases: a null or empty text has the begin and end ids only and decodes
 to ''; repeated rows and rows without doc_id get a row each; a very long chunk is
@@ -31,12 +34,15 @@ import codecs
 import hashlib
 import heapq
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache, lru_cache
+from string import ascii_letters
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,15 +52,26 @@ from quire.llm.bpe import ship
 from quire.llm.common import read_table, small_batches, stored
 
 MARK = "▁"
-#: Frequent chunks: so many, of so many bytes with their ids, none larger than this.
-FREQUENT, FREQUENT_BYTES, FREQUENT_CHUNK = 65_535, 16 << 20, 1 << 16
+#: Frequent chunks: so many, of so many bytes with their ids.
+FREQUENT, FREQUENT_BYTES = 65_535, 16 << 20
 #: The code of a rare chunk.
 RARE = 65_535
-COUNTED_AT_ONCE = 200_000
-#: Chunks of more characters than this are cut further; longer symbols lists merge in a heap.
+#: Distinct chunks that a task counts at a time; those it met less often than LEAST_COUNT among them are none of the most frequent.
+COUNTED_AT_ONCE, LEAST_COUNT = 200_000, 4
+#: Bytes of a block, chunks that a bucket should be asked for, fewest buckets.
+BLOCK, ASKED, BUCKETS = 16 << 20, 500_000, 16
+#: Chunks of more characters than this are cut further; longer lists of symbols merge in a heap.
 LONG = 64
+#: Chunks of more characters stay where they are.
+LONG_CHUNK = 1000
+#: Between words of a list; no byte of UTF-8.
+BETWEEN = b"\xff"
+#: Columns of a block.
+PARTS = ("sizes", "codes", "slots", "buckets", "long")
 #: Ids that are put together at a time.
 STRIDE = 1 << 20
+#: Rows of a batch that goes back.
+ROWS = 1000
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 
@@ -129,9 +146,11 @@ class PieceModel:
                 self.byte_ids[int(p[3:5], 16)] = i
         letters = set("".join(self.ids))
         breaks = "".join(re.escape(c) for c in "\t\n\x0b\x0c\r" if c not in letters)
-        self._cut = re.compile(f"{MARK}*[^{MARK}{breaks}]+|{MARK}+" + (f"|[{breaks}]" if breaks else "")).findall
         #: neighbours inside a piece
         self.neighbours = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        after = "".join(re.escape(c) for c in map(chr, range(0x21, 0x7F)) if not c.isalpha() and not any(x + c in self.neighbours for x in ascii_letters))
+        word = f"{MARK}*[A-Za-z]++(?=[{after}])|" if after else ""
+        self._cut = re.compile(f"{word}{MARK}*[^{MARK}{breaks}]+|{MARK}+" + (f"|[{breaks}]" if breaks else "")).findall
         spelled = [
             p.replace(MARK, " ").encode() if k == NORMAL else bytes([int(p[3:5], 16)]) if k == BYTE else trainer.get(44, b" \xe2\x81\x87 ") if k == UNKNOWN else b""
             for p, k in zip(pieces, kinds, strict=True)
@@ -246,14 +265,15 @@ def model_name(spark: SparkSession, path: str | None) -> str | None:
         return ship(spark, f.read(), "pieces", ".model")
 
 
-def chunk_counts(docs: DataFrame, name: str | None = None) -> DataFrame:
-    """(chunk, n) of all texts."""
+def chunk_counts(docs: DataFrame, name: str | None = None, least: int = LEAST_COUNT) -> DataFrame:
+    """(chunk, n) of all texts; of the many that a task meets less often than least the number, under a null chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks, counts = model(name).chunks, Counter()
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["chunk", "n"])
+            often = {c: n for c, n in counts.items() if n >= least}
+            out = pa.RecordBatch.from_arrays([pa.array([*often, None], pa.string()), pa.array([*often.values(), len(counts) - len(often)], pa.int64())], names=["chunk", "n"])
             counts.clear()
             return out
 
@@ -267,34 +287,32 @@ def chunk_counts(docs: DataFrame, name: str | None = None) -> DataFrame:
     return docs.select("text").mapInArrow(run, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
 
 
-def chunk_table(docs: DataFrame, name: str | None = None) -> DataFrame:
-    """(chunk, n, ids): every distinct chunk, segmented once."""
+def frequent_chunks(docs: DataFrame, name: str | None = None, room: int = FREQUENT_BYTES, most: int = FREQUENT, least: int = LEAST_COUNT) -> tuple[pa.Table, int]:
+    """(chunk, ids) of the most frequent chunks, the most frequent first; and about how many rare ones blocks will ask for.
+
+    A histogram of the counts (64 steps to a doubling) gives the count from which on they fit, in number and in bytes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment = model(name).segment
         for b in batches:
-            ids = pa.array(map(segment, b.column(0).to_pylist()), pa.list_(pa.int32()), size=b.num_rows)
+            ids = pa.array([None if c is None else segment(c) for c in b.column(0).to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), ids], names=["chunk", "n", "ids"])
 
-    return stored(chunk_counts(docs, name).mapInArrow(run, "chunk string, n long, ids array<int>"), "chunks")
-
-
-def frequent_chunks(chunks: DataFrame, room: int = FREQUENT_BYTES, most: int = FREQUENT) -> pa.Table:
-    """(chunk, ids) of the most frequent chunks that occur twice or more.
-
-    A histogram of the counts (64 steps to a doubling) gives the count from which on they fit, in number and in bytes.
-    """
-    weight = F.octet_length("chunk") + 4 * F.size("ids") + 64
-    able = chunks.where((F.col("n") > 1) & (weight <= FREQUENT_CHUNK))
-    step = F.floor(F.log2("n") * 64).cast("int")
-    least = None
-    for s, k, size in sorted(((r.s, r.k, r.w) for r in able.groupBy(step.alias("s")).agg(F.count("*").alias("k"), F.sum(weight).alias("w")).collect()), reverse=True):
-        room, most = room - size, most - k
+    short = F.col("chunk").isNull() | (F.char_length("chunk") <= LONG_CHUNK)
+    counted = stored(chunk_counts(docs, name, least).where(short).mapInArrow(run, "chunk string, n long, ids array<int>"), "chunks")
+    weight = F.coalesce(F.octet_length("chunk") + 4 * F.size("ids") + 64, F.lit(0))
+    step = F.when(F.col("chunk").isNotNull(), F.floor(F.log2("n") * 64).cast("int"))
+    steps = {r.s: r for r in counted.groupBy(step.alias("s")).agg(F.count("*").alias("k"), F.sum(weight).alias("w"), F.sum("n").alias("n")).collect()}
+    rare = steps.pop(None).n or 0 if None in steps else 0
+    from_ = None
+    for s, r in sorted(steps.items(), reverse=True):
+        room, most = room - r.w, most - r.k
         if room < 0 or most < 0:
             break
-        least = s
-    rows = [] if least is None else able.where(step >= least).select("chunk", "ids").collect()
-    return pa.table({"chunk": pa.array([r.chunk for r in rows], pa.string()), "ids": pa.array([r.ids for r in rows], pa.list_(pa.int32()))})
+        from_ = s
+    rows = [] if from_ is None else counted.where(step >= from_).orderBy(F.desc("n"), "chunk").collect()
+    return pa.table({"chunk": pa.array([r.chunk for r in rows], pa.string()), "ids": pa.array([r.ids for r in rows], pa.list_(pa.int32()))}), rare
 
 
 class Frequent:
@@ -306,19 +324,11 @@ class Frequent:
             self.number = {c: i for i, c in enumerate(table["chunk"].to_pylist())}
             lists = table["ids"].chunk(0) if table.num_rows else pa.array([], pa.list_(pa.int32()))
             offsets = lists.offsets.to_numpy().astype(np.int64)
-            self.ids = np.array(lists.values.to_numpy(), np.int32)
+            self.ids = np.array(lists.values.to_numpy(), np.int64)
         n = len(self.number)
         self.starts, self.lengths = np.zeros(RARE + 1, np.int64), np.zeros(RARE + 1, np.int64)
-        self.starts[:n], self.lengths[:n] = offsets[:-1][:n], np.diff(offsets)[:n]
-
-    def codes(self, chunks: list[str]) -> tuple[bytes, bytes, list[str]]:
-        """(a 16-bit code for each chunk, the local numbers of the rare ones in order, the distinct rare ones by number)."""
-        found = list(map(self.number.get, chunks))
-        if None not in found:
-            return np.array(found, "<u2").tobytes(), b"", []
-        local: dict[str, int] = {}
-        slots = [local.setdefault(c, len(local)) for c, i in zip(chunks, found, strict=True) if i is None]
-        return np.array([RARE if i is None else i for i in found], "<u2").tobytes(), np.array(slots, "<i4").tobytes(), list(local)
+        if n:
+            self.starts[:n], self.lengths[:n] = offsets[:-1], np.diff(offsets)
 
 
 @lru_cache(maxsize=1)
@@ -326,60 +336,160 @@ def frequent(path: str) -> Frequent:
     return Frequent(path)
 
 
-def piece_documents(docs: DataFrame, model_path: str | None = None, keep_text: bool = True, room: int = FREQUENT_BYTES, most: int = FREQUENT) -> DataFrame:
+def _packed(*arrays: np.ndarray | bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(a if isinstance(a, bytes) else a.tobytes() for a in arrays))
+
+
+def _unpacked(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _lists(ids: list[list[int]]) -> bytes:
+    """How many, the length of each, then all ids."""
+    lengths = np.fromiter(map(len, ids), "<u4", len(ids))
+    return _packed(np.array([len(ids)], "<u4"), lengths, np.fromiter((i for x in ids for i in x), "<u4", int(lengths.sum())))
+
+
+def _block(pieces: PieceModel, number: dict[str, int], texts: list[str | None], buckets: int) -> tuple[bytes, bytes, bytes, bytes, bytes, list[dict]]:
+    """(chunks of each text, codes, rare ones in order, bucket of each rare one, id lists of the long ones, words by bucket) of a block.
+
+    Rare ones are numbered as they come up; in order stands 0 for a new one, else its number plus 1.
+    """
+    sizes, codes, local, slots = [], [], {}, []
+    for text in texts:
+        chunks = pieces.chunks(text or "")
+        sizes.append(len(chunks))
+        found = list(map(number.get, chunks))
+        if None in found:
+            for c, i in zip(chunks, found, strict=True):
+                if i is None:
+                    known = len(local)
+                    k = local.setdefault(c, known)
+                    slots.append(0 if k == known else k + 1)
+            found = [RARE if i is None else i for i in found]
+        codes.append(np.array(found, "<u2"))
+    words = list(local)
+    raw = [w.encode("utf-8", "surrogatepass") for w in words]
+    bucket = np.fromiter((buckets if len(w) > LONG_CHUNK else zlib.crc32(r) % buckets for w, r in zip(words, raw, strict=True)), _bucket_type(buckets), len(words))
+    order = np.argsort(bucket, kind="stable")
+    edge = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+    rare = [{"bucket": k, "words": _packed(BETWEEN.join([raw[i] for i in order[a:e].tolist()]))} for k, (a, e) in enumerate(zip(edge, edge[1:], strict=False)) if e > a]
+    long = _lists([pieces.segment(words[i]) for i in order[edge[-1] :].tolist()])
+    return _packed(np.array(sizes, "<u4")), _packed(*codes), _packed(np.array(slots, "<u4")), _packed(bucket), long, rare
+
+
+def _bucket_type(buckets: int) -> str:
+    return "<u2" if buckets < 1 << 16 else "<u4"
+
+
+def _coded(name: str | None, known: str, buckets: int, block: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, number = model(name), frequent(SparkFiles.get(known)).number
+        held, size = [], 0
+
+        def close() -> pa.RecordBatch:
+            ids = pa.concat_arrays([b.column(0) for b in held])
+            own = _block(pieces, number, [t for b in held for t in b.column(1).to_pylist()], buckets)
+            kinds = [pa.binary()] * 5 + [pa.list_(pa.struct([("bucket", pa.int32()), ("words", pa.binary())]))]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(ids)], ids), *(pa.array([v], k) for v, k in zip(own, kinds, strict=True))], names=["doc_id", *PARTS, "rare"])
+
+        for b in small_batches(batches, 1, block):
+            held.append(b)
+            size += b.column(1).nbytes + b.num_rows
+            if size >= block:
+                yield close()
+                size = 0
+        if held:
+            yield close()
+
+    return run
+
+
+def _segmented(name: str | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(block, bucket, lists): the ids of the words that a block asks a bucket for; words met before are known."""
+        segment, known = model(name).segment, {}
+        for b in batches:
+            out = []
+            for words in b.column(2).to_pylist():
+                found = []
+                for w in _unpacked(words).split(BETWEEN):
+                    ids = known.get(w)
+                    if ids is None:
+                        ids = known[w] = segment(w.decode("utf-8", "surrogatepass"))
+                    found.append(ids)
+                out.append(_lists(found))
+                if len(known) > 2 * ASKED:
+                    known.clear()
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["block", "bucket", "lists"])
+
+    return run
+
+
+def _assembled(name: str | None, known: str, buckets: int, keep_text: bool, names: list[str]):
+    def whole(ids: np.ndarray) -> tuple:
+        text = model(name).decode(ids)
+        return (len(ids), ids, text) if keep_text else (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, often = model(name), frequent(SparkFiles.get(known))
+        for b in batches:
+            for r in range(b.num_rows):
+                sizes, codes, slots, bucket, long, lists = (b.column(c)[r].as_py() for c in range(1, 7))
+                # the rare ones' ids behind those of the frequent ones
+                lengths, pool = [], [often.ids]
+                for data in [*(x["lists"] for x in sorted(lists or (), key=lambda x: x["bucket"])), long]:
+                    x = np.frombuffer(_unpacked(data), "<u4").astype(np.int64)
+                    lengths.append(x[1 : 1 + x[0]])
+                    pool.append(x[1 + x[0] :])
+                length, pool = np.concatenate(lengths), np.concatenate(pool)
+                start = len(often.ids) + np.cumsum(length) - length
+                place = np.empty(len(length), np.int64)  # of each rare one among the lists, by its number
+                place[np.argsort(np.frombuffer(_unpacked(bucket), _bucket_type(buckets)), kind="stable")] = np.arange(len(length))
+                codes, slots = np.frombuffer(_unpacked(codes), "<u2"), np.frombuffer(_unpacked(slots), "<u4").astype(np.int64)
+                new = slots == 0
+                place = place[np.where(new, np.cumsum(new) - 1, slots - 1)]
+                starts, counts = often.starts[codes], often.lengths[codes]
+                rare = codes == RARE
+                starts[rare], counts[rare] = start[place], length[place]
+                edge = np.cumsum([0, *np.frombuffer(_unpacked(sizes), "<u4").tolist()]).tolist()
+                out = []
+                for a, e in zip(edge, edge[1:], strict=False):
+                    steps = [(i, min(i + STRIDE, e)) for i in range(a, e, STRIDE)]
+                    out.append(whole(np.concatenate([[pieces.begin], *(pool[_places(starts[i:j], counts[i:j])] for i, j in steps), [pieces.end]]).astype("<u4")))
+                docs = b.column(0)[r].values
+                for i in range(0, len(out), ROWS):
+                    n, ids, texts = zip(*out[i : i + ROWS], strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [docs.slice(i, ROWS), pa.array(n, pa.int64()), pa.array(ids, pa.list_(pa.int32()) if keep_text else pa.string()), pa.array(texts, pa.string())], names=names
+                    )
+
+    return run
+
+
+def piece_documents(docs: DataFrame, model_path: str | None = None, keep_text: bool = True, room: int = FREQUENT_BYTES, most: int = FREQUENT, least: int = LEAST_COUNT, block: int = BLOCK) -> DataFrame:
     """doc_id, n_tokens, ids (begin and end among them), decoded; without keep_text their SHA-256 instead."""
     spark = docs.sparkSession
     name = model_name(spark, model_path)
-    chunks = chunk_table(docs, name)
+    table, asked = frequent_chunks(docs, name, room, most, least)
     sink = pa.BufferOutputStream()
-    table = frequent_chunks(chunks, room, most)
     with pa.ipc.new_file(sink, table.schema) as writer:
         writer.write_table(table)
     known = ship(spark, sink.getvalue().to_pybytes(), "frequent", ".arrow")
-
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, codes_of = model(name).chunks, frequent(SparkFiles.get(known)).codes
-        for b in small_batches(batches, 1):
-            found = [codes_of(cut(t or "")) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary()), pa.array([f[2] for f in found], pa.list_(pa.string()))], names=["doc_id", "codes", "slots", "rare"]
-            )
+    buckets = max(BUCKETS, -(-asked // ASKED))
 
     id_type = docs.schema["doc_id"]
-    coded = T.StructType([id_type, T.StructField("codes", T.BinaryType()), T.StructField("slots", T.BinaryType()), T.StructField("rare", T.ArrayType(T.StringType()))])
-    coded = stored(docs.select("doc_id", "text").mapInArrow(code, coded).select(F.monotonically_increasing_id().alias("row"), "*"), "coded")
-    asked = coded.where("size(rare) > 0").select("row", F.posexplode("rare").alias("place", "chunk"))
-    answers = asked.join(chunks.select("chunk", "ids"), "chunk").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("answers"))
-    whole = coded.drop("rare").join(answers.hint("shuffle_hash"), "row", "left")
-    whole = whole.select("doc_id", "codes", "slots", F.coalesce(F.col("answers").getField("ids"), F.expr("array()")).cast("array<array<int>>").alias("ids"))
-
-    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, known_ = model(name), frequent(SparkFiles.get(known))
-        own = len(known_.ids)
-        for b in small_batches(batches, 1, 2 << 20):
-            lists = b.column(3)
-            rows, each = lists.offsets.to_numpy().astype(np.int64), lists.values
-            offsets = each.offsets.to_numpy().astype(np.int64) if len(each) else np.zeros(1, np.int64)
-            base = int(offsets[0])
-            pool = np.concatenate([known_.ids, each.values.to_numpy(zero_copy_only=False)[base : offsets[-1]].astype(np.int32)]) if len(each) else known_.ids
-            n, ids_out, texts = [], [], []
-            for r, (codes, slots) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
-                codes = np.frombuffer(codes, "<u2")
-                starts, lengths = known_.starts[codes], known_.lengths[codes]
-                if slots:
-                    place = rows[r] + np.frombuffer(slots, "<i4")
-                    rare = codes == RARE
-                    starts[rare], lengths[rare] = own + offsets[place] - base, offsets[place + 1] - offsets[place]
-                ids = np.concatenate([[pieces.begin], *(pool[_places(starts[a : a + STRIDE], lengths[a : a + STRIDE])] for a in range(0, len(codes), STRIDE)), [pieces.end]]).astype("<u4")
-                text = pieces.decode(ids)
-                n.append(len(ids))
-                ids_out.append(ids if keep_text else hashlib.sha256(ids.tobytes()).hexdigest())
-                texts.append(text if keep_text else hashlib.sha256(text.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_out, pa.list_(pa.int32()) if keep_text else pa.string()), pa.array(texts, pa.string())], names=names)
-
+    rare = T.ArrayType(T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("words", T.BinaryType())]))
+    blocks = T.StructType([T.StructField("doc_id", T.ArrayType(id_type.dataType)), *(T.StructField(c, T.BinaryType()) for c in PARTS), T.StructField("rare", rare)])
+    coded = docs.select("doc_id", "text").mapInArrow(_coded(name, known, buckets, block), blocks)
+    coded = stored(coded.select(F.monotonically_increasing_id().alias("block"), "*"), "coded")  # written, so that a block keeps its number
+    wanted = coded.select("block", F.inline("rare")).repartition(buckets, "bucket")
+    answers = wanted.mapInArrow(_segmented(name), "block long, bucket int, lists binary").groupBy("block").agg(F.collect_list(F.struct("bucket", "lists")).alias("lists"))
+    whole = coded.drop("rare").join(answers.hint("shuffle_hash"), "block", "left").drop("block")
     names = ["doc_id", "n_tokens", "ids", "decoded"] if keep_text else ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     kinds = (T.LongType(), T.ArrayType(T.IntegerType()) if keep_text else T.StringType(), T.StringType())
-    return whole.mapInArrow(put, T.StructType([id_type, *(T.StructField(c, k) for c, k in zip(names[1:], kinds, strict=True))]))
+    return whole.mapInArrow(_assembled(name, known, buckets, keep_text, names), T.StructType([id_type, *(T.StructField(c, k) for c, k in zip(names[1:], kinds, strict=True))]))
 
 
 def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,10 +50,10 @@ def test_long_symbol_lists_merge_as_short_ones(monkeypatch):
         assert model._merged(chunk) == model._merged_long(list(chunk))
 
 
-@pytest.mark.parametrize(("room", "most"), [(pieces.FREQUENT_BYTES, pieces.FREQUENT), (2000, 30), (0, 0)])
-def test_documents_equal_the_library(spark, library, room, most):
-    rows = [*ODD, (20, "日本語 " * 300 + "  x  \n\n y▁z "), (21, "ab" * 4000)]
-    got = pieces.piece_documents(table(spark, rows), keep_text=False, room=room, most=most).collect()
+@pytest.mark.parametrize(("room", "most", "least", "block"), [(pieces.FREQUENT_BYTES, pieces.FREQUENT, 4, 4 << 20), (2000, 30, 1, 1000), (0, 0, 2, 1 << 16), (1 << 20, 1000, 1, 1)])
+def test_documents_equal_the_library(spark, library, room, most, least, block):
+    rows = [*ODD, (20, "日本語 " * 300 + "  x  \n\n y▁z "), (21, "ab" * 4000), (22, "=" * 3000 + " a, b" * 9)]
+    got = pieces.piece_documents(table(spark, rows), keep_text=False, room=room, most=most, least=least, block=block).collect()
     assert sorted(map(repr, ((r.doc_id, *tuple(r)[1:]) for r in got))) == sorted(repr((i, *expected(library, t))) for i, t in rows)
 
 
@@ -63,11 +63,14 @@ def test_ids_and_texts(spark, library):
     assert got[5].ids == library.encode("a b c", add_bos=True, add_eos=True) and got[10].decoded == ODD[-1][1]
 
 
-def test_each_distinct_chunk_once(spark):
-    counts = {r.chunk: (r.n, r.ids) for r in pieces.chunk_table(table(spark, [(1, "a b a"), (2, "a b\nb"), (None, None)])).collect()}
+def test_frequent_chunks(spark):
+    docs = table(spark, [(1, "a b, a"), (2, "a b\nb"), (None, None)]).repartition(1)
     model = pieces.PieceModel(pieces.default_model())
-    assert {c: n for c, (n, _) in counts.items()} == {"▁a": 3, "▁b": 2, "\n": 1, "b": 1}
-    assert all(ids == model.segment(c) for c, (_, ids) in counts.items())
+    found, rare = pieces.frequent_chunks(docs, least=1)
+    assert found["chunk"].to_pylist()[:2] == ["▁a", "▁b"] and rare == 0
+    assert dict(zip(*found.to_pydict().values(), strict=True)) == {c: model.segment(c) for c in ("▁a", "▁b", ",", "\n", "b")}
+    found, rare = pieces.frequent_chunks(docs, least=2)
+    assert found["chunk"].to_pylist() == ["▁a", "▁b"] and rare == 3
 
 
 def test_empty_table(spark):
