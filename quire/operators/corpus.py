@@ -22,55 +22,6 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return out if exempt is None else out.unionByName(df.where(exempt))
 
 
-#: Ranges that an order is cut into, and values of it that are looked at for each.
-CUTS, LOOKED_AT = 64, 32
-
-
-def in_ranges(rows: DataFrame, order: str, out: str, cuts: int = CUTS) -> tuple[DataFrame, int]:
-    """rows with the range of their order (column out, from 0), and how many ranges there are.
-
-    The bounds come from a fixed number of values, chosen by a hash; they decide how even the ranges are and nothing
-    else.  Equal values share a range; nulls are in the first.
-    """
-    few = rows.select(F.col(order).alias("o")).where("o is not null").orderBy(F.xxhash64("o"), "o").limit(cuts * LOOKED_AT).collect()
-    seen = sorted({r.o for r in few})
-    bounds = sorted({seen[i * len(seen) // cuts] for i in range(1, cuts)}) if len(seen) > cuts else []
-    cut = F.lit(0)
-    for b in bounds:
-        cut = cut + F.coalesce((F.col(order) >= F.lit(b)).cast("int"), F.lit(0))
-    return rows.withColumn(out, cut), len(bounds) + 1
-
-
-def same_group(rows: DataFrame, parts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """rows with the columns of parts of their group; a group may have null keys."""
-    keys = [f"__k{i}" for i in range(len(by))]
-    parts = parts.withColumnsRenamed(dict(zip(by, keys, strict=True)))
-    on = None
-    for c, k in zip(by, keys, strict=True):
-        own = rows[c].eqNullSafe(parts[k])
-        on = own if on is None else on & own
-    return rows.join(parts, on).drop(*keys)
-
-
-def running(rows: DataFrame, value: str, order: str, out: str, by: Sequence[str] = (), cuts: int = CUTS) -> DataFrame:
-    """The sum of value over the rows before each row (column out, from 0), in each group, or over all rows without one.
-
-    Groups are cut by order into ranges, summed range by range, and each range begins at the sums before it, so no task
-    sees all rows of a large group.  Rows of equal order may come in any order, as in any sort.
-    """
-    upto = lambda *part: Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    marked, n = in_ranges(rows, order, "__cut", cuts)
-    before = F.coalesce(F.sum(value).over(upto(*by, "__cut")), F.lit(0)).cast("long")
-    sums = marked.groupBy(*by, "__cut").agg(F.sum(value).alias("__s"))
-    if not by:
-        found = {r["__cut"]: r["__s"] or 0 for r in sums.collect()}
-        begins = [F.lit(sum(found.get(k, 0) for k in range(c))).cast("long") for c in range(n)]
-        return marked.withColumn(out, F.element_at(F.array(*begins), F.col("__cut") + 1) + before).drop("__cut")
-    earlier = Window.partitionBy(*by).orderBy("__cut").rowsBetween(Window.unboundedPreceding, -1)
-    begins = sums.select(*by, "__cut", F.coalesce(F.sum("__s").over(earlier), F.lit(0)).cast("long").alias("__b"))
-    return same_group(marked.withColumn("__in", before), begins, [*by, "__cut"]).withColumn(out, F.col("__b") + F.col("__in")).drop("__cut", "__b", "__in")
-
-
 def deduplicate(docs: DataFrame, order: Sequence[str | Column], content_hash: str = "content_hash") -> DataFrame:
     """First on (source, doc_id), then on content among those left; unknown content is never a copy."""
     once = keep_first(docs, ["source", "doc_id"], order)

@@ -4,36 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.operators.corpus import in_ranges, same_group
+from quire.operators.ranges import HOT, MOST_CUTS, beside, in_ranges, kept, medians, same_group
 
-#: Ranges that the tokens of a group are cut into.
-RANGES = 16
 
-
-def runs(tokens: DataFrame, by: Sequence[str], order: Sequence[str], role: str, begins: Column | None = None) -> DataFrame:
+def runs(tokens: DataFrame, by: Sequence[str], order: Sequence[str], role: str, begins: Column | None = None, cuts: int | None = None, hot: int = HOT) -> DataFrame:
     """Number the runs of equal roles in order; a token that begins, or follows another role, opens one (column run, from 0).
 
-    Groups are cut into ranges of their order; a range counts the runs that open inside it, and the ends of the ranges
-    tell where one goes on in the next.
+    A large group is cut into ranges of its order; a range counts the runs that open inside it, and the ends of the
+    ranges tell where one goes on in the next.
     """
     own = F.lit(False) if begins is None else begins
-    marked, _ = in_ranges(tokens.withColumn("__b", own), order[0], "__cut", RANGES)
+    marked, order, cut = in_ranges(tokens.withColumn("__b", own), by, order, cuts, hot)
     w = Window.partitionBy(*by, "__cut").orderBy(*order)
     opens = F.when(F.row_number().over(w) == 1, F.lit(False)).otherwise(F.coalesce(F.lag(role).over(w) != F.col(role), F.lit(True)) | F.col("__b"))
-    marked = marked.withColumn("__o", opens.cast("int")).withColumn("__in", F.sum("__o").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    place = F.struct(*order)
-    ends = marked.groupBy(*by, "__cut").agg(F.sum("__o").alias("__n"), F.min_by(F.struct(F.col(role).alias("r"), F.col("__b").alias("b")), place).alias("__first"), F.max_by(F.struct(F.col(role).alias("r")), place).alias("__last"))
-    g = Window.partitionBy(*by).orderBy("__cut")
-    goes_on = F.coalesce(F.lag("__last").over(g)["r"] == F.col("__first")["r"], F.lit(False)) & ~F.col("__first")["b"]
-    ends = ends.withColumn("__open", (~goes_on).cast("int"))
-    before = F.coalesce(F.sum(F.col("__n") + F.col("__open")).over(g.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    found = same_group(marked, ends.select(*by, "__cut", (before + F.col("__open") - 1).alias("__from")), [*by, "__cut"])
-    return found.withColumn("run", (F.col("__from") + F.col("__in")).cast("long")).drop("__b", "__cut", "__o", "__in", "__from")
+    marked = marked.withColumn("__o", opens.cast("int")).withColumn("run", F.sum("__o").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    if cut:
+        place = F.struct(*order)
+        ends = marked.where("__hot").groupBy(*by, "__cut").agg(F.sum("__o").alias("__n"), F.min_by(F.struct(F.col(role).alias("r"), F.col("__b").alias("b")), place).alias("__first"), F.max_by(F.struct(F.col(role).alias("r")), place).alias("__last"))
+        g = Window.partitionBy(*by).orderBy("__cut")
+        goes_on = F.coalesce(F.lag("__last").over(g)["r"] == F.col("__first")["r"], F.lit(False)) & ~F.col("__first")["b"]
+        ends = ends.withColumn("__open", (~goes_on).cast("int"))
+        before = F.coalesce(F.sum(F.col("__n") + F.col("__open")).over(g.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        marked = same_group(marked, ends.select(*by, "__cut", (before + F.col("__open") - 1).alias("__from")), [*by, "__cut"], "left")
+        marked = marked.withColumn("run", F.coalesce("__from", F.lit(0)) + F.col("run")).drop("__from")
+    return marked.withColumn("run", F.col("run").cast("long")).drop("__b", "__tie", "__hot", "__cut", "__o")
 
 
 def token_entities(words: DataFrame) -> DataFrame:
@@ -70,7 +70,7 @@ def points_in_shared_boxes(points: DataFrame, boxes: DataFrame, x: str = "x", y:
     return p.join(b, (p["__cx"] == b["__cx"]) & (p["__cy"] == b["__cy"]) & inside, "left_semi").drop("__cx", "__cy")
 
 
-def nearest(points: DataFrame, targets: DataFrame, by: Sequence[str], point_id: str, point_x: str, target_id: Sequence[str], target_x: str) -> DataFrame:
+def nearest(points: DataFrame, targets: DataFrame, by: Sequence[str], point_id: str, point_x: str, target_id: Sequence[str], target_x: str, cuts: int | None = None, hot: int = HOT) -> DataFrame:
     """For each target the point with the least distance in x, the smaller id of equals.
 
     Points and targets of a group meet in one order by x; the neighbours left and right decide, so no pair is made.
@@ -81,58 +81,144 @@ def nearest(points: DataFrame, targets: DataFrame, by: Sequence[str], point_id:
     both = p.select(*by, "__x", "__id", *(F.lit(None).cast(targets.schema[c].dataType).alias(c) for c in target_id), F.lit(0).alias("__t")).unionByName(
         t.select(*by, "__x", F.lit(None).cast(p.schema["__id"].dataType).alias("__id"), *target_id, F.lit(1).alias("__t"))
     )
+    # a point at the target's own place stands before it
     here = F.when(F.col("__t") == 0, F.struct(F.col("__x").alias("x"), F.col("__id").alias("id")))
-    w = Window.partitionBy(*by).orderBy("__x", "__t")
-    left = F.last(here, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    right = F.first(here, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
-    cand = both.withColumn("__l", left).withColumn("__r", right).where("__t = 1")
+    cand = beside(both, by, ["__x", "__t"], here, "__l", "__r", cuts, hot).where("__t = 1")
     rank = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(c)["x"] - F.col("__x")).alias("d"), F.col(c)["id"].alias("id")))
     return cand.withColumn("__best", F.least(rank("__l"), rank("__r"))).select(*by, *target_id, F.col("__best")["id"].alias("nearest_id"), F.col("__best")["d"].alias("distance"))
 
 
-def bands(points: DataFrame, by: Sequence[str], y: str, ids: Sequence[str], tolerance: float) -> DataFrame:
+def _beyond(v: np.ndarray, first: np.ndarray, tolerance: float) -> np.ndarray:
+    """For each first member, the place in v (ascending, NaN last) of the first value that its band does not take."""
+    n = len(v)
+    j = np.searchsorted(v, first + tolerance, "right")
+    while True:  # the difference decides, not the rounded sum
+        back = (j > 0) & ~(v[np.maximum(j - 1, 0)] - first <= tolerance) & (v[np.maximum(j - 1, 0)] > first)
+        on = (j < n) & (v[np.minimum(j, n - 1)] - first <= tolerance)
+        if not (back.any() or on.any()):
+            return j
+        j = j - back + on
+
+
+def _passage(v: np.ndarray, tolerance: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """What a range of heights does to a band that is open before it: (starts, exits, counts, open).
+
+    The first of the starts that the open band does not take begins a band; exits has the first member of the band that
+    is open at the end then, counts how many bands have begun.  open: a band may take the whole range and go on.
+    """
+    n = len(v)
+    on = _beyond(v, v, tolerance)
+    on = np.where(np.isnan(v), n, np.maximum(on, np.arange(n) + 1))
+    last, count, to = np.arange(n), np.ones(n, np.int64), on
+    while (to < n).any():  # twice as many steps each time
+        at = np.minimum(to, n - 1)
+        more = to < n
+        last, count, to = np.where(more, last[at], last), count + np.where(more, count[at], 0), np.where(more, to[at], n)
+    zone = slice(0, int(on[0]) + 1)
+    return v[zone], v[last[zone]], count[zone], bool(on[0] >= n)
+
+
+def _entries(cells: DataFrame, by: Sequence[str], tolerance: float, cuts: int) -> DataFrame:
+    """by, __cut, __first, __from: the band that is open where a range begins, and its number.
+
+    cells: by, __cut, and the heights of each range as the array v.  Each range becomes a passage; passages of
+    neighbouring ranges are put together in log2(cuts) rounds, each of which doubles how far they reach back.
+    """
+    kinds = "starts array<double>, exits array<double>, counts array<long>, open boolean"
+    shape = T.StructType([*(cells.schema[c] for c in (*by, "__cut")), *T._parse_datatype_string(kinds)])
+    arrays = (pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.bool_())
+
+    def batch(b: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+        own = [pa.array([r[i] for r in rows], k) for i, k in enumerate(arrays)]
+        return pa.RecordBatch.from_arrays([*b.columns[: len(by) + 1], *own], names=shape.names)
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield batch(b, [_passage(np.array(v.as_py(), float), tolerance) for v in b.column(len(by) + 1)])
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for own, earlier in zip(b.column(len(by) + 1).to_pylist(), b.column(len(by) + 2).to_pylist(), strict=True):
+                starts, exits, counts = (np.array(own[c]) for c in ("starts", "exits", "counts"))
+                open_ = own["open"]
+                if earlier is not None:
+                    first, count = np.array(earlier["exits"], float), np.array(earlier["counts"])
+                    j = np.where(np.isnan(first), len(starts), _beyond(starts, first, tolerance))
+                    at, more = np.minimum(j, len(starts) - 1), j < len(starts)
+                    through = slice(None if earlier["open"] else 0)  # what an open band that takes all of the earlier range meets
+                    starts, exits, counts = (
+                        np.concatenate([a, b[through]]) for a, b in ((earlier["starts"], starts), (np.where(more, exits[at], first), exits), (count + np.where(more, counts[at], 0), counts))
+                    )
+                    open_ = open_ and earlier["open"]
+                out.append((starts, exits, counts, open_))
+            yield batch(b, out)
+
+    # ranges without heights have no row: the others are numbered anew
+    cells = cells.withColumn("__cut_", F.row_number().over(Window.partitionBy(*by).orderBy("__cut")))
+    numbers = cells.select(*by, "__cut", F.col("__cut_").alias("__place"))
+    own = kept(cells.select(*by, F.col("__cut_").alias("__cut"), "v").mapInArrow(single, shape), "bands")
+    reach = 1
+    while reach < cuts:
+        earlier = own.select(*by, (F.col("__cut") + reach).alias("__cut"), F.struct("starts", "exits", "counts", "open").alias("__e"))
+        both = same_group(own.select(*by, "__cut", F.struct("starts", "exits", "counts", "open").alias("__own")), earlier, [*by, "__cut"], "left")
+        own = kept(both.mapInArrow(joined, shape), "bands")
+        reach *= 2
+    # of the first range the least height begins the first band
+    ends = own.select(*by, (F.col("__cut") + 1).alias("__place"), F.col("exits")[0].alias("__first"), (F.col("counts")[0] - 1).alias("__from"))
+    return same_group(numbers, ends, [*by, "__place"]).drop("__place")
+
+
+def bands(points: DataFrame, by: Sequence[str], y: str, ids: Sequence[str], tolerance: float, cuts: int | None = None, hot: int = HOT) -> DataFrame:
     """Number the y-bands of each group (column band): a band takes what lies within tolerance of its first member.
 
-    Only the distinct heights of a group are walked, in order and batch by batch, so no group is held in memory; the
-    points get their band by an equality join on group and height.  Points without a height have no band.
+    Only the distinct heights of a group are walked, in order and batch by batch; the points get their band by an
+    equality join on group and height.  A large group is walked range by range, each from the band that is open where it
+    begins.  Points without a height have no band.
     """
     places = points.select(*by, F.col(y).cast("double").alias("__y")).where("__y is not null").distinct()
+    marked, _, cut = in_ranges(places, by, ["__y"], cuts, hot, points)
+    keys = [*by, "__cut"]
+    marked = marked.select(*keys, "__hot", "__y")
+    if cut:
+        cells = marked.where("__hot").groupBy(*keys).agg(F.array_sort(F.collect_list("__y")).alias("v"))
+        marked = same_group(marked, _entries(cells, by, tolerance, cuts or MOST_CUTS), keys, "left")
+    else:
+        marked = marked.withColumns({"__first": F.lit(None).cast("double"), "__from": F.lit(None).cast("long")})
+    marked = marked.select(*keys, "__y", "__first", "__from")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, first, band = None, 0.0, 0
         for b in batches:
             out = []
-            for *g, v in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for *g, v, begun, number in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if g != group:
-                    group, first, band = g, v, 0
-                elif not v - first <= tolerance:  # NaN comes last and has a band of its own
+                    group, first, band = g, v if begun is None else begun, 0 if number is None else number
+                if not v - first <= tolerance and (v == v or first == first):  # NaN comes last and has a band of its own
                     first, band = v, band + 1
                 out.append(band)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int32())], names=[*b.schema.names, "band"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(out, pa.int32())], names=[*b.schema.names[:-2], "band"])
 
-    ordered = places.repartition(*by).sortWithinPartitions(*by, "__y")
-    numbered = ordered.mapInArrow(walk, T.StructType([*places.schema, T.StructField("band", T.IntegerType())]))
-    keys = [f"__k{i}" for i in range(len(by))]
-    numbered = numbered.select(*(F.col(c).alias(k) for c, k in zip(by, keys, strict=True)), "__y", "band")
+    ordered = marked.repartition(*keys).sortWithinPartitions(*keys, "__y")
+    numbered = ordered.mapInArrow(walk, T.StructType([*marked.schema.fields[:-2], T.StructField("band", T.IntegerType())])).drop("__cut")
     rows = points.select(*by, *ids, F.col(y).cast("double").alias(y))
-    same = F.col("__y") == F.col(y)
-    for c, k in zip(by, keys, strict=True):
-        same &= F.col(k).eqNullSafe(F.col(c))
-    return rows.join(numbered, same, "left").select(*by, *ids, y, "band")
+    return same_group(rows, numbered.withColumnRenamed("__y", y), [*by, y], "left").select(*by, *ids, y, "band")
 
 
-def spacings(points: DataFrame, by: Sequence[str], x: str, ids: Sequence[str] = ()) -> DataFrame:
+def spacings(points: DataFrame, by: Sequence[str], x: str, ids: Sequence[str] = (), cuts: int | None = None, hot: int = HOT) -> DataFrame:
     """Distance from each point to the next in its group (null for the last)."""
-    w = Window.partitionBy(*by).orderBy(x, *ids)
-    return points.withColumn("spacing", F.lead(x).over(w) - F.col(x)).withColumn("next_x", F.lead(x).over(w))
+    found = beside(points, by, [x, *ids], F.struct(F.col(x).alias("x")), behind="__next", cuts=cuts, hot=hot)
+    return found.withColumn("spacing", F.col("__next.x") - F.col(x)).withColumn("next_x", F.col("__next.x")).drop("__next")
+
 
+def spacing_stats(gaps: DataFrame, by: Sequence[str], tolerant: bool = False, cuts: int | None = None, hot: int = HOT, sizes: DataFrame | None = None) -> DataFrame:
+    """n, mean, population deviation and their ratio; tolerant: of spacings up to 1.5 medians (1 at least), two of which are needed.
 
-def spacing_stats(gaps: DataFrame, by: Sequence[str], tolerant: bool = False) -> DataFrame:
-    """n, mean, population deviation and their ratio; tolerant: of spacings up to 1.5 medians (1 at least), two of which are needed."""
+    sizes: the points, which are cheaper to count than their gaps.
+    """
     gaps = gaps.where("spacing is not null")
     if tolerant:
-        mid = gaps.groupBy(*by).agg(F.median("spacing").alias("__m"))
-        gaps = gaps.join(mid, list(by)).where(F.col("spacing") <= F.greatest(F.col("__m") * 1.5, F.lit(1.0)))
+        gaps = same_group(gaps, medians(gaps, by, "spacing", "__m", cuts, hot, sizes), by).where(F.col("spacing") <= F.greatest(F.col("__m") * 1.5, F.lit(1.0)))
     out = gaps.groupBy(*by).agg(F.count("*").alias("n"), F.avg("spacing").alias("mean"), F.stddev_pop("spacing").alias("deviation"))
     out = out.where("n >= 2") if tolerant else out
     return out.where("mean > 0").withColumn("cv", F.col("deviation") / F.col("mean"))

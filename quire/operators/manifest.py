@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import seeded, subtype
-from quire.operators.corpus import running
+from quire.operators.ranges import running
 from quire.schema import CATEGORIES
 
 VERSION = 1

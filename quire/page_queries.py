@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,17 +11,12 @@ from pyspark.sql import functions as F
 
 from quire.functions import boxes, fields, text
 from quire.operators import corpus, manifest, pages, pdf
+from quire.operators.ranges import scratch
 from quire.plans import corpus_run
 from quire.queries import FG, OTSU, PX, SPLIT, _sql_line, divided, order_fields, query, rasters, table
 from quire.sources import files, forms, sinks, synthetic
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the one that driver and executors share (a local one only where none is set)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 # records
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import boxes, fields, text
-from quire.operators import audit, corpus, layout, manifest, pdf, raster
+from quire.operators import audit, corpus, layout, manifest, pdf, ranges, raster
 from quire.plans import release
 from quire.sources import forms
 
@@ -391,7 +391,7 @@ def value_gaps(spark, d):
 
 @query(f"WITH {_GAPS} SELECT user_id, n, round(mean, 6) AS mean, round(deviation / mean, 6) AS cv FROM stats")
 def cluster_spacing_cv(spark, d):
-    return layout.spacing_stats(value_gaps(spark, d), ["user_id"], tolerant=True).select("user_id", "n", F.round("mean", 6).alias("mean"), F.round("cv", 6).alias("cv"))
+    return layout.spacing_stats(value_gaps(spark, d), ["user_id"], tolerant=True, sizes=table(spark, d, "events")).select("user_id", "n", F.round("mean", 6).alias("mean"), F.round("cv", 6).alias("cv"))
 
 
 @query(
@@ -400,7 +400,7 @@ def cluster_spacing_cv(spark, d):
 )
 def gap_targets(spark, d):
     gaps = value_gaps(spark, d)
-    out = layout.gap_targets(gaps, layout.spacing_stats(gaps, ["user_id"], tolerant=True), ["user_id"], "x")
+    out = layout.gap_targets(gaps, layout.spacing_stats(gaps, ["user_id"], tolerant=True, sizes=table(spark, d, "events")), ["user_id"], "x")
     return out.select("user_id", "event_id", "j", "expected", F.floor(F.col("target_x") * 1000).cast("long").alias("target_milli"))
 
 
@@ -874,4 +874,4 @@ def page_gray(spark, d):
 @query("SELECT path, sum(length(path)) OVER (ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM (SELECT DISTINCT coalesce(url, '') AS path FROM pages)".replace("sum(length(path))", "coalesce(sum(length(path))").replace("1 PRECEDING)", "1 PRECEDING), 0)::BIGINT"))
 def running_offsets(spark, d):
     paths = table(spark, d, "pages").select(F.coalesce("url", F.lit("")).alias("path")).distinct().withColumn("n", F.length("path"))
-    return corpus.running(paths, "n", "path", "before").select("path", "before")
+    return ranges.running(paths, "n", "path", "before").select("path", "before")

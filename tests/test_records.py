@@ -3,7 +3,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from quire.functions import boxes, fields, text
-from quire.operators import audit, corpus, layout, manifest, pdf
+from quire.operators import audit, corpus, layout, manifest, pdf, ranges
 from quire.plans import corpus_run, release
 from quire.schema import DOCUMENT, check_columns
 from quire.sources import forms as S
@@ -312,14 +312,14 @@ def test_running_sums_over_all_rows(spark):
     rng = random.Random(3)
     rows = [(f"k{rng.randrange(10**6):06d}{i}", rng.randrange(5)) for i in range(700)] + [(None, 3)]
     df = spark.createDataFrame(rows, "k string, n int").repartition(5)
-    got = {r.k: r.before for r in corpus.running(df, "n", "k", "before", cuts=7).collect()}
+    got = {r.k: r.before for r in ranges.running(df, "n", "k", "before", cuts=7).collect()}
     so_far, want = 0, {}
     for k, n in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "")):
         want[k] = so_far
         so_far += n
     assert got == want
-    assert corpus.running(df.where("false"), "n", "k", "before").count() == 0
-    assert [r.before for r in corpus.running(df.where("k is null"), "n", "k", "before").collect()] == [0]
+    assert ranges.running(df.where("false"), "n", "k", "before").count() == 0
+    assert [r.before for r in ranges.running(df.where("k is null"), "n", "k", "before").collect()] == [0]
 
 
 def test_scans_have_the_file_at_their_name_before_one_of_that_base_name(spark):
@@ -382,5 +382,5 @@ def test_runs_go_on_across_ranges(spark):
 def test_running_sums_in_groups(spark):
     rows = [(g, i, i % 7) for g, n in (("x", 800), (None, 30), ("z", 1)) for i in range(n)]
     df = spark.createDataFrame(rows, "g string, o int, n int").repartition(4)
-    got = {(r.g, r.o): r.s for r in corpus.running(df, "n", "o", "s", ["g"], cuts=8).collect()}
+    got = {(r.g, r.o): r.s for r in ranges.running(df, "n", "o", "s", ["g"], cuts=8).collect()}
     assert got == {(g, o): sum(i % 7 for i in range(o)) for g, o, _ in rows}
