@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.text import stripped
 from quire.schema import DOCUMENT, check_columns
 
 
 def has_response(role: Column, value: Column, strip: bool = False) -> Column:
     """An answer with a value; strip: blanks alone are none."""
-    return (role == "answer") & (F.length(F.trim(value) if strip else value) > 0)
+    return (role == "answer") & (F.length(stripped(value) if strip else value) > 0)
 
 
 def responses(fields: Column, strip: bool = False) -> Column:

@@ -12,6 +12,20 @@ SUBTYPES = ("Short-Form", "Supplemental-Statement", "Initial-Registration", "Con
 #: Roles by BIO tag number.
 BIO_ROLES = {0: "other", 1: "header", 2: "header", 3: "question", 4: "question", 5: "answer", 6: "answer"}
 
+#: White space, and what ends a line, in any alphabet.
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+LINE_END = r"\r\n|[\n-\r\x1c-\x1e\x85\u2028\u2029]"
+
+
+def stripped(value: Column) -> Column:
+    """Without the white space at both ends."""
+    return F.regexp_replace(value, rf"\A{SPACE}+|(?<!{SPACE}){SPACE}+\z", "")
+
+
+def lines(value: Column) -> Column:
+    """The lines that hold more than white space, without that at their ends."""
+    return F.filter(F.transform(F.split(value, LINE_END), stripped), lambda v: F.length(v) > 0)
+
 
 def bio_role(tag: Column) -> Column:
     return F.coalesce(F.create_map(*(F.lit(x) for kv in BIO_ROLES.items() for x in kv))[tag], F.lit("other"))

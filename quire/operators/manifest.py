@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import seeded, subtype
+from quire.functions.text import seeded, stripped, subtype
 from quire.operators.ranges import running
 from quire.schema import CATEGORIES
 
@@ -60,7 +60,7 @@ def category(text_chars: Column, widgets: Column) -> Column:
 def profile(pages: DataFrame) -> DataFrame:
     """pages: doc_id, text, widget_count, error (null unless the file is broken); a row for each document."""
     sums = pages.groupBy("doc_id").agg(
-        F.count(F.when(F.col("error").isNull(), 1)).alias("page_count"), F.coalesce(F.sum(F.length(F.trim("text"))), F.lit(0)).alias("text_char_count"),
+        F.count(F.when(F.col("error").isNull(), 1)).alias("page_count"), F.coalesce(F.sum(F.length(stripped(F.col("text")))), F.lit(0)).alias("text_char_count"),
         F.coalesce(F.sum("widget_count"), F.lit(0)).alias("widget_count"), F.max("error").alias("error"),
     )
     broken = F.col("error").isNotNull()

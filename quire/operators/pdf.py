@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.boxes import skip_reason, to_page
 from quire.functions.fields import has_response
+from quire.functions.text import lines as value_lines
 from quire.pdf.forms import blank_widgets, clear_widgets, widget_name, widget_parts, widgets
 from quire.pdf.objects import Pdf, Ref
 from quire.pdf.text import Glyph, Span, glyphs, put_text, redact, search, spans
@@ -26,10 +27,6 @@ RED = (0.9, 0.1, 0.1)
 BROKEN = (ValueError, TypeError, KeyError, IndexError, AttributeError, EOFError, ArithmeticError, RecursionError)
 
 
-def value_lines(value: Column) -> Column:
-    return F.filter(F.transform(F.split(value, r"\r?\n"), lambda v: F.trim(v)), lambda v: F.length(v) > 0)
-
-
 def targets(fields: DataFrame, text_spans: DataFrame, pad: float = PAD, grow: float = GROW, complete_by: str = "hits") -> DataFrame:
     """Rectangles to redact for each field.
 

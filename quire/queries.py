@@ -304,16 +304,25 @@ def subtype_tag(spark, d):
     return table(spark, d, "part").select("p_partkey", text.subtype(n, _TAGS).alias("subtype"), F.split_part(n, F.lit("_"), F.lit(1)).alias("source"))
 
 
+#: White space at both ends, in any alphabet.
+_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _sql_stripped(value: str) -> str:
+    return f"regexp_replace({value}, '^{_SPACE}+|{_SPACE}+$', '', 'g')"
+
+
+#: The pages of every seventh conversation hold white space only.
 _CAT = """cat AS (
-    SELECT conv_id, coalesce(sum(CASE WHEN role = 'system' THEN length(trim(text)) END), 0)::BIGINT AS text_char_count, count(*) FILTER (WHERE role = 'assistant') AS widget_count,
+    SELECT conv_id, coalesce(sum(CASE WHEN role = 'system' THEN length(_STRIPPED) END), 0)::BIGINT AS text_char_count, count(*) FILTER (WHERE role = 'assistant') AS widget_count,
         max(CASE WHEN conv_id % 13 = 0 THEN 'broken' END) AS error FROM conversations GROUP BY conv_id
 ), typed AS (
     SELECT conv_id, CASE WHEN error IS NOT NULL THEN 'image_only_pdf' WHEN text_char_count > 0 THEN 'born_digital_pdf' WHEN widget_count > 0 THEN 'synthetic_acroform' ELSE 'image_only_pdf' END AS category, error FROM cat
-)"""
+)""".replace("_STRIPPED", _sql_stripped("CASE WHEN conv_id % 7 = 0 THEN regexp_replace(text, '[^ ]', chr(10) || chr(9), 'g') ELSE text END"))
 
 
 def profiles(spark, d):
-    c = table(spark, d, "conversations")
+    c = table(spark, d, "conversations").withColumn("text", F.when(F.col("conv_id") % 7 == 0, F.regexp_replace("text", "[^ ]", "\n\t")).otherwise(F.col("text")))
     return manifest.profile(c.select(F.col("conv_id").alias("doc_id"), F.when(F.col("role") == "system", F.col("text")).alias("text"), (F.col("role") == "assistant").cast("int").alias("widget_count"), F.when(F.col("conv_id") % 13 == 0, "broken").alias("error")))
 
 
@@ -655,7 +664,7 @@ def turn_spans(spark, d):
 
 
 @query(
-    f"""WITH {_PAGES}, f AS (SELECT conv_id, turn, page, list_filter(list_transform(string_split(value, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines FROM c),
+    f"""WITH {_PAGES}, f AS (SELECT conv_id, turn, page, list_filter(list_transform(string_split(value, chr(10)), lambda x: {_sql_stripped('x')}), lambda x: x <> '') AS lines FROM c),
     h AS (SELECT f.conv_id AS doc_id, f.turn AS pos, any_value(len(lines)) AS n, count(*) AS hits FROM f JOIN c ON f.conv_id = c.conv_id AND f.page = c.page WHERE len(list_filter(lines, lambda x: contains(c.text, x))) > 0 GROUP BY f.conv_id, f.turn)
     SELECT doc_id, pos, hits FROM h WHERE hits >= n"""
 )
@@ -762,7 +771,7 @@ def widget_audit(spark, d):
 
 
 @query(
-    f"""WITH {_PAGES}, f AS (SELECT conv_id, turn, page, trim(unnest(string_split(split_part(text, ' ', 2), chr(10)))) AS line FROM c)
+    f"""WITH {_PAGES}, f AS (SELECT conv_id, turn, page, {_sql_stripped("unnest(string_split(split_part(text, ' ', 2), chr(10)))")} AS line FROM c)
     SELECT f.conv_id AS doc_id, f.turn AS pos, count(DISTINCT line)::INTEGER AS n FROM f WHERE line <> '' AND EXISTS (SELECT 1 FROM c WHERE c.conv_id = f.conv_id AND c.page = f.page AND contains(c.text, f.line)) GROUP BY f.conv_id, f.turn"""
 )
 def residual_lines(spark, d):

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.boxes import clamp, normalise
-from quire.functions.text import title_label
+from quire.functions.text import stripped, title_label
 from quire.operators.corpus import keep_first
 from quire.operators.ranges import running
 from quire.operators.layout import token_entities
@@ -89,7 +89,7 @@ def with_files(docs: DataFrame, files: DataFrame, name: str, root: str = "") ->
 
 def pdf_lines(spark: SparkSession, path: str, subset_ord: int = 0) -> DataFrame:
     """JSON lines (gz or not) as variants; blank and broken lines are left out."""
-    text = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id()).where(F.trim("value") != "")
+    text = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id()).where(stripped(F.col("value")) != "")
     return text.withColumn("v", F.try_parse_json("value")).where("v is not null").select("v", F.lit(subset_ord).alias("subset_ord"), "line_no")
 
 
@@ -108,7 +108,7 @@ def pdf_corpus(lines: DataFrame, source: str, files: DataFrame | None = None, ma
     a = docs.select("doc_id", F.posexplode(F.try_variant_get("v", "$.annotations", "array<variant>")).alias("i", "a"))
     m = a.select("doc_id", "i", F.try_variant_get("a", "$[0]", "string").alias("field_id"), F.posexplode(F.try_variant_get("a", "$[1]", "array<variant>")).alias("j", "m"))
     place = F.try_variant_get("m", "$[1]", "array<double>")
-    m = m.where("field_id is not null").withColumn("value", F.try_variant_get("m", "$[0]", "string")).withColumn("b", F.when(F.size(place) == 5, place)).where("value is not null")
+    m = m.where("field_id is not null").withColumn("value", stripped(F.try_variant_get("m", "$[0]", "string"))).withColumn("b", F.when(F.size(place) == 5, place)).where("value is not null")
     if match_types is not None:
         m = m.join(match_types, "field_id", "left")
     else:
