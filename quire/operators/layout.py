@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.operators.ranges import HOT, MOST_CUTS, beside, in_ranges, kept, medians, same_group
+from quire.operators.ranges import CUTS, HOT, MOST_CUTS, beside, bounds_of, hot_groups, in_ranges, kept, medians, place_in, same_group
 
 
 def runs(tokens: DataFrame, by: Sequence[str], order: Sequence[str], role: str, begins: Column | None = None, cuts: int | None = None, hot: int = HOT) -> DataFrame:
@@ -60,14 +62,47 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, by: Sequence[str], x: s
     return points.join(few, list(by)).where(hit).drop("__boxes")
 
 
-def points_in_shared_boxes(points: DataFrame, boxes: DataFrame, x: str = "x", y: str = "y", cell: float = 10.0) -> DataFrame:
-    """Points inside any of many boxes that all pages share: boxes are laid on a grid and joined by cell."""
-    b = boxes.select("x0", "y0", "x1", "y1").distinct()
-    spread = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell)))
-    b = b.withColumn("__cx", spread("x0", "x1")).withColumn("__cy", spread("y0", "y1"))
-    p = points.withColumn("__cx", F.floor(F.col(x) / cell)).withColumn("__cy", F.floor(F.col(y) / cell))
-    inside = (p[x] >= b["x0"]) & (p[x] <= b["x1"]) & (p[y] >= b["y0"]) & (p[y] <= b["y1"])
-    return p.join(b, (p["__cx"] == b["__cx"]) & (p["__cy"] == b["__cy"]) & inside, "left_semi").drop("__cx", "__cy")
+#: A box lies on so many cells of its level in each direction, about; copies of a cell of the upper levels; the finest level (cells of 8).
+SPREAD, SALTS, FINEST = 4, 16, 3
+
+
+def points_in_shared_boxes(points: DataFrame, boxes: DataFrame, x: str = "x", y: str = "y", finest: int = FINEST) -> DataFrame:
+    """Points inside any of many boxes that all pages share, edges included.
+
+    Grids of cells of 2 ** level, one above the other: a box lies on the level on which it touches few cells, at most
+    (2 * SPREAD + 1) ** 2, whatever its size, and a point looks at its cell on each level that has boxes.  Cells that a
+    box fills need no further look and are there once, however many boxes fill them; at its edge a box brings its
+    coordinates.  The few cells of the upper levels have copies among which their points are dealt.  Boxes are cut off
+    where there are no points, so those of infinite size are like others.  Points without finite coordinates are in no
+    box, nor are any in boxes that end before they begin.
+    """
+    here = points.where(F.col(x).isNotNull() & F.col(y).isNotNull() & (F.abs(x) < float("inf")) & (F.abs(y) < float("inf")))
+    x0, y0, x1, y1 = here.agg(F.min(x).cast("double"), F.min(y).cast("double"), F.max(x).cast("double"), F.max(y).cast("double")).first()
+    if x0 is None:
+        return here
+    b = boxes.dropna(subset=["x0", "y0", "x1", "y1"]).select(
+        F.greatest(F.col("x0").cast("double"), F.lit(x0)).alias("x0"), F.greatest(F.col("y0").cast("double"), F.lit(y0)).alias("y0"),
+        F.least(F.col("x1").cast("double"), F.lit(x1)).alias("x1"), F.least(F.col("y1").cast("double"), F.lit(y1)).alias("y1"),
+    )
+    b = b.where("x0 <= x1 and y0 <= y1").distinct()
+    span = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    b = b.withColumn("__l", F.greatest(F.lit(finest), F.coalesce(F.ceil(F.log2(span / SPREAD)).cast("int"), F.lit(finest))))
+    size = F.pow(F.lit(2.0), F.col("__l"))  # a power of two, so cells are exact
+    at = lambda c: F.floor(F.col(c) / size)
+    b = b.withColumn("__cx", F.explode(F.sequence(at("x0"), at("x1")))).withColumn("__cy", F.explode(F.sequence(at("y0"), at("y1"))))
+    fills = reduce(lambda a, c: a & c, ((F.col(f"{c}0") <= F.col(f"__c{c}") * size) & ((F.col(f"__c{c}") + 1) * size <= F.col(f"{c}1")) for c in "xy"))
+    b = b.select("__l", "__cx", "__cy", *(F.when(~fills, F.col(c)).alias(f"__{c}") for c in ("x0", "y0", "x1", "y1"))).distinct()
+    levels = sorted(r["__l"] for r in b.select("__l").distinct().collect())  # of a double's exponents
+    if not levels:
+        return here.where("false")
+    copies = F.when(F.col("__l") > finest, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    b = b.withColumn("__s", F.explode(copies)).withColumnsRenamed({c: f"{c}_" for c in ("__l", "__cx", "__cy", "__s")})
+    p = here.withColumn("__id", F.monotonically_increasing_id()).withColumn("__l", F.explode(F.array(*map(F.lit, levels))))
+    p = p.withColumns({"__cx": at(x), "__cy": at(y), "__s": F.when(F.col("__l") > finest, (F.col("__id") % SALTS).cast("int")).otherwise(0)})
+    same = reduce(lambda a, c: a & (p[c] == b[f"{c}_"]), ("__l", "__cx", "__cy", "__s"), F.lit(True))
+    inside = b["__x0"].isNull() | ((p[x] >= b["__x0"]) & (p[x] <= b["__x1"]) & (p[y] >= b["__y0"]) & (p[y] <= b["__y1"]))
+    found = p.join(b, same & inside, "left_semi")
+    return (found if len(levels) == 1 else found.dropDuplicates(["__id"])).select(*points.columns)
 
 
 def nearest(points: DataFrame, targets: DataFrame, by: Sequence[str], point_id: str, point_x: str, target_id: Sequence[str], target_x: str, cuts: int | None = None, hot: int = HOT) -> DataFrame:
@@ -246,10 +281,73 @@ def gap_targets(gaps: DataFrame, stats: DataFrame, by: Sequence[str], x: str, ra
     return rows.withColumn("target_x", F.col(x) + F.col("j") * F.col("spacing") / (F.col("expected") + 1))
 
 
-def single_sided(clusters: DataFrame, boxes: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Notes on boxes past a cluster's end: clusters has x_lo, x_hi, y_center, mean; boxes x0, y0, x1, y1."""
-    pair = clusters.join(boxes, list(by)).where((F.col("y0") - 2 <= F.col("y_center")) & (F.col("y_center") <= F.col("y1") + 2))
+def _sweep(n_keys: int):
+    """Of the boxes that are open at each height asked for: the greatest x1 and the least x0.
+
+    Rows come by range, then height, boxes (at 0) before heights (at 1).  A box stays in the heaps until it is on top
+    and ends before the height at hand.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, top, low = None, [], []
+        for b in batches:
+            rows = []
+            for i, (*g, v, asked, hi, x0, x1) in enumerate(zip(*(c.to_pylist() for c in b.columns), strict=True)):
+                if g != group:
+                    group, top, low = g, [], []
+                if not asked:
+                    heapq.heappush(top, (-x1, hi))
+                    heapq.heappush(low, (x0, hi))
+                    continue
+                for heap in (top, low):
+                    while heap and heap[0][1] < v:
+                        heapq.heappop(heap)
+                rows.append((i, -top[0][0] if top else None, low[0][0] if low else None))
+            found = b.take(pa.array([r[0] for r in rows], pa.int32()))
+            sides = [pa.array([r[k] for r in rows], pa.float64()) for k in (1, 2)]
+            yield pa.RecordBatch.from_arrays([*found.columns[: n_keys + 1], *sides], names=[*b.schema.names[: n_keys + 1], "__top", "__low"])
+
+    return run
+
+
+def single_sided(clusters: DataFrame, boxes: DataFrame, by: Sequence[str], cuts: int | None = None, hot: int = HOT) -> DataFrame:
+    """Notes on boxes past a cluster's end: clusters has x_lo, x_hi, y_center, mean; boxes x0, y0, x1, y1.
+
+    Only the greatest x1 and the least x0 of the boxes at a cluster's height matter.  They come from a sweep over heights
+    in each group; a large group is cut into ranges of height, in which a box is swept where it begins and where it
+    ends, and the ranges in between get it as a whole.  No pair of cluster and box is made.
+    """
+    b = boxes.select(*by, *(F.col(c).cast("double").alias(f"__{c}") for c in ("x0", "x1")), (F.col("y0") - 2).cast("double").alias("__lo"), (F.col("y1") + 2).cast("double").alias("__hi"))
+    b = b.where("__lo <= __hi and not isnan(__hi)").groupBy(*by, "__lo", "__hi").agg(F.min("__x0").alias("__x0"), F.max("__x1").alias("__x1")).dropna(subset=["__x0", "__x1"])
+    heights = clusters.select(*by, F.col("y_center").cast("double").alias("__v")).where("__v is not null and not isnan(__v)").distinct()
+    marks = heights.union(b.select(*by, "__lo")).union(b.select(*by, "__hi"))
+    named, n = (None, None) if cuts else hot_groups(marks, by, hot)
+    if named is not None and not n:
+        range_of = lambda c: F.lit(0)
+    else:
+        large = marks if named is None else same_group(marks, F.broadcast(named), by)
+        bounds = bounds_of(large, F.struct("__v"), cuts or min(MOST_CUTS, max(CUTS, n // hot)))
+        range_of = lambda c: place_in(F.struct(F.col(c).alias("__v")), bounds, T.StructType([marks.schema["__v"]]))
+    b = b.withColumns({"__a": range_of("__lo"), "__b": range_of("__hi")})
+    ends = F.when(F.col("__a") == F.col("__b"), F.array(F.struct(F.col("__a").alias("c"), F.col("__lo").alias("v"), F.col("__hi").alias("hi"))))
+    ends = ends.otherwise(
+        F.array(
+            F.struct(F.col("__a").alias("c"), F.col("__lo").alias("v"), F.lit(float("inf")).alias("hi")), F.struct(F.col("__b").alias("c"), F.lit(float("-inf")).alias("v"), F.col("__hi").alias("hi"))
+        )
+    )
+    open_ = b.select(*by, "__x0", "__x1", F.explode(ends).alias("e")).select(*by, F.col("e.c").alias("__cut"), F.col("e.v").alias("__v"), F.lit(0).alias("__asked"), F.col("e.hi").alias("__hi"), "__x0", "__x1")
+    none = F.lit(None).cast("double")
+    asked = heights.select(*by, range_of("__v").alias("__cut"), "__v", F.lit(1).alias("__asked"), none.alias("__hi"), none.alias("__x0"), none.alias("__x1"))
+    keys = [*by, "__cut"]
+    rows = open_.union(asked).repartition(*keys).sortWithinPartitions(*keys, "__v", "__asked")
+    shape = T.StructType([*(rows.schema[c] for c in (*keys, "__v")), T.StructField("__top", T.DoubleType()), T.StructField("__low", T.DoubleType())])
+    found = rows.mapInArrow(_sweep(len(keys)), shape)
+    # ranges that a box covers from end to end: as many rows as pairs of ranges at most
+    whole = b.where("__b - __a >= 2").groupBy(*by, "__a", "__b").agg(F.min("__x0").alias("__l"), F.max("__x1").alias("__t"))
+    whole = whole.withColumn("__cut", F.explode(F.sequence(F.col("__a") + 1, F.col("__b") - 1))).groupBy(*keys).agg(F.min("__l").alias("__l"), F.max("__t").alias("__t"))
+    found = same_group(found, whole, keys, "left").select(*by, F.col("__v").alias("y_center"), F.greatest("__top", "__t").alias("__top"), F.least("__low", "__l").alias("__low"))
+    met = same_group(clusters.withColumn("__y", F.col("y_center").cast("double")), found.withColumnRenamed("y_center", "__y"), [*by, "__y"]).drop("__y")
     reach = 1.5 * F.col("mean")
-    right = F.when(F.col("x1") > F.col("x_hi") + reach, "single_sided:no_right_anchor")
-    left = F.when(F.col("x0") < F.col("x_lo") - reach, "single_sided:no_left_anchor")
-    return pair.select(*clusters.columns, F.explode(F.array_compact(F.array(right, left))).alias("note")).distinct()
+    right = F.when(F.col("__top") > F.col("x_hi") + reach, "single_sided:no_right_anchor")
+    left = F.when(F.col("__low") < F.col("x_lo") - reach, "single_sided:no_left_anchor")
+    return met.select(*clusters.columns, F.explode(F.array_compact(F.array(right, left))).alias("note")).distinct()

@@ -86,7 +86,7 @@ def bounds_of(rows: DataFrame, place: Column, cuts: int) -> list:
     return out
 
 
-def _range(place: Column, bounds: list, kind: T.StructType) -> Column:
+def place_in(place: Column, bounds: list, kind: T.StructType) -> Column:
     """How many bounds are no greater than place."""
     if not bounds:
         return F.lit(0)
@@ -113,7 +113,7 @@ def in_ranges(rows: DataFrame, by: Sequence[str], order: Sequence[str], cuts: in
         rows = same_group(rows, F.broadcast(named.withColumn("__is", F.lit(True))), by, "left").withColumn("__hot", F.col("__is").isNotNull()).drop("__is")
     bounds = bounds_of(rows.where("__hot"), place, cuts or (CUTS if n is None else min(MOST_CUTS, max(CUTS, n // hot))))
     kind = T.StructType([rows.schema[c] for c in order])
-    return rows.withColumn("__cut", F.when(F.col("__hot"), _range(place, bounds, kind)).otherwise(0)), order, True
+    return rows.withColumn("__cut", F.when(F.col("__hot"), place_in(place, bounds, kind)).otherwise(0)), order, True
 
 
 def running(rows: DataFrame, value: str, order: str, out: str, by: Sequence[str] = (), cuts: int | None = None, hot: int = HOT) -> DataFrame:
