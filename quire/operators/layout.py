@@ -16,6 +16,11 @@ from quire.operators.ranges import CUTS, HOT, MOST_CUTS, beside, bounds_of, hot_
 
 
 def runs(tokens: DataFrame, by: Sequence[str], order: Sequence[str], role: str, begins: Column | None = None, cuts: int | None = None, hot: int = HOT) -> DataFrame:
+    """Number the runs of equal roles in order (column run, from 0); see numbered_runs."""
+    return numbered_runs(tokens, by, order, role, begins, cuts, hot)[0].drop("__cut")
+
+
+def numbered_runs(tokens: DataFrame, by: Sequence[str], order: Sequence[str], role: str, begins: Column | None = None, cuts: int | None = None, hot: int = HOT) -> tuple[DataFrame, bool]:
     """Number the runs of equal roles in order; a token that begins, or follows another role, opens one (column run, from 0).
 
     A large group is cut into ranges of its order; a range counts the runs that open inside it, and the ends of the
@@ -35,20 +40,35 @@ def runs(tokens: DataFrame, by: Sequence[str], order: Sequence[str], role: str,
         before = F.coalesce(F.sum(F.col("__n") + F.col("__open")).over(g.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         marked = same_group(marked, ends.select(*by, "__cut", (before + F.col("__open") - 1).alias("__from")), [*by, "__cut"], "left")
         marked = marked.withColumn("run", F.coalesce("__from", F.lit(0)) + F.col("run")).drop("__from")
-    return marked.withColumn("run", F.col("run").cast("long")).drop("__b", "__tie", "__hot", "__cut", "__o")
+    return marked.withColumn("run", F.col("run").cast("long")).drop("__b", "__tie", "__hot", "__o"), cut
+
 
+def joined_runs(tokens: DataFrame, by: Sequence[str], order: Sequence[str], role: str, text: Column, aggs: dict[str, tuple], begins: Column | None = None, cuts: int | None = None, hot: int = HOT) -> DataFrame:
+    """by, run, role, text (the tokens' texts in order, one space between, nulls left out) and aggs of each run.
+
+    aggs: name -> (aggregate function, column), of functions that may be taken of their own results, as min, max and sum.
+    The texts of a run that goes through several ranges are put together range by range, then the ranges' texts.
+    """
+    numbered, cut = numbered_runs(tokens.withColumn("__text", text), by, order, role, begins, cuts, hot)
+    keys = [*by, "run", role]
 
-def token_entities(words: DataFrame) -> DataFrame:
+    def put(place: Column, part: str) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(place.alias("p"), F.col(part).alias("t")))), lambda x: x["t"]), " ").alias("text")
+
+    first = numbered.groupBy(*keys, *(["__cut"] if cut else [])).agg(put(F.struct(*order), "__text"), F.count("__text").alias("__n"), *(f(c).alias(name) for name, (f, c) in aggs.items()))
+    if not cut:
+        return first.drop("__n")
+    parts = first.withColumn("__part", F.when(F.col("__n") > 0, F.col("text")))  # a range without texts adds no space
+    return parts.groupBy(*keys).agg(put(F.col("__cut"), "__part"), *(f(name).alias(name) for name, (f, _) in aggs.items()))
+
+
+def token_entities(words: DataFrame, cuts: int | None = None, hot: int = HOT) -> DataFrame:
     """words: doc_id, pos, word, box (struct of x0, y0, x1, y1), tag.  BIO tags to entities with joined text and common box."""
     from quire.functions.text import bio_role
 
-    named = words.withColumn("role", bio_role(F.col("tag")))
-    numbered = runs(named, ["doc_id"], ["pos"], "role", F.col("tag").isin(1, 3, 5)).where("role <> 'other'")
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]), " ")
-    b = F.col("box")
-    out = numbered.groupBy("doc_id", "run", "role").agg(
-        text.alias("text"), F.min(b["x0"]).alias("x0"), F.min(b["y0"]).alias("y0"), F.max(b["x1"]).alias("x1"), F.max(b["y1"]).alias("y1")
-    )
+    named = words.withColumn("role", bio_role(F.col("tag"))).withColumns({f"__{c}": F.col("box")[c] for c in ("x0", "y0", "x1", "y1")})
+    box = {c: (f, f"__{c}") for c, f in (("x0", F.min), ("y0", F.min), ("x1", F.max), ("y1", F.max))}
+    out = joined_runs(named, ["doc_id"], ["pos"], "role", F.col("word"), box, F.col("tag").isin(1, 3, 5), cuts, hot).where("role <> 'other'")
     return out.withColumn("entity", F.row_number().over(Window.partitionBy("doc_id").orderBy("run")) - 1).drop("run")
 
 

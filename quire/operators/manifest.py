@@ -13,10 +13,8 @@ from quire.operators.ranges import running
 from quire.schema import CATEGORIES
 
 VERSION = 1
-#: Slots that are made and ranked at a time for the remainder of a proportional sample.
-SLOTS = 1 << 16
-#: Most tasks that rank slots.
-RANGE_TASKS = 4096
+#: Leftover documents that a source offers at first for the remainder of a proportional sample.
+OFFERED = 32
 
 
 @dataclass(frozen=True, slots=True)
@@ -99,21 +97,31 @@ def with_subtype(docs: DataFrame, include: Sequence[str] | None = None, scope: s
 
 
 def allocation(counts: DataFrame, n: int, seed: int) -> DataFrame:
-    """counts: source, pool.  How many of n each source gives: its floor share, the rest drawn by weight of what is left."""
+    """counts: source, pool.  How many of n each source gives: its floor share, the rest drawn by weight of what is left.
+
+    The rest is the first of all leftover documents in a random order.  The least of m uniform ranks, the next and so on
+    are sums of exponential steps over m, m - 1, ..., so a source offers its first few ranks without a row for each
+    document; where all of them are drawn it offers more.
+    """
     available = counts.agg(F.sum("pool")).first()[0] or 0
     if not available:
         return counts.select("source", F.lit(0).cast("long").alias("take"))
     base = counts.withColumn("take", F.least("pool", F.expr(f"({n}L * pool) div {available}L")))
-    blocks = F.expr(f"(pool - take + {SLOTS - 1}L) div {SLOTS}L")
-    taken, ranges = base.agg(F.sum("take"), F.sum(blocks)).first()
-    # every slot is offered: sources are cut into ranges of slots, dealt to tasks, and each task keeps its least ranks only
-    cuts = base.where("pool > take").select("source", (F.col("pool") - F.col("take")).alias("left"), F.explode(F.sequence(F.lit(1).cast("long"), blocks)).alias("block"))
-    cuts = cuts.repartition(max(1, min(ranges, RANGE_TASKS)))
-    slots = F.sequence((F.col("block") - 1) * SLOTS + 1, F.least(F.col("left"), F.col("block") * SLOTS))
-    offers = cuts.select("source", F.explode(slots).alias("slot"))
-    drawn = offers.orderBy(seeded(seed, F.col("source"), F.col("slot")), "source", "slot").limit(max(0, min(n, available) - taken))
-    extra = drawn.groupBy("source").agg(F.count("*").alias("extra"))
-    return base.join(extra, "source", "left").select("source", (F.col("take") + F.coalesce("extra", F.lit(0))).cast("long").alias("take"))
+    rest = min(n, available) - base.agg(F.sum("take")).first()[0]
+    if rest <= 0:
+        return base.select("source", F.col("take").cast("long").alias("take"))
+    left = base.where("pool > take").select("source", (F.col("pool") - F.col("take")).alias("left"))
+    offered = OFFERED
+    while True:
+        offers = left.select("source", "left", F.explode(F.sequence(F.lit(1).cast("long"), F.least("left", F.lit(min(offered, rest))))).alias("k"))
+        uniform = (F.conv(F.substring(seeded(seed, F.col("source"), F.col("k")), 1, 13), 16, 10).cast("double") + 1) / float(1 << 52)
+        step = -F.ln(uniform) / (F.col("left") - F.col("k") + 1)
+        rank = F.sum(step).over(Window.partitionBy("source").orderBy("k").rowsBetween(Window.unboundedPreceding, 0))
+        drawn = offers.withColumn("rank", rank).orderBy("rank", "source", "k").limit(rest)
+        extra = drawn.groupBy("source").agg(F.count("*").alias("extra"))
+        if offered >= rest or not extra.join(left, "source").where(f"extra = {offered} and left > {offered}").limit(1).count():
+            return base.join(extra, "source", "left").select("source", (F.col("take") + F.coalesce("extra", F.lit(0))).cast("long").alias("take"))
+        offered *= 8
 
 
 def sample(docs: DataFrame, n: int, seed: int, exclude_ids: DataFrame | None = None) -> DataFrame:

@@ -12,6 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quire.operators.graph import components as connected
+from quire.operators.ranges import kept, running
 
 
 def from_array(df: DataFrame, image: str, values: str, width: int, to_pixel) -> DataFrame:
@@ -98,37 +102,83 @@ def background(strips: DataFrame, by: Sequence[str], ink: int = 90) -> DataFrame
     )
 
 
-def components(px: DataFrame, fg: str = "fg", by: Sequence[str] = ("img",)) -> DataFrame:
-    """8-connected components of small rasters, label by label, each raster as one array row (no shuffle beyond the grouping)."""
+#: Pixels of a tile in each direction.
+TILE = 256
+#: Where a pixel looks for its neighbours in other tiles; the other four directions look back.
+AHEAD = ((0, 1), (1, 0), (1, 1), (1, -1))
+
+
+def _tile_parts(tile: int, keys: Sequence[str]):
+    """The components of each tile: box, area, first pixel (as y << 31 | x), and those of its pixels that touch other tiles."""
     import numpy as np
     import pyarrow as pa
 
     from quire.operators.pages import label
 
-    keys = [px.schema[k] for k in by]
-
     def run(batches):
         for b in batches:
-            cols = b.to_pydict()
-            out = {k.name: [] for k in keys} | {"label": [], "x0": [], "y0": [], "x1": [], "y1": [], "area": []}
-            for i in range(b.num_rows):
-                pts = cols["pts"][i]
-                ys, xs = np.array([p["y"] for p in pts]), np.array([p["x"] for p in pts])
+            out = []
+            tiles = list(zip(b.column("ty").to_pylist(), b.column("tx").to_pylist(), strict=True))
+            for i, pts in enumerate(b.column("pts")):
+                ys, xs = (np.asarray(pts.values.field(c)) - t * tile for c, t in zip("yx", tiles[i], strict=True))
+                top, left = tiles[i][0] * tile, tiles[i][1] * tile
                 mask = np.zeros((ys.max() + 1, xs.max() + 1), bool)
                 mask[ys, xs] = True
                 lab, n = label(mask)
-                for k in range(1, n + 1):
-                    y, x = np.nonzero(lab == k)
-                    for f in keys:
-                        out[f.name].append(cols[f.name][i])
-                    for name, value in zip(("label", "x0", "y0", "x1", "y1", "area"), (k, x.min(), y.min(), x.max(), y.max(), len(x)), strict=True):
-                        out[name].append(int(value))
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([*(b.schema.field(f.name) for f in keys), *((c, pa.int32()) for c in ("label", "x0", "y0", "x1", "y1", "area"))]))
-
-    from pyspark.sql import types as T
-
-    grouped = px.where(F.col(fg) == 1).groupBy(*by).agg(F.collect_list(F.struct("y", "x")).alias("pts"))
-    return grouped.mapInArrow(run, T.StructType([*keys, *(T.StructField(c, T.IntegerType()) for c in ("label", "x0", "y0", "x1", "y1", "area"))]))
+                y, x = np.nonzero(lab)
+                of = lab[y, x] - 1
+                low_y, low_x, high_y, high_x = (np.full(n, v) for v in (tile, tile, -1, -1))
+                np.minimum.at(low_y, of, y), np.minimum.at(low_x, of, x), np.maximum.at(high_y, of, y), np.maximum.at(high_x, of, x)
+                first = np.full(n, np.iinfo(np.int64).max)
+                np.minimum.at(first, of, (y + top) << 31 | (x + left))
+                area = np.bincount(of, minlength=n)
+                seen, asked = ([[] for _ in range(n)] for _ in range(2))
+                for k in np.flatnonzero((y == 0) | (x == 0) | (x == tile - 1) | (y == tile - 1)).tolist():
+                    py, px_, c = int(y[k]), int(x[k]), int(of[k])
+                    if (py == 0 and top) or (px_ == 0 and left) or px_ == tile - 1:
+                        seen[c].append({"y": py + top, "x": px_ + left})
+                    for dy, dx in AHEAD:
+                        if py + dy == tile or not 0 <= px_ + dx < tile:
+                            asked[c].append({"y": py + top + dy, "x": px_ + left + dx})
+                rows = zip(low_x + left, low_y + top, high_x + left, high_y + top, area, first, seen, asked, strict=True)
+                out += [(i, c + 1, *map(int, r[:6]), *r[6:]) for c, r in enumerate(rows)]
+            own = b.take(pa.array([r[0] for r in out], pa.int32())).select([*keys, "ty", "tx"])
+            spots = pa.list_(pa.struct([("y", pa.int32()), ("x", pa.int32())]))
+            kinds = [*[pa.int32()] * 6, pa.int64(), spots, spots]
+            yield pa.RecordBatch.from_arrays([*own.columns, *(pa.array([r[k + 1] for r in out], t) for k, t in enumerate(kinds))], names=[*own.schema.names, *PART])
+
+    return run
+
+
+#: Columns of a part of a component.
+PART = ("label", "x0", "y0", "x1", "y1", "area", "first", "seen", "asked")
+
+
+def components(px: DataFrame, fg: str = "fg", by: Sequence[str] = ("img",), tile: int = TILE) -> DataFrame:
+    """8-connected components of the pixels that are 1: by, label (from 1, by first pixel in reading order), x0, y0, x1, y1, area.
+
+    Images are labelled tile by tile, as a task holds a tile only; pixels at a tile's edge meet their neighbours in the
+    next one by an equality join, and labels that touch become one in component rounds.  Where no image is larger than
+    a tile nothing of that is needed.
+    """
+    on = px.where(F.col(fg) == 1).select(*by, "y", "x")
+    high = on.agg(F.max(F.greatest("y", "x"))).first()[0]
+    tiles = on.groupBy(*by, F.expr(f"cast(y div {tile} as int)").alias("ty"), F.expr(f"cast(x div {tile} as int)").alias("tx")).agg(F.collect_list(F.struct("y", "x")).alias("pts"))
+    spot = "array<struct<y:int,x:int>>"
+    ddl = ", ".join(f"{c} {k}" for c, k in zip(PART, (*["int"] * 6, "long", spot, spot), strict=True))
+    parts = tiles.mapInArrow(_tile_parts(tile, by), T.StructType([*(tiles.schema[c] for c in (*by, "ty", "tx")), *T._parse_datatype_string(ddl)]))
+    shape = [*by, "label", "x0", "y0", "x1", "y1", "area"]
+    if high is None or high < tile:
+        return parts.select(*shape)
+    node = F.struct("ty", "tx", "label")
+    parts = kept(parts.withColumn("node", node), "parts")
+    asked = parts.select(*by, F.col("node").alias("u"), F.explode("asked").alias("at"))
+    edges = asked.join(parts.select(*by, F.col("node").alias("v"), F.explode("seen").alias("at")), [*by, "at"]).select(*by, "u", "v")
+    roots = connected(edges, by)
+    whole = parts.join(roots, [*by, "node"], "left").groupBy(*by, F.coalesce("root", "node").alias("root")).agg(
+        F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.sum("area").cast("int").alias("area"), F.min("first").alias("first"), F.lit(1).alias("one")
+    )
+    return running(whole, "one", "first", "label", by).withColumn("label", (F.col("label") + 1).cast("int")).select(*shape)
 
 
 def outside_l1(px: DataFrame, boxes: DataFrame, a: str, b: str, by: Sequence[str] = ("img",)) -> DataFrame:

@@ -176,8 +176,10 @@ def match_type_left_default(spark, d):
     f"""WITH pools AS (SELECT source, count(*) AS pool FROM documents GROUP BY source), av AS (SELECT sum(pool)::BIGINT AS available FROM pools),
     base AS (SELECT source, pool, least(pool, (137 * pool) // available)::BIGINT AS take, available FROM pools, av),
     short AS (SELECT (least(137, max(available)) - sum(take))::BIGINT AS short FROM base),
-    slots AS (SELECT source, unnest(range(1, pool - take + 1)) AS slot FROM base WHERE pool > take),
-    drawn AS (SELECT source, row_number() OVER (ORDER BY md5('{SEED}|' || source || '|' || slot), source, slot) AS r FROM slots),
+    slots AS (SELECT source, pool - take AS left_, short, unnest(range(1, least(pool - take, short) + 1)) AS k FROM base, short WHERE pool > take),
+    steps AS (SELECT *, -ln((('0x' || substr(md5('{SEED}|' || source || '|' || k), 1, 13))::BIGINT::DOUBLE + 1) / 4503599627370496::DOUBLE) / (left_ - k + 1) AS step FROM slots),
+    ranks AS (SELECT source, k, sum(step) OVER (PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING) AS rank FROM steps),
+    drawn AS (SELECT source, row_number() OVER (ORDER BY rank, source, k) AS r FROM ranks),
     extra AS (SELECT source, count(*) AS extra FROM drawn, short WHERE r <= short GROUP BY source),
     takes AS (SELECT b.source, b.take + coalesce(e.extra, 0) AS take FROM base b LEFT JOIN extra e ON b.source = e.source),
     ranked AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY md5('{SEED}|' || doc_id), doc_id) AS r FROM documents)
@@ -229,9 +231,9 @@ def bio_entities(spark, d):
     f"""WITH {_ISLANDS} SELECT user_id, run, min(value) AS x0, max(value) AS x1, md5(string_agg(cast(event_id AS VARCHAR), ' ' ORDER BY ts, event_id)) AS joined FROM islands GROUP BY user_id, run"""
 )
 def entity_union(spark, d):
-    e = layout.runs(table(spark, d, "events").select("user_id", "ts", "event_id", "event_type", "value"), ["user_id"], ["ts", "event_id"], "event_type")
-    words = F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id"))), lambda x: x["event_id"].cast("string"))
-    return e.groupBy("user_id", "run").agg(F.min("value").alias("x0"), F.max("value").alias("x1"), F.md5(F.array_join(words, " ")).alias("joined"))
+    e = table(spark, d, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    e = layout.joined_runs(e, ["user_id"], ["ts", "event_id"], "event_type", F.col("event_id").cast("string"), {"x0": (F.min, "value"), "x1": (F.max, "value")})
+    return e.select("user_id", "run", "x0", "x1", F.md5("text").alias("joined"))
 
 
 def line_boxes(spark, d):
@@ -806,8 +808,10 @@ def best_records(spark, d):
     pools AS (SELECT source, count(*) AS pool FROM docs GROUP BY source), av AS (SELECT sum(pool)::BIGINT AS available FROM pools),
     base AS (SELECT source, pool, least(pool, (61 * pool) // available)::BIGINT AS take, available FROM pools, av),
     short AS (SELECT (least(61, max(available)) - sum(take))::BIGINT AS short FROM base),
-    slots AS (SELECT source, unnest(range(1, pool - take + 1)) AS slot FROM base WHERE pool > take),
-    drawn AS (SELECT source, row_number() OVER (ORDER BY md5('7|' || source || '|' || slot), source, slot) AS r FROM slots),
+    slots AS (SELECT source, pool - take AS left_, short, unnest(range(1, least(pool - take, short) + 1)) AS k FROM base, short WHERE pool > take),
+    steps AS (SELECT *, -ln((('0x' || substr(md5('7|' || source || '|' || k), 1, 13))::BIGINT::DOUBLE + 1) / 4503599627370496::DOUBLE) / (left_ - k + 1) AS step FROM slots),
+    ranks AS (SELECT source, k, sum(step) OVER (PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING) AS rank FROM steps),
+    drawn AS (SELECT source, row_number() OVER (ORDER BY rank, source, k) AS r FROM ranks),
     extra AS (SELECT source, count(*) AS extra FROM drawn, short WHERE r <= short GROUP BY source),
     takes AS (SELECT b.source, b.take + coalesce(e.extra, 0) AS take FROM base b LEFT JOIN extra e ON b.source = e.source),
     ranked AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY md5('7|' || doc_id), doc_id) AS r FROM docs)

@@ -1,3 +1,5 @@
+import collections
+
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -289,21 +291,34 @@ def test_bands_of_a_hot_group(spark):
     assert all(got[1, i] == b for i, b in want.items())
 
 
-def test_remainder_draw_offers_every_slot(spark):
-    import hashlib
-
-    pools = {"hot": 200_000, "a": 3, "b": 2, "c": 70_000}
-    counts = spark.createDataFrame(list(pools.items()), "source string, pool long")
-    total = sum(pools.values())
-    base = {s: 7 * p // total for s, p in pools.items()}
-    beyond = 0
-    for seed in range(6):
-        slots = ((hashlib.md5(f"{seed}|{s}|{i}".encode()).hexdigest(), s, i) for s, p in pools.items() for i in range(1, p - base[s] + 1))  # noqa: S324
-        drawn = sorted(slots)[: 7 - sum(base.values())]
-        beyond += any(i > 65_536 for _, _, i in drawn)
-        want = {s: base[s] + sum(d[1] == s for d in drawn) for s in pools}
-        assert {r["source"]: r["take"] for r in manifest.allocation(counts, 7, seed).collect()} == want
-    assert beyond
+def test_remainder_draw_follows_what_is_left(spark):
+    """Each leftover document has the same chance: the extra draws of many seeds against the law's mean."""
+    from quire.operators.manifest import allocation
+
+    pools = {"hot": 2_000_000_000, "a": 2_000_000_003, "b": 400_000_000, "c": 5, "d": 1}
+    counts = spark.createDataFrame(list(pools.items()), "source string, pool long").coalesce(1)
+    total, n, seeds = sum(pools.values()), 9, 25
+    base = {s: n * p // total for s, p in pools.items()}
+    rest, extra = n - sum(base.values()), collections.Counter()
+    for seed in range(seeds):
+        take = {r["source"]: r["take"] for r in allocation(counts, n, seed).collect()}
+        assert sum(take.values()) == n and all(base[s] <= take[s] <= pools[s] for s in pools)
+        extra.update({s: take[s] - base[s] for s in pools})
+    for s, p in pools.items():
+        share = (p - base[s]) / (total - sum(base.values()))
+        mean, deviation = seeds * rest * share, (seeds * rest * share * (1 - share)) ** 0.5
+        assert abs(extra[s] - mean) <= 4 * deviation + 0.01
+
+
+def test_a_source_may_give_all_of_the_remainder(spark, monkeypatch):
+    """More than a source offers at first, and sources that run out."""
+    pools = {f"s{i:02d}": 1 for i in range(40)} | {"big": 60}
+    counts = spark.createDataFrame(list(pools.items()), "source string, pool long").coalesce(1)
+    want = {r["source"]: r["take"] for r in manifest.allocation(counts, 50, 3).collect()}
+    assert sum(want.values()) == 50 and want["big"] > 30 and all(want[s] <= 1 for s in pools if s != "big")
+    monkeypatch.setattr(manifest, "OFFERED", 2)
+    assert {r["source"]: r["take"] for r in manifest.allocation(counts, 50, 3).collect()} == want
+    assert {r["source"]: r["take"] for r in manifest.allocation(counts, 100, 3).collect()} == pools
 
 
 def test_running_sums_over_all_rows(spark):
