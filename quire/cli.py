@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import caption, parse_list
 from quire.operators import corpus, manifest, pages, pdf
-from quire.plans import release
+from quire.plans import corpus_run, release
 from quire.sources import files, sinks, synthetic
 
 
@@ -59,9 +59,18 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--documents", required=True)
     e.add_argument("--split", required=True)
     e.add_argument("--out", required=True)
+    e.add_argument("--fields", help="a folder of field files; those of the split are counted")
     f = sub.add_parser("forms", help="synthetic forms")
     f.add_argument("--out", required=True)
     f.add_argument("--files", action="store_true", help="write each form's PDF too")
+    u = sub.add_parser("run", help="the corpus run: all stages, or one that stands alone")
+    u.add_argument("--all", action="store_true")
+    u.add_argument("--stage", choices=corpus_run.STAGES)
+    u.add_argument("--part", action="append", default=[], help="a folder of nested records")
+    u.add_argument("--out", required=True)
+    u.add_argument("--seed", type=int, default=42)
+    t = sub.add_parser("status", help="which stages of a run are complete")
+    t.add_argument("--out", required=True)
     return p
 
 
@@ -89,7 +98,12 @@ def _release(spark: SparkSession, a: argparse.Namespace, r: release.Recipe) -> d
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    a = _parser().parse_args(argv)
+    parser = _parser()
+    a = parser.parse_args(argv)
+    if a.command == "run" and not a.all and a.stage is None:
+        parser.error("--all or --stage is needed")
+    if a.command == "run" and not a.all and a.stage in corpus_run.DEPENDENT:
+        parser.error(f"stage {a.stage} needs the records of the stages before it: run --all")
     spark = spark or SparkSession.builder.appName("quire").getOrCreate()
     said: dict | DataFrame
     if a.command == "manifest":
@@ -126,6 +140,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif a.command == "export":
         sinks.write_split(spark.read.parquet(a.documents), a.split, a.out)
         said = {"documents": spark.read.parquet(a.out).count()}
+        if a.fields:
+            said["field_files"] = corpus_run.export_rows(spark.read.parquet(a.out), a.split, files.listing(spark, a.fields, "*.json")).count()
+    elif a.command == "run":
+        corpus_run.run(spark, a.part, a.out, None if a.all else a.stage, a.seed)
+        said = {s["stage"]: s["status"] for s in corpus_run.status(spark, a.out)}
+    elif a.command == "status":
+        for s in corpus_run.status(spark, a.out):
+            print(json.dumps(s))
+        return 0
     else:
         synthetic.forms(spark).write.mode("overwrite").parquet(a.out)
         said = {"documents": spark.read.parquet(a.out).count()}

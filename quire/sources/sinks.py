@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import json
+import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +36,26 @@ def write_split(docs: DataFrame, split: str, path: str) -> None:
 
 
 def write_run_log(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").json(path)
+    """A run log in the place of the one that is there, which stays whole until the new one is."""
+    replace_folder(rows.sparkSession, path, lambda new: rows.write.json(new))
+
+
+def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """write a folder beside path and give it the name; what was there goes last, or stays if anything fails."""
+    mark = uuid.uuid4().hex
+    path = path.rstrip("/")
+    new, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
+    write(new)
+    fs, there = _place(spark, path)
+    moved = fs.exists(there)
+    if moved and not fs.rename(there, _place(spark, old)[1]):
+        raise OSError(f"{path} can not be moved aside")
+    if not fs.rename(_place(spark, new)[1], there):
+        if moved:
+            fs.rename(_place(spark, old)[1], there)
+        raise OSError(f"{new} can not be renamed")
+    if moved:
+        fs.delete(_place(spark, old)[1], True)
 
 
 def write_labels(labels: DataFrame, path: str) -> None:
@@ -79,10 +100,15 @@ def put_text(spark: SparkSession, path: str, text: str) -> None:
     put_bytes(spark, path, text.encode())
 
 
+def _place(spark: SparkSession, path: str) -> tuple:
+    """(file system, path) of Hadoop."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def put_bytes(spark: SparkSession, path: str, data: bytes) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    fs, p = _place(spark, path)
+    out = fs.create(p, True)
     try:
         for i in range(0, len(data), 1 << 20):
             out.write(bytearray(data[i : i + (1 << 20)]))
@@ -92,27 +118,75 @@ def put_bytes(spark: SparkSession, path: str, data: bytes) -> None:
 
 def get_text(spark: SparkSession, path: str) -> str | None:
     """A small file through Spark's file systems; None if there is none."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _place(spark, path)
     if not fs.exists(p):
         return None
     stream = fs.open(p)
     try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
 
 
+#: Attempts to write the next version of a file that others write too.
+ATTEMPTS = 100
+
+
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that is not there yet, whole or not at all; False if another writer was first."""
+    fs, p = _place(spark, path)
+    part = f"{path}.{uuid.uuid4().hex}"
+    if fs.getUri().getScheme() == "file":  # a link is made once; renaming would replace
+        name, part = (fs.makeQualified(_place(spark, x)[1]).toUri().getPath() for x in (path, part))
+        os.makedirs(os.path.dirname(name), exist_ok=True)
+        with open(part, "w", encoding="utf-8") as f:
+            f.write(text)
+        try:
+            os.link(part, name)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(part)
+        return True
+    put_text(spark, part, text)
+    sc = spark.sparkContext
+    never = sc._gateway.new_array(sc._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), sc._jsc.hadoopConfiguration()).rename(_place(spark, part)[1], p, never)
+    except Py4JJavaError as e:
+        fs.delete(_place(spark, part)[1], False)
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def latest(spark: SparkSession, path: str) -> tuple[int, str]:
+    """The newest version of a file that is written version by version (path.v1, path.v2, ...) and its text; (0, '') if there is none."""
+    fs, p = _place(spark, f"{path}.v*")
+    names = [f.getPath().getName() for f in fs.globStatus(p) or ()]
+    n = max((int(x) for name in names if (x := name.rsplit(".v", 1)[1]).isdigit()), default=0)
+    return n, get_text(spark, f"{path}.v{n}") or "" if n else ""
+
+
+def commit(spark: SparkSession, path: str, change: Callable[[str], str]) -> str:
+    """Write the next version of a file: change makes it from the newest one, again if another writer came between."""
+    for _ in range(ATTEMPTS):
+        n, text = latest(spark, path)
+        text = change(text)
+        if put_new(spark, f"{path}.v{n + 1}", text):
+            return text
+    raise OSError(f"{path} is written by others all the time")
+
+
 def stage_state(spark: SparkSession, path: str) -> dict:
-    return json.loads(get_text(spark, path) or "{}")
+    return json.loads(latest(spark, path)[1] or "{}")
 
 
 def mark_stage(spark: SparkSession, path: str, stage: str, **info) -> dict:
-    """Note in the state file that a stage is complete."""
-    state = stage_state(spark, path) | {stage: {"status": "complete", "completed_at": datetime.now(UTC).isoformat(), **info}}
-    put_text(spark, path, json.dumps(state, indent=2))
-    return state
+    """Note in the state file that a stage is complete; marks that others set meanwhile stay."""
+    done = {stage: {"status": "complete", "completed_at": datetime.now(UTC).isoformat(), **info}}
+    return json.loads(commit(spark, path, lambda text: json.dumps(json.loads(text or "{}") | done, indent=2)))
 
 
 def stage_done(spark: SparkSession, path: str, stage: str) -> bool:
