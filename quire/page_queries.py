@@ -300,18 +300,6 @@ def pdf_previews(spark, d):
     return pdf.preview_files(label_pdfs(spark, d), _lane_docs(spark, d)).select("doc_id", "status", "recolored_targets", "skipped_fields")
 
 
-@query(
-    """SELECT 'synthetic_' || form || '_' || lpad(cast(base + unnest(range(0, n)) AS VARCHAR), 5, '0') AS doc_id, k::BIGINT AS n
-    FROM (VALUES ('supplier', 50, 1000, 7), ('invoice', 50, 2000, 7), ('compliance', 30, 3000, 6), ('patient', 30, 4000, 7)) t(form, n, base, k)"""
-)
-def form_pdfs(spark, d):
-    """The generator's files, and the values that their widgets hold."""
-    docs = synthetic.forms(spark)
-    rows = synthetic.form_files(docs).select(F.concat(F.lit("/out/"), "doc_id", F.lit(".pdf")).alias("path"), F.col("data").alias("content"))
-    want = fields.flat(docs).select("doc_id", F.col("field_id").alias("name"), "value")
-    return pdf.widget_rows(rows).join(want, ["doc_id", "name", "value"], "left_semi").groupBy("doc_id").agg(F.count("*").alias("n"))
-
-
 # rasters through the page operators
 
 
@@ -435,74 +423,3 @@ def scanned_pdf_pages(spark, d):
             yield pa.RecordBatch.from_arrays([pa.array(list(map(int, b.column(0).to_pylist())), pa.int64()), *(b.column(i) for i in (1, 2, 3)), pa.array(total, pa.int64())], names=["img", "page", "h", "w", "total"])
 
     return rows.select("doc_id", "page", "h", "w", "data").mapInArrow(run, "img bigint, page int, h int, w int, total bigint")
-
-
-def _dotted(missing: int, gone: int) -> tuple[np.ndarray, list]:
-    """Six rows of dots, ten apart, of which so many are missing in the middle of each; the last rows are not dotted lines."""
-    page = np.full((100, 220, 3), 250, np.uint8)
-    boxes = []
-    for k in range(6):
-        y = 10 + 15 * k
-        for i, x in enumerate(range(10, 210, 10)):
-            if not 9 <= i < 9 + missing and (k < 6 - gone or i < 2):
-                page[y : y + 2, x : x + 2] = 20
-        boxes.append((95, y - 4, 100 + 10 * missing, y + 6))
-    return page, boxes
-
-
-def per_document(spark: SparkSession, d: str, ddl: str, work: Callable[[int], dict]) -> DataFrame:
-    schema = pdf._arrow(f"doc_id bigint, {ddl}")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_pylist([{"doc_id": i, **work(i)} for i in b.column(0).to_pylist()], schema=schema)
-
-    return table(spark, d, "documents").select("doc_id").mapInArrow(run, f"doc_id bigint, {ddl}")
-
-
-@query("SELECT doc_id, 6 - CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS lines, CASE WHEN doc_id % 2 = 0 THEN 'too_few_dots:2<4' ELSE '' END AS rejected FROM documents")
-def page_dotted_lines(spark, d):
-    def work(i: int) -> dict:
-        gray = pages.gray_of(_dotted(0, int(i % 2 == 0))[0])
-        _, lines, reasons = pages.dotted_lines(gray <= pages.otsu(gray))
-        return {"lines": len(lines), "rejected": ",".join(reasons)}
-
-    return per_document(spark, d, "lines int, rejected string", work)
-
-
-@query(
-    """WITH k AS (SELECT doc_id, 1 + doc_id % 3 AS missing, doc_id % 5 = 0 AS few FROM documents)
-    SELECT doc_id, (CASE WHEN few THEN 4 ELSE 6 END)::INTEGER AS clusters, (CASE WHEN few THEN 0 ELSE 6 END)::INTEGER AS gaps, (CASE WHEN few THEN 0 ELSE 6 * missing END)::INTEGER AS dots, CASE WHEN few THEN 'below_dotted_threshold:4<5' ELSE '' END AS notes FROM k"""
-)
-def page_touch_up(spark, d):
-    """Erased dots are set again, unless a page has too few dotted lines to be sure of them."""
-
-    def work(i: int) -> dict:
-        page, boxes = _dotted(1 + i % 3, 2 if i % 5 == 0 else 0)
-        t = pages.touch_up(page, boxes)
-        return {"clusters": t.clusters, "gaps": t.gaps, "dots": t.dots, "notes": ",".join(t.notes)}
-
-    return per_document(spark, d, "clusters int, gaps int, dots int, notes string", work)
-
-
-@query("SELECT cast(doc_id AS VARCHAR) AS doc_id, 'ok' AS status, 2::BIGINT AS redacted, CASE WHEN doc_id % 2 = 0 THEN 'fill' ELSE 'noop_no_text' END AS first, 'noop_no_text' AS second, 250 AS darkest FROM documents")
-def pages_blanked(spark, d):
-    """A page for each document, every second with ink in its first box; the second box lies on the first and finds it clean."""
-
-    def work(i: int) -> dict:
-        page = np.full((80, 120, 3), 250, np.uint8)
-        if i % 2 == 0:
-            page[25:33, 30:32] = page[28:30, 30:36] = 30
-        return {"data": page.tobytes()}
-
-    made = per_document(spark, d, "data binary", work).select(F.col("doc_id").cast("string").alias("doc_id"), F.lit(0).alias("page"), F.lit(80).alias("h"), F.lit(120).alias("w"), "data")
-    box = F.explode(F.array(*(F.struct(F.lit(k).alias("pos"), F.lit(f"f{k}").alias("field_id")) for k in (0, 1))))
-    f = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.lit(0).alias("page"), box.alias("b")).select("doc_id", "page", "b.*", F.lit(20).alias("x0"), F.lit(20).alias("y0"), F.lit(60).alias("x1"), F.lit(45).alias("y1"))
-
-    def darkest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            least = [int(np.frombuffer(x, np.uint8).min()) for x in b.column(5).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(least, pa.int32())], names=["doc_id", "status", "redacted", "first", "second", "darkest"])
-
-    done = pages.blank_pages(made, f).select("doc_id", "status", "redacted", F.col("stats")[0]["strategy"].alias("first"), F.col("stats")[1]["strategy"].alias("second"), "data")
-    return done.mapInArrow(darkest, "doc_id string, status string, redacted bigint, first string, second string, darkest int")

@@ -88,8 +88,9 @@ def with_files(docs: DataFrame, files: DataFrame, name: str, root: str = "") ->
 
 
 def pdf_lines(spark: SparkSession, path: str, subset_ord: int = 0) -> DataFrame:
-    """JSON lines (gz or not) as variants; blank and broken lines are left out."""
-    text = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id()).where(stripped(F.col("value")) != "")
+    """JSON lines (gz or not) as variants; blank and broken lines are left out; of several files those whose names sort later are later."""
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("n"))
+    text = spark.read.text(path).withColumn("line_no", place).where(stripped(F.col("value")) != "")
     return text.withColumn("v", F.try_parse_json("value")).where("v is not null").select("v", F.lit(subset_ord).alias("subset_ord"), "line_no")
 
 

@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+import quire.file_queries
 import quire.page_queries  # noqa: F401
 from quire.queries import ORACLE_SQL, QUERIES
 
