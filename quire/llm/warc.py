@@ -158,13 +158,25 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     return stored(columns.mapInArrow(run, INDEX), "warc-index")
 
 
+#: Share of all records, and least number of them, from which on a digest is hot: there are no more than 1 / HOT of them.
+HOT, MIN_HOT = 0.001, 200
+
+
 def resolve(index: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
     """The index with the original of each revisit: columns o_page, o_archive, o_record, null for responses."""
     place = F.struct(F.coalesce("page_id", F.lit(-(1 << 63))).alias("p"), "archive", "record")
     groups = index.where(F.col("payload_bytes") >= min_payload).groupBy("payload_digest").agg(F.max(F.struct(place.alias("at"), F.col("page_id").alias("o_page"))).alias("o"), F.count("*").alias("n"))
-    groups = groups.where("n > 1").select("payload_digest", "o.o_page", F.col("o.at.archive").alias("o_archive"), F.col("o.at.record").alias("o_record"))
-    joined = index.join(groups, "payload_digest", "left")
-    # short payloads share no digest with long ones, so the join needs no second condition
+    groups = groups.where("n > 1").select("payload_digest", "o.o_page", F.col("o.at.archive").alias("o_archive"), F.col("o.at.record").alias("o_record"), "n")
+    # short payloads need no original; those of the few digests that many records share get it from a broadcast
+    bar = max(MIN_HOT, HOT * index.count())
+    long = index.where(F.col("payload_bytes") >= min_payload)
+    names = ["o_page", "o_archive", "o_record"]
+    hot = long.join(F.broadcast(groups.where(F.col("n") > bar).drop("n")), "payload_digest", "left")
+    rest = hot.where("o_archive is null").drop(*names).join(groups.where(F.col("n") <= bar).drop("n"), "payload_digest", "left")
+    none = [F.lit(None).cast(groups.schema[c].dataType).alias(c) for c in names]
+    cols = [*index.columns, *names]
+    joined = rest.select(*cols).union(hot.where("o_archive is not null").select(*cols))
+    joined = joined.union(index.where(~F.coalesce(F.col("payload_bytes") >= min_payload, F.lit(False))).select(*index.columns, *none))
     own = (F.col("archive") == F.col("o_archive")) & (F.col("record") == F.col("o_record"))
     keep = F.col("o_archive").isNotNull() & ~own
     return joined.select(*index.columns, *(F.when(keep, F.col(c)).alias(c) for c in ("o_page", "o_archive", "o_record")))
