@@ -13,6 +13,8 @@ fixed size) to the driver, not their texts; of more than ``LABELS`` languages
 the most frequent are learned.  The driver goes through them in
 blocks: it keeps landmarks and sums, not a matrix of all rows.
 
+A long text is scored in windows, all of them, and the mean of their values counts.
+
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 so is everything when there is nothing to learn from.  Repeated rows get equal
 results; ties go to the language that sorts first; other columns are not read.
@@ -41,6 +43,8 @@ ROWS = 50_000
 LABELS = 2048
 #: At least so many, and two for each language.
 LANDMARKS = 256
+#: Characters of a window; the values of a longer text are the mean over its windows.
+WINDOW = 20_000
 #: Rows whose presences are unpacked at a time.
 AT_ONCE = 2048
 RIDGE = 1e-2
@@ -75,6 +79,13 @@ def spectrum(text: str | None) -> np.ndarray | None:
     return out
 
 
+def windows(text: str) -> Iterator[str]:
+    """The whole text, in even parts of WINDOW characters at most: the n-grams of one much longer would be nearly all there are."""
+    parts = max(1, -(-len(text) // WINDOW))
+    for k in range(parts):
+        yield text[len(text) * k // parts : len(text) * (k + 1) // parts]
+
+
 @dataclass
 class LanguageModel:
     names: list[str]
@@ -85,17 +96,32 @@ class LanguageModel:
         out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
         if not self.names:
             return out
-        found = [(i, s) for i, t in enumerate(texts) if (s := spectrum(t)) is not None]
-        for k in range(0, len(found), 128):
-            part = found[k : k + 128]
-            x = np.stack([s for _, s in part]).astype(np.float32)
-            x /= np.sqrt(x.sum(1, keepdims=True))
-            f = (x @ self.landmarks.T) @ self.weights
-            e = np.exp(SHARP * (f - f.max(1, keepdims=True)))
-            e /= e.sum(1, keepdims=True)
-            best = f.argmax(1)
-            for (i, _), b, p in zip(part, best.tolist(), e, strict=True):
-                out[i] = (self.names[b], float(p[b]))
+        whose: list[int] = []
+        held: list[np.ndarray] = []
+        total, n = np.zeros((len(texts), len(self.names))), np.zeros(len(texts))
+
+        def score() -> None:
+            if held:
+                x = np.stack(held).astype(np.float32)
+                x /= np.sqrt(x.sum(1, keepdims=True))
+                np.add.at(total, whose, (x @ self.landmarks.T) @ self.weights)
+                np.add.at(n, whose, 1)
+                whose.clear(), held.clear()
+
+        for i, text in enumerate(texts):
+            for part in windows(text or ""):
+                if (s := spectrum(part)) is not None:
+                    whose.append(i)
+                    held.append(s)
+                    if len(held) == 128:
+                        score()
+        score()
+        some = np.flatnonzero(n)
+        f = total[some] / n[some, None]
+        e = np.exp(SHARP * (f - f.max(1, keepdims=True))) if len(some) else f
+        e /= e.sum(1, keepdims=True)
+        for i, b, p in zip(some.tolist(), f.argmax(1).tolist() if len(some) else [], e, strict=True):
+            out[i] = (self.names[b], float(p[b]))
         return out
 
 
