@@ -266,15 +266,29 @@ def spacings(points: DataFrame, by: Sequence[str], x: str, ids: Sequence[str] =
     return found.withColumn("spacing", F.col("__next.x") - F.col(x)).withColumn("next_x", F.col("__next.x")).drop("__next")
 
 
-def spacing_stats(gaps: DataFrame, by: Sequence[str], tolerant: bool = False, cuts: int | None = None, hot: int = HOT, sizes: DataFrame | None = None) -> DataFrame:
+def spacing_stats(
+    gaps: DataFrame, by: Sequence[str], tolerant: bool = False, cuts: int | None = None, hot: int = HOT, sizes: DataFrame | None = None, order: Sequence[str] = ()
+) -> DataFrame:
     """n, mean, population deviation and their ratio; tolerant: of spacings up to 1.5 medians (1 at least), two of which are needed.
 
-    sizes: the points, which are cheaper to count than their gaps.
+    sizes: the points, which are cheaper to count than their gaps.  order: spacings are added up in it, so that a mean
+    has the same last bit whatever the partitions (of a group that is cut: range by range).
     """
     gaps = gaps.where("spacing is not null")
     if tolerant:
         gaps = same_group(gaps, medians(gaps, by, "spacing", "__m", cuts, hot, sizes), by).where(F.col("spacing") <= F.greatest(F.col("__m") * 1.5, F.lit(1.0)))
-    out = gaps.groupBy(*by).agg(F.count("*").alias("n"), F.avg("spacing").alias("mean"), F.stddev_pop("spacing").alias("deviation"))
+    found = [F.count("*").alias("n"), F.stddev_pop("spacing").alias("deviation")]
+    if order:
+        marked, order, cut = in_ranges(gaps, by, order, cuts, hot, sizes)
+        so_far = F.sum("spacing").over(Window.partitionBy(*by, "__cut").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+        whole = F.max_by("__s", F.struct(*order)).alias("__s")
+        out = marked.withColumn("__s", so_far).groupBy(*by, *(["__cut"] if cut else [])).agg(whole, *([] if cut else found))
+        if cut:
+            parts = F.array_sort(F.collect_list(F.struct("__cut", "__s")))
+            out = same_group(gaps.groupBy(*by).agg(*found), out.groupBy(*by).agg(F.aggregate(parts, F.lit(0.0), lambda s, p: s + p["__s"]).alias("__s")), by)
+        out = out.select(*by, "n", (F.col("__s") / F.col("n")).alias("mean"), "deviation")
+    else:
+        out = gaps.groupBy(*by).agg(found[0], F.avg("spacing").alias("mean"), found[1])
     out = out.where("n >= 2") if tolerant else out
     return out.where("mean > 0").withColumn("cv", F.col("deviation") / F.col("mean"))
 

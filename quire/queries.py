@@ -402,7 +402,7 @@ def value_gaps(spark, d):
 
 @query(f"WITH {_GAPS} SELECT user_id, n, round(mean, 6) AS mean, round(deviation / mean, 6) AS cv FROM stats")
 def cluster_spacing_cv(spark, d):
-    return layout.spacing_stats(value_gaps(spark, d), ["user_id"], tolerant=True, sizes=table(spark, d, "events")).select("user_id", "n", F.round("mean", 6).alias("mean"), F.round("cv", 6).alias("cv"))
+    return layout.spacing_stats(value_gaps(spark, d), ["user_id"], tolerant=True, sizes=table(spark, d, "events"), order=["x", "event_id"]).select("user_id", "n", F.round("mean", 6).alias("mean"), F.round("cv", 6).alias("cv"))
 
 
 @query(
@@ -411,7 +411,7 @@ def cluster_spacing_cv(spark, d):
 )
 def gap_targets(spark, d):
     gaps = value_gaps(spark, d)
-    out = layout.gap_targets(gaps, layout.spacing_stats(gaps, ["user_id"], tolerant=True, sizes=table(spark, d, "events")), ["user_id"], "x")
+    out = layout.gap_targets(gaps, layout.spacing_stats(gaps, ["user_id"], tolerant=True, sizes=table(spark, d, "events"), order=["x", "event_id"]), ["user_id"], "x")
     return out.select("user_id", "event_id", "j", "expected", F.floor(F.col("target_x") * 1000).cast("long").alias("target_milli"))
 
 

@@ -65,6 +65,24 @@ def test_spacings_equal_the_plain_window(spark, how):
     assert rows_of(layout.spacings(df, ["g"], "x", ["i"], **how)) == rows_of(want)
 
 
+def test_spacings_are_added_in_order(spark):
+    rng = random.Random(3)
+    xs = sorted(rng.randrange(9000) / 100 for _ in range(700))
+    df = spark.createDataFrame([(g, i, x) for g in "ab" for i, x in enumerate(xs)], "g string, i int, x double").repartition(5)
+    gaps = layout.spacings(df, ["g"], "x", ["i"])
+    total, down = 0.0, 0.0
+    for a, b in zip(xs, xs[1:], strict=False):
+        total += b - a
+    for a, b in reversed(list(zip(xs, xs[1:], strict=False))):
+        down += b - a
+    assert total != down  # the order of the sum is seen in its last bit
+    got = layout.spacing_stats(gaps, ["g"], order=["x", "i"]).collect()
+    assert [(r.n, r["mean"]) for r in got] == [(699, total / 699)] * 2
+    for how in ({"hot": 100}, {"cuts": 9}):
+        cut = layout.spacing_stats(gaps, ["g"], order=["x", "i"], **how).collect()
+        assert [r.n for r in cut] == [699] * 2 and all(abs(r["mean"] - total / 699) < 1e-12 for r in cut)
+
+
 @pytest.mark.parametrize("how", [{"hot": 100}, {"cuts": 9}])
 def test_values_pass_over_empty_ranges(spark, how):
     df = spark.range(2000).select(F.lit("g").alias("g"), "id", F.when(F.col("id").isin(3, 1500), F.col("id")).alias("v"))
