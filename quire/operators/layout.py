@@ -350,7 +350,11 @@ def single_sided(clusters: DataFrame, boxes: DataFrame, by: Sequence[str], cuts:
     Only the greatest x1 and the least x0 of the boxes at a cluster's height matter.  They come from a sweep over heights
     in each group; a large group is cut into ranges of height, in which a box is swept where it begins and where it
     ends, and the ranges in between get it as a whole.  No pair of cluster and box is made.
+
+    clusters are written once: a height that is an average has another last bit when it is worked out again, and would
+    not meet itself.
     """
+    clusters = kept(clusters, "clusters")
     b = boxes.select(*by, *(F.col(c).cast("double").alias(f"__{c}") for c in ("x0", "x1")), (F.col("y0") - 2).cast("double").alias("__lo"), (F.col("y1") + 2).cast("double").alias("__hi"))
     b = b.where("__lo <= __hi and not isnan(__hi)").groupBy(*by, "__lo", "__hi").agg(F.min("__x0").alias("__x0"), F.max("__x1").alias("__x1")).dropna(subset=["__x0", "__x1"])
     heights = clusters.select(*by, F.col("y_center").cast("double").alias("__v")).where("__v is not null and not isnan(__v)").distinct()

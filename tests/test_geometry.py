@@ -63,3 +63,11 @@ def test_single_sided_notes_equal_all_pairs(spark, how):
     got = layout.single_sided(c, b, ["g"], **how)
     assert got.columns == [*c.columns, "note"] and sorted(map(repr, ((r.g, r.i, r.note) for r in got.collect()))) == sorted(map(repr, want))
     assert got.groupBy("g", "i").count().agg(F.max("count")).first()[0] <= 2
+
+
+def test_heights_that_vary_when_worked_out_again(spark):
+    shaken = F.udf(lambda i: i + random.random() * 1e-9, "double").asNondeterministic()
+    c = spark.range(50).select("id", F.lit(0.0).alias("x_lo"), F.lit(1.0).alias("x_hi"), shaken(F.col("id").cast("double")).alias("y_center"), F.lit(1.0).alias("mean"))
+    b = spark.range(50).select("id", F.lit(-9.0).alias("x0"), F.lit(-100.0).alias("y0"), F.lit(0.5).alias("x1"), F.lit(100.0).alias("y1"))
+    got = layout.single_sided(c, b, ["id"]).select("id", "note").collect()
+    assert sorted(tuple(r) for r in got) == [(i, "single_sided:no_left_anchor") for i in range(50)]
