@@ -193,30 +193,35 @@ def stage_done(spark: SparkSession, path: str, stage: str) -> bool:
     return stage_state(spark, path).get(stage, {}).get("status") == "complete"
 
 
-def write_files(rows: DataFrame, root: str, name: str, data: str = "data", key: str = "doc_id", once: bool = False) -> DataFrame:
+def write_files(rows: DataFrame, root: str, name: str, data: str = "data", key: str = "doc_id", once: bool = False, folders: int = 0) -> DataFrame:
     """Write the bytes of each row to root/key/name (a URI or path that executors share); key, path, length.
 
-    Rows without bytes write nothing.  once: a file that is there already stays.
+    Rows without bytes write nothing.  once: a file that is there already stays.  folders: to root/number/key.name, of so
+    many numbers by a hash of the key, so that no folder has more entries than a task can list.
     """
     schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("path", T.StringType()), T.StructField("length", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (pafs.LocalFileSystem(), root)
+        made = set()
         for b in batches:
             out = []
             for k, x in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if x is None:
                     continue
-                folder = f"{base.rstrip('/')}/{k.translate({47: 95, 92: 95})}"
-                fs.create_dir(folder, recursive=True)
-                if once and fs.get_file_info(f"{folder}/{name}").type == pafs.FileType.File:
-                    out.append((k, f"{folder}/{name}", fs.get_file_info(f"{folder}/{name}").size))
+                safe = k.translate({47: 95, 92: 95})
+                folder, file = (f"{base.rstrip('/')}/{zlib.crc32(k.encode()) % folders}", f"{safe}.{name}") if folders else (f"{base.rstrip('/')}/{safe}", name)
+                if folder not in made:
+                    fs.create_dir(folder, recursive=True)
+                    made |= {folder} if folders else set()
+                if once and fs.get_file_info(f"{folder}/{file}").type == pafs.FileType.File:
+                    out.append((k, f"{folder}/{file}", fs.get_file_info(f"{folder}/{file}").size))
                     continue
-                part = f"{folder}/.{name}.{uuid.uuid4().hex}"  # it gets its name whole, so an attempt that runs again harms nothing
+                part = f"{folder}/.{file}.{uuid.uuid4().hex}"  # it gets its name whole, so an attempt that runs again harms nothing
                 with fs.open_output_stream(part, compression=None) as f:
                     f.write(x)
-                fs.move(part, f"{folder}/{name}")
-                out.append((k, f"{folder}/{name}", len(x)))
+                fs.move(part, f"{folder}/{file}")
+                out.append((k, f"{folder}/{file}", len(x)))
             cols = list(zip(*out, strict=True)) if out else [()] * 3
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], names=schema.names)
 
