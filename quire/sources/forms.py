@@ -125,7 +125,7 @@ def pdf_corpus(lines: DataFrame, source: str, files: DataFrame | None = None, ma
 
 def match_types(spark: SparkSession, path: str) -> DataFrame:
     """meta.json: the match type of each field, given as text or inside an object."""
-    v = spark.read.option("wholetext", True).text(path).select(F.try_parse_json("value").alias("v"))
+    v = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
     kv = v.select(F.explode(F.try_variant_get("v", "$", "map<string,variant>")).alias("field_id", "m"))
     kind = F.when(F.schema_of_variant("m") == "STRING", F.try_variant_get("m", "$", "string")).when(F.schema_of_variant("m").startswith("OBJECT"), F.coalesce(F.try_variant_get("m", "$.match_type", "string"), F.lit("StringMatch")))
     return kv.select("field_id", kind.alias("match_type")).where("match_type is not null")
