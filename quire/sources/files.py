@@ -103,6 +103,10 @@ def run_log(spark: SparkSession, path: str) -> DataFrame:
     return last_of_each(spark.read.json(path).withColumn("__line", place), "doc_id", "__line").drop("__line")
 
 
+#: Partitions of an image folder that one task reads, where there are many; it holds a batch of images at a time.
+TOGETHER = 16
+
+
 def images(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
     """path, h, w, data (RGB bytes, row by row) and error: a row for each file of a folder; nested: of those below it too.
 
@@ -110,6 +114,9 @@ def images(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
     an error and no data.
     """
     raw = spark.read.format("image").option("recursiveFileLookup", nested).load(path).select("image.*")
+    # Spark counts a file as 4 MB at least, so small ones make a task of every 32
+    parts = raw.rdd.getNumPartitions()
+    raw = raw.coalesce(max(1, parts // TOGETHER, min(parts, 4 * spark.sparkContext.defaultParallelism)))
 
     def rgb(batches):
         import numpy as np

@@ -48,3 +48,19 @@ def test_listing_below_a_folder(spark, tmp_path):
         want = {(f"file:{tmp_path}/{n}", len(put[n]), hashlib.sha256(put[n]).hexdigest()) for n in ("a.bin", "1/b.bin", "1/2/3/c.bin")}
         assert {tuple(r) for r in got.collect()} == want
     assert {r.path.split("/")[-1] for r in files.listing(spark, f"{tmp_path}/1*", "*.{txt}").collect()} == {"c.txt"}
+
+
+def test_small_images_share_tasks(spark, tmp_path):
+    import numpy as np
+
+    from quire.sources import sinks
+
+    data = sinks.png(np.zeros((2, 2), np.uint8))
+    for i in range(400):
+        (tmp_path / f"{i}.png").write_bytes(data)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        got = files.images(spark, str(tmp_path))
+        assert got.rdd.getNumPartitions() <= 400 // files.TOGETHER and got.where("h = 2 and error is null").count() == 400
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
