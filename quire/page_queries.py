@@ -33,16 +33,18 @@ _LINES = """li AS (SELECT l_orderkey, l_linenumber, (l_linenumber * 10)::INTEGER
 )
 def token_scan_fields(spark, d):
     n, q = F.col("l_linenumber"), F.col("l_quantity")
-    box = F.array((n * 10).cast("double"), F.lit(5.0), (n * 10 + 9).cast("double"), F.floor(q + 5).cast("double"))
+    box = F.array((n * 10).cast("double"), F.lit(5.0), (n * 10 + 9).cast("double"), F.rint(q + 5))
     tag = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "R", 3).when(F.col("l_linestatus") == "O", 6).otherwise(0)
     one = F.struct(n.alias("n"), F.concat("l_returnflag", "l_linestatus").alias("w"), box.alias("b"), tag.alias("t"))
-    rows = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(one)).alias("z"))  # an order has seven lines at most
+    rows = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(one)).alias("z"))  # an order has few lines
     part = lambda k: F.transform("z", lambda x: x[k])
+    room = 1 << 32  # no line lies outside a page of so many times 100 pixels; by a power of two the division stays exact
+    size = F.lit(100 * room)
     scans = rows.select(
-        F.lit("train").alias("split"), F.col("l_orderkey").cast("string").alias("id"), F.lit("x.png").alias("image_path"), F.lit(100).alias("width"), F.lit(100).alias("height"), part("w").alias("words"), part("b").alias("bboxes"), part("t").alias("ner_tags")
+        F.lit("train").alias("split"), F.col("l_orderkey").cast("string").alias("id"), F.lit("x.png").alias("image_path"), size.alias("width"), size.alias("height"), part("w").alias("words"), part("b").alias("bboxes"), part("t").alias("ner_tags")
     )
     f = fields.flat(forms.token_scans(scans))
-    return f.select("doc_id", "field_id", "label", "value", "role", *(F.col("bbox_norm")[i].alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))))
+    return f.select("doc_id", "field_id", "label", "value", "role", *((F.col("bbox_norm")[i] * float(room)).alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))))
 
 
 @query(
