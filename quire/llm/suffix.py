@@ -16,8 +16,10 @@ is removed.
    LENGTH bytes are repeats.
 4. Shards of one salted anchor publish each of their distinct windows once, as a
    sorted run of fingerprints (128 bits) that says which windows the shard has
-   marked already.  The runs are merged two by two, the smaller searched in the
-   larger by bisection, and only windows that no shard has marked get an answer.
+   marked already.  A run travels in a few packed pieces, cut by the leading bits
+   of the fingerprints; pieces of equal bits meet in a task.  There the runs are
+   merged two by two, the smaller searched in the larger by bisection, and only
+   windows that no shard has marked get an answer.
 5. Spans, joined to runs, return to the texts.
 
 The suffix arrays decide wherever windows of different contexts meet in a
@@ -37,6 +39,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +59,8 @@ SHARD_BYTES = 1 << 20
 #: Occurrences of an anchor that may share a shard.
 GROUP = 2048
 REMEMBERED = 300_000
-#: Published windows that one task merges.
-MERGED = 1 << 17
+#: Published windows that one task merges, about; pieces that a run is cut into at most.
+MERGED, PIECES = 1 << 17, 1 << 10
 
 _P = 0x9E3779B97F4A7C15
 _M = (1 << 64) - 1
@@ -350,10 +354,10 @@ def shard_repeats(contexts: list[bytes], length: int = LENGTH) -> list[np.ndarra
     return out
 
 
-#: A span (e is set), or a published window: its run, fingerprint and whether its shard has marked it.
-FOUND = "t1 long, t2 long, s long, e long, run long, w1 long, w2 long, marked boolean"
-_FOUND_KINDS = [*[pa.int64()] * 7, pa.bool_()]
-_FOUND_NAMES = ["t1", "t2", "s", "e", "run", "w1", "w2", "marked"]
+#: A span (e is set), or a piece of a run of published windows (_W).
+FOUND = "t1 long, t2 long, s long, e long, run long, piece int, windows binary"
+_FOUND_KINDS = [*[pa.int64()] * 5, pa.int32(), pa.binary()]
+_FOUND_NAMES = ["t1", "t2", "s", "e", "run", "piece", "windows"]
 SPANS = "t1 long, t2 long, s long, e long"
 
 
@@ -363,7 +367,7 @@ def _spans(marks: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _found(rows: list[tuple]) -> pa.RecordBatch:
-    cols = [*zip(*rows, strict=True), *[[None] * len(rows)] * 4] if rows else [()] * 8
+    cols = [*zip(*rows, strict=True), *[[None] * len(rows)] * 3] if rows else [()] * 7
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, _FOUND_KINDS, strict=True)], names=_FOUND_NAMES)
 
 
@@ -383,6 +387,13 @@ def _published(contexts: list[tuple[bytes, np.ndarray, tuple]]) -> np.ndarray:
     return every[np.unique(every["w"], return_index=True)[1]]
 
 
+def _pieces(run: np.ndarray, pieces: int) -> list[tuple[int, bytes]]:
+    """A sorted run by the leading bits of its fingerprints; pieces: a power of two, PIECES at most."""
+    lead = np.ascontiguousarray(run["w"]).view(">u2").reshape(-1, 8)[:, 0].astype(np.int64) * pieces >> 16
+    edge = np.concatenate([[0], np.flatnonzero(np.diff(lead)) + 1, [len(run)]]) if len(run) else [0]
+    return [(int(lead[a]), run[a:b].tobytes()) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+
+
 def _halves(w: np.ndarray) -> list[np.ndarray]:
     """The fingerprint as two signed longs that sort as its bytes do."""
     halves = np.ascontiguousarray(w).view(">u8").reshape(-1, 2).astype(np.uint64) ^ np.uint64(1 << 63)
@@ -395,9 +406,9 @@ def _whole(w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(halves.astype(">u8")).view("S16").ravel()
 
 
-def _shards(shard_bytes: int):
+def _shards(shard_bytes: int, pieces: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by shard: spans, and for salted or cut shards a run of their distinct windows."""
+        """Rows sorted by shard: spans, and for salted or cut shards the run of their distinct windows in pieces."""
 
         def settle(rows: dict[bytes, list[tuple]], shared: set[bytes], name: int) -> Iterator[pa.RecordBatch]:
             spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
@@ -414,11 +425,9 @@ def _shards(shard_bytes: int):
             out = [(*key, s, e) for key, found in spans.items() for s, e in _joined(found)]
             for i in range(0, len(out), 20_000):
                 yield _found(out[i : i + 20_000])
-            w = _published(open_)
-            for i in range(0, len(w), 20_000):
-                part = w[i : i + 20_000]
-                cols = [part["t1"], part["t2"], part["s"], None, np.full(len(part), name), *_halves(part["w"]), part["marked"]]
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(part), k) if c is None else pa.array(c, k) for c, k in zip(cols, _FOUND_KINDS, strict=True)], names=_FOUND_NAMES)
+            if cut := _pieces(_published(open_), pieces):
+                cols = [*[[None] * len(cut)] * 4, [name] * len(cut), *zip(*cut, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, _FOUND_KINDS, strict=True)], names=_FOUND_NAMES)
 
         rows: dict[bytes, list[tuple]] = {}
         shared: set[bytes] = set()
@@ -519,6 +528,20 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in (hit["t1"], hit["t2"], hit["s"], hit["s"] + LENGTH)], names=["t1", "t2", "s", "e"])
 
 
+def _across_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_across for each piece; rows (piece, run, windows) in order of piece and run."""
+    rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
+
+    def opened(some: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        for _, run, data in some:
+            w = np.frombuffer(data, _W)
+            cols = [np.full(len(w), run), *_halves(w["w"]), *(np.ascontiguousarray(w[c]) for c in ("t1", "t2", "s", "marked"))]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, cols)), names=["run", "w1", "w2", "t1", "t2", "s", "marked"])
+
+    for _, some in groupby(rows, itemgetter(0)):
+        yield from _across(opened(some))
+
+
 def repeated_spans(docs: DataFrame, group: int = GROUP, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(t1, t2, s, e): byte spans of distinct texts that repeated strings cover; they may overlap."""
     texts = docs.select("text")
@@ -530,12 +553,14 @@ def repeated_spans(docs: DataFrame, group: int = GROUP, shard_bytes: int = SHARD
     one = packed(texts, ["t1", "t2", "size"], once=True).withColumnRenamed("text", "z")
     contexts = one.join(marks, ["t1", "t2"]).select("t1", "t2", "z", "size", "marks").mapInArrow(_contexts(group), CONTEXTS)
     dealt = contexts.repartition("h", "salt").sortWithinPartitions("h", "salt")
-    found = stored(dealt.mapInArrow(_shards(shard_bytes), FOUND), "repeats")
-    windows = found.where("e is null")
+    # no more windows than these share an anchor that is salted
+    most = (often.where(F.col("n") > group).agg(F.sum("n")).first()[0] or 0) * (LENGTH - GRAM + 1)
+    pieces = min(PIECES, 1 << (-(-most // MERGED)).bit_length())
+    found = stored(dealt.mapInArrow(_shards(shard_bytes, pieces), FOUND), "repeats")
+    windows = found.where("e is null").select("piece", "run", "windows")
     spans = found.where("e is not null").select("t1", "t2", "s", "e")
-    if published := windows.count():
-        runs = windows.repartition(-(-published // MERGED), "w1").sortWithinPartitions("run", "w1", "w2")
-        spans = spans.union(runs.select("run", "w1", "w2", "t1", "t2", "s", "marked").mapInArrow(_across, SPANS))
+    if windows.limit(1).count():
+        spans = spans.union(windows.repartition(pieces, "piece").sortWithinPartitions("piece", "run").mapInArrow(_across_pieces, SPANS))
     one, two = spark_key(F.col("text"))
     copies = docs.select(one.alias("t1"), two.alias("t2")).groupBy("t1", "t2").count().where("count > 1")
     return spans.union(copies.select("t1", "t2", F.lit(0).cast("long").alias("s"), F.lit(1 << 62).alias("e")))
