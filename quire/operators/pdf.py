@@ -103,19 +103,32 @@ def _arrow(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+#: Files that one task works on, about.
+FILES_A_TASK = 1000
+#: Rows, and bytes of text and files in them, that are handed on at a time, about.
+TOGETHER, TOGETHER_BYTES = 256, 1 << 20
+
+
 def _per_file(rows: DataFrame, ddl: str, work: Callable[[dict], list[dict]]) -> DataFrame:
     """work on each row; what it gives, and a row with an error where it can not."""
     schema = _arrow(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            done, size = [], 0
             for i in range(b.num_rows):
                 row = b.slice(i, 1).to_pylist()[0]
                 try:
                     out = work(row)
                 except BROKEN as e:
                     out = [{"doc_id": row["doc_id"], "status": "error", "error": f"{type(e).__name__}: {e}"}]
-                yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in schema.names} for r in out], schema=schema)
+                done += out
+                size += sum(len(v) for r in out for v in r.values() if isinstance(v, (bytes, str)))
+                if done and (len(done) >= TOGETHER or size >= TOGETHER_BYTES):
+                    yield pa.RecordBatch.from_pylist(done, schema=schema)
+                    done, size = [], 0
+            if done:
+                yield pa.RecordBatch.from_pylist(done, schema=schema)
 
     return rows.mapInArrow(run, ddl)
 
@@ -212,7 +225,9 @@ def _located(pdf: Pdf, pages: list[tuple[Ref, dict]], able: list[dict], by_line:
 
 def _with_fields(files: DataFrame, docs: DataFrame) -> DataFrame:
     """docs: doc_id, category, fields."""
-    return docs.select("doc_id", "category", "fields").join(files.select(_documents(F.col("path")).alias("doc_id"), "content"), "doc_id", "left").select("doc_id", "category", "fields", "content")
+    n = docs.count() // FILES_A_TASK + 1  # files are small and costly, so parts of so many rows, not bytes
+    contents = files.select(_documents(F.col("path")).alias("doc_id"), "content").repartition(n, "doc_id")
+    return docs.select("doc_id", "category", "fields").repartition(n, "doc_id").join(contents, "doc_id", "left").select("doc_id", "category", "fields", "content")
 
 
 RUN = "doc_id string, approach string, status string, reason string, error string, redacted_field_count int, widget_cleared_count int, cleared_widget_count int, skipped_fields array<struct<field_id:string,reason:string>>, data binary"
