@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import boxes, fields, text
 from quire.operators import corpus, manifest, pages, pdf
-from quire.operators.ranges import scratch
+from quire.operators.ranges import kept, scratch
 from quire.plans import corpus_run
 from quire.queries import FG, OTSU, PX, SPLIT, _sql_line, divided, order_fields, query, rasters, table
 from quire.sources import files, forms, sinks, synthetic
@@ -239,7 +239,7 @@ def label_pdfs(spark: SparkSession, d: str) -> DataFrame:
     from quire.pdf.forms import form_file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(i, pdf.TOGETHER) for whole in batches for i in range(0, whole.num_rows, pdf.TOGETHER)):
             out = [
                 form_file("Form", [("source", "Source", r["source"], [0.4, 0.2, 0.9, 0.23]), ("lang", "Language", r["lang"], [0.4, 0.3, 0.9, 0.33])]) if r["doc_id"] % 3 == 2 else _text_pdf([f"Source: {r['source']}", f"Language: {r['lang']}"])
                 for r in b.to_pylist()
@@ -248,7 +248,8 @@ def label_pdfs(spark: SparkSession, d: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(out, pa.binary())], names=["path", "content"])
 
     docs = table(spark, d, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"))
-    return docs.mapInArrow(run, "path string, content binary")
+    # a file costs as much however few bytes its row has, so rows are dealt by their number
+    return docs.repartition(docs.count() // pdf.FILES_A_TASK + 1, "doc_id").mapInArrow(run, "path string, content binary")
 
 
 def _lane_docs(spark: SparkSession, d: str) -> DataFrame:
@@ -287,8 +288,9 @@ def pdf_blanked(spark, d):
 
 @query("SELECT cast(doc_id AS VARCHAR) AS doc_id, 'source' AS name, source AS value FROM documents WHERE doc_id % 3 = 2 UNION ALL SELECT cast(doc_id AS VARCHAR), 'lang', lang FROM documents WHERE doc_id % 3 = 2")
 def pdf_widgets(spark, d):
-    left = pdf.residual_widgets(pdf.widget_rows(label_pdfs(spark, d)))
-    rows = pdf.widget_rows(label_pdfs(spark, d)).select("doc_id", "name", "value")
+    widgets = kept(pdf.widget_rows(label_pdfs(spark, d)), "widgets")  # the files are made and read once
+    left = pdf.residual_widgets(widgets)
+    rows = widgets.select("doc_id", "name", "value")
     return rows.join(left.select("doc_id", "name"), ["doc_id", "name"], "left_semi")
 
 
